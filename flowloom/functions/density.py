@@ -13,8 +13,9 @@ def normal_pdf(x: Column, mean: float, sd: float) -> Column:
 
 
 def log_if_positive(guard: Column, value: Column) -> Column:
-    """ln(value) where the guard is above zero, else 0."""
-    return F.when(guard > 0, F.ln(value)).otherwise(F.lit(0.0))
+    """ln(value) where the guard is above zero, else 0; a density that underflows to 0 gives -infinity."""
+    log = F.when(value > 0, F.ln(value)).otherwise(F.lit(-math.inf))
+    return F.when(guard > 0, log).otherwise(F.lit(0.0))
 
 
 def mixture_pdf(size: Column, gap: Column, components) -> Column:

@@ -124,18 +124,20 @@ def heavy_users(flows: DataFrame) -> DataFrame:
     )
 
 
-def flow_print(flows: DataFrame) -> DataFrame:
-    """All flow fields in the order of flow key, then start time.
+PRINT_ORDER = ("src_addr", "src_port", "prot", "first_us", "dst_addr", "dst_port")
+
+
+def flow_print(flows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """All flow fields in the order of flow key, then start time, within each ``by`` group.
 
     The range partitioning includes the start time, so a key with many flows
     is spread over several partitions and the order still holds across them.
     """
-    order = ["src_addr", "src_port", "prot", "first_us", "dst_addr", "dst_port"]
-    names = [*FLOW_FIELDS.values(), "sys_uptime", "timestamp_us"]
+    names = [*by, *FLOW_FIELDS.values(), "sys_uptime", "timestamp_us"]
     known = [c for c in dict.fromkeys(names) if c in flows.columns]
     flags = [flow_field(n).cast("int").alias(n) for n in ("syn", "ack", "fin")]
     subnets = [flow_field(n).alias(c) for n, c in (("ssubnet", "src_subnet"), ("dsubnet", "dst_subnet"))]
-    return flows.select(*known, *flags, *subnets).orderBy(*order)
+    return flows.select(*known, *flags, *subnets).orderBy(*by, *PRINT_ORDER)
 
 
 def url_users_views(http_log: DataFrame) -> DataFrame:

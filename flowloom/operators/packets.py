@@ -133,7 +133,8 @@ def total_stats(packets: DataFrame, interval: int = 60, approx: bool = False) ->
         flows.select(F.explode(F.array_compact(entries)).alias("e")).select("e.*")
         .groupBy("metric").agg(count("item").alias("items"), F.sum("amount").alias("amount"))
     )
-    names = packets.sparkSession.createDataFrame([(m,) for m in TOTAL_METRICS], "metric string")
+    listed = F.array(*[F.lit(m) for m in TOTAL_METRICS])
+    names = packets.sparkSession.range(1, numPartitions=1).select(F.explode(listed).alias("metric"))
     return names.join(F.broadcast(totals), "metric", "left").select(
         "metric", F.coalesce("amount", "items", F.lit(0)).cast("bigint").alias("value"))
 

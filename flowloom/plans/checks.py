@@ -140,8 +140,10 @@ def _mixture_term(components) -> str:
 
 
 def _normal_term(size, gap) -> str:
-    return (f"CASE WHEN g IS NULL THEN 0 ELSE (CASE WHEN s > 0 THEN LN({_pdf('s', *size)}) ELSE 0 END) "
-            f"+ (CASE WHEN g > 0 THEN LN({_pdf('g', *gap)}) ELSE 0 END) END")
+    def term(x: str, parameters) -> str:
+        p = _pdf(x, *parameters)
+        return f"CASE WHEN {x} <= 0 THEN 0 WHEN {p} > 0 THEN LN({p}) ELSE '-Infinity'::DOUBLE END"
+    return f"CASE WHEN g IS NULL THEN 0 ELSE ({term('s', size)}) + ({term('g', gap)}) END"
 
 
 _GMM = _labels(

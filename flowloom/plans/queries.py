@@ -13,7 +13,7 @@ from flowloom.plans.views import VIEWS, table, view, view_over
 from flowloom.sources import netflow
 from flowloom.sources.decode import decode_packets, encode_frames
 from flowloom.sources.pcap import read_pcap, write_pcap
-from flowloom.sources.tables import write_partitions
+from flowloom.sources.tables import read_partitions, write_partitions
 from flowloom.sources.text import job_history
 from flowloom.streaming import monitor, windows
 
@@ -110,7 +110,7 @@ def _flow_partitions(spark, sf):
     month = date_label(F.col("first_us"), "yyyy-MM")
     rows = view(spark, sf, "flows").withColumn("month", month).repartition("month", F.pmod("src_addr", F.lit(8)))
     write_partitions(rows, path, area="backbone", month=None)
-    return spark.read.parquet(path).groupBy("area", "month").agg(
+    return read_partitions(spark, path).groupBy("area", "month").agg(
         F.count("*").alias("flows"), F.sum("doctets").alias("octets"), F.sum("dpkts").alias("pkts"))
 
 

@@ -33,6 +33,7 @@ MAX_APART_S = 30 * 86_400
 FILE_PREFIX = "nf-v05."
 
 SCHEMA = "ts_us long, cap_len int, wire_len int, frame binary, file string, pkt_id long"
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 BLOCK = 8 << 20
 
 
@@ -135,8 +136,9 @@ class Framing:
     def batches(self, start: int, end: int):
         """(block offset, block bytes, record starts) of all records that start in the range."""
         position = self.synchronise(start)
+        block = max(BLOCK, self.max_packet + RECORD_HEADER)
         while position < min(end, self.size):
-            data = self.stream.read_at(min(BLOCK, self.size - position), position)
+            data = self.stream.read_at(min(block, self.size - position), position)
             at, starts, broken = 0, [], False
             while position + at < end and at + RECORD_HEADER <= len(data):
                 if not self.plausible(data, at):
@@ -187,7 +189,7 @@ def to_batch(path: str, offset: int, data: bytes, starts: np.ndarray) -> pa.Reco
     return pa.RecordBatch.from_arrays(
         [pa.array(fields[:, 0] * 1_000_000 + fields[:, 1]), pa.array(fields[:, 2].astype(np.int32)),
          pa.array(fields[:, 3].astype(np.int32)), frames,
-         pa.array([path] * len(starts)), pa.array(offset + starts)],
+         pa.repeat(path, len(starts)), pa.array(offset + starts)],
         names=["ts_us", "cap_len", "wire_len", "frame", "file", "pkt_id"])
 
 
@@ -251,21 +253,18 @@ class PcapWriter(DataSourceArrowWriter):
         files, stream, current = [], None, None
         try:
             for batch in iterator:
-                columns = batch.to_pydict()
-                for stamp, ts, wire, frame in zip(
-                        columns["stamp"], columns["ts_us"], columns["wire_len"], columns["frame"]):
+                columns = batch.select(["stamp", "ts_us", "wire_len", "frame"]).to_pydict()
+                for stamp, ts, wire, frame in zip(*columns.values()):
                     if stamp != current:
+                        # Rows come sorted by time, so an interval opens one file per task.
                         if stream is not None:
                             stream.close()
-                        current = stamp
-                        name = f"{FILE_PREFIX}{stamp}-{part:05d}"
-                        staged = f"{base}/{self.staging}/{name}-{attempt}-{len(files)}"
-                        # Rows come sorted by stamp, so a stamp opens one file per task.
+                        current, name = stamp, f"{FILE_PREFIX}{stamp}-{part:05d}"
+                        staged = f"{base}/{self.staging}/{name}-{attempt}"
                         stream = fs.open_output_stream(staged)
                         stream.write(FILE_HEADER)
                         files.append((staged, f"{base}/{name}"))
-                    stream.write(struct.pack("<IIII", ts // 1_000_000, ts % 1_000_000, len(frame), wire))
-                    stream.write(frame)
+                    stream.write(struct.pack("<IIII", ts // 1_000_000, ts % 1_000_000, len(frame), wire) + frame)
         finally:
             if stream is not None:
                 stream.close()
@@ -362,7 +361,7 @@ def read_pcap_stream(spark: SparkSession, path: str, header: bool = True, split_
                 ranges = [(relative, row["start"], min(row["start"] + split_bytes, row["length"]), row["length"])]
                 yield from read_ranges(row["path"], ranges, header, max_packet)
 
-    files = spark.readStream.format("binaryFile").load(path).select("path", "length")
+    files = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).load(path).select("path", "length")
     starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes))
     ranges = files.select("path", "length", F.explode(starts).alias("start"))
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))

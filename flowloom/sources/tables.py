@@ -78,20 +78,30 @@ def write_partitions(df: DataFrame, path: str, **partition: str) -> None:
        .partitionBy(*partition).parquet(path))
 
 
+def read_partitions(spark: SparkSession, path: str, **types: str) -> DataFrame:
+    """Rows written by ``write_partitions``; partition columns are text unless ``types`` says otherwise.
+
+    Without this a period such as ``0005`` would come back as the number 5.
+    """
+    found = spark.read.parquet(path)
+    held = spark.read.option("recursiveFileLookup", "true").parquet(path).columns
+    schema = ", ".join(
+        f"`{name}` {kind if name in held else types.get(name, 'string')}" for name, kind in found.dtypes)
+    return spark.read.schema(schema).parquet(path)
+
+
 def load_partition(df: DataFrame, table: str, mode: str = "append", **partition: str) -> None:
     """Loads rows into one partition of a created table; columns are matched by name.
 
     ``mode="overwrite"`` replaces that partition only, which makes a load repeatable.
     """
+    verbs = {"append": "INSERT INTO", "overwrite": "INSERT OVERWRITE"}
     spark = df.sparkSession
-    for column, value in partition.items():
-        df = df.withColumn(column, F.lit(value))
-    target = spark.table(table)
-    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in target.schema])
-    writer = rows.write.mode(mode)
-    if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table)
+    data = [f for f in spark.table(table).schema if f.name not in partition]
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in data])
+    named = {f"p{i}": value for i, value in enumerate(partition.values())}
+    where = ", ".join(f"{column} = :p{i}" for i, column in enumerate(partition))
+    spark.sql(f"{verbs[mode]} {table} PARTITION ({where}) SELECT * FROM {{rows}}", args=named, rows=rows)
 
 
 def daily_flow_rows(flows: DataFrame) -> DataFrame:
@@ -105,7 +115,7 @@ def daily_flow_rows(flows: DataFrame) -> DataFrame:
     key = F.concat_ws(",", address("src_addr"), number("src_port", "string"), number("prot", "string"))
     same = ["input", "output", "pad1", "tcp_flags", "prot", "tos", "src_as", "dst_as", "src_mask",
             "dst_mask", "pad2"]
-    return flows.select(
+    rows = flows.select(
         number("sys_uptime", "bigint").alias("sys_uptime"), number("timestamp_us", "bigint").alias("time_stamp"),
         address("src_addr").alias("srcaddr"), address("dst_addr").alias("dstaddr"),
         address("nexthop").alias("nexthop"), number("dpkts", "bigint").alias("dpkts"),
@@ -113,6 +123,7 @@ def daily_flow_rows(flows: DataFrame) -> DataFrame:
         number("last_us", "double").alias("last_time"), number("src_port", "int").alias("srcport"),
         number("dst_port", "int").alias("dstport"), *[number(n, "int").alias(n) for n in same],
         key.alias("orderby"))
+    return rows.select(*[column.split()[0] for column in TABLES["daily_flows"][0].split(", ")])
 
 
 def load_reports(stats: DataFrame, db: str, area: str, ds: str, ts: str) -> None:
