@@ -16,6 +16,18 @@ def be_uint(hex_text: Column, offset: int | Column, nbytes: int) -> Column:
     return F.when(F.length(piece) == nbytes * 2, F.conv(piece, 16, 10)).cast("bigint")
 
 
+def word(hex_text: Column, offset: int | Column) -> Column:
+    """Eight bytes at ``offset`` as one long, so that several fields share a conversion."""
+    start = F.lit(offset) if isinstance(offset, int) else offset
+    return F.conv(F.substr(hex_text, start * 2 + 1, F.lit(16)), 16, -10).cast("bigint")
+
+
+def field_of(word_column: Column, at: int, nbytes: int) -> Column:
+    """Unsigned big-endian field of ``nbytes`` at byte ``at`` of an eight-byte word."""
+    moved = F.shiftrightunsigned(word_column, 64 - 8 * (at + nbytes))
+    return moved.bitwiseAND(F.lit((1 << 8 * nbytes) - 1).cast("bigint"))
+
+
 def le_uint(hex_text: Column, offset: int, nbytes: int) -> Column:
     """Unsigned little-endian integer of ``nbytes`` at ``offset``; null past the end."""
     flipped = F.concat(

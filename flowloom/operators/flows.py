@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowloom.functions.net import date_label, in_network, ip_text, subnet
+from flowloom.functions.net import bucket, date_label, in_network, ip_text, subnet
 from flowloom.functions.fields import FLOW_FIELDS, flow_field
 
+DAY_US = 86_400_000_000
+
 # Type of a statistics row -> field it is grouped by.
 STAT_TYPES = {
     "srcPort": "sport",
@@ -99,13 +101,18 @@ def active_ips(flows: DataFrame, net: str = "0.0.0.0/0") -> DataFrame:
     return _end_points(flows).where(in_network(F.col("addr"), net)).distinct()
 
 
-def active_ip_count(flows: DataFrame, net: str = "0.0.0.0/0") -> DataFrame:
-    """Distinct addresses per day."""
-    return (
-        _end_points(flows, "first_us").where(in_network(F.col("addr"), net))
-        .groupBy(date_label(F.col("first_us"), "yyyy-MM-dd").alias("ds"))
-        .agg(F.count_distinct("addr").alias("cnt"))
-    )
+def active_ip_count(flows: DataFrame, net: str = "0.0.0.0/0", by: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct addresses per day, and per ``by`` column (such as an area)."""
+    days = _end_points(flows, "first_us", *by).where(in_network(F.col("addr"), net)).select(
+        *by, "addr", bucket(F.col("first_us"), DAY_US).alias("day_us"))
+    # Days are counted as numbers; their text is made once per day, not once per flow.
+    return days.groupBy(*by, "day_us").agg(F.count_distinct("addr").alias("cnt")).select(
+        *by, date_label(F.col("day_us"), "yyyy-MM-dd").alias("ds"), "cnt")
+
+
+def aggregate_by(flows: DataFrame, names: list[str]) -> DataFrame:
+    """Octets, packets and flows per combination of short field names (a key list)."""
+    return flows.groupBy(*[flow_field(n).alias(n) for n in names]).agg(*_sums())
 
 
 def active_subnets(flows: DataFrame, net: str = "0.0.0.0/0", mask_bits: int = 24) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from flowloom.functions.fields import flow_field
 from flowloom.functions.net import bucket_s
 
+MAX_PORT = 65_535
 SHIPPED_RULES = Path(__file__).resolve().parent.parent / "rules" / "detection_rules.txt"
 
 
@@ -93,9 +94,8 @@ class Rule:
                    count == "unique", _patterns(detector), _names(returned))
 
     def matches(self) -> Column:
-        """Whether a flow row passes the filter; unknown (a division by zero) is no match."""
-        tests = [F.coalesce(p.column(flow_field), F.lit(False)) for p in self.filters]
-        return reduce(lambda a, b: a & b, tests, F.lit(True))
+        """Whether a flow row passes the filter; null (a division by zero) is no match."""
+        return reduce(lambda a, b: a & b, [p.column(flow_field) for p in self.filters], F.lit(True))
 
 
 def _lines(source: str | Path) -> list[str]:
@@ -119,6 +119,50 @@ def load_names(source: str | Path) -> list[str]:
     return list(dict.fromkeys(n.strip() for line in _lines(source) for n in line.split(";") if n.strip()))
 
 
+def _matching_ids(rules: list[Rule], at: list[int] | None = None) -> Column:
+    """Positions of the rules a flow matches, as an array that compiles to one loop."""
+    at = range(len(rules)) if at is None else at
+    tested = [F.when(rules[i].matches(), F.lit(i)).otherwise(F.lit(-1)) for i in at]
+    return F.array_remove(F.array(*tested), -1) if tested else F.array().cast("array<int>")
+
+
+def _port_of(rule: Rule) -> Pattern | None:
+    return next((p for p in rule.filters if p.left == ("dport",)), None)
+
+
+def _hits(flows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """A row per flow and rule it matches, with the rule's position as ``rule_id``.
+
+    Rules that name destination ports are found through a table of ports, which
+    is broadcast: it has at most 65536 rows, however many rules there are.  The
+    rest of their filter, and whole filters of the other rules, are expressions.
+    """
+    by_port: dict[int, list[int]] = {}
+    for i, rule in enumerate(rules):
+        if port := _port_of(rule):
+            for low, high in port.ranges:
+                for value in range(max(low, 0), min(MAX_PORT if high is None else high, MAX_PORT) + 1):
+                    if i not in by_port.setdefault(value, []):
+                        by_port[value].append(i)
+    others = [i for i, rule in enumerate(rules) if not _port_of(rule)]
+    ids = _matching_ids(rules, others)
+    if not by_port:
+        return flows.withColumn("rule_id", F.explode(ids))
+    ports = flows.sparkSession.createDataFrame(
+        [(port, found) for port, found in by_port.items()], "rule_port int, port_rules array<int>")
+    found = F.coalesce("port_rules", F.array().cast("array<int>"))
+    rows = flows.join(F.broadcast(ports), F.col("dst_port") == F.col("rule_port"), "left")
+    rows = rows.withColumn("rule_id", F.explode(F.concat(found, ids))).drop("rule_port", "port_rules")
+    # Rules often share what is left of their filters, so each such rest is tested once.
+    rests: dict[tuple[Pattern, ...], list[int]] = {(): list(others)}
+    for i, rule in enumerate(rules):
+        if port := _port_of(rule):
+            rests.setdefault(tuple(p for p in rule.filters if p is not port), []).append(i)
+    tests = [reduce(lambda a, b: a & b, [p.column(flow_field) for p in rest], F.col("rule_id").isin(ids_of))
+             for rest, ids_of in rests.items() if ids_of]
+    return rows.where(reduce(lambda a, b: a | b, tests))
+
+
 def _by_rule(values: list) -> Column:
     """The entry of a per-rule list that belongs to the row's ``rule_id``."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("rule_id") + 1)
@@ -127,14 +171,12 @@ def _by_rule(values: list) -> Column:
 def matched(flows: DataFrame, rules: list[Rule]) -> DataFrame:
     """A row per flow and rule it matches, with the rule's bin, group key and sort key.
 
-    The rules are tested inside one expression per flow; flows that match
-    nothing, which are nearly all, end there.  Key fields that a rule does not
-    group by are null.
+    Flows that match nothing, which are nearly all, end here.  Key fields that
+    a rule does not group by are null.
     """
     keys = list(dict.fromkeys(k for r in rules for k in r.group_by))
     sorts = list(dict.fromkeys(k for r in rules for k in r.sort_by if r.unique))
-    ids = F.array_compact(F.array(*[F.when(r.matches(), F.lit(i)) for i, r in enumerate(rules)]))
-    hits = flows.withColumn("rule_id", F.explode(ids))
+    hits = _hits(flows, rules)
     bins = list({r.bin_s for r in rules})
     start = F
     for size in bins:
@@ -210,9 +252,8 @@ def load_legacy_rules(source: str | Path) -> dict[str, dict[str, Rule]]:
 def legacy_matches(flows: DataFrame, groups: dict[str, dict[str, Rule]]) -> DataFrame:
     """Flows, packets and octets per older-syntax rule and its protocol group."""
     tagged = [(group, rule) for group, rules in groups.items() for rule in rules.values()]
-    ids = F.array_compact(F.array(*[F.when(r.matches(), F.lit(i)) for i, (_, r) in enumerate(tagged)]))
     return (
-        flows.select(F.explode(ids).alias("rule_id"), "dpkts", "doctets")
+        _hits(flows, [rule for _, rule in tagged])
         .groupBy("rule_id")
         .agg(F.count("*").alias("flows"), F.sum("dpkts").alias("pkts"), F.sum("doctets").alias("octets"))
         .select(_by_rule([r.name for _, r in tagged]).alias("rule"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 # Fixed value: the characters that separate words.
-WORD_BREAK = r"[ \t\n\r\f]+"
+WORD_BREAK = r"[ \t\n\r\f]"
 
 # Positions in a traceroute line.
 TRACE_FIELDS, TRACE_FROM, TRACE_HOP, TRACE_TO, TRACE_RTT = 15, 4, 10, 12, 14

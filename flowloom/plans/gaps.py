@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 CHUNK_US = 1_000_000
+ABSENT = -1
 
 
 def arrival_order(df: DataFrame) -> list[str]:
@@ -21,7 +22,7 @@ def arrival_order(df: DataFrame) -> list[str]:
 
 
 def with_chunk(df: DataFrame, chunk_us: int = CHUNK_US) -> DataFrame:
-    return df.withColumn("chunk", F.expr(f"ts_us DIV {chunk_us}"))
+    return df.withColumn("chunk", F.coalesce(F.expr(f"ts_us DIV {chunk_us}"), F.lit(0)))
 
 
 def within_chunks(df: DataFrame, keys: list[str], chunk_us: int = CHUNK_US) -> DataFrame:
@@ -30,35 +31,33 @@ def within_chunks(df: DataFrame, keys: list[str], chunk_us: int = CHUNK_US) -> D
     return with_chunk(df, chunk_us).withColumn("prev_us", F.lag("ts_us").over(window))
 
 
-def previous_chunk(df: DataFrame, keys: list[str], chunk_us: int = CHUNK_US) -> DataFrame:
-    """One row per (flow, chunk): end of the chunk before, and packets in all chunks before."""
-    before = Window.partitionBy(*keys).orderBy("chunk")
-    return (
-        with_chunk(df, chunk_us)
-        .groupBy(*keys, "chunk")
-        .agg(F.max("ts_us").alias("last_us"), F.count("*").alias("n"))
-        .select(
-            *keys, "chunk",
-            F.lag("last_us").over(before).alias("carry_us"),
-            F.coalesce(
-                F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("carry_n"),
-        )
-    )
-
-
 def with_gaps(df: DataFrame, keys: list[str], chunk_us: int = CHUNK_US) -> DataFrame:
     """Adds ``gap_us`` (null on a flow's first packet) and ``seq`` (0, 1, … in the flow).
 
-    The packets are shuffled once, on (flow, chunk); the summaries join on the
-    same keys, so only they move again.
+    The packets are read and shuffled once, on (flow, chunk).  Both the lag and
+    the chunk summaries start from that shuffle; only the summaries move again,
+    to the flow and back.
     """
-    window = Window.partitionBy(*keys, "chunk").orderBy(*arrival_order(df))
-    rows = within_chunks(df, keys, chunk_us).withColumn("place", F.row_number().over(window))
-    carry = previous_chunk(df, keys, chunk_us)
+    # A key may be null (a frame cut off before its ports): it still is a key, so
+    # it must survive the join below.  -1 stands for null until then.
+    known = df.withColumns({k: F.coalesce(k, F.lit(ABSENT)) for k in keys})
+    rows = with_chunk(known, chunk_us).repartition(*keys, "chunk")
+    # The whole last packet is kept, not just its time, so that this branch
+    # reads the same columns and Spark uses one shuffle for both branches.
+    rest = [c for c in df.columns if c not in ("ts_us", *keys)]
+    summary = rows.groupBy(*keys, "chunk").agg(
+        F.max(F.struct("ts_us", *rest)).alias("last"), F.count("*").alias("n"))
+    flow = Window.partitionBy(*keys).orderBy("chunk")
+    earlier = flow.rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(
+        *keys, "chunk", F.lag("last.ts_us").over(flow).alias("carry_us"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("carry_n"))
+    here = Window.partitionBy(*keys, "chunk").orderBy(*arrival_order(df))
+    placed = rows.withColumns({"prev_us": F.lag("ts_us").over(here), "place": F.row_number().over(here)})
     return (
-        rows.join(carry.hint("merge"), [*keys, "chunk"])
+        placed.join(carry.hint("merge"), [*keys, "chunk"])
         .withColumn("gap_us", F.col("ts_us") - F.coalesce("prev_us", "carry_us"))
         .withColumn("seq", F.col("carry_n") + F.col("place") - 1)
+        .withColumns({k: F.when(F.col(k) != ABSENT, F.col(k)) for k in keys})
         .drop("chunk", "prev_us", "carry_us", "carry_n", "place")
     )

@@ -110,7 +110,7 @@ def _flow_partitions(spark, sf):
     month = date_label(F.col("first_us"), "yyyy-MM")
     rows = view(spark, sf, "flows").withColumn("month", month).repartition("month", F.pmod("src_addr", F.lit(8)))
     write_partitions(rows, path, area="backbone", month=None)
-    return read_partitions(spark, path).groupBy("area", "month").agg(
+    return read_partitions(spark, path, area="string", month="string").groupBy("area", "month").agg(
         F.count("*").alias("flows"), F.sum("doctets").alias("octets"), F.sum("dpkts").alias("pkts"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowloom.functions.binary import be_hex, be_uint, bytes_of
+from flowloom.functions.binary import be_hex, bytes_of, field_of, word
 from flowloom.functions.net import ETH_IPV4, ETH_IPV6, ICMP, TCP, UDP
 
 # Byte offsets in an Ethernet frame, and the smallest record
@@ -16,39 +16,53 @@ HEADER_BYTES = 14 + 60 + 20
 
 
 def decode_packets(raw: DataFrame, min_record: int = MIN_RECORD) -> DataFrame:
-    """Packet columns out of captured frames; fields a frame does not have are null."""
-    raw = raw.where(F.length("frame") >= min_record - 16)
-    head = F.col("head")
-    step = raw.withColumn("head", F.hex(F.substring("frame", 1, HEADER_BYTES)))
-    step = step.withColumn("eth_type", be_uint(head, ETH_TYPE, 2).cast("int"))
-    first = be_uint(head, IP, 1)
+    """Packet columns out of captured frames; fields a frame does not have are null.
+
+    The headers become hex text once and then five eight-byte words, out of
+    which all fields are shifted.
+    """
+    # Padded, so that a word is whole even where a short frame ends inside it.
+    head = F.rpad(F.hex(F.substring("frame", 1, HEADER_BYTES)), 2 * (HEADER_BYTES + 8), "0")
+    words = raw.where(F.length("frame") >= min_record - 16).withColumns(
+        {"head": head, "held": F.length("frame")}).withColumns({
+            "w_eth": word(F.col("head"), ETH_TYPE), "w_ttl": word(F.col("head"), TTL),
+            "w_addr": word(F.col("head"), SRC)})
+
+    def header(name: str, base: int, at: int, nbytes: int) -> Column:
+        value = field_of(F.col(name), at - base, nbytes)
+        return F.when(F.col("held") >= at + nbytes, value)
+
+    first = header("w_eth", ETH_TYPE, IP, 1)
+    step = words.withColumn("eth_type", header("w_eth", ETH_TYPE, ETH_TYPE, 2).cast("int"))
     is_ip = F.col("eth_type").isin(ETH_IPV4, ETH_IPV6)
     step = step.withColumn("ip_version", F.when(is_ip, F.shiftright(first, 4)).cast("int"))
     v4 = (F.col("eth_type") == ETH_IPV4) & (F.col("ip_version") == 4)
     v6 = is_ip & ~v4
-
-    def if_v4(value: Column, kind: str = "int") -> Column:
-        return F.when(v4, value).cast(kind)
-
+    ipv6_len = header("w_eth", ETH_TYPE, IPV6_LEN, 2)
     step = step.withColumns({
-        "ihl": if_v4(first.bitwiseAND(15) * 4),
-        "ipv6_len": F.when(v6, be_uint(head, IPV6_LEN, 2)).cast("int"),
-        "ip_len": F.when(v4, be_uint(head, IP_LEN, 2)).when(v6, be_uint(head, IPV6_LEN, 2)).cast("int"),
-        "ttl": if_v4(be_uint(head, TTL, 1)),
-        "proto": if_v4(be_uint(head, PROTO, 1)),
-        "src_addr": if_v4(be_uint(head, SRC, 4), "bigint"),
-        "dst_addr": if_v4(be_uint(head, DST, 4), "bigint"),
+        "ihl": F.when(v4, first.bitwiseAND(15) * 4).cast("int"),
+        "ipv6_len": F.when(v6, ipv6_len).cast("int"),
+        "ip_len": F.when(v4, header("w_eth", ETH_TYPE, IP_LEN, 2)).when(v6, ipv6_len).cast("int"),
+        "ttl": F.when(v4, header("w_ttl", TTL, TTL, 1)).cast("int"),
+        "proto": F.when(v4, header("w_ttl", TTL, PROTO, 1)).cast("int"),
+        "src_addr": F.when(v4, header("w_addr", SRC, SRC, 4)),
+        "dst_addr": F.when(v4, header("w_addr", SRC, DST, 4)),
     })
     transport = F.lit(IP) + F.col("ihl")
+    step = step.withColumns({"w_port": word(F.col("head"), transport), "w_tcp": word(F.col("head"), transport + 8)})
+
+    def segment(name: str, base: int, at: int, nbytes: int) -> Column:
+        return F.when(F.col("held") >= transport + at + nbytes, field_of(F.col(name), at - base, nbytes))
+
     is_tcp = F.col("proto") == TCP
     step = step.withColumns({
-        "src_port": be_uint(head, transport, 2).cast("int"),
-        "dst_port": be_uint(head, transport + 2, 2).cast("int"),
-        "tcp_hlen": F.when(is_tcp, F.shiftright(be_uint(head, transport + 12, 1), 4) * 4).cast("int"),
-        "tcp_seq": F.when(is_tcp, be_uint(head, transport + 4, 4)),
-        "tcp_ack": F.when(is_tcp, be_uint(head, transport + 8, 4)),
-        "tcp_flags": F.when(is_tcp, be_uint(head, transport + 13, 1)).cast("int"),
-        "window": F.when(is_tcp, be_uint(head, transport + 14, 2)).cast("int"),
+        "src_port": segment("w_port", 0, 0, 2).cast("int"),
+        "dst_port": segment("w_port", 0, 2, 2).cast("int"),
+        "tcp_hlen": F.when(is_tcp, F.shiftright(segment("w_tcp", 8, 12, 1), 4) * 4).cast("int"),
+        "tcp_seq": F.when(is_tcp, segment("w_port", 0, 4, 4)),
+        "tcp_ack": F.when(is_tcp, segment("w_tcp", 8, 8, 4)),
+        "tcp_flags": F.when(is_tcp, segment("w_tcp", 8, 13, 1)).cast("int"),
+        "window": F.when(is_tcp, segment("w_tcp", 8, 14, 2)).cast("int"),
     })
     hlen = F.when(is_tcp, F.col("tcp_hlen")).when(F.col("proto").isin(UDP, ICMP), 8)
     step = step.withColumns({
@@ -56,7 +70,8 @@ def decode_packets(raw: DataFrame, min_record: int = MIN_RECORD) -> DataFrame:
         "payload_len": F.col("ip_len") - F.col("ihl") - hlen,
     })
     payload = F.substr("frame", transport + hlen + 1, F.greatest(F.col("payload_len"), F.lit(0)))
-    return step.withColumn("payload", payload).drop("head", "frame")
+    return step.withColumn("payload", payload).drop(
+        "head", "held", "frame", "w_eth", "w_ttl", "w_addr", "w_port", "w_tcp")
 
 
 def encode_frames(packets: DataFrame) -> DataFrame:

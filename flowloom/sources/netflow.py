@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowloom.functions.binary import be_hex, be_uint, bytes_of, le_uint
+from flowloom.functions.binary import be_hex, be_uint, bytes_of, field_of, le_uint, word
 from flowloom.functions.fields import flow_field
 from flowloom.functions.net import absolute_us
 
@@ -23,9 +23,14 @@ FLOWTOOLS_BYTES, FLOWTOOLS_SHIFT = 64, 16
 _LONG = {"src_addr", "dst_addr", "nexthop", "dpkts", "doctets", "first", "last"}
 
 
-def _fields(text: Column, shift: int = 0) -> dict[str, Column]:
+def _words(text: Column, shift: int = 0) -> dict[str, Column]:
+    """The record as eight-byte words; no field crosses a word."""
+    return {f"w{i}": word(text, i * 8 + shift) for i in range(RECORD_BYTES // 8)}
+
+
+def _fields() -> dict[str, Column]:
     return {
-        name: be_uint(text, at + shift, length).cast("bigint" if name in _LONG else "int")
+        name: field_of(F.col(f"w{at // 8}"), at % 8, length).cast("bigint" if name in _LONG else "int")
         for name, (at, length) in RECORD.items()
     }
 
@@ -59,8 +64,9 @@ def netflow_v5(raw: DataFrame) -> DataFrame:
         packets.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
         .select("sys_uptime", "timestamp_us",
                 F.hex(F.substr("frame", start, F.lit(RECORD_BYTES))).alias("record"))
+        .select("sys_uptime", "timestamp_us", *[c.alias(n) for n, c in _words(F.col("record")).items()])
     )
-    fields = _fields(F.col("record"))
+    fields = _fields()
     when = {f"{n}_us": absolute_us(F.col("timestamp_us"), F.col("sys_uptime"), fields.pop(n))
             for n in ("first", "last")}
     rows = records.select("sys_uptime", "timestamp_us", *[c.alias(n) for n, c in (fields | when).items()])
@@ -70,12 +76,11 @@ def netflow_v5(raw: DataFrame) -> DataFrame:
 def flowtools(raw: DataFrame, column: str = "record") -> DataFrame:
     """Flow rows out of 64-byte flow-tools records; the times are little-endian seconds."""
     text = F.hex(F.col(column))
-    fields = _fields(text, FLOWTOOLS_SHIFT)
-    for name in ("first", "last"):
-        fields.pop(name)
-        fields[f"{name}_us"] = le_uint(text, RECORD[name][0] + FLOWTOOLS_SHIFT, 4) * 1_000_000
-    rows = raw.where(F.length(column) == FLOWTOOLS_BYTES)
-    return _with_derived(rows.select(*[c.alias(n) for n, c in fields.items()]))
+    times = {f"{n}_us": le_uint(text, RECORD[n][0] + FLOWTOOLS_SHIFT, 4) * 1_000_000 for n in ("first", "last")}
+    words = raw.where(F.length(column) == FLOWTOOLS_BYTES).select(
+        *[c.alias(n) for n, c in (_words(text, FLOWTOOLS_SHIFT) | times).items()])
+    fields = {n: c for n, c in _fields().items() if n not in ("first", "last")}
+    return _with_derived(words.select(*[c.alias(n) for n, c in fields.items()], *times))
 
 
 def read_flowtools(spark, path: str) -> DataFrame:

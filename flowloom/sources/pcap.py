@@ -24,12 +24,14 @@ from pyspark.sql.datasource import (
 from flowloom.functions.net import date_label
 
 # File header (little-endian, microseconds, Ethernet), header sizes,
-# largest plausible packet, and how far packets of one file lie apart at most.
+# largest plausible packet, how far packets of one file lie apart at most, and how
+# far after the last file's first packet a capture may go on.
 FILE_HEADER = bytes.fromhex("d4c3b2a1020004000000000000000000ffff000001000000")
 MAGIC = FILE_HEADER[:4]
 RECORD_HEADER = 16
 MAX_PACKET = 10_000
 MAX_APART_S = 30 * 86_400
+SPAN_S = 432_000
 FILE_PREFIX = "nf-v05."
 
 SCHEMA = "ts_us long, cap_len int, wire_len int, frame binary, file string, pkt_id long"
@@ -319,13 +321,42 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(PcapSource)
 
 
+def capture_span(spark: SparkSession, path: str, header: bool = True) -> tuple[int, int]:
+    """Earliest first packet of the files, and latest first packet plus five days, in microseconds.
+
+    Sixteen bytes of each file are read, in parallel; two numbers come back.
+    """
+    register(spark)
+    skip = len(FILE_HEADER) if header else 0
+
+    def first_packets(batches):
+        for batch in batches:
+            times = []
+            for row in batch.to_pylist():
+                with file_system(path)[0].open_input_file(row["path"]) as stream:
+                    times.append(struct.unpack("<II", stream.read_at(8, skip)))
+            yield pa.RecordBatch.from_arrays([pa.array([s * 1_000_000 + u for s, u in times], pa.int64())], ["ts_us"])
+
+    files = [(p,) for p, size in list_files(path) if size >= skip + RECORD_HEADER]
+    if not files:
+        raise ValueError(f"no packets below {path}")
+    named = spark.createDataFrame(files, "path string").repartition(min(len(files), 1000))
+    first, last = named.mapInArrow(first_packets, "ts_us long").agg(F.min("ts_us"), F.max("ts_us")).first()
+    return first, last + SPAN_S * 1_000_000
+
+
 def read_pcap(spark: SparkSession, path: str, header: bool = True, split_bytes: int | None = None,
-              begin_us: int | None = None, end_us: int | None = None) -> DataFrame:
+              begin_us: int | None = None, end_us: int | None = None, auto_range: bool = False) -> DataFrame:
     """Packets of a capture file or directory: time, lengths, frame, and place in the file.
 
-    ``begin_us`` and ``end_us`` restrict the capture time, with one day of slack.
+    ``begin_us`` and ``end_us`` restrict the capture time, with one day of slack;
+    ``auto_range`` takes the span of the files themselves, without slack.
     """
     register(spark)
+    if auto_range:
+        begin, end = capture_span(spark, path, header)
+        packets = read_pcap(spark, path, header, split_bytes)
+        return packets.where(F.col("ts_us").between(begin, end))
     reader = spark.read.format("pcap").option("header", str(header).lower())
     if split_bytes:
         reader = reader.option("splitBytes", split_bytes)

@@ -78,15 +78,13 @@ def write_partitions(df: DataFrame, path: str, **partition: str) -> None:
        .partitionBy(*partition).parquet(path))
 
 
-def read_partitions(spark: SparkSession, path: str, **types: str) -> DataFrame:
-    """Rows written by ``write_partitions``; partition columns are text unless ``types`` says otherwise.
+def read_partitions(spark: SparkSession, path: str, **partition: str) -> DataFrame:
+    """Rows written by ``write_partitions``, with the given types for the partition columns.
 
-    Without this a period such as ``0005`` would come back as the number 5.
+    Left to inference a period such as ``0005`` would come back as the number 5.
     """
     found = spark.read.parquet(path)
-    held = spark.read.option("recursiveFileLookup", "true").parquet(path).columns
-    schema = ", ".join(
-        f"`{name}` {kind if name in held else types.get(name, 'string')}" for name, kind in found.dtypes)
+    schema = ", ".join(f"`{name}` {partition.get(name, kind)}" for name, kind in found.dtypes)
     return spark.read.schema(schema).parquet(path)
 
 

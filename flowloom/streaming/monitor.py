@@ -15,6 +15,8 @@ from flowloom.operators.flows import flow_print, flowstats, scan
 from flowloom.sources.tables import read_partitions, write_partitions
 
 PERIOD_S = 300
+PERIOD_TYPES = {"area": "string", "ds": "string", "ts": "string", "batch": "bigint"}
+BIN_TYPES = {"day": "string", "batch": "bigint"}
 
 
 def with_period(flows: DataFrame, time: str = "first_us", ds_format: str = "yyyy-MM-dd",
@@ -25,15 +27,20 @@ def with_period(flows: DataFrame, time: str = "first_us", ds_format: str = "yyyy
 
 
 def load_period(root: str, area: str, threshold: int = 10, **period):
-    """Micro-batch writer: statistics, printed flows and port scans of the batch's periods."""
+    """Micro-batch writer: printed flows, then their statistics and port scans.
+
+    The batch is decoded once, into the table of flows; the rest reads that
+    table back, and of it only the columns it needs.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        flows = with_period(batch, **period)
-        stats = flowstats(flows, by=["ds", "ts"]).repartition("ds", "ts", "type")
-        write_partitions(stats, f"{root}/flowstats", area=area, ds=None, ts=None, batch=str(batch_id))
         # Sorted by period first, as the partitioned writer wants it: files keep the flow order.
-        write_partitions(flow_print(flows, ("ds", "ts")), f"{root}/daily_flows",
-                         area=area, ds=None, ts=None, batch=str(batch_id))
-        write_partitions(scan(batch, threshold), f"{root}/scan", area=area, batch=str(batch_id))
+        printed = flow_print(with_period(batch, **period), ("ds", "ts"))
+        write_partitions(printed, f"{root}/daily_flows", area=area, ds=None, ts=None, batch=str(batch_id))
+        loaded = read_partitions(batch.sparkSession, f"{root}/daily_flows", **PERIOD_TYPES).where(
+            F.col("batch") == batch_id)
+        stats = flowstats(loaded, by=["ds", "ts"]).repartition("ds", "ts")
+        write_partitions(stats, f"{root}/flowstats", area=area, ds=None, ts=None, batch=str(batch_id))
+        write_partitions(scan(loaded, threshold), f"{root}/scan", area=area, batch=str(batch_id))
     return write
 
 
@@ -50,7 +57,7 @@ def start_monitor(flows: DataFrame, root: str, area: str, trigger: dict | None =
 def monitored_stats(spark: SparkSession, root: str, by: list[str] | None = None) -> DataFrame:
     """Statistics over everything the monitor has loaded."""
     return (
-        read_partitions(spark, f"{root}/flowstats").groupBy(*(by or []), "type", "aggr_key")
+        read_partitions(spark, f"{root}/flowstats", **PERIOD_TYPES).groupBy(*(by or []), "type", "aggr_key")
         .agg(F.sum("octets").alias("octets"), F.sum("pkts").alias("pkts"), F.sum("flows").alias("flows"))
     )
 
@@ -65,7 +72,7 @@ def detect_batch(root: str, rules: list[rule_ops.Rule], day_format: str = "yyyy-
         day = date_label(F.col("bin_start") * 1_000_000, day_format)
         partial = rule_ops.partial_groups(rule_ops.matched(batch, rules)).withColumn("day", day)
         write_partitions(partial.repartition("day"), f"{root}/groups", day=None, batch=str(batch_id))
-        groups = read_partitions(spark, f"{root}/groups", batch="bigint")
+        groups = read_partitions(spark, f"{root}/groups", **BIN_TYPES)
         touched = groups.where(F.col("batch") == batch_id).select("day", "bin_start").distinct()
         again = groups.join(touched, ["day", "bin_start"], "left_semi").drop("day", "batch")
         reports = rule_ops.final_groups(rule_ops.partial_groups(again), rules)
@@ -86,7 +93,7 @@ def start_detection(flows: DataFrame, root: str, rules: list[rule_ops.Rule] | No
 
 def detected(spark: SparkSession, root: str, rules: list[rule_ops.Rule]) -> DataFrame:
     """Reports over everything seen so far."""
-    groups = read_partitions(spark, f"{root}/groups").drop("day", "batch")
+    groups = read_partitions(spark, f"{root}/groups", **BIN_TYPES).drop("day", "batch")
     return rule_ops.final_groups(rule_ops.partial_groups(groups), rules)
 
 

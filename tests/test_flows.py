@@ -49,6 +49,21 @@ def test_flowstats_by_period(spark):
     assert got == {1: 1, 2: 2}
 
 
+def test_days_and_areas_of_active_addresses(spark):
+    day = 86_400_000_000
+    df = flow_rows(spark, [dict(), dict(first_us=5), dict(src_addr=9, first_us=day)])
+    got = sorted(tuple(r) for r in flows.active_ip_count(df).collect())
+    assert got == [("1970-01-01", 2), ("1970-01-02", 2)]
+    by_area = flows.active_ip_count(df.selectExpr("'x' AS area", "*"), by=("area",)).collect()
+    assert {r.area for r in by_area} == {"x"} and len(by_area) == 2
+
+
+def test_key_lists_group_by_field_names(spark):
+    df = flow_rows(spark, [dict(tcp_flags=2), dict(tcp_flags=18), dict(prot=17)])
+    got = sorted(tuple(r) for r in flows.aggregate_by(df, ["prot", "ack"]).collect())
+    assert got == [(6, 0, 100, 1, 1), (6, 1, 100, 1, 1), (17, 0, 100, 1, 1)]
+
+
 def test_flow_print_is_in_key_then_time_order(spark):
     rows = [dict(src_addr=a, src_port=s, first_us=t) for a in (3, 1) for s in (9, 8) for t in (5, 4, 6)]
     got = [(r.src_addr, r.src_port, r.first_us) for r in flows.flow_print(flow_rows(spark, rows)).collect()]

@@ -154,3 +154,9 @@ def test_flow_means_equal_the_mean_of_gaps(spark):
     for key, v in brute_gaps(rows).items():
         gaps = [(b[0] - a[0]) / S for a, b in zip(v, v[1:])]
         assert got[key] == pytest.approx(sum(gaps) / len(gaps) if gaps else 0.0)
+
+
+def test_packets_without_ports_keep_their_place(spark):
+    df = packet_rows(spark, [p(1, 5, sport=None), p(2, 9, sport=None), p(3, 7)])
+    got = {r.pkt_id: (r.src_port, r.gap_us, r.seq) for r in ops.packet_gaps(df).collect()}
+    assert got == {1: (None, None, 0), 2: (None, 4, 1), 3: (10, None, 0)}

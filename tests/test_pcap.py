@@ -112,6 +112,15 @@ def test_capture_range_keeps_a_day_of_slack(spark, tmp_path):
     assert sorted(r.ts_us // 10**6 - T0 for r in rows.collect()) == [2 * day, 4 * day]
 
 
+def test_span_of_the_files_themselves(spark, tmp_path):
+    day = 86_400
+    write_capture(tmp_path / "a.pcap", [record(T0, 7, ipv4_tcp()), record(T0 + 9 * day, 0, ipv4_tcp())])
+    write_capture(tmp_path / "b.pcap", [record(T0 + day, 0, ipv4_tcp()), record(T0 + 5 * day, 0, ipv4_tcp())])
+    assert pcap.capture_span(spark, str(tmp_path)) == (T0 * 10**6 + 7, (T0 + 6 * day) * 10**6)
+    rows = read_pcap(spark, str(tmp_path), auto_range=True).collect()
+    assert sorted(r.ts_us // 10**6 - T0 for r in rows) == [0, day, 5 * day]
+
+
 def test_decode_headers(spark, tmp_path):
     frames = [
         ipv4_tcp(b"GET /a HTTP/1.1\r\n"),

@@ -120,3 +120,13 @@ def test_legacy_rules(spark):
 def test_name_lists(tmp_path):
     (tmp_path / "keys").write_text("#keys\nsip;dip\ndport;sip\n")
     assert rules.load_names(tmp_path / "keys") == ["sip", "dip", "dport"]
+
+
+def test_rules_with_and_without_ports_together(spark):
+    """Port rules go through the port table, others through expressions; both see every flow once."""
+    rows = [dict(dst_port=port, prot=prot, src_addr=port) for port in (80, 443, 70000) for prot in (6, 17)]
+    text = ("web;300;prot=6,dport=80|80|443;sip;dip;count;null;sip\nhigh;300;dport=400-,prot=17;sip;dip;count;null;sip\n"
+            "any;300;dport=80,dport=70-90;sip;dip;count;null;sip\ntcp;300;prot=6;prot;dip;count;null;prot\n"
+            "all;300;null;prot;dip;count;null;prot")
+    got = found(flow_rows(spark, rows), text, "rule", "flows")
+    assert got == [("all", 3), ("all", 3), ("any", 2), ("high", 1), ("tcp", 3), ("web", 1), ("web", 1)]
