@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowloom.functions.density import log_if_positive, mixture_pdf, normal_pdf
 from flowloom.functions.net import FIVE_TUPLE, TCP
 from flowloom.operators.packets import ipv4
-from flowloom.plans.gaps import CHUNK_US, arrival_order, within_chunks, with_gaps
+from flowloom.plans.gaps import CHUNK_US, HOT_ROWS, arrival_order, in_chunks, original_keys, with_gaps
 from flowloom.plans.lineage import cut
 
 # Mixture weights and (size mean, sd), (gap mean, sd) of both classes.
@@ -51,7 +51,7 @@ def _normal_score(parameters):
     return score
 
 
-def _classify(packets: DataFrame, http, smtp, chunk_us: int) -> DataFrame:
+def _classify(packets: DataFrame, http, smtp, chunk_us: int, hot_rows: int | None) -> DataFrame:
     """Sums both scores over the packets after a flow's first, and labels the flow.
 
     Two shuffles: packets on (flow, chunk), then one row per chunk on the flow.
@@ -61,8 +61,11 @@ def _classify(packets: DataFrame, http, smtp, chunk_us: int) -> DataFrame:
     seconds = F.lit(1e6)
     gap = (F.col("ts_us") - F.col("prev_us")) / seconds
     size = F.col("ip_len").cast("double")
+    rows = data_packets(packets)
+    here = Window.partitionBy(*FIVE_TUPLE, "chunk").orderBy(*arrival_order(rows))
     chunks = (
-        within_chunks(data_packets(packets), FIVE_TUPLE, chunk_us)
+        in_chunks(rows, FIVE_TUPLE, chunk_us, hot_rows)
+        .withColumn("prev_us", F.lag("ts_us").over(here))
         .withColumn("http", F.when(F.col("prev_us").isNotNull(), http(size, gap)))
         .withColumn("smtp", F.when(F.col("prev_us").isNotNull(), smtp(size, gap)))
         .groupBy(*FIVE_TUPLE, "chunk")
@@ -81,19 +84,19 @@ def _classify(packets: DataFrame, http, smtp, chunk_us: int) -> DataFrame:
         .withColumn("smtp", F.col("smtp") + F.when(has_seam, smtp(first_len, seam)).otherwise(0.0))
         .groupBy(*FIVE_TUPLE)
         .agg(F.sum("n").alias("packets"), F.sum("http").alias("http"), F.sum("smtp").alias("smtp"))
-        .select(*FIVE_TUPLE, "packets",
+        .select(*[c.alias(k) for k, c in original_keys(FIVE_TUPLE).items()], "packets",
                 F.when(F.col("http") > F.col("smtp"), "HTTP").otherwise("SMTP").alias("label"))
     )
 
 
-def classify_gmm(packets: DataFrame, chunk_us: int = CHUNK_US) -> DataFrame:
+def classify_gmm(packets: DataFrame, chunk_us: int = CHUNK_US, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Label per flow from two-component normal mixtures over (size, gap)."""
-    return _classify(packets, _mixture_score(HTTP_MIXTURE), _mixture_score(SMTP_MIXTURE), chunk_us)
+    return _classify(packets, _mixture_score(HTTP_MIXTURE), _mixture_score(SMTP_MIXTURE), chunk_us, hot_rows)
 
 
-def classify_normal(packets: DataFrame, chunk_us: int = CHUNK_US) -> DataFrame:
+def classify_normal(packets: DataFrame, chunk_us: int = CHUNK_US, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Label per flow from one normal for size and one for gap."""
-    return _classify(packets, _normal_score(HTTP_NORMAL), _normal_score(SMTP_NORMAL), chunk_us)
+    return _classify(packets, _normal_score(HTTP_NORMAL), _normal_score(SMTP_NORMAL), chunk_us, hot_rows)
 
 
 def true_class() -> Column:
@@ -114,11 +117,11 @@ def success_ratio(classified: DataFrame) -> DataFrame:
     return counts.withColumn("ratio", F.col("flows") / F.sum("flows").over(of_truth))
 
 
-def training_rows(packets: DataFrame, chunk_us: int = CHUNK_US) -> DataFrame:
+def training_rows(packets: DataFrame, chunk_us: int = CHUNK_US, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """(label, size, gap_s) of every packet that has a packet before it in a labelled flow."""
     rows = data_packets(packets).withColumn("label", true_class()).where(F.col("label").isNotNull())
     return (
-        with_gaps(rows, FIVE_TUPLE, chunk_us).where(F.col("gap_us").isNotNull())
+        with_gaps(rows, FIVE_TUPLE, chunk_us, hot_rows).where(F.col("gap_us").isNotNull())
         .select("label", F.col("ip_len").cast("double").alias("size"),
                 (F.col("gap_us") / F.lit(1e6)).alias("gap_s"))
     )

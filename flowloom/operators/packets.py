@@ -8,7 +8,7 @@ from flowloom.functions.net import (
     ETH_IPV4, ETH_IPV6, FIVE_TUPLE, FLAG_ACK, FLAG_FIN, FLAG_RST, FLAG_SYN, ICMP, TCP, UDP,
     bucket_s, has_flag, in_network,
 )
-from flowloom.plans.gaps import CHUNK_US, with_gaps
+from flowloom.plans.gaps import CHUNK_US, HOT_ROWS, with_gaps
 
 # Fixed value: an HTTP request line inside a payload.
 HTTP_GET = r"GET /.* HTTP/\d.\d"
@@ -268,20 +268,21 @@ def adjacency(packets: DataFrame, block_bits: int = 16) -> DataFrame:
     )
 
 
-def packet_gaps(packets: DataFrame, chunk_us: int = CHUNK_US) -> DataFrame:
+def packet_gaps(packets: DataFrame, chunk_us: int = CHUNK_US, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Each packet with the microseconds since the packet before it in its flow."""
     columns = [*FIVE_TUPLE, "ts_us", "ip_len", *[c for c in ("file", "pkt_id") if c in packets.columns]]
-    return with_gaps(ipv4(packets).select(*columns), FIVE_TUPLE, chunk_us)
+    return with_gaps(ipv4(packets).select(*columns), FIVE_TUPLE, chunk_us, hot_rows)
 
 
-def flow_gap_list(packets: DataFrame, page: int = 1000, chunk_us: int = CHUNK_US) -> DataFrame:
+def flow_gap_list(packets: DataFrame, page: int = 1000, chunk_us: int = CHUNK_US,
+                  hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Gaps of each flow in time order, as lists of at most ``page`` gaps.
 
     Page ``p`` holds the gaps of packets ``p * page`` to ``(p + 1) * page - 1``,
     so the pages of a flow laid end to end are its whole list.
     """
     return (
-        packet_gaps(packets, chunk_us).where(F.col("gap_us").isNotNull())
+        packet_gaps(packets, chunk_us, hot_rows).where(F.col("gap_us").isNotNull())
         .groupBy(*FIVE_TUPLE, F.expr(f"seq DIV {page}").alias("page"))
         .agg(F.sort_array(F.collect_list(F.struct("seq", "gap_us"))).alias("pairs"))
         .select(*FIVE_TUPLE, "page", F.col("pairs.gap_us").alias("gaps"))

@@ -2,17 +2,23 @@
 
 A window over a whole flow would put the flow into one task.  Here a flow is
 cut into time chunks: the lag runs inside (flow, chunk), and the gap at the
-start of a chunk comes from a second lag over one summary row per chunk.  A
-chunk is bounded by what a link carries in ``chunk_us``; the summaries of a
-flow are bounded by the length of the capture.  The gaps are the same for any
-chunk length.
+start of a chunk comes from a second lag over one summary row per chunk.  The
+gaps are the same for any cut.
+
+A chunk is a minute, which nearly all flows fill with few packets.  Where a
+flow has more than ``hot_rows`` packets in a minute, that minute is cut into as
+many shorter chunks as it holds multiples of ``hot_rows``.  Such minutes are
+counted first, over the key and time columns only and combined before the
+shuffle; at most (all packets / ``hot_rows``) of them can exist, so their list
+is small enough to broadcast, and Spark drops the join where it is empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CHUNK_US = 1_000_000
+CHUNK_US = 60_000_000
+HOT_ROWS = 5_000_000
 ABSENT = -1
 
 
@@ -21,27 +27,43 @@ def arrival_order(df: DataFrame) -> list[str]:
     return ["ts_us"] + [c for c in ("file", "pkt_id", "ip_len") if c in df.columns]
 
 
-def with_chunk(df: DataFrame, chunk_us: int = CHUNK_US) -> DataFrame:
-    return df.withColumn("chunk", F.coalesce(F.expr(f"ts_us DIV {chunk_us}"), F.lit(0)))
+def in_chunks(df: DataFrame, keys: list[str], chunk_us: int = CHUNK_US, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Adds ``chunk``, the start time of the packet's chunk; null keys become ``ABSENT``.
+
+    A key may be null (a frame cut off before its ports), and it still is a
+    key: as a plain value it survives the joins on the keys.
+    """
+    known = df.withColumns({k: F.coalesce(k, F.lit(ABSENT)) for k in keys})
+    minute = F.coalesce(F.col("ts_us") - F.pmod("ts_us", F.lit(chunk_us)), F.lit(0))
+    if hot_rows is None:
+        return known.withColumn("chunk", minute)
+    pieces = F.ceil(F.col("n") / hot_rows)
+    hot = (
+        known.groupBy(*keys, minute.alias("minute")).agg(F.count("*").alias("n"))
+        .where(F.col("n") > hot_rows)
+        .select(*keys, "minute", F.greatest(F.floor(F.lit(chunk_us) / pieces), F.lit(1)).alias("width"))
+    )
+    # Subtracting within the minute keeps chunk starts in time order across different widths.
+    inside = F.pmod(F.col("ts_us") - F.col("minute"), F.coalesce("width", F.lit(chunk_us)))
+    return (
+        known.withColumn("minute", minute).join(F.broadcast(hot), [*keys, "minute"], "left")
+        .withColumn("chunk", F.coalesce(F.col("ts_us") - inside, F.lit(0))).drop("minute", "width")
+    )
 
 
-def within_chunks(df: DataFrame, keys: list[str], chunk_us: int = CHUNK_US) -> DataFrame:
-    """Adds ``chunk`` and ``prev_us``: the packet before, in the same flow and chunk."""
-    window = Window.partitionBy(*keys, "chunk").orderBy(*arrival_order(df))
-    return with_chunk(df, chunk_us).withColumn("prev_us", F.lag("ts_us").over(window))
+def original_keys(keys: list[str]) -> dict[str, Column]:
+    """Columns that turn ``ABSENT`` back into null."""
+    return {k: F.when(F.col(k) != ABSENT, F.col(k)) for k in keys}
 
 
-def with_gaps(df: DataFrame, keys: list[str], chunk_us: int = CHUNK_US) -> DataFrame:
+def with_gaps(df: DataFrame, keys: list[str], chunk_us: int = CHUNK_US, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Adds ``gap_us`` (null on a flow's first packet) and ``seq`` (0, 1, … in the flow).
 
-    The packets are read and shuffled once, on (flow, chunk).  Both the lag and
-    the chunk summaries start from that shuffle; only the summaries move again,
-    to the flow and back.
+    The packets are shuffled once, on (flow, chunk).  Both the lag and the chunk
+    summaries start from that shuffle; only the summaries move again, to the
+    flow and back.
     """
-    # A key may be null (a frame cut off before its ports): it still is a key, so
-    # it must survive the join below.  -1 stands for null until then.
-    known = df.withColumns({k: F.coalesce(k, F.lit(ABSENT)) for k in keys})
-    rows = with_chunk(known, chunk_us).repartition(*keys, "chunk")
+    rows = in_chunks(df, keys, chunk_us, hot_rows).repartition(*keys, "chunk")
     # The whole last packet is kept, not just its time, so that this branch
     # reads the same columns and Spark uses one shuffle for both branches.
     rest = [c for c in df.columns if c not in ("ts_us", *keys)]
@@ -58,6 +80,6 @@ def with_gaps(df: DataFrame, keys: list[str], chunk_us: int = CHUNK_US) -> DataF
         placed.join(carry.hint("merge"), [*keys, "chunk"])
         .withColumn("gap_us", F.col("ts_us") - F.coalesce("prev_us", "carry_us"))
         .withColumn("seq", F.col("carry_n") + F.col("place") - 1)
-        .withColumns({k: F.when(F.col(k) != ABSENT, F.col(k)) for k in keys})
+        .withColumns(original_keys(keys))
         .drop("chunk", "prev_us", "carry_us", "carry_n", "place")
     )

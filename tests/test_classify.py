@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowloom.operators import classify
 from tests.conftest import packet_rows
-from tests.test_packets import brute_gaps, p, random_packets
+from tests.test_packets import CUTS, brute_gaps, p, random_packets
 
 
 def pdf(x, mean, sd):
@@ -36,14 +36,14 @@ def labels(rows, http, smtp):
     return out
 
 
-@pytest.mark.parametrize("chunk_us", [1, 500_000, 1_000_000, 10**12])
-def test_labels_equal_brute_force_for_any_chunk(spark, chunk_us):
+@pytest.mark.parametrize("chunk_us, hot_rows", CUTS)
+def test_labels_equal_brute_force_for_any_cut(spark, chunk_us, hot_rows):
     rows = random_packets(400, 21)
     df = packet_rows(spark, rows)
-    got = {r.src_port: (r.label, r.packets) for r in classify.classify_gmm(df, chunk_us).collect()}
+    got = {r.src_port: (r.label, r.packets) for r in classify.classify_gmm(df, chunk_us, hot_rows).collect()}
     assert got == labels(rows, lambda *x: mixture_score(classify.HTTP_MIXTURE, *x),
                          lambda *x: mixture_score(classify.SMTP_MIXTURE, *x))
-    got = {r.src_port: (r.label, r.packets) for r in classify.classify_normal(df, chunk_us).collect()}
+    got = {r.src_port: (r.label, r.packets) for r in classify.classify_normal(df, chunk_us, hot_rows).collect()}
     assert got == labels(rows, lambda *x: normal_score(classify.HTTP_NORMAL, *x),
                          lambda *x: normal_score(classify.SMTP_NORMAL, *x))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions.net import direction, forward_key, parse_ip, reverse_key
 from flowloom.operators import packets as ops
+from flowloom.plans.gaps import in_chunks
 from tests.conftest import packet_rows
 
 S = 1_000_000
@@ -127,14 +128,17 @@ def brute_gaps(rows):
     return {key: sorted(v) for key, v in flows.items()}
 
 
-@pytest.mark.parametrize("chunk_us", [1, 1000, 1_000_000, 10**12])
-def test_gaps_do_not_depend_on_the_chunk(spark, chunk_us):
+CUTS = [(1, None), (1_000_000, None), (10**12, None), (60_000_000, 5), (10**9, 7), (10**12, 1)]
+
+
+@pytest.mark.parametrize("chunk_us, hot_rows", CUTS)
+def test_gaps_do_not_depend_on_the_cut(spark, chunk_us, hot_rows):
     rows = random_packets(400, chunk_us)
     flows = brute_gaps(rows)
     want = {(sport, b[1]): (i, b[0] - a[0] if a else None)
             for sport, v in flows.items() for i, (a, b) in enumerate(zip([None, *v], v))}
     got = {(r.src_port, r.pkt_id): (r.seq, r.gap_us)
-           for r in ops.packet_gaps(packet_rows(spark, rows), chunk_us).collect()}
+           for r in ops.packet_gaps(packet_rows(spark, rows), chunk_us, hot_rows).collect()}
     assert got == want
 
 
@@ -160,3 +164,11 @@ def test_packets_without_ports_keep_their_place(spark):
     df = packet_rows(spark, [p(1, 5, sport=None), p(2, 9, sport=None), p(3, 7)])
     got = {r.pkt_id: (r.src_port, r.gap_us, r.seq) for r in ops.packet_gaps(df).collect()}
     assert got == {1: (None, None, 0), 2: (None, 4, 1), 3: (10, None, 0)}
+
+
+def test_hot_minutes_are_cut_shorter(spark):
+    """Sixty packets a minute with at most ten a chunk: no chunk holds more than that, others stay whole."""
+    rows = [p(i, i * S, sport=1) for i in range(120)] + [p(200 + i, i * 7 * S, sport=2) for i in range(8)]
+    sizes = in_chunks(packet_rows(spark, rows), ["src_port"], 60 * S, 10).groupBy("src_port", "chunk").count().collect()
+    assert max(r["count"] for r in sizes if r.src_port == 1) <= 10
+    assert [r["count"] for r in sizes if r.src_port == 2] == [8]
