@@ -28,12 +28,10 @@ def field_of(word_column: Column, at: int, nbytes: int) -> Column:
     return moved.bitwiseAND(F.lit((1 << 8 * nbytes) - 1).cast("bigint"))
 
 
-def le_uint(hex_text: Column, offset: int, nbytes: int) -> Column:
-    """Unsigned little-endian integer of ``nbytes`` at ``offset``; null past the end."""
-    flipped = F.concat(
-        *[F.substring(hex_text, 2 * (offset + i) + 1, 2) for i in reversed(range(nbytes))]
-    )
-    return F.when(F.length(flipped) == nbytes * 2, F.conv(flipped, 16, 10)).cast("bigint")
+def swap32(value: Column) -> Column:
+    """An unsigned 32-bit value with its bytes in the other order (little-endian fields)."""
+    parts = [F.shiftleft(F.shiftright(value, 8 * i).bitwiseAND(255), 24 - 8 * i) for i in range(4)]
+    return parts[0].bitwiseOR(parts[1]).bitwiseOR(parts[2]).bitwiseOR(parts[3])
 
 
 def be_hex(value: Column, nbytes: int) -> Column:

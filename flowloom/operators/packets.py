@@ -99,43 +99,38 @@ def total_stats(packets: DataFrame, interval: int = 60, approx: bool = False) ->
         .agg(F.sum("len").alias("bytes"), F.count("*").alias("packets"))
     )
 
-    # Every flow names the values it adds to each total; one explode, one aggregation.
+    # Every flow adds an item or an amount to each total it concerns; one aggregation for all.
     proto = F.col("proto")
-
-    def entry(metric: str, condition: Column, item: Column | None = None, amount: Column | None = None) -> Column:
-        nothing = F.lit(None).cast("bigint")
-        return F.when(condition, F.struct(
-            F.lit(metric).alias("metric"),
-            (nothing if item is None else item.cast("bigint")).alias("item"),
-            (nothing if amount is None else amount.cast("bigint")).alias("amount")))
-
     v4, v6, other = (F.col("family") == name for name in ("IPv4", "IPv6", "non-IP"))
-    entries = F.array(
-        entry("IPv4 bc", v4, amount=F.col("bytes")),
-        entry("IPv4 pc", v4, amount=F.col("packets")),
-        entry("IPv4 flows", v4, amount=F.lit(1)),
-        entry("IPv4 addr", v4, F.col("src_addr")),
-        entry("IPv4 addr", v4, F.col("dst_addr")),
-        entry("IPv4 srcaddr", v4, F.col("src_addr")),
-        entry("IPv4 dstaddr", v4, F.col("dst_addr")),
-        entry("ICMP type/codes", v4 & (proto == ICMP), F.col("src_port")),
-        entry("IPv4 tcp srcPort", v4 & (proto == TCP), F.col("src_port")),
-        entry("IPv4 tcp dstPort", v4 & (proto == TCP), F.col("dst_port")),
-        entry("IPv4 udp srcPort", v4 & (proto == UDP), F.col("src_port")),
-        entry("IPv4 udp dstPort", v4 & (proto == UDP), F.col("dst_port")),
-        entry("IPv6 bc", v6, amount=F.col("bytes")),
-        entry("IPv6 pc", v6, amount=F.col("packets")),
-        entry("non-IP protocols", other, F.col("other_type")),
-        entry("non-IP pc", other, amount=F.col("packets")),
-    )
+    items = [
+        ("IPv4 addr", v4, "src_addr"), ("IPv4 addr", v4, "dst_addr"),
+        ("IPv4 srcaddr", v4, "src_addr"), ("IPv4 dstaddr", v4, "dst_addr"),
+        ("ICMP type/codes", v4 & (proto == ICMP), "src_port"),
+        ("IPv4 tcp srcPort", v4 & (proto == TCP), "src_port"),
+        ("IPv4 tcp dstPort", v4 & (proto == TCP), "dst_port"),
+        ("IPv4 udp srcPort", v4 & (proto == UDP), "src_port"),
+        ("IPv4 udp dstPort", v4 & (proto == UDP), "dst_port"),
+        ("non-IP protocols", other, "other_type"),
+    ]
+    amounts = [
+        ("IPv4 bc", v4, F.col("bytes")), ("IPv4 pc", v4, F.col("packets")), ("IPv4 flows", v4, F.lit(1)),
+        ("IPv6 bc", v6, F.col("bytes")), ("IPv6 pc", v6, F.col("packets")), ("non-IP pc", other, F.col("packets")),
+    ]
+    nothing = F.lit(None).cast("bigint")
+    cells = []
+    for metric, condition, column in items:
+        cells += [F.when(condition, F.lit(TOTAL_METRICS.index(metric))), F.col(column).cast("bigint"), nothing]
+    for metric, condition, amount in amounts:
+        cells += [F.when(condition, F.lit(TOTAL_METRICS.index(metric))), nothing, amount.cast("bigint")]
     count = F.approx_count_distinct if approx else F.count_distinct
     totals = (
-        flows.select(F.explode(F.array_compact(entries)).alias("e")).select("e.*")
-        .groupBy("metric").agg(count("item").alias("items"), F.sum("amount").alias("amount"))
+        flows.select(F.stack(F.lit(len(items) + len(amounts)), *cells).alias("id", "item", "amount"))
+        .where(F.col("id").isNotNull())
+        .groupBy("id").agg(count("item").alias("items"), F.sum("amount").alias("amount"))
     )
-    listed = F.array(*[F.lit(m) for m in TOTAL_METRICS])
-    names = packets.sparkSession.range(1, numPartitions=1).select(F.explode(listed).alias("metric"))
-    return names.join(F.broadcast(totals), "metric", "left").select(
+    listed = F.posexplode(F.array(*[F.lit(m) for m in TOTAL_METRICS])).alias("id", "metric")
+    names = packets.sparkSession.range(1, numPartitions=1).select(listed)
+    return names.join(F.broadcast(totals), "id", "left").select(
         "metric", F.coalesce("amount", "items", F.lit(0)).cast("bigint").alias("value"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowloom.functions.binary import be_hex, be_uint, bytes_of, field_of, le_uint, word
+from flowloom.functions.binary import be_hex, be_uint, bytes_of, field_of, swap32, word
 from flowloom.functions.fields import flow_field
 from flowloom.functions.net import absolute_us
 
@@ -75,12 +75,11 @@ def netflow_v5(raw: DataFrame) -> DataFrame:
 
 def flowtools(raw: DataFrame, column: str = "record") -> DataFrame:
     """Flow rows out of 64-byte flow-tools records; the times are little-endian seconds."""
-    text = F.hex(F.col(column))
-    times = {f"{n}_us": le_uint(text, RECORD[n][0] + FLOWTOOLS_SHIFT, 4) * 1_000_000 for n in ("first", "last")}
-    words = raw.where(F.length(column) == FLOWTOOLS_BYTES).select(
-        *[c.alias(n) for n, c in (_words(text, FLOWTOOLS_SHIFT) | times).items()])
-    fields = {n: c for n, c in _fields().items() if n not in ("first", "last")}
-    return _with_derived(words.select(*[c.alias(n) for n, c in fields.items()], *times))
+    records = raw.where(F.length(column) == FLOWTOOLS_BYTES).select(F.hex(column).alias("text"))
+    words = records.select(*[c.alias(n) for n, c in _words(F.col("text"), FLOWTOOLS_SHIFT).items()])
+    fields = _fields()
+    times = {f"{n}_us": swap32(fields.pop(n)) * 1_000_000 for n in ("first", "last")}
+    return _with_derived(words.select(*[c.alias(n) for n, c in (fields | times).items()]))
 
 
 def read_flowtools(spark, path: str) -> DataFrame:
@@ -89,20 +88,27 @@ def read_flowtools(spark, path: str) -> DataFrame:
     return flowtools(spark.createDataFrame(records, "record binary"))
 
 
-def _record_hex(flows: DataFrame, **given: Column) -> Column:
-    def value(name: str) -> Column:
-        if name in given:
-            return given[name]
-        return be_hex(F.col(name) if name in flows.columns else F.lit(0), RECORD[name][1])
-    return F.concat(*[value(name) for name in RECORD])
+def _record_hex(values: dict[str, Column]) -> Column:
+    """Hex text of a flow record, eight bytes at a time; fields without a value are zero."""
+    words = []
+    for start in range(0, RECORD_BYTES, 8):
+        word_value = F.lit(0).cast("bigint")
+        for name, (at, length) in RECORD.items():
+            if start <= at < start + 8 and name in values:
+                moved = F.shiftleft(values[name].cast("bigint"), 64 - 8 * (at - start + length))
+                word_value = word_value.bitwiseOR(moved)
+        words.append(be_hex(word_value, 8))
+    return F.concat(*words)
 
 
 def encode_flowtools(flows: DataFrame) -> DataFrame:
     """64-byte records out of flow rows (whole seconds)."""
     def seconds(column: str) -> Column:
-        text = be_hex(F.col(column if column in flows.columns else "first_us") / 1_000_000, 4)
-        return F.concat(*[F.substring(text, i, 2) for i in (7, 5, 3, 1)])
-    record = _record_hex(flows, first=seconds("first_us"), last=seconds("last_us"))
+        """Seconds with their four bytes swapped, as the format has them."""
+        return swap32((F.col(column if column in flows.columns else "first_us") / 1_000_000).cast("bigint"))
+
+    values = {n: F.col(n) for n in RECORD if n in flows.columns}
+    record = _record_hex(values | {"first": seconds("first_us"), "last": seconds("last_us")})
     return flows.select(bytes_of(F.lit("00" * FLOWTOOLS_SHIFT), record).alias("record"))
 
 
@@ -122,15 +128,9 @@ def encode_netflow_v5(flows: DataFrame, group: list[str], port: int = 5001) -> D
 
     def one(row: Column) -> Column:
         def ticks(column: str) -> Column:
-            return be_hex(F.col("uptime") - F.floor((F.col("export_us") - row[column]) / 1000), 4)
-        parts = []
-        for name, (_, length) in RECORD.items():
-            if name in ("first", "last"):
-                parts.append(ticks("first_us" if name == "first" else end))
-            else:
-                value = F.col(name) if name in group else row[name] if name in flows.columns else F.lit(0)
-                parts.append(be_hex(value, length))
-        return F.concat(*parts)
+            return F.col("uptime") - F.floor((F.col("export_us") - row[column]) / 1000)
+        values = {n: F.col(n) if n in group else row[n] for n in RECORD if n in flows.columns}
+        return _record_hex(values | {"first": ticks("first_us"), "last": ticks(end)})
 
     body = F.array_join(F.transform("rows", one), "")
     size = F.size("rows") * RECORD_BYTES + EXPORT_HEADER
