@@ -229,6 +229,26 @@ def detect(flows: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     return final_groups(partial_groups(matched(flows, rules)), rules)
 
 
+def returned_rows(flows: DataFrame, rule: Rule) -> DataFrame:
+    """The returned fields of a rule, per bin, for the groups it reports.
+
+    Fields that are keys or totals come from the report itself; where a rule
+    returns other fields, the flows of the reported groups are looked up.
+    """
+    reported = detect(flows, [rule])
+    if set(rule.returned) <= set(reported.columns):
+        return reported.select("bin_start", *rule.returned)
+    keys = list(rule.group_by)
+    totals = [n for n in rule.returned if n not in keys and n in ("flows", "pkts", "bytes")]
+    fields = dict.fromkeys([*keys, *(n for n in rule.returned if n not in totals)])
+    members = flows.where(rule.matches()).select(
+        bucket_s(F.col("first_us"), rule.bin_s).alias("bin_start"), *[flow_field(n).alias(n) for n in fields])
+    return (
+        members.distinct().join(reported.select("bin_start", *keys, *totals), ["bin_start", *keys])
+        .select("bin_start", *rule.returned).distinct()
+    )
+
+
 # Field names of the older rule syntax -> short field names.
 LEGACY_FIELDS = {"srcport": "sport", "dstport": "dport", "proto": "prot", "octets": "bytes", "pkts": "pkts"}
 LEGACY_GROUPS = {6: "TCP", 17: "UDP", 1: "ICMP"}

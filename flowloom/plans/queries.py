@@ -108,8 +108,8 @@ def _flow_partitions(spark, sf):
     """Flows loaded into area and month partitions, then summed from the loaded table."""
     path = scratch_path(spark, "daily_flows")
     month = date_label(F.col("first_us"), "yyyy-MM")
-    rows = view(spark, sf, "flows").withColumn("month", month).repartition("month", F.pmod("src_addr", F.lit(8)))
-    write_partitions(rows, path, area="backbone", month=None)
+    rows = view(spark, sf, "flows").withColumn("month", month)
+    write_partitions(rows, path, spread=("first_us", "src_addr", "src_port"), area="backbone", month=None)
     return read_partitions(spark, path, area="string", month="string").groupBy("area", "month").agg(
         F.count("*").alias("flows"), F.sum("doctets").alias("octets"), F.sum("dpkts").alias("pkts"))
 

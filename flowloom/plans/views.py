@@ -2,7 +2,9 @@
 
 Each view is one SQL text with two tokens, so that Spark and a checking engine
 build the same rows: ``{us:COL}`` is the microseconds of a timestamp column and
-``{div}`` is integer division.
+``{div}`` is integer division.  A view has a row for every row of its table
+(``http_log`` for every page event); suppliers that are not to be found as a
+source get an unused network, attempts that never finish end as killed.
 """
 
 from __future__ import annotations
@@ -43,8 +45,9 @@ VIEWS = {
         FROM lineitem"""),
     "registry": ("supplier", """
         SELECT s_name AS organ, CAST(s_suppkey % 25 AS INT) AS asn,
-          CAST(167772160 + s_suppkey AS BIGINT) AS prefix, 32 AS mask
-        FROM supplier WHERE s_suppkey % 5 <> 0"""),
+          CAST(CASE WHEN s_suppkey % 5 = 0 THEN 184549376 ELSE 167772160 END + s_suppkey AS BIGINT) AS prefix,
+          32 AS mask
+        FROM supplier"""),
     "traceroute": ("orders", """
         SELECT concat_ws('|', 'a','b','c','d', CAST(o_custkey % 20 AS VARCHAR(20)), 'f','g','h','i','j',
           CASE WHEN o_orderkey % 17 = 0 THEN '0.0.0.0' ELSE '10.1.1.1' END, 'l',
@@ -54,10 +57,11 @@ VIEWS = {
         FROM orders"""),
     "history": ("events", """
         SELECT concat('{"type":"', CASE WHEN event_id % 2 = 0 THEN 'MAP_ATTEMPT_STARTED'
+                                        WHEN event_id % 10 = 9 THEN 'MAP_ATTEMPT_KILLED'
                                         ELSE 'MAP_ATTEMPT_FINISHED' END,
           '","attemptId":"attempt_', CAST(event_id {div} 2 AS VARCHAR(20)), '","time_ms":',
           CAST({us:ts} {div} 1000 AS VARCHAR(20)), '}') AS line
-        FROM events WHERE event_id % 10 <> 9"""),
+        FROM events"""),
     "http_log": ("events", """
         SELECT CAST(167772160 + user_id AS BIGINT) AS src_addr,
           concat('http://h', CAST(event_id % 20 AS VARCHAR(20)), '.example/') AS url, {us:ts} AS ts_us

@@ -65,12 +65,20 @@ def create_tables(spark: SparkSession, db: str = "default") -> list[str]:
     return list(TABLES)
 
 
-def write_partitions(df: DataFrame, path: str, **partition: str) -> None:
+def write_partitions(df: DataFrame, path: str, spread: tuple[str, ...] | None = None,
+                     **partition: str | None) -> None:
     """Writes rows into Parquet partitions, replacing only the partitions that appear.
 
     ``partition`` gives partition columns as constants (``area="x", ds="…"``) or,
-    with the value None, names columns that are already there.
+    with the value None, names columns that are already there.  With ``spread``
+    rows are range-partitioned by the present partition columns and then those,
+    so a partition with much data is shared by several tasks and one with little
+    is a single file.
     """
+    present = [column for column, value in partition.items() if value is None]
+    if spread is not None:
+        order = [*present, *spread]
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     for column, value in partition.items():
         if value is not None:
             df = df.withColumn(column, F.lit(value))

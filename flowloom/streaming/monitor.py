@@ -38,8 +38,9 @@ def load_period(root: str, area: str, threshold: int = 10, **period):
         write_partitions(printed, f"{root}/daily_flows", area=area, ds=None, ts=None, batch=str(batch_id))
         loaded = read_partitions(batch.sparkSession, f"{root}/daily_flows", **PERIOD_TYPES).where(
             F.col("batch") == batch_id)
-        stats = flowstats(loaded, by=["ds", "ts"]).repartition("ds", "ts")
-        write_partitions(stats, f"{root}/flowstats", area=area, ds=None, ts=None, batch=str(batch_id))
+        stats = flowstats(loaded, by=["ds", "ts"])
+        write_partitions(stats, f"{root}/flowstats", ("type", "aggr_key"),
+                         area=area, ds=None, ts=None, batch=str(batch_id))
         write_partitions(scan(loaded, threshold), f"{root}/scan", area=area, batch=str(batch_id))
     return write
 
@@ -71,7 +72,8 @@ def detect_batch(root: str, rules: list[rule_ops.Rule], day_format: str = "yyyy-
         spark = batch.sparkSession
         day = date_label(F.col("bin_start") * 1_000_000, day_format)
         partial = rule_ops.partial_groups(rule_ops.matched(batch, rules)).withColumn("day", day)
-        write_partitions(partial.repartition("day"), f"{root}/groups", day=None, batch=str(batch_id))
+        keys = [c for c in partial.columns if c.startswith(("key_", "sort_"))]
+        write_partitions(partial, f"{root}/groups", ("bin_start", "rule_id", *keys), day=None, batch=str(batch_id))
         groups = read_partitions(spark, f"{root}/groups", **BIN_TYPES)
         touched = groups.where(F.col("batch") == batch_id).select("day", "bin_start").distinct()
         again = groups.join(touched, ["day", "bin_start"], "left_semi").drop("day", "batch")

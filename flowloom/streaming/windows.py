@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from flowloom.operators.packets import family
+from flowloom.functions.net import FIVE_TUPLE
+from flowloom.operators.packets import family, ipv4
 
 
 def rate_stream(packets: DataFrame, interval: int = 60, watermark: str = "10 minutes") -> DataFrame:
@@ -25,6 +26,28 @@ def rate_stream(packets: DataFrame, interval: int = 60, watermark: str = "10 min
     )
 
 
+def flow_stats_stream(packets: DataFrame, interval: int = 60, watermark: str = "10 minutes") -> DataFrame:
+    """Bytes, packets, flows and rates per tumbling window of IPv4 packets, for append mode.
+
+    Two aggregations in a row: one row per flow and window, then one per window.
+    """
+    per_second = F.lit(float(interval))
+    flows = (
+        ipv4(packets).select(F.timestamp_micros("ts_us").alias("time"), *FIVE_TUPLE, "ip_len")
+        .withWatermark("time", watermark)
+        .groupBy(F.window("time", f"{interval} seconds"), *FIVE_TUPLE)
+        .agg(F.sum("ip_len").cast("bigint").alias("bytes"), F.count("*").alias("packets"))
+    )
+    return (
+        flows.groupBy("window")
+        .agg(F.sum("bytes").alias("bytes"), F.sum("packets").alias("packets"), F.count("*").alias("flows"))
+        .select(F.unix_seconds("window.start").alias("bucket"), "bytes", "packets", "flows",
+                F.col("flows").alias("endpoints"), (F.col("bytes") / per_second).alias("bytes_per_s"),
+                (F.col("packets") / per_second).alias("packets_per_s"),
+                (F.col("flows") / per_second).alias("flows_per_s"))
+    )
+
+
 def usage_stream(samples: DataFrame, interval: int = 15, watermark: str = "1 minute") -> DataFrame:
     """Mean used capacity and containers per tumbling window of samples."""
     return (

@@ -130,3 +130,13 @@ def test_rules_with_and_without_ports_together(spark):
             "all;300;null;prot;dip;count;null;prot")
     got = found(flow_rows(spark, rows), text, "rule", "flows")
     assert got == [("all", 3), ("all", 3), ("any", 2), ("high", 1), ("tcp", 3), ("web", 1), ("web", 1)]
+
+
+def test_returned_fields(spark):
+    rows = [dict(src_addr=8, src_port=i, first_us=1) for i in range(3)] + [dict(src_addr=9, src_port=5)]
+    df = flow_rows(spark, rows)
+    flood, plain = rules.load_rules(
+        "flood;300;prot=6;sip,dip;sport;count;flows=3-;sip,sport,dip,dport\nplain;300;prot=6;sip;dip;count;null;sip,flows")
+    assert sorted(tuple(r) for r in rules.returned_rows(df, plain).collect()) == [(0, 8, 3), (0, 9, 1)]
+    got = sorted(tuple(r) for r in rules.returned_rows(df, flood).collect())
+    assert got == [(0, 8, port, 2, 80) for port in range(3)]

@@ -66,6 +66,22 @@ def test_watermark_closes_windows_in_append_mode(spark, tmp_path):
     assert [(r.bucket, r.packets) for r in spark.read.parquet(out).collect()] == [(0, 2)]
 
 
+def test_flow_stats_stream_equals_batch(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [p(i, rng.randrange(300) * US + i, sport=rng.randrange(5)) for i in range(150)]
+    late = [p(999, 10**5 * US), p(1000, 2 * 10**5 * US)]  # closes every window before
+    df = packet_rows(spark, rows)
+    source = tmp_path / "in"
+    for part in (rows, late):
+        packet_rows(spark, part).coalesce(1).write.mode("append").parquet(str(source))
+    stream = windows.flow_stats_stream(spark.readStream.schema(df.schema).parquet(str(source)))
+    out = str(tmp_path / "out")
+    (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp"))
+     .outputMode("append").trigger(**NOW).start().awaitTermination())
+    got = spark.read.parquet(out).where("bucket < 1000")
+    assert rows_of(got) == rows_of(packet_ops.flow_stats(df))
+
+
 def test_detection_stream_equals_batch(spark, tmp_path):
     df = some_flows(spark)
     chosen = rules.load_rules(
