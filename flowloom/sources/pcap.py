@@ -15,6 +15,7 @@ from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import (
@@ -137,17 +138,22 @@ class Framing:
 
     def batches(self, start: int, end: int):
         """(block offset, block bytes, record starts) of all records that start in the range."""
+        unpack = struct.unpack_from
         position = self.synchronise(start)
         block = max(BLOCK, self.max_packet + RECORD_HEADER)
         while position < min(end, self.size):
             data = self.stream.read_at(min(block, self.size - position), position)
             at, starts, broken = 0, [], False
-            while position + at < end and at + RECORD_HEADER <= len(data):
-                if not self.plausible(data, at):
+            stop = min(end - position, len(data) - RECORD_HEADER + 1)
+            held, largest = len(data), self.max_packet
+            low, high = self.first_s - MAX_APART_S, self.first_s + MAX_APART_S
+            while at < stop:  # the test of ``plausible``, written out: this is the hot loop
+                sec, usec, cap, wire = unpack("<IIII", data, at)
+                if cap > wire or wire > largest or usec >= 1_000_000 or not low <= sec <= high:
                     broken = True
                     break
-                follow = at + RECORD_HEADER + struct.unpack_from("<I", data, at + 8)[0]
-                if follow > len(data):
+                follow = at + RECORD_HEADER + cap
+                if follow > held:
                     break
                 starts.append(at)
                 at = follow
@@ -181,13 +187,13 @@ class Framing:
 def to_batch(path: str, offset: int, data: bytes, starts: np.ndarray) -> pa.RecordBatch:
     """Arrow rows of a run of neighbouring records."""
     raw = np.frombuffer(data, dtype=np.uint8)
-    header_at = starts[:, None] + np.arange(RECORD_HEADER)
-    fields = np.ascontiguousarray(raw[header_at]).view("<u4").astype(np.int64)
-    keep = np.ones(len(raw), dtype=bool)
-    keep[header_at.ravel()] = False
-    offsets = np.concatenate(([0], np.cumsum(fields[:, 2]))).astype(np.int32)
-    frames = pa.Array.from_buffers(
-        pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[keep].tobytes())])
+    fields = raw[starts[:, None] + np.arange(RECORD_HEADER)].view("<u4").astype(np.int64)
+    # Headers and frames alternate; as one binary array every second value is a frame.
+    bounds = np.empty(2 * len(starts) + 1, dtype=np.int32)
+    bounds[:-1:2], bounds[1::2], bounds[-1] = starts, starts + RECORD_HEADER, len(data)
+    pieces = pa.Array.from_buffers(
+        pa.binary(), 2 * len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+    frames = pieces.take(pa.array(np.arange(1, 2 * len(starts), 2)))
     return pa.RecordBatch.from_arrays(
         [pa.array(fields[:, 0] * 1_000_000 + fields[:, 1]), pa.array(fields[:, 2].astype(np.int32)),
          pa.array(fields[:, 3].astype(np.int32)), frames,
@@ -195,6 +201,24 @@ def to_batch(path: str, offset: int, data: bytes, starts: np.ndarray) -> pa.Reco
         names=["ts_us", "cap_len", "wire_len", "frame", "file", "pkt_id"])
 
 
+def to_records(batch: pa.RecordBatch) -> bytes:
+    """Capture records of Arrow rows, the reverse of ``to_batch``."""
+    frames = batch["frame"].cast(pa.binary())
+    bounds = np.frombuffer(frames.buffers()[1], dtype=np.int32)[frames.offset:frames.offset + len(frames) + 1]
+    stored = np.diff(bounds).astype(np.int64)
+    ts = batch["ts_us"].to_numpy()
+    fields = np.column_stack([ts // 1_000_000, ts % 1_000_000, stored, batch["wire_len"].to_numpy()])
+    starts = np.cumsum(stored + RECORD_HEADER) - (stored + RECORD_HEADER)
+    header_at = starts[:, None] + np.arange(RECORD_HEADER)
+    out = np.empty(int((stored + RECORD_HEADER).sum()), dtype=np.uint8)
+    rest = np.ones(len(out), dtype=bool)
+    rest[header_at.ravel()] = False
+    out[header_at] = fields.astype("<u4").view(np.uint8).reshape(-1, RECORD_HEADER)
+    if rest.any():
+        out[rest] = np.frombuffer(frames.buffers()[2], dtype=np.uint8)[bounds[0]:bounds[-1]]
+    return out.tobytes()
+
+
 def read_ranges(root: str, ranges, header: bool, max_packet: int, end_us: int | None = None):
     """Arrow batches of the packets in some byte ranges."""
     fs = file_system(root)[0]
@@ -255,10 +279,11 @@ class PcapWriter(DataSourceArrowWriter):
         files, stream, current = [], None, None
         try:
             for batch in iterator:
-                columns = batch.select(["stamp", "ts_us", "wire_len", "frame"]).to_pydict()
-                for stamp, ts, wire, frame in zip(*columns.values()):
+                runs = pc.run_end_encode(batch["stamp"])
+                begin = 0
+                # Rows come sorted by time, so an interval opens one file per task.
+                for end, stamp in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
                     if stamp != current:
-                        # Rows come sorted by time, so an interval opens one file per task.
                         if stream is not None:
                             stream.close()
                         current, name = stamp, f"{FILE_PREFIX}{stamp}-{part:05d}"
@@ -266,7 +291,8 @@ class PcapWriter(DataSourceArrowWriter):
                         stream = fs.open_output_stream(staged)
                         stream.write(FILE_HEADER)
                         files.append((staged, f"{base}/{name}"))
-                    stream.write(struct.pack("<IIII", ts // 1_000_000, ts % 1_000_000, len(frame), wire) + frame)
+                    stream.write(to_records(batch.slice(begin, end - begin)))
+                    begin = end
         finally:
             if stream is not None:
                 stream.close()
