@@ -63,7 +63,8 @@ def bucket(ts: Column, interval: int) -> Column:
 
 def bucket_s(ts_us: Column, interval_s: int) -> Column:
     """Start, in epoch seconds, of the interval that holds a microsecond time."""
-    return F.floor((ts_us - F.pmod(ts_us, F.lit(interval_s * 1_000_000))) / 1_000_000).cast("bigint")
+    start_us = bucket(ts_us, interval_s * 1_000_000)
+    return F.call_function("div", start_us, F.lit(1_000_000).cast("bigint"))
 
 
 def has_flag(flags: Column, bit: int) -> Column:

@@ -209,11 +209,13 @@ def final_groups(groups: DataFrame, rules: list[Rule]) -> DataFrame:
         F.sum("pkts").cast("bigint").alias("pkts"), F.sum("bytes").cast("bigint").alias("bytes"))
     counted = totals.withColumn(
         "flows", F.when(_by_rule([r.unique for r in rules]), F.col("sorts")).otherwise(F.col("n")))
-    reported = F.lit(False)
+    # Rules often share a detector, or have none, so each is tested once.
+    shared: dict[tuple[Pattern, ...], list[int]] = {}
     for i, rule in enumerate(rules):
-        tests = [F.coalesce(p.column(F.col), F.lit(False)) for p in rule.detector]
-        passes = reduce(lambda a, b: a & b, tests, F.lit(True))
-        reported = reported | ((F.col("rule_id") == i) & passes)
+        shared.setdefault(rule.detector, []).append(i)
+    tests = [reduce(lambda a, b: a & b, [p.column(F.col) for p in detector], F.col("rule_id").isin(ids))
+             for detector, ids in shared.items()]
+    reported = reduce(lambda a, b: a | b, tests, F.lit(False))
     return counted.where(reported).select(
         _by_rule([r.name for r in rules]).alias("rule"), "bin_start",
         *[F.col(k).alias(k.removeprefix("key_")) for k in keys], "flows", "pkts", "bytes")

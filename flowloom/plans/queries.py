@@ -161,7 +161,7 @@ def _stream_flowstats(spark, sf):
     root = scratch_path(spark, "monitor")
     query = monitor.start_monitor(
         _stream(spark, sf, "flows"), root, "backbone", {"availableNow": True},
-        ds_format="yyyy-MM", ts_format="'0000'")
+        ds_format="yyyy", ts_format="'0000'")
     query.awaitTermination()
     return monitor.monitored_stats(spark, root)
 

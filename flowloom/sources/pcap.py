@@ -134,7 +134,7 @@ class Framing:
                 at += RECORD_HEADER + struct.unpack_from("<I", data, at + 8)[0]
             if base == self.first and candidate == 0 and boundary is not None:
                 return boundary  # walked from the first record, so it is exact
-        return self.size
+        return self.next_plausible(start)  # a long damaged stretch
 
     def batches(self, start: int, end: int):
         """(block offset, block bytes, record starts) of all records that start in the range."""
@@ -372,18 +372,21 @@ def capture_span(spark: SparkSession, path: str, header: bool = True) -> tuple[i
 
 
 def read_pcap(spark: SparkSession, path: str, header: bool = True, split_bytes: int | None = None,
-              begin_us: int | None = None, end_us: int | None = None, auto_range: bool = False) -> DataFrame:
+              begin_us: int | None = None, end_us: int | None = None, auto_range: bool = False,
+              max_packet: int = MAX_PACKET) -> DataFrame:
     """Packets of a capture file or directory: time, lengths, frame, and place in the file.
 
     ``begin_us`` and ``end_us`` restrict the capture time, with one day of slack;
     ``auto_range`` takes the span of the files themselves, without slack.
+    Records longer than ``max_packet`` count as damage; raise it for captures
+    that were taken with segmentation offload.
     """
     register(spark)
     if auto_range:
         begin, end = capture_span(spark, path, header)
-        packets = read_pcap(spark, path, header, split_bytes)
+        packets = read_pcap(spark, path, header, split_bytes, max_packet=max_packet)
         return packets.where(F.col("ts_us").between(begin, end))
-    reader = spark.read.format("pcap").option("header", str(header).lower())
+    reader = spark.read.format("pcap").option("header", str(header).lower()).option("maxPacket", max_packet)
     if split_bytes:
         reader = reader.option("splitBytes", split_bytes)
     day = 86_400_000_000

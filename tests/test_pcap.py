@@ -85,6 +85,22 @@ def test_damaged_bytes_are_skipped(spark, tmp_path):
     assert read_back(spark, tmp_path / "a.pcap") == expected(first + second)
 
 
+@pytest.mark.parametrize("split", [None, 30_000, 9_000])
+def test_long_damage_costs_no_record_in_any_split(spark, tmp_path, split):
+    first, second = random_records(60, 13), random_records(250, 14)
+    noise = random.Random(15).randbytes(70_000)
+    (tmp_path / "a.pcap").write_bytes(FILE_HEADER + b"".join(first) + noise + b"".join(second))
+    assert read_back(spark, tmp_path / "a.pcap", split_bytes=split) == expected(first + second)
+
+
+def test_long_packets_need_a_higher_limit(spark, tmp_path):
+    records = [record(T0, i, ipv4_tcp(b"x" * (30_000 if i % 4 == 0 else 100))) for i in range(24)]
+    write_capture(tmp_path / "a.pcap", records)
+    assert len(read_back(spark, tmp_path / "a.pcap")) == 18
+    for split in (None, 50_000):
+        assert read_back(spark, tmp_path / "a.pcap", split_bytes=split, max_packet=65_535) == expected(records)
+
+
 def test_without_file_header(spark, tmp_path):
     records = random_records(10, 6)
     (tmp_path / "raw").write_bytes(b"".join(records))
