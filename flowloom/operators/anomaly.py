@@ -19,13 +19,15 @@ def _networks(registry: DataFrame) -> DataFrame:
     )
 
 
-def spoofs(flows: DataFrame, registry: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def spoofs(flows: DataFrame, registry: DataFrame, broadcast_rows: int = BROADCAST_ROWS,
+           by: tuple[str, ...] = ()) -> DataFrame:
     """Flows whose source has no registered network, or another AS than its longest one.
 
     A registry of at most ``broadcast_rows`` networks is joined to the flows by
     broadcast, one equi-join per mask length, so flows are not shuffled.  A
     larger one is matched to the distinct source addresses instead, and only
-    the offending (address, AS) pairs meet the flows again.
+    the offending (address, AS) pairs meet the flows again.  ``by`` columns are
+    carried along.
     """
     networks = _networks(registry)
     # At most 33 values: the prefix lengths of IPv4.
@@ -35,7 +37,7 @@ def spoofs(flows: DataFrame, registry: DataFrame, broadcast_rows: int = BROADCAS
     else:
         pairs = flows.select("src_addr", "src_as").distinct()
         flagged = flows.join(_offending_pairs(pairs, networks, masks), ["src_addr", "src_as"])
-    return flagged.select("src_addr", "dst_addr", "first_us", "src_as")
+    return flagged.select(*by, "src_addr", "dst_addr", "first_us", "src_as")
 
 
 def _offends_by_broadcast(flows: DataFrame, networks: DataFrame, masks: list[int]) -> DataFrame:

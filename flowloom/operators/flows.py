@@ -82,10 +82,13 @@ def flow_report(flows: DataFrame, report: str, by: list[str] | None = None) -> D
     return fan_out(flowstats(flows, by, [FAN_OUT[report][0]]), report, by)
 
 
-def scan(flows: DataFrame, threshold: int = 10) -> DataFrame:
-    """Pairs of hosts with more than ``threshold`` distinct destination ports, and their first time."""
+def scan(flows: DataFrame, threshold: int = 10, by: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of hosts with more than ``threshold`` distinct destination ports, and their first time.
+
+    ``by`` columns (such as a period) are looked at separately.
+    """
     return (
-        flows.groupBy("src_addr", "dst_addr")
+        flows.groupBy(*by, "src_addr", "dst_addr")
         .agg(F.count_distinct("dst_port").alias("cnt"), F.min("first_us").alias("first_us"))
         .where(F.col("cnt") > threshold)
     )

@@ -294,6 +294,13 @@ def checks() -> dict[str, str]:
               CAST(COALESCE(SUM(payload_len) FILTER (payload_len > 0), 0) AS BIGINT) AS data_bytes,
               MIN(ts_us) AS first_us, MAX(ts_us) AS last_us, MIN(ip_len) AS min_size, MAX(ip_len) AS max_size
             FROM packets WHERE {_V4} AND proto = 6 GROUP BY {_TUPLE}"""),
+        "tcp_summary_decoded": _over("packets", f"""
+            SELECT {_TUPLE}, COUNT(*) AS packets, COUNT(*) FILTER (payload_len > 0) AS data_packets,
+              CAST(COALESCE(SUM(payload_len) FILTER (payload_len > 0), 0) AS BIGINT) AS data_bytes,
+              MIN(ts_us) AS first_us, MAX(ts_us) AS last_us, MIN(ip_len) AS min_size, MAX(ip_len) AS max_size,
+              0::BIGINT AS syn, 0::BIGINT AS fin, 0::BIGINT AS rst, COUNT(*) AS ack, 0::BIGINT AS pure_ack,
+              65535 AS win_min, 65535 AS win_max, 0::BIGINT AS cnt_zerowin, 64 AS ttl_min, 64 AS ttl_max
+            FROM packets WHERE {_V4} AND proto = 6 GROUP BY {_TUPLE}"""),
         "word_count": """
             SELECT word, COUNT(*) AS n FROM (
               SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS word FROM documents)
@@ -324,6 +331,16 @@ def checks() -> dict[str, str]:
         "detect_port_scan": _detect(q.PORT_SCAN_RULES),
         "detect_synflood": _detect(q.SYNFLOOD_RULES),
         "detect_patterns": _detect(q.PATTERN_RULES),
+        "detect_returned": _over("flows", """WITH members AS (
+              SELECT first_us // 2592000000000 * 2592000 AS bin_start, src_addr AS sip,
+                CAST(src_port AS BIGINT) AS sport, dst_addr AS dip, CAST(dst_port AS BIGINT) AS dport
+              FROM flows WHERE prot = 6 AND tcp_flags & 19 = 2)
+            SELECT DISTINCT bin_start, sip, sport, dip, dport FROM members
+            WHERE (bin_start, sip, dip) IN (
+              SELECT (bin_start, sip, dip) FROM members GROUP BY bin_start, sip, dip HAVING COUNT(*) >= 2)"""),
+        "flow_key_list": _over("flows", f"""
+            SELECT CAST(prot AS BIGINT) AS prot, CAST((tcp_flags >> 4) & 1 AS BIGINT) AS ack,
+              CAST(dst_as AS BIGINT) AS das, {_STAT_SUMS} FROM flows GROUP BY 1, 2, 3"""),
         "url_users_views": _over("http_log", """
             SELECT url, COUNT(DISTINCT src_addr) AS users, COUNT(*) AS views FROM http_log GROUP BY 1"""),
         "user_urls": _over("http_log", "SELECT DISTINCT src_addr, url FROM http_log"),

@@ -33,6 +33,8 @@ port_gap;300;dport-sport=900-1000,smask=24|25|27;sport,dport;sip;count;pkts=20-;
 same_as;300;sas*das=0;sas,das;dip;unique;bytes=1000-90000;sas
 by_subnet;86400;prot=1;ssubnet;dip,dport;unique;flows=2-;ssubnet
 """
+RETURNING_RULE = "synflood;2592000;prot=6,syn=1,ack=0,fin=0;sip,dip;sport,dport;count;flows=2-;sip,sport,dip,dport"
+KEY_LIST = "prot;ack\ndas\n"
 LEGACY_RULES = """
 web;proto=6,dstport=80|445,octets=1000-50000
 games;proto=17,dstport=13500|4662
@@ -122,6 +124,16 @@ def _detect(source) -> Query:
     return lambda spark, sf: rules.detect(view(spark, sf, "flows"), rules.load_rules(source))
 
 
+def _returned(spark, sf):
+    (rule,) = rules.load_rules(RETURNING_RULE)
+    return rules.returned_rows(view(spark, sf, "flows"), rule)
+
+
+def _tcp_decoded(spark, sf):
+    """TCP summaries of packets that went through frames, with the counters only frames carry."""
+    return packets.tcp_summary(decode_packets(encode_frames(view(spark, sf, "packets"))))
+
+
 def _legacy(spark, sf):
     return rules.legacy_matches(view(spark, sf, "flows"), rules.load_legacy_rules(LEGACY_RULES))
 
@@ -219,6 +231,7 @@ QUERIES: dict[str, Query] = {
     "popularity": _over("packets", packets.popularity),
     "adjacency": _adjacency,
     "tcp_summary": _over("packets", packets.tcp_summary),
+    "tcp_summary_decoded": _tcp_decoded,
     # text
     "word_count": lambda spark, sf: text.word_count(table(spark, sf, "documents")),
     "path_adjacency": _over("traceroute", text.path_adjacency),
@@ -235,6 +248,8 @@ QUERIES: dict[str, Query] = {
     "detect_port_scan": _detect(PORT_SCAN_RULES),
     "detect_synflood": _detect(SYNFLOOD_RULES),
     "detect_patterns": _detect(PATTERN_RULES),
+    "detect_returned": _returned,
+    "flow_key_list": lambda spark, sf: flows.aggregate_by(view(spark, sf, "flows"), rules.load_names(KEY_LIST)),
     "url_users_views": _over("http_log", flows.url_users_views),
     "user_urls": _over("http_log", flows.user_urls),
     "usage_avg": _over("usage_samples", flows.usage_avg),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowloom.functions.net import date_label
 from flowloom.operators import rules as rule_ops
+from flowloom.operators.anomaly import spoofs
 from flowloom.operators.flows import flow_print, flowstats, scan
 from flowloom.sources.tables import read_partitions, write_partitions
 
@@ -26,8 +27,8 @@ def with_period(flows: DataFrame, time: str = "first_us", ds_format: str = "yyyy
     return flows.withColumns({"ds": date_label(start, ds_format), "ts": date_label(start, ts_format)})
 
 
-def load_period(root: str, area: str, threshold: int = 10, **period):
-    """Micro-batch writer: printed flows, then their statistics and port scans.
+def load_period(root: str, area: str, threshold: int = 10, registry: DataFrame | None = None, **period):
+    """Micro-batch writer: printed flows, then their statistics, port scans and, with a registry, spoofs.
 
     The batch is decoded once, into the table of flows; the rest reads that
     table back, and of it only the columns it needs.
@@ -36,20 +37,28 @@ def load_period(root: str, area: str, threshold: int = 10, **period):
         # Sorted by period first, as the partitioned writer wants it: files keep the flow order.
         printed = flow_print(with_period(batch, **period), ("ds", "ts"))
         write_partitions(printed, f"{root}/daily_flows", area=area, ds=None, ts=None, batch=str(batch_id))
-        loaded = read_partitions(batch.sparkSession, f"{root}/daily_flows", **PERIOD_TYPES).where(
-            F.col("batch") == batch_id)
+        every = read_partitions(batch.sparkSession, f"{root}/daily_flows", **PERIOD_TYPES).where(
+            F.col("area") == area)
+        loaded = every.where(F.col("batch") == batch_id)
         stats = flowstats(loaded, by=["ds", "ts"])
-        write_partitions(stats, f"{root}/flowstats", ("type", "aggr_key"),
-                         area=area, ds=None, ts=None, batch=str(batch_id))
-        write_partitions(scan(loaded, threshold), f"{root}/scan", area=area, batch=str(batch_id))
+        parts = dict(area=area, ds=None, ts=None, batch=str(batch_id))
+        write_partitions(stats, f"{root}/flowstats", ("type", "aggr_key"), **parts)
+        # Distinct ports do not add up over batches: a period that came in pieces is
+        # looked at again as a whole, and its new result replaces the old one.
+        touched = loaded.select("ds", "ts").distinct()
+        scans = scan(every.join(touched, ["ds", "ts"], "left_semi"), threshold, ("ds", "ts"))
+        write_partitions(scans, f"{root}/scan", ("src_addr", "dst_addr"), area=area, ds=None, ts=None)
+        if registry is not None:
+            found = spoofs(loaded, registry, by=("ds", "ts"))
+            write_partitions(found, f"{root}/spoofs", ("src_addr", "first_us"), **parts)
     return write
 
 
 def start_monitor(flows: DataFrame, root: str, area: str, trigger: dict | None = None,
-                  threshold: int = 10, **period):
+                  threshold: int = 10, registry: DataFrame | None = None, **period):
     """Starts the monitor over a stream of flows; ``trigger`` defaults to every five minutes."""
     return (
-        flows.writeStream.foreachBatch(load_period(root, area, threshold, **period))
+        flows.writeStream.foreachBatch(load_period(root, area, threshold, registry, **period))
         .option("checkpointLocation", f"{root}/_checkpoint")
         .trigger(**(trigger or {"processingTime": "5 minutes"})).start()
     )

@@ -7,6 +7,7 @@ from flowloom.operators import rules
 from flowloom.operators.flows import flowstats
 from flowloom.sources.netflow import encode_netflow_v5, netflow_v5
 from flowloom.sources.pcap import read_pcap_stream, write_pcap
+from flowloom.sources.tables import read_partitions
 from flowloom.streaming import monitor, windows
 from tests.conftest import flow_rows
 from tests.test_packets import p
@@ -49,6 +50,21 @@ def test_monitor_equals_batch_and_survives_a_rerun(spark, tmp_path):
     assert spark.read.parquet(f"{root}/daily_flows").count() == df.count()
 
 
+def test_monitor_finds_scans_and_spoofs_per_period(spark, tmp_path):
+    scan = [dict(src_addr=7, dst_port=i, first_us=10 * US) for i in range(4)]
+    spread = [dict(src_addr=8, dst_port=i, first_us=i * 300 * US) for i in range(4)]
+    df = flow_rows(spark, scan + spread)
+    registry = spark.createDataFrame([("a", 1, 7, 32)], "organ string, asn int, prefix long, mask int")
+    root = str(tmp_path / "out")
+    monitor.start_monitor(drip(spark, df, tmp_path / "in", 3), root, "x", NOW, threshold=3,
+                          registry=registry).awaitTermination()
+    types = monitor.PERIOD_TYPES
+    found = read_partitions(spark, f"{root}/scan", **types).collect()
+    assert [(r.src_addr, r.cnt, r.ds, r.ts) for r in found] == [(7, 4, "1970-01-01", "0000")]
+    spoofed = read_partitions(spark, f"{root}/spoofs", **types).collect()
+    assert sorted((r.src_addr, r.ts) for r in spoofed) == [(8, f"00{m:02d}") for m in (0, 5, 10, 15)]
+
+
 def test_rate_stream_equals_batch_out_of_order(spark, tmp_path):
     rng = random.Random(6)
     rows = [p(i, rng.randrange(400) * US + i, eth=rng.choice([2048, 0x86DD, 0x0806])) for i in range(200)]
