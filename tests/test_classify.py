@@ -4,7 +4,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from flowloom.operators import classify
 from tests.conftest import packet_rows

@@ -2,7 +2,7 @@
 
 from flowloom.functions.net import parse_ip
 from flowloom.operators import anomaly, flows, text
-from flowloom.sources.text import job_history, read_delimited, read_job_history, write_text
+from flowloom.sources.text import read_delimited, read_job_history, write_text
 from tests.conftest import flow_rows
 
 NET = parse_ip
