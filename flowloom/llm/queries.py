@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from flowloom.llm import line_dedup
+from flowloom.llm import decontaminate, line_dedup, url_reputation
 
 QUERIES = {
+    "op6_url_filters": url_reputation.op6_url_filters,
+    "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_line_dedup": line_dedup.op8_line_dedup,
 }
 SQL = {
+    "op6_url_filters": url_reputation.OP6_SQL,
+    "op7_benchmark_decontamination": decontaminate.OP7_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
 }
