@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from flowloom.llm import decontaminate, line_dedup, preferences, url_reputation
+from flowloom.llm import decontaminate, jaccard_join, line_dedup, preferences, url_reputation
 
 QUERIES = {
+    "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op6_url_filters": url_reputation.op6_url_filters,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op10_chat_formatting": preferences.op10_chat_formatting,
 }
 SQL = {
+    "op2_jaccard_join": jaccard_join.OP2_SQL,
     "op6_url_filters": url_reputation.OP6_SQL,
     "op7_benchmark_decontamination": decontaminate.OP7_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
