@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowloom.llm import decontaminate, jaccard_join, line_dedup, preferences, toxicity, url_reputation
+from flowloom.llm import decontaminate, jaccard_join, line_dedup, preferences, secrets, toxicity, url_reputation
 
 QUERIES = {
     "op2_jaccard_join": jaccard_join.op2_jaccard_join,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_url_filters": url_reputation.op6_url_filters,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_secret_scans": secrets.op9_secret_scans,
     "op10_chat_formatting": preferences.op10_chat_formatting,
 }
 SQL = {
