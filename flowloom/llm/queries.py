@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from flowloom.llm import decontaminate, jaccard_join, line_dedup, preferences, secrets, toxicity, url_reputation
+from flowloom.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, preferences, secrets, toxicity, url_reputation
 
 QUERIES = {
     "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op6_url_filters": url_reputation.op6_url_filters,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_line_dedup": line_dedup.op8_line_dedup,
