@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from flowloom.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, preferences, secrets, toxicity, url_reputation
+from flowloom.llm import (
+    byte_bpe, code_search, decontaminate, jaccard_join, line_dedup, preferences, secrets, token_ledger, toxicity,
+    url_reputation,
+)
 
 QUERIES = {
+    "op1_code_search": code_search.op1_code_search,
     "op2_jaccard_join": jaccard_join.op2_jaccard_join,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_token_counts": token_ledger.op4_token_counts,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op6_url_filters": url_reputation.op6_url_filters,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
@@ -15,7 +20,9 @@ QUERIES = {
     "op10_chat_formatting": preferences.op10_chat_formatting,
 }
 SQL = {
+    "op1_code_search": code_search.OP1_SQL,
     "op2_jaccard_join": jaccard_join.OP2_SQL,
+    "op4_token_counts": token_ledger.OP4_SQL,
     "op6_url_filters": url_reputation.OP6_SQL,
     "op7_benchmark_decontamination": decontaminate.OP7_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
