@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from flowloom.llm import (
     byte_bpe, code_search, decontaminate, jaccard_join, line_dedup, preferences, secrets, token_ledger, toxicity,
     url_reputation,
@@ -18,6 +19,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_secret_scans": secrets.op9_secret_scans,
     "op10_chat_formatting": preferences.op10_chat_formatting,
+    "pipeline": corpus_pipeline.run,
 }
 SQL = {
     "op1_code_search": code_search.OP1_SQL,
