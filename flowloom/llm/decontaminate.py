@@ -146,9 +146,7 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
                       block_windows: int = BLOCK_WINDOWS, block_bytes: int = BLOCK_BYTES,
                       clean: bool = False) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans`` (word ranges inside benchmark windows), ``items``
-    (ids as text of the items found) and, if ``clean``, ``clean_text`` (the text without those ranges).
-
-    With more than one block, rows that repeat both doc_id and text become one.
+    (ids as text of the items found) and, if ``clean``, ``clean_text`` (the text without those ranges; one block only).
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -161,21 +159,26 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
         raise ValueError("clean_text needs a benchmark of one block; cut hit_spans otherwise")
     parts = None
     for k in range(blocks):
-        part = _scanned(docs, windows.where(F.pmod(F.xxhash64("phrase", "item"), F.lit(blocks)) == k), False)
+        part = _scanned(docs.select("doc_id", "text"), windows.where(F.pmod(F.xxhash64("phrase", "item"), F.lit(blocks)) == k), False)
         parts = part if parts is None else parts.unionByName(part)
-    others = [c for c in docs.columns if c not in ("doc_id", "text", *ADDED.names)]
-    merged = parts.groupBy("doc_id", "text").agg(
-        *[F.first(c).alias(c) for c in others], F.first("n_words").alias("n_words"),
-        F.flatten(F.collect_list("hit_spans")).alias("_spans"),
+    merged = parts.groupBy(F.col("doc_id").alias("doc2"), F.xxhash64("text").alias("hash2")).agg(
+        F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hit_spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    joined = F.aggregate(F.array_sort("_spans"), F.array().cast(ADDED["hit_spans"].dataType), lambda done, s: F.when(
-        (F.size(done) > 0) & (F.element_at(done, -1)["past"] >= s["first"]),
-        F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-            F.element_at(done, -1)["first"].alias("first"),
-            F.greatest(F.element_at(done, -1)["past"], s["past"]).alias("past"))))).otherwise(
-        F.concat(done, F.array(s))))
-    return merged.withColumn("hit_spans", joined).withColumn("clean_text", F.lit(None).cast("string")).select(
-        *[c for c in docs.columns if c not in ADDED.names], *ADDED.names)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c not in ADDED.names]).alias("row"),
+                       F.col("doc_id").alias("doc"), F.xxhash64("text").alias("hash"))
+    return rows.join(merged, F.col("doc").eqNullSafe(F.col("doc2")) & (F.col("hash") == F.col("hash2"))).select(
+        "row.*", "n_words", _joined_spans("spans").alias("hit_spans"), "items",
+        F.lit(None).cast("string").alias("clean_text"))
+
+
+def _joined_spans(spans: str):
+    """Spans in order, those that meet or overlap as one."""
+    def add(done, s):
+        last = F.element_at(done, -1)
+        wider = F.struct(last["first"].alias("first"), F.greatest(last["past"], s["past"]).alias("past"))
+        return F.when((F.size(done) > 0) & (last["past"] >= s["first"]),
+                      F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(s)))
+    return F.aggregate(F.array_sort(spans), F.array().cast(ADDED["hit_spans"].dataType), add)
 
 
 def n_hit(spans: str = "hit_spans"):

@@ -26,6 +26,7 @@ MIN_LENGTH = 40
 MIN_DOCS = 5
 BATCHES = 4
 FANOUT = 3
+RESULTS = ["kept", "n_lines", "n_dropped"]
 
 
 def _lines(text: Column) -> Column:
@@ -132,26 +133,21 @@ def dedup_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = M
     A line goes if its key is held by at least ``min_docs`` documents and this one
     hasn't the largest doc_id of them. Columns of ``docs`` with these names are replaced.
     """
-    new = ["kept", "n_lines", "n_dropped"]
-    base = docs.drop(*new)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c not in RESULTS]).alias("row"),
+                       F.col("doc_id").alias("doc"), _text_hash(F.col("text")).alias("hash"),
+                       _lines(F.col("text")).alias("lines"))
     gone = (
         line_hashes(docs, min_length).join(repeated_lines(docs, min_length, min_docs, batches), ["h1", "h2"])
         .where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
-        .agg(F.collect_set("line_no").alias("_gone"))
-    )
-    lines = _lines(F.col("text"))
-    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.transform(F.array_except(numbers, F.col("_gone")), lambda i: F.get(F.col("_lines"), i))
-    return (
-        base.join(gone, base["doc_id"].eqNullSafe(gone["_doc"]) & (_text_hash(base["text"]) == gone["_hash"]), "left")
-        .withColumn("_lines", lines)
-        .withColumn("kept", F.when(F.col("_gone").isNull(), F.coalesce("text", F.lit("")))
-                    .otherwise(F.array_join(kept, "\n")))
-        .withColumn("n_lines", F.size("_lines").cast("long"))
-        .withColumn("n_dropped", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-        .select(*base.columns, *new)
+        .groupBy(F.col("doc_id").alias("doc2"), F.col("text_hash").alias("hash2"))
+        .agg(F.collect_set("line_no").alias("gone"))
     )
+    numbers = F.sequence(F.lit(0), F.size("lines") - 1)
+    kept = F.transform(F.array_except(numbers, F.coalesce("gone", F.array().cast("array<int>"))),
+                       lambda i: F.get(F.col("lines"), i))
+    return rows.join(gone, F.col("doc").eqNullSafe(F.col("doc2")) & (F.col("hash") == F.col("hash2")), "left").select(
+        "row.*", F.array_join(kept, "\n").alias("kept"), F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,7 @@ Z = 1.645
 WEAKEST, STRONGEST = 2.0, 10_000.0
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LEVELS = ["suffix", "domain", "host"]
+RESULTS = ["host", "path", "rule", "verdict", "rate", "bound"]
 
 
 def with_url_parts(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -110,9 +111,8 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str
                min_rate: float = MIN_RATE, z: float = Z) -> DataFrame:
     """``pages`` (page_id, url) with host, path, rule, verdict, ``rate`` (posterior mean of the host)
     and ``bound`` (its lower bound)."""
-    names = ["host", "path", "rule", "verdict", "rate", "bound"]
-    base = pages.drop(*names)
-    parts = with_url_parts(base)
+    parts = with_url_parts(pages.select(
+        "page_id", "url", F.struct(*[F.col(c) for c in pages.columns if c not in RESULTS]).alias("row")))
     found, strengths, overall = reputations(parts.select("page_id", "host"), outcomes)
     hosts = parts.select("host").distinct().select(
         "host", registered_domain(F.col("host")).alias("domain"), suffix(F.col("host")).alias("suffix"))
@@ -139,14 +139,11 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str
         .withColumn("bound", F.col("rate") - z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (weight + 1)))
         .select("host", "rate", "bound")
     )
-    return (
-        parts.join(judged, "host", "left")
-        .withColumn("_rule", matching_rule(F.col("host"), F.col("path"), rules))
-        .withColumn("rule", F.col("_rule.rule"))
-        .withColumn("verdict", F.coalesce("_rule.verdict", F.when(
-            F.col("bound") >= min_rate, "allow").otherwise("block")))
-        .select(*base.columns, *names)
-    )
+    chosen = matching_rule(F.col("host"), F.col("path"), rules)
+    return parts.join(judged, "host", "left").withColumn("chosen", chosen).select(
+        "row.*", "host", "path", F.col("chosen.rule").alias("rule"),
+        F.coalesce("chosen.verdict", F.when(F.col("bound") >= min_rate, "allow").otherwise("block")).alias("verdict"),
+        "rate", "bound")
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
