@@ -3,12 +3,13 @@
 A text's pre-tokens (the matches of a pattern) are its words, in order. Each
 distinct word of the corpus is encoded once:
 
-1. words are counted within tasks and summed; the distinct words are encoded;
-2. the most frequent words, at most ``hot``, are broadcast with their ids (the
-   join of the keys that hold most rows needs no shuffle then);
-3. all other words are exploded with the block of documents they stand in,
-   joined with their ids by a shuffle on the word, and sent back to the block;
-4. a document's words travel to its block as a stream in order of position: the
+1. words are counted within tasks and summed; the most frequent, at most
+   ``hot``, are encoded and broadcast with their ids, so that the keys that hold
+   most rows need no shuffle;
+2. all other words are exploded with the block of documents they stand in and
+   shuffled by the word: each distinct one is encoded once, and its ids go back
+   to every block that has it;
+3. a document's words travel to its block as a stream in order of position: the
    number of a hot word, or a mark and the hash of another one. There the ids
    of the block's words are joined in and put together by position.
 
@@ -28,7 +29,6 @@ encoded each; a null doc_id passes through; other columns are not used.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections import Counter
 
 import numpy as np
@@ -44,11 +44,18 @@ from flowloom.llm.common import read, small_batches, tidy_shuffles
 from flowloom.plans.lineage import as_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-HOT = 400_000
+HOT = 1 << 18
 BLOCK_CHARS = 4_000_000
-COUNTED_AT_ONCE = 400_000
-CACHED = 200_000
+COUNTED_AT_ONCE = 300_000
+PACKED_AT_ONCE = 200_000
+CACHED = 300_000
+SEEN = 3
 OTHER = 0xFFFFFFFF
+# White space of the pattern that is rare, in ASCII and beyond; marks that end words, none of which
+# begins a match with what may follow.
+RARE_WHITE = "\t\x0b\x0c\r"
+OTHER_WHITE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+MARKS = frozenset(".,;:!?")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,66 +65,76 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Cutter:
-    """Cuts texts into pieces that hold whole matches of a pattern, and pieces into matches."""
+    """Cuts texts into pieces that hold whole matches of a pattern, and pieces into matches (words)."""
 
     def __init__(self, pattern: str):
         self.pattern = regex.compile(pattern)
-        self.inner = regex.compile(r"\s ")
         self.cut = regex.compile(r"(?<=\S)(?= )")
 
-    def pieces(self, text: str) -> list[str]:
-        if self.inner.search(text):
-            return self.cut.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + r for r in rest]] if first else [" " + r for r in rest]
+    def pieces(self, text: str) -> tuple[str, list[str]]:
+        """The first piece, and the others, each without the blank that it begins with."""
+        if "  " in text or "\n " in text or any(c in text for c in RARE_WHITE) or not text.isascii() and any(
+                c in text for c in OTHER_WHITE):
+            first, *rest = self.cut.split(text)
+            return first, [piece[1:] for piece in rest]
+        rest = text.split(" ")
+        return rest.pop(0), rest
 
     def words(self, piece: str) -> list[str]:
         return self.pattern.findall(piece)
 
+    def after_blank(self, piece: str) -> list[str]:
+        """Words of a piece given without its blank; letters, and letters with one mark, need no search."""
+        if piece.isalpha():
+            return [" " + piece]
+        if piece[-1:] in MARKS and piece[:-1].isalpha():
+            return [" " + piece[:-1], piece[-1]]
+        return self.pattern.findall(" " + piece)
+
 
 def _blocked(docs: DataFrame, blocks: int) -> DataFrame:
     """``docs`` (doc_id, text) with the block of each row."""
     return docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
 
 
-def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
-    """(word, n) over all texts."""
+def frequent_words(docs: DataFrame, pattern: str) -> DataFrame:
+    """(word, n) of the words that occur ``SEEN`` times among the pieces counted at once, from all texts."""
 
     def count(batches):
-        cutter, pieces = Cutter(pattern), Counter()
+        cutter, pieces, firsts = Cutter(pattern), Counter(), Counter()
 
         def flush():
             words = Counter()
-            for piece, n in pieces.items():
+            for piece, n in firsts.items():
                 for word in cutter.words(piece):
                     words[word] += n
+            for piece, n in pieces.items():
+                if n > 1:  # of a piece seen once the words are rarely frequent
+                    for word in cutter.after_blank(piece):
+                        words[word] += n
+            often = [(w, n) for w, n in words.items() if n >= SEEN]
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
+                [pa.array([w for w, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())],
+                names=["word", "n"])
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 if text:
-                    pieces.update(cutter.pieces(text))
-            if len(pieces) > COUNTED_AT_ONCE:
+                    first, rest = cutter.pieces(text)
+                    firsts[first] += 1
+                    pieces.update(rest)
+            if len(pieces) + len(firsts) > COUNTED_AT_ONCE:
                 yield flush()
-                pieces = Counter()
-        if pieces:
-            yield flush()
+                pieces, firsts = Counter(), Counter()
+        yield flush()
 
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``words`` (word, n) with ``ids``: little-endian unsigned 32-bit integers."""
-    shared = words.sparkSession.sparkContext.broadcast(ranks)
-
-    def encode(batches):
-        whole = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=shared.value, special_tokens={})
-        for batch in batches:
-            ids = [np.array(whole.encode_ordinary(w), "<u4").tobytes() for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["word", "n", "ids"])
-
-    return words.mapInArrow(encode, "word string, n long, ids binary")
+def _encoder(ranks: dict[bytes, int]):
+    """Ids of a word, packed; the word is taken whole."""
+    whole = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    return lambda word: np.array(whole.encode_ordinary(word), "<u4").tobytes()
 
 
 def _least_count(words: DataFrame, hot: int) -> int:
@@ -136,19 +153,34 @@ def _least_count(words: DataFrame, hot: int) -> int:
 class _Hot:
     """The words that are broadcast, most frequent first, and their ids."""
 
-    def __init__(self, rows):
-        rows = sorted(rows, key=lambda r: (-r.n, r.word))
-        self.words = [r.word for r in rows]
-        parts = [np.frombuffer(bytes(r.ids), "<u4") for r in rows]
-        self.sizes = np.array([len(p) for p in parts], np.int64)
-        self.ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+    def __init__(self, table: pa.Table):
+        table = table.sort_by([("n", "descending"), ("word", "ascending")])
+        self.words = table.column("word").to_pylist()
+        ids = table.column("ids").to_pylist()
+        self.sizes = np.array([len(i) // 4 for i in ids], np.int64)
+        self.ids = np.frombuffer(b"".join(ids), "<u4")
 
     def places(self) -> dict[str, int]:
         return {w: i for i, w in enumerate(self.words)}
 
 
+def hot_words(docs: DataFrame, ranks, pattern: str, hot: int) -> _Hot:
+    """At most ``hot`` of the most frequent words, each encoded once."""
+    counts = as_table(frequent_words(docs, pattern), "word-counts")
+
+    def encode_all(batches):
+        encoded = _encoder(ranks.value)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(list(map(encoded, batch.column("word").to_pylist())), pa.binary())],
+                names=["word", "n", "ids"])
+
+    often = counts.where(F.col("n") >= _least_count(counts, hot))
+    return _Hot(often.mapInArrow(encode_all, "word string, n long, ids binary").toArrow())
+
+
 def _other_words(docs: DataFrame, pattern: str, hot) -> DataFrame:
-    """Distinct (word, block) of the words that aren't hot, within tasks."""
+    """(word, block) of the words that aren't hot, each once for a batch of documents."""
 
     def explode(batches):
         cutter, known = Cutter(pattern), set(hot.value.words)
@@ -156,8 +188,10 @@ def _other_words(docs: DataFrame, pattern: str, hot) -> DataFrame:
         for batch in batches:
             found = set()
             for text, block in zip(batch.column("text").to_pylist(), batch.column("block").to_pylist()):
-                for piece in set(cutter.pieces(text or "")) - plain:
-                    others = [w for w in cutter.words(piece) if w not in known]
+                first, rest = cutter.pieces(text or "")
+                found.update((w, block) for w in cutter.words(first) if w not in known)
+                for piece in set(rest).difference(plain):
+                    others = [w for w in cutter.after_blank(piece) if w not in known]
                     if others:
                         found.update((w, block) for w in others)
                     elif len(plain) < CACHED:
@@ -169,43 +203,71 @@ def _other_words(docs: DataFrame, pattern: str, hot) -> DataFrame:
     return docs.select("text", "block").mapInArrow(explode, "word string, block int")
 
 
-def _packed_ids(joined: DataFrame) -> DataFrame:
-    """(block, payload): hashes, sizes and ids of words (word, block, ids), many to a row."""
+def _hash(word: str) -> int:
+    """62 bits, in two halves that are no mark."""
+    value = xxhash.xxh64_intdigest(word)
+    return (value >> 33) << 32 | value & 0x7FFFFFFF
+
 
-    def pack(batches):
+def _encoded_others(others: DataFrame, ranks) -> DataFrame:
+    """(block, payload): hashes, sizes and ids of a block's words, many to a row.
+
+    Equal words come together, each is encoded once, and its ids go with every block that has it.
+    """
+
+    def encode_all(batches):
+        encoded = _encoder(ranks.value)
+        last, value, ids = None, 0, b""
+        held: dict[int, tuple[list, list]] = {}
+        many = 0
+
+        def flush():
+            rows = [len(h).to_bytes(4, "little") + np.array(h, np.uint64).tobytes() + zstandard.compress(
+                np.array([len(i) // 4 for i in parts], "<u4").tobytes() + b"".join(parts), 3)
+                for h, parts in held.values()]
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(rows, pa.binary())],
+                                              names=["block", "payload"])
         for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            order = np.argsort(blocks, kind="stable")
-            words, ids = batch.column("word").to_pylist(), batch.column("ids").to_pylist()
-            own, starts = np.unique(blocks[order], return_index=True)
-            rows = []
-            for part in np.split(order, starts[1:]) if len(own) else []:
-                hashes = np.array([xxhash.xxh64_intdigest(words[i]) for i in part], np.uint64)
-                sizes = np.array([len(ids[i]) // 4 for i in part], np.uint32)
-                rows.append(len(part).to_bytes(4, "little") + hashes.tobytes() + zstandard.compress(
-                    sizes.tobytes() + b"".join(ids[i] for i in part), 3))
-            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(rows, pa.binary())],
-                                             names=["block", "payload"])
-
-    return joined.select("word", "block", "ids").mapInArrow(pack, "block int, payload binary")
+            for word, block in zip(batch.column("word").to_pylist(), batch.column("block").to_pylist()):
+                if word != last:
+                    last, value, ids = word, _hash(word), encoded(word)
+                hashes, parts = held.setdefault(block, ([], []))
+                hashes.append(value)
+                parts.append(ids)
+                many += 1
+            if many > PACKED_AT_ONCE:
+                yield flush()
+                held, many = {}, 0
+        yield flush()
+
+    return others.repartition("word").sortWithinPartitions("word").mapInArrow(encode_all, "block int, payload binary")
 
 
 def _streams(docs: DataFrame, pattern: str, hot) -> DataFrame:
-    """(block, doc_id, payload): the words of each document in order."""
+    """(block, doc_id, payload): the words of each document in order, hot ones as their number, others as
+    a mark and the halves of their hash."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     class Codes(dict):
-        """Packed numbers of a piece's words, and the hashes of those that aren't hot."""
+        """Packed numbers of the words of a piece that follows a blank."""
 
         def __init__(self, cutter, places):
             super().__init__()
             self.cutter, self.places = cutter, places
 
+        def of(self, words):
+            out = []
+            for word in words:
+                place = self.places.get(word)
+                if place is None:
+                    value = _hash(word)
+                    out += [OTHER, value & 0xFFFFFFFF, value >> 32]
+                else:
+                    out.append(place)
+            return np.array(out, "<u4").tobytes()
+
         def __missing__(self, piece):
-            words = self.cutter.words(piece)
-            codes = [self.places.get(w, OTHER) for w in words]
-            found = (np.array(codes, "<u4").tobytes(), b"".join(
-                xxhash.xxh64_intdigest(w).to_bytes(8, "little") for w, c in zip(words, codes) if c == OTHER))
+            found = self.of(self.cutter.after_blank(piece))
             if len(self) < CACHED:
                 self[piece] = found
             return found
@@ -216,11 +278,9 @@ def _streams(docs: DataFrame, pattern: str, hot) -> DataFrame:
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
-                found = [codes[p] for p in cutter.pieces(text or "")]
-                numbers = b"".join([f[0] for f in found])
-                planes = np.frombuffer(numbers, np.uint8).reshape(-1, 4).T.tobytes()
-                hashes = b"".join([f[1] for f in found])
-                out.append(len(hashes).to_bytes(4, "little") + hashes + press.compress(planes))
+                first, rest = cutter.pieces(text or "")
+                numbers = codes.of(cutter.words(first)) + b"".join(map(codes.__getitem__, rest))
+                out.append(press.compress(np.frombuffer(numbers, np.uint8).reshape(-1, 4).T.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("doc_id"), pa.array(out, pa.binary())],
                 names=["block", "doc_id", "payload"])
@@ -252,39 +312,41 @@ class _Block:
 
 def _put_together(payload: bytes, hot: _Hot, hot_starts: np.ndarray, own: _Block) -> np.ndarray:
     """Ids of a document from its stream."""
-    many = int.from_bytes(payload[:4], "little")
-    planes = np.frombuffer(zstandard.decompress(payload[4 + many:]), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(zstandard.decompress(payload), np.uint8).reshape(4, -1)
     codes = np.ascontiguousarray(planes.T).view("<u4").ravel()
-    other = codes == OTHER
-    found = own.find(np.frombuffer(payload, np.uint64, many // 8, 4))
-    sizes, starts = np.empty(len(codes), np.int64), np.empty(len(codes), np.int64)
-    sizes[~other], starts[~other] = hot.sizes[codes[~other]], hot_starts[codes[~other]]
-    sizes[other], starts[other] = own.sizes[found], own.starts[found] + len(hot.ids)
-    total = int(sizes.sum())
-    places = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
-    out = np.empty(total, np.uint32)
+    marks = np.flatnonzero(codes == OTHER)
+    if not len(marks):
+        sizes, starts = hot.sizes[codes], hot_starts[codes]
+    else:
+        found = own.find(codes[marks + 1].astype(np.uint64) | codes[marks + 2].astype(np.uint64) << np.uint64(32))
+        word = np.ones(len(codes), bool)
+        word[marks + 1] = word[marks + 2] = False
+        safe = np.where(codes == OTHER, 0, codes) if len(hot.sizes) else np.zeros(len(codes), np.int64)
+        safe[~word] = 0
+        sizes = hot.sizes[safe] if len(hot.sizes) else np.zeros(len(codes), np.int64)
+        starts = hot_starts[safe] if len(hot.sizes) else np.zeros(len(codes), np.int64)
+        sizes[marks], starts[marks] = own.sizes[found], own.starts[found] + len(hot.ids)
+        sizes, starts = sizes[word], starts[word]
+    places = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
     mine = places >= len(hot.ids)
+    out = np.empty(len(places), np.uint32)
     out[~mine], out[mine] = hot.ids[places[~mine]], own.ids[places[mine] - len(hot.ids)]
     return out
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN,
            hot: int = HOT, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, ids) of every row of ``docs`` (doc_id, text); ids are an array of long."""
+    """(doc_id, ids) of every row of ``docs`` (doc_id, text); ids are little-endian unsigned 32-bit integers."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     small_batches(spark)
     with tidy_shuffles(spark):
-        words = as_table(encode_words(word_counts(docs, pattern), ranks), "word-ids")
-        least = _least_count(words, hot)
-        chosen = _Hot(words.where(F.col("n") >= least).collect())  # at most ``hot`` rows
-        shared = spark.sparkContext.broadcast(chosen)
+        table = spark.sparkContext.broadcast(ranks)
+        shared = spark.sparkContext.broadcast(hot_words(docs, table, pattern, hot))
         chars = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
         blocked = _blocked(docs, max(1, -(-chars // block_chars)))
-        others = _other_words(blocked, pattern, shared).join(
-            words.where(F.col("n") < least).select("word", "ids"), "word")
-        packed = as_table(_packed_ids(others), "block-words")
+        packed = as_table(_encoded_others(_other_words(blocked, pattern, shared), table), "block-words")
     streams = _streams(blocked, pattern, shared)
     both = packed.select("block", F.lit(0).alias("part"), F.lit(None).cast(kind).alias("doc_id"), "payload").unionByName(
         streams.select("block", F.lit(1).alias("part"), "doc_id", "payload"))
@@ -304,47 +366,69 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
                 if own is None:
                     own, parts = _Block(parts), []
                 ids.append(doc_id)
-                out.append(_put_together(payload, known, starts, own).astype(np.int64))
+                out.append(_put_together(payload, known, starts, own).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field("doc_id").type), pa.array(out, pa.list_(pa.int64()))],
-                names=["doc_id", "ids"])
+                [pa.array(ids, batch.schema.field("doc_id").type), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
     return both.repartition("block").sortWithinPartitions("block", "part").mapInArrow(
-        put_together, f"doc_id {kind}, ids array<long>")
+        put_together, f"doc_id {kind}, ids binary")
+
+
+def id_arrays(encoded: DataFrame) -> DataFrame:
+    """``encoded`` with ``ids`` as arrays of long."""
+
+    def run(batches):
+        for batch in batches:
+            ids = [np.frombuffer(i, "<u4").astype(np.int64) for i in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int64()))],
+                                             names=["doc_id", "ids"])
+
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<long>")
+
+
+class TokenBytes:
+    """The token-byte table as arrays, so that a text's ids are joined with it at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.sizes = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+        for token, rank in ranks.items():
+            self.sizes[rank] = len(token)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
+
+    def join(self, ids: bytes) -> bytes:
+        ids = np.frombuffer(ids, "<u4")
+        sizes = self.sizes[ids]
+        if not sizes.all():
+            raise ValueError("an id is not in the token table")
+        places = np.repeat(self.starts[ids] - (np.cumsum(sizes) - sizes), sizes)
+        return self.bytes[places + np.arange(len(places))].tobytes()
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``encoded`` (doc_id, ids) with ``decoded``: the bytes of the tokens, joined.
 
-    An id that the table doesn't have is an error.
+    Null ids are none; an id that the table doesn't have is an error.
     """
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches):
-        table = {rank: token for token, rank in shared.value.items()}
+        table = TokenBytes(shared.value)
         for batch in batches:
-            decoded = [b"".join([table[i] for i in ids or []]) for ids in batch.column("ids").to_pylist()]
+            decoded = [table.join(ids or b"") for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
-                                             names=[*batch.schema.names, "decoded"])
+                                             names=["doc_id", "ids", "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<long>, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids, decoded)."""
-
-    def run(batches):
-        for batch in batches:
-            ids = [np.array(i, "<u4") for i in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(i) for i in ids], pa.int64()),
-                 pa.array([hashlib.sha256(i.tobytes()).hexdigest() for i in ids], pa.string()),
-                 pa.array([hashlib.sha256(d).hexdigest() for d in batch.column("decoded").to_pylist()], pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kind = decoded.schema["doc_id"].dataType.simpleString()
-    return decoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return decoded.select(
+        "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
