@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import struct
 import uuid
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
 import numpy as np
@@ -19,19 +20,22 @@ import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import (
-    DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition,
+    LessThan, LessThanOrEqual, WriterCommitMessage,
 )
 
 from flowloom.functions.net import date_label
 
-# File header (little-endian, microseconds, Ethernet), header sizes,
-# largest plausible packet, how far packets of one file lie apart at most, and how
-# far after the last file's first packet a capture may go on.
+# File header (little-endian, microseconds, Ethernet), where it holds the
+# snapshot length, header sizes, the snapshot length of captures that state none, the
+# longest one taken at its word, and how far after the last file's first packet a
+# capture may go on.
 FILE_HEADER = bytes.fromhex("d4c3b2a1020004000000000000000000ffff000001000000")
 MAGIC = FILE_HEADER[:4]
+SNAP_AT = 16
 RECORD_HEADER = 16
-MAX_PACKET = 10_000
-MAX_APART_S = 30 * 86_400
+MAX_PACKET = 262_144
+LONGEST_SNAP = 16 << 20
 SPAN_S = 432_000
 FILE_PREFIX = "nf-v05."
 
@@ -88,20 +92,27 @@ def plan_ranges(root: str, files, split_bytes: int) -> list[Segments]:
 
 
 class Framing:
-    """Finds the records of one byte range of a capture file."""
+    """Finds the records of one byte range of a capture file.
+
+    A record is told by its structure alone: as many bytes stored as were on the
+    wire or fewer, no more than the capture's snapshot length, and a place inside
+    the file. Clocks may jump or run wrong.
+    """
 
     def __init__(self, stream, size: int, header: bool, max_packet: int):
         self.stream, self.size, self.max_packet = stream, size, max_packet
         self.first = len(FILE_HEADER) if header else 0
-        if header and size and stream.read_at(4, 0) != MAGIC:
-            raise ValueError("not a little-endian microsecond capture file")
-        start = stream.read_at(4, self.first) if size >= self.first + 4 else b""
-        self.first_s = struct.unpack("<I", start)[0] if len(start) == 4 else 0
+        if header and size:
+            head = stream.read_at(len(FILE_HEADER), 0)
+            if head[:4] != MAGIC:
+                raise ValueError("not a little-endian microsecond capture file")
+            snap = struct.unpack_from("<I", head, SNAP_AT)[0] if len(head) == len(FILE_HEADER) else 0
+            if snap <= LONGEST_SNAP:
+                self.max_packet = max(max_packet, snap)
 
     def plausible(self, data: bytes, at: int) -> bool:
-        sec, usec, cap, wire = struct.unpack_from("<IIII", data, at)
-        return (cap <= wire <= self.max_packet and usec < 1_000_000
-                and abs(sec - self.first_s) <= MAX_APART_S)
+        _, usec, cap, wire = struct.unpack_from("<IIII", data, at)
+        return cap <= wire and cap <= self.max_packet and 0 < wire <= LONGEST_SNAP and usec < 1_000_000
 
     def synchronise(self, start: int) -> int:
         """First record boundary at or after ``start``.
@@ -146,10 +157,9 @@ class Framing:
             at, starts, broken = 0, [], False
             stop = min(end - position, len(data) - RECORD_HEADER + 1)
             held, largest = len(data), self.max_packet
-            low, high = self.first_s - MAX_APART_S, self.first_s + MAX_APART_S
             while at < stop:  # the test of ``plausible``, written out: this is the hot loop
-                sec, usec, cap, wire = unpack("<IIII", data, at)
-                if cap > wire or wire > largest or usec >= 1_000_000 or not low <= sec <= high:
+                _, usec, cap, wire = unpack("<IIII", data, at)
+                if cap > wire or cap > largest or not 0 < wire <= LONGEST_SNAP or usec >= 1_000_000:
                     broken = True
                     break
                 follow = at + RECORD_HEADER + cap
@@ -184,20 +194,37 @@ class Framing:
         return self.size
 
 
-def to_batch(path: str, offset: int, data: bytes, starts: np.ndarray) -> pa.RecordBatch:
-    """Arrow rows of a run of neighbouring records."""
+@dataclass(frozen=True)
+class Wanted:
+    """What is wanted of the packets: a range of times, and how many bytes of each frame (all)."""
+
+    begin_us: int | None = None
+    end_us: int | None = None
+    frame_bytes: int | None = None
+
+
+def to_batch(path: str, offset: int, data: bytes, starts: np.ndarray, wanted: Wanted = Wanted()) -> pa.RecordBatch:
+    """Arrow rows of a run of neighbouring records, of those that are wanted."""
     raw = np.frombuffer(data, dtype=np.uint8)
     fields = raw[starts[:, None] + np.arange(RECORD_HEADER)].view("<u4").astype(np.int64)
-    # Headers and frames alternate; as one binary array every second value is a frame.
-    bounds = np.empty(2 * len(starts) + 1, dtype=np.int32)
-    bounds[:-1:2], bounds[1::2], bounds[-1] = starts, starts + RECORD_HEADER, len(data)
+    times, stored = fields[:, 0] * 1_000_000 + fields[:, 1], fields[:, 2]
+    # Headers, wanted bytes and the rest of frames alternate; as one binary array every third value is wanted.
+    kept = stored if wanted.frame_bytes is None else np.minimum(stored, wanted.frame_bytes)
+    bounds = np.empty(3 * len(starts) + 1, dtype=np.int32)
+    bounds[:-1:3], bounds[1::3], bounds[-1] = starts, starts + RECORD_HEADER, len(data)
+    bounds[2::3] = starts + RECORD_HEADER + kept
     pieces = pa.Array.from_buffers(
-        pa.binary(), 2 * len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
-    frames = pieces.take(pa.array(np.arange(1, 2 * len(starts), 2)))
+        pa.binary(), 3 * len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+    rows = np.ones(len(starts), dtype=bool)
+    if wanted.begin_us is not None:
+        rows &= times >= wanted.begin_us
+    if wanted.end_us is not None:
+        rows &= times <= wanted.end_us
+    rows = np.flatnonzero(rows)
     return pa.RecordBatch.from_arrays(
-        [pa.array(fields[:, 0] * 1_000_000 + fields[:, 1]), pa.array(fields[:, 2].astype(np.int32)),
-         pa.array(fields[:, 3].astype(np.int32)), frames,
-         pa.repeat(path, len(starts)), pa.array(offset + starts)],
+        [pa.array(times[rows]), pa.array(stored[rows].astype(np.int32)),
+         pa.array(fields[rows, 3].astype(np.int32)), pieces.take(pa.array(3 * rows + 1)),
+         pa.repeat(path, len(rows)), pa.array(offset + starts[rows])],
         names=["ts_us", "cap_len", "wire_len", "frame", "file", "pkt_id"])
 
 
@@ -219,16 +246,14 @@ def to_records(batch: pa.RecordBatch) -> bytes:
     return out.tobytes()
 
 
-def read_ranges(root: str, ranges, header: bool, max_packet: int, end_us: int | None = None):
+def read_ranges(root: str, ranges, header: bool, max_packet: int, wanted: Wanted = Wanted()):
     """Arrow batches of the packets in some byte ranges."""
     fs = file_system(root)[0]
     for path, start, end, size in ranges:
         with fs.open_input_file(path) as stream:
             framing = Framing(stream, size, header, max_packet)
-            if end_us is not None and (framing.first_s - MAX_APART_S) * 1_000_000 > end_us:
-                continue  # no packet of this file can lie in the range
             for offset, data, starts in framing.batches(start, end):
-                yield to_batch(path, offset, data, starts)
+                yield to_batch(path, offset, data, starts, wanted)
 
 
 class _Options:
@@ -239,21 +264,38 @@ class _Options:
         self.header = str(options.get("header", "true")).lower() == "true"
         self.split_bytes = int(options.get("splitBytes", 128 << 20))
         self.max_packet = int(options.get("maxPacket", MAX_PACKET))
-        end = options.get("endUs")
-        self.end_us = None if end is None else int(end)
+
+        def number(name):
+            return None if options.get(name) is None else int(options[name])
+        self.wanted = Wanted(number("beginUs"), number("endUs"), number("frameBytes"))
 
 
 class PcapReader(DataSourceReader):
+    """Reads byte ranges; comparisons of ``ts_us`` with a value are applied before frames are copied."""
+
     def __init__(self, options: _Options):
         self.options = options
 
+    def pushFilters(self, filters):
+        low, high = [self.options.wanted.begin_us], [self.options.wanted.end_us]
+        for test in filters:
+            if getattr(test, "attribute", None) == ("ts_us",) and isinstance(getattr(test, "value", None), int):
+                if isinstance(test, (EqualTo, GreaterThan, GreaterThanOrEqual)):
+                    low.append(test.value)
+                if isinstance(test, (EqualTo, LessThan, LessThanOrEqual)):
+                    high.append(test.value)
+            yield test  # Spark tests again, so bounds need not be exact
+        self.options.wanted = replace(
+            self.options.wanted, begin_us=max((v for v in low if v is not None), default=None),
+            end_us=min((v for v in high if v is not None), default=None))
+
     def partitions(self):
         path = self.options.path
         return plan_ranges(path, list_files(path), self.options.split_bytes) or [Segments(path, ())]
 
     def read(self, partition):
         o = self.options
-        return read_ranges(partition.root, partition.ranges, o.header, o.max_packet, o.end_us)
+        return read_ranges(partition.root, partition.ranges, o.header, o.max_packet, o.wanted)
 
 
 @dataclass
@@ -301,16 +343,14 @@ class PcapWriter(DataSourceArrowWriter):
     def commit(self, messages):
         fs, base = file_system(self.path)
         fs.create_dir(base, recursive=True)
-        written = [pair for message in messages if message for pair in message.files]
-        if self.overwrite:
-            kept = {final for _, final in written}
-            for info in fs.get_file_info(pafs.FileSelector(base)):
-                if info.is_file and info.base_name.startswith(FILE_PREFIX) and info.path not in kept:
-                    fs.delete_file(info.path)
-        for staged, final in written:
-            if not self.overwrite and fs.get_file_info(final).is_file:
-                final = f"{final}-{self.staging[-8:]}"
-            fs.move(staged, final)
+        old = {i.path for i in fs.get_file_info(pafs.FileSelector(base))
+               if i.is_file and i.base_name.startswith(FILE_PREFIX)}
+        # New files carry the job's own mark, so they are all in place before an old one goes.
+        written = [(staged, f"{final}.{self.staging[-8:]}") for m in messages if m for staged, final in m.files]
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda pair: fs.move(*pair), written))
+            if self.overwrite:
+                list(pool.map(fs.delete_file, old))
         self._drop_staging(fs, base)
 
     def abort(self, messages):
@@ -344,6 +384,7 @@ def register(spark: SparkSession) -> None:
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(flowloom)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PcapSource)
 
 
@@ -373,25 +414,27 @@ def capture_span(spark: SparkSession, path: str, header: bool = True) -> tuple[i
 
 def read_pcap(spark: SparkSession, path: str, header: bool = True, split_bytes: int | None = None,
               begin_us: int | None = None, end_us: int | None = None, auto_range: bool = False,
-              max_packet: int = MAX_PACKET) -> DataFrame:
+              max_packet: int = MAX_PACKET, frame_bytes: int | None = None) -> DataFrame:
     """Packets of a capture file or directory: time, lengths, frame, and place in the file.
 
     ``begin_us`` and ``end_us`` restrict the capture time, with one day of slack;
-    ``auto_range`` takes the span of the files themselves, without slack.
-    Records longer than ``max_packet`` count as damage; raise it for captures
-    that were taken with segmentation offload.
+    ``auto_range`` takes the span of the files themselves, without slack. The
+    reader applies them, and any other comparison of ``ts_us``, before it copies
+    frames. ``frame_bytes`` keeps that many bytes of each frame, which is enough
+    for headers. Records longer than the file's snapshot length and than
+    ``max_packet`` count as damage; ``capture_coverage`` tells of damage.
     """
     register(spark)
     if auto_range:
         begin, end = capture_span(spark, path, header)
-        packets = read_pcap(spark, path, header, split_bytes, max_packet=max_packet)
+        packets = read_pcap(spark, path, header, split_bytes, max_packet=max_packet, frame_bytes=frame_bytes)
         return packets.where(F.col("ts_us").between(begin, end))
     reader = spark.read.format("pcap").option("header", str(header).lower()).option("maxPacket", max_packet)
     if split_bytes:
         reader = reader.option("splitBytes", split_bytes)
+    if frame_bytes is not None:
+        reader = reader.option("frameBytes", frame_bytes)
     day = 86_400_000_000
-    if end_us is not None:
-        reader = reader.option("endUs", end_us + day)
     packets = reader.load(path)
     if begin_us is not None:
         packets = packets.where(F.col("ts_us") >= begin_us - day)
@@ -400,6 +443,19 @@ def read_pcap(spark: SparkSession, path: str, header: bool = True, split_bytes:
     return packets
 
 
+def capture_coverage(spark: SparkSession, path: str, header: bool = True, split_bytes: int | None = None,
+                     max_packet: int = MAX_PACKET) -> DataFrame:
+    """(file, bytes, records, skipped): size and records of each file, and bytes that belong to no record."""
+    packets = read_pcap(spark, path, header, split_bytes, max_packet=max_packet, frame_bytes=0)
+    read = packets.groupBy("file").agg(
+        F.count("*").alias("records"), F.sum(F.col("cap_len") + RECORD_HEADER).alias("in_records"))
+    files = spark.createDataFrame([(p, size) for p, size in list_files(path)], "file string, bytes long")
+    first = F.lit(len(FILE_HEADER) if header else 0)
+    return files.join(read, "file", "left").select(
+        "file", "bytes", F.coalesce("records", F.lit(0)).alias("records"),
+        F.greatest(F.col("bytes") - first - F.coalesce("in_records", F.lit(0)), F.lit(0)).alias("skipped"))
+
+
 def read_pcap_stream(spark: SparkSession, path: str, header: bool = True, split_bytes: int = 128 << 20,
                      max_packet: int = MAX_PACKET, tasks: int | None = None) -> DataFrame:
     """A stream of the packets of every capture file that appears in a directory.

@@ -93,12 +93,43 @@ def test_long_damage_costs_no_record_in_any_split(spark, tmp_path, split):
     assert read_back(spark, tmp_path / "a.pcap", split_bytes=split) == expected(first + second)
 
 
-def test_long_packets_need_a_higher_limit(spark, tmp_path):
-    records = [record(T0, i, ipv4_tcp(b"x" * (30_000 if i % 4 == 0 else 100))) for i in range(24)]
+@pytest.mark.parametrize("split", [None, 50_000, 7_000])
+def test_long_packets_are_read(spark, tmp_path, split):
+    records = [record(T0, i, ipv4_tcp(b"x" * (12_000 if i % 4 == 0 else 30_000 if i % 4 == 1 else 100))) for i in range(24)]
     write_capture(tmp_path / "a.pcap", records)
-    assert len(read_back(spark, tmp_path / "a.pcap")) == 18
-    for split in (None, 50_000):
-        assert read_back(spark, tmp_path / "a.pcap", split_bytes=split, max_packet=65_535) == expected(records)
+    assert read_back(spark, tmp_path / "a.pcap", split_bytes=split) == expected(records)
+
+
+@pytest.mark.parametrize("split", [None, 4_096, 777])
+def test_clocks_may_jump(spark, tmp_path, split):
+    """Two months between records, and a first record whose clock was wrong."""
+    records = [record(T0 + 3 * i * 86_400, i, ipv4_tcp(b"data")) for i in range(100)]
+    records[50:] = [record(T0 + (60 + i) * 86_400, i, ipv4_tcp(b"late")) for i in range(50)]
+    write_capture(tmp_path / "a.pcap", records)
+    write_capture(tmp_path / "b.pcap", [record(5, 0, ipv4_tcp()), *records])
+    got = read_back(spark, tmp_path, split_bytes=split)
+    assert len(got) == 201 and got == expected([record(5, 0, ipv4_tcp()), *records, *records])
+
+
+def test_skipped_bytes_are_told(spark, tmp_path):
+    records = random_records(40, 7)
+    write_capture(tmp_path / "a.pcap", records)
+    (tmp_path / "b.pcap").write_bytes(FILE_HEADER + b"".join(records[:20]) + b"\xff" * 37 + b"".join(records[20:]) + b"\x01\x02")
+    write_capture(tmp_path / "c.pcap", [])
+    for split in (None, 3_000):
+        rows = pcap.capture_coverage(spark, str(tmp_path), split_bytes=split).collect()
+        assert {r.file[-6:]: (r.records, r.skipped) for r in rows} == {
+            "a.pcap": (40, 0), "b.pcap": (40, 39), "c.pcap": (0, 0)}
+
+
+def test_times_are_compared_before_frames_are_copied(spark, tmp_path):
+    write_capture(tmp_path / "a.pcap", [record(T0 + i, 0, ipv4_tcp(b"x" * 50)) for i in range(100)])
+    late = read_pcap(spark, str(tmp_path), frame_bytes=20).where(F.col("ts_us") > (T0 + 89) * 10**6)
+    assert sorted(r.ts_us for r in late.collect()) == [(T0 + i) * 10**6 for i in range(90, 100)]
+    assert {(len(r.frame), r.cap_len) for r in late.collect()} == {(20, len(ipv4_tcp(b"x" * 50)))}
+    reader = pcap.PcapReader(pcap._Options({"path": str(tmp_path)}))
+    list(reader.pushFilters([pcap.GreaterThan(("ts_us",), 5), pcap.LessThanOrEqual(("ts_us",), 9)]))
+    assert (reader.options.wanted.begin_us, reader.options.wanted.end_us) == (5, 9)
 
 
 def test_without_file_header(spark, tmp_path):
