@@ -1,12 +1,21 @@
-"""Flow rows out of NetFlow v5 export packets and flow-tools records, and back."""
+"""Flow rows out of NetFlow v5 export packets and flow-tools records, and back.
+
+Records are decoded in Arrow blocks by whole arrays: a block's records become
+one matrix of bytes, and a field is a slice of its columns.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import uuid
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from flowloom.functions.binary import be_hex, be_uint, bytes_of, field_of, swap32, word
+from flowloom.functions.binary import be_hex, bytes_of, swap32
 from flowloom.functions.fields import flow_field
-from flowloom.functions.net import absolute_us
+from flowloom.sources.pcap import BLOCK, Segments, file_system, list_files, plan_ranges
 
 # Fixed values: (offset, length) of the fields in a 48-byte flow record.
 RECORD = {
@@ -23,16 +32,33 @@ FLOWTOOLS_BYTES, FLOWTOOLS_SHIFT = 64, 16
 _LONG = {"src_addr", "dst_addr", "nexthop", "dpkts", "doctets", "first", "last"}
 
 
-def _words(text: Column, shift: int = 0) -> dict[str, Column]:
-    """The record as eight-byte words; no field crosses a word."""
-    return {f"w{i}": word(text, i * 8 + shift) for i in range(RECORD_BYTES // 8)}
+RECORDS_PER_PACKET = 30
+_TIMES = ["sys_uptime", "timestamp_us", "first_us", "last_us"]
+_PLAIN = [n for n in RECORD if n not in ("first", "last")]
+
+
+def _kind(name: str) -> pa.DataType:
+    return pa.int64() if name in _LONG or name in _TIMES else pa.int32()
+
+
+def _schema(names: list[str]) -> str:
+    return ", ".join(f"{n} {'long' if pa.types.is_int64(_kind(n)) else 'int'}" for n in names)
+
+
+def _big_endian(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Unsigned integers of ``length`` bytes at the given places of a byte array."""
+    value = np.zeros(len(at), np.int64)
+    for i in range(length):
+        value = value << 8 | data[at + i]
+    return value
+
 
+def _record_fields(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
+    return {name: _big_endian(data, starts + at, length) for name, (at, length) in RECORD.items()}
 
-def _fields() -> dict[str, Column]:
-    return {
-        name: field_of(F.col(f"w{at // 8}"), at % 8, length).cast("bigint" if name in _LONG else "int")
-        for name, (at, length) in RECORD.items()
-    }
+
+def _batch(values: dict[str, np.ndarray], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(values[n]).cast(_kind(n)) for n in names], names=names)
 
 
 def _with_derived(rows: DataFrame) -> DataFrame:
@@ -44,48 +70,127 @@ def _with_derived(rows: DataFrame) -> DataFrame:
     })
 
 
+def _bytes_of_frames(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of a binary column, and where each value starts and ends."""
+    frames = column.cast(pa.large_binary()).fill_null(b"")
+    bounds = np.frombuffer(frames.buffers()[1], np.int64)[frames.offset:frames.offset + len(frames) + 1]
+    data = frames.buffers()[2]
+    return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), bounds[:-1], bounds[1:]
+
+
 def netflow_v5(raw: DataFrame) -> DataFrame:
     """One row per flow record in the captured export packets.
 
     All records announced by the header are read, as far as the frame holds them.
     """
-    head = F.hex(F.substring("frame", UDP_HEADERS + 1, EXPORT_HEADER))
-    held = F.floor((F.length("frame") - UDP_HEADERS - EXPORT_HEADER) / RECORD_BYTES).cast("int")
-    packets = (
-        raw.where(F.length("frame") >= UDP_HEADERS + EXPORT_HEADER)
-        .select("frame", be_uint(head, 0, 2).alias("version"),
-                F.least(be_uint(head, 2, 2).cast("int"), held).alias("count"),
-                be_uint(head, 4, 4).alias("sys_uptime"),
-                (be_uint(head, 8, 4) * 1_000_000 + F.floor(be_uint(head, 12, 4) / 1000)).alias("timestamp_us"))
-        .where((F.col("version") == VERSION) & (F.col("count") > 0))
-    )
-    start = F.lit(UDP_HEADERS + EXPORT_HEADER + 1) + F.col("i") * RECORD_BYTES
-    records = (
-        packets.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
-        .select("sys_uptime", "timestamp_us",
-                F.hex(F.substr("frame", start, F.lit(RECORD_BYTES))).alias("record"))
-        .select("sys_uptime", "timestamp_us", *[c.alias(n) for n, c in _words(F.col("record")).items()])
-    )
-    fields = _fields()
-    when = {f"{n}_us": absolute_us(F.col("timestamp_us"), F.col("sys_uptime"), fields.pop(n))
-            for n in ("first", "last")}
-    rows = records.select("sys_uptime", "timestamp_us", *[c.alias(n) for n, c in (fields | when).items()])
-    return _with_derived(rows)
+    names = ["sys_uptime", "timestamp_us", *_PLAIN, "first_us", "last_us"]
+
+    def decode(batches):
+        for batch in batches:
+            data, starts, ends = _bytes_of_frames(batch.column("frame"))
+            first = starts + UDP_HEADERS
+            whole = first + EXPORT_HEADER <= ends
+            first, ends = first[whole], ends[whole]
+            held = np.minimum(_big_endian(data, first + 2, 2), (ends - first - EXPORT_HEADER) // RECORD_BYTES)
+            held[_big_endian(data, first, 2) != VERSION] = 0
+            uptime = _big_endian(data, first + 4, 4)
+            stamp = _big_endian(data, first + 8, 4) * 1_000_000 + _big_endian(data, first + 12, 4) // 1000
+            number = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+            values = _record_fields(data, np.repeat(first + EXPORT_HEADER, held) + number * RECORD_BYTES)
+            values |= {"sys_uptime": np.repeat(uptime, held), "timestamp_us": np.repeat(stamp, held)}
+            for name in ("first", "last"):  # uptimes in milliseconds
+                values[f"{name}_us"] = values["timestamp_us"] - (values["sys_uptime"] - values.pop(name)) * 1000
+            yield _batch(values, names)
+
+    return _with_derived(raw.select("frame").mapInArrow(decode, _schema(names)))
+
+
+_FLOWTOOLS_NAMES = [*_PLAIN, "first_us", "last_us"]
+
+
+def _flowtools_batch(data: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    """Rows of flow-tools records; their times are little-endian seconds."""
+    values = _record_fields(data, starts + FLOWTOOLS_SHIFT)
+    for name in ("first", "last"):
+        at = starts + FLOWTOOLS_SHIFT + RECORD[name][0]
+        values[f"{name}_us"] = sum(data[at + i].astype(np.int64) << 8 * i for i in range(4)) * 1_000_000
+        values.pop(name)
+    return _batch(values, _FLOWTOOLS_NAMES)
 
 
 def flowtools(raw: DataFrame, column: str = "record") -> DataFrame:
     """Flow rows out of 64-byte flow-tools records; the times are little-endian seconds."""
-    records = raw.where(F.length(column) == FLOWTOOLS_BYTES).select(F.hex(column).alias("text"))
-    words = records.select(*[c.alias(n) for n, c in _words(F.col("text"), FLOWTOOLS_SHIFT).items()])
-    fields = _fields()
-    times = {f"{n}_us": swap32(fields.pop(n)) * 1_000_000 for n in ("first", "last")}
-    return _with_derived(words.select(*[c.alias(n) for n, c in (fields | times).items()]))
 
+    def decode(batches):
+        for batch in batches:
+            data, starts, ends = _bytes_of_frames(batch.column(0))
+            yield _flowtools_batch(data, starts[ends - starts == FLOWTOOLS_BYTES])
 
-def read_flowtools(spark, path: str) -> DataFrame:
+    return _with_derived(raw.select(column).mapInArrow(decode, _schema(_FLOWTOOLS_NAMES)))
+
+
+class FlowtoolsReader(DataSourceReader):
+    """Byte ranges that end at record boundaries."""
+
+    def __init__(self, path: str, split_bytes: int):
+        self.path, self.split_bytes = path, max(FLOWTOOLS_BYTES, split_bytes // FLOWTOOLS_BYTES * FLOWTOOLS_BYTES)
+
+    def partitions(self):
+        return plan_ranges(self.path, list_files(self.path), self.split_bytes) or [Segments(self.path, ())]
+
+    def read(self, partition):
+        fs = file_system(partition.root)[0]
+        for path, start, end, _ in partition.ranges:
+            with fs.open_input_file(path) as stream:
+                for at in range(start, end, BLOCK):
+                    data = np.frombuffer(stream.read_at(min(BLOCK, end - at), at), np.uint8)
+                    yield _flowtools_batch(data, np.arange(len(data) // FLOWTOOLS_BYTES) * FLOWTOOLS_BYTES)
+
+
+class FlowtoolsSource(DataSource):
+    """``spark.read.format("flowtools")``: files of 64-byte records; a cut-off last one is left out."""
+
+    @classmethod
+    def name(cls):
+        return "flowtools"
+
+    def schema(self):
+        return _schema(_FLOWTOOLS_NAMES)
+
+    def reader(self, schema):
+        return FlowtoolsReader(self.options["path"], int(self.options.get("splitBytes", 128 << 20)))
+
+
+def read_flowtools(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
     """Flow rows of files of 64-byte records, split at record boundaries."""
-    records = spark.sparkContext.binaryRecords(path, FLOWTOOLS_BYTES).map(lambda record: (bytearray(record),))
-    return flowtools(spark.createDataFrame(records, "record binary"))
+    import flowloom
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(flowloom)
+    spark.dataSource.register(FlowtoolsSource)
+    reader = spark.read.format("flowtools")
+    return _with_derived((reader.option("splitBytes", split_bytes) if split_bytes else reader).load(path))
+
+
+def write_flowtools(records: DataFrame, path: str) -> None:
+    """Writes a column of 64-byte records, ``record``, as one file for each task."""
+
+    def write(batches):
+        fs, base = file_system(path)
+        fs.create_dir(base, recursive=True)
+        name, many = f"{base}/_{uuid.uuid4().hex}", 0  # hidden until it is whole
+        with fs.open_output_stream(name) as stream:
+            for batch in batches:
+                for record in batch.column("record").to_pylist():
+                    stream.write(record)
+                many += batch.num_rows
+        yield pa.RecordBatch.from_pydict({"name": [name], "many": [many]})
+
+    # The driver gets a name for each task; those that a failed attempt left stay hidden.
+    for row in records.select("record").mapInArrow(write, "name string, many long").collect():
+        if row.many:
+            fs, base = file_system(path)
+            fs.move(row.name, f"{base}/part-{row.name.rsplit('_', 1)[1]}")
 
 
 def _record_hex(values: dict[str, Column]) -> Column:
@@ -113,13 +218,15 @@ def encode_flowtools(flows: DataFrame) -> DataFrame:
 
 
 def encode_netflow_v5(flows: DataFrame, group: list[str], port: int = 5001) -> DataFrame:
-    """Export packets (ts_us, wire_len, frame), one per group of at most 30 flows.
+    """Export packets (ts_us, wire_len, frame) of at most 30 flows each, of one group each.
 
-    The caller's ``group`` columns bound the flows per packet and keep their
-    start times within the range of a 32-bit millisecond uptime.
+    The caller's ``group`` columns keep the start times of a packet's flows within
+    the range of a 32-bit millisecond uptime.
     """
     end = "last_us" if "last_us" in flows.columns else "first_us"
-    spans = flows.groupBy(*group).agg(
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("first_us")) - 1
+    numbered = flows.withColumn("packet_no", F.floor(place / RECORDS_PER_PACKET))
+    spans = numbered.groupBy(*group, "packet_no").agg(
         F.max(end).alias("latest"), F.min("first_us").alias("earliest"),
         F.collect_list(F.struct(*[c for c in flows.columns if c not in group])).alias("rows"))
     export_s = F.floor(F.col("latest") / 1_000_000) + 1

@@ -2,8 +2,10 @@
 
 import struct
 
+from pyspark.sql import functions as F
+
 from flowloom.functions.net import parse_ip
-from flowloom.sources.netflow import encode_netflow_v5, encode_flowtools, flowtools, netflow_v5, read_flowtools
+from flowloom.sources.netflow import encode_netflow_v5, encode_flowtools, flowtools, netflow_v5, read_flowtools, write_flowtools
 from tests.conftest import flow_rows
 
 FIELDS = ["src_addr", "dst_addr", "src_port", "dst_port", "prot", "dpkts", "doctets", "first_us", "last_us",
@@ -66,6 +68,22 @@ def test_export_round_trip(spark):
     assert sorted(netflow_v5(exported).select(names).collect()) == sorted(flows.collect())
 
 
+def test_a_packet_has_thirty_records_at_most(spark):
+    flows = flow_rows(spark, [dict(src_port=i, first_us=1_700_000_000_000_000 + i) for i in range(2000)])
+    exported = encode_netflow_v5(flows, ["prot"])
+    assert exported.count() == 67 and exported.agg(F.max(F.length("frame"))).first()[0] == 42 + 24 + 30 * 48
+    assert sorted(r.src_port for r in netflow_v5(exported).collect()) == list(range(2000))
+
+
+def test_flowtools_files(spark, tmp_path):
+    flows = flow_rows(spark, [dict(src_port=i, first_us=i * 1_000_000) for i in range(500)])
+    write_flowtools(encode_flowtools(flows.repartition(3)), str(tmp_path / "f"))
+    (tmp_path / "f" / "tail").write_bytes(bytes(30))
+    for split in (None, 1000):
+        rows = read_flowtools(spark, str(tmp_path / "f"), split).select(flows.columns)
+        assert sorted(rows.collect()) == sorted(flows.collect())
+
+
 def test_flowtools_record(spark):
     body = bytearray(flow_record(0, 0))
     body[24:32] = struct.pack("<II", 1_700_000_000, 1_700_000_009)  # little-endian seconds
