@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from flowloom.functions.net import subnet
-from flowloom.plans.lineage import fits
+from flowloom.plans.lineage import as_table, fits
 
 BROADCAST_ROWS = 500_000
 
@@ -13,7 +13,8 @@ BROADCAST_ROWS = 500_000
 def _networks(registry: DataFrame) -> DataFrame:
     """One row per network, with the set of AS numbers registered for it."""
     return (
-        registry.select(subnet(F.col("prefix"), F.col("mask")).alias("net"),
+        registry.where("prefix is not null and mask is not null")
+        .select(subnet(F.col("prefix"), F.col("mask")).alias("net"),
                         F.col("mask").cast("int").alias("mask"), F.col("asn").cast("int").alias("asn"))
         .groupBy("net", "mask").agg(F.collect_set("asn").alias("asns"))
     )
@@ -26,17 +27,21 @@ def spoofs(flows: DataFrame, registry: DataFrame, broadcast_rows: int = BROADCAS
     A registry of at most ``broadcast_rows`` networks is joined to the flows by
     broadcast, one equi-join per mask length, so flows are not shuffled.  A
     larger one is matched to the distinct source addresses instead, and only
-    the offending (address, AS) pairs meet the flows again.  ``by`` columns are
-    carried along.
+    the offending (address, AS) pairs meet the flows again.  Both ways give the
+    same rows: a flow without source address or AS is no registered one.  ``by``
+    columns are carried along.
     """
-    networks = _networks(registry)
+    networks = as_table(_networks(registry), "networks")  # read once for each mask length
     # At most 33 values: the prefix lengths of IPv4.
     masks = sorted((row.mask for row in networks.select("mask").distinct().collect()), reverse=True)
     if fits(networks, broadcast_rows):
         flagged = _offends_by_broadcast(flows, networks, masks).where("offends").drop("offends")
     else:
         pairs = flows.select("src_addr", "src_as").distinct()
-        flagged = flows.join(_offending_pairs(pairs, networks, masks), ["src_addr", "src_as"])
+        offending = _offending_pairs(pairs, networks, masks).select(
+            F.col("src_addr").alias("bad_addr"), F.col("src_as").alias("bad_as"))
+        flagged = flows.join(offending, flows["src_addr"].eqNullSafe(F.col("bad_addr"))
+                             & flows["src_as"].eqNullSafe(F.col("bad_as")), "left_semi")
     return flagged.select(*by, "src_addr", "dst_addr", "first_us", "src_as")
 
 
@@ -54,7 +59,8 @@ def _offends_by_broadcast(flows: DataFrame, networks: DataFrame, masks: list[int
 
 def _offending_pairs(pairs: DataFrame, networks: DataFrame, masks: list[int]) -> DataFrame:
     """(address, AS) pairs that offend, by shuffle joins of distinct pairs."""
-    candidates = pairs.withColumn("mask", F.explode(F.array(*[F.lit(m) for m in masks])))
+    lengths = F.array(*[F.lit(m) for m in masks]).cast("array<int>")
+    candidates = pairs.withColumn("mask", F.explode_outer(lengths))
     candidates = candidates.withColumn("net", subnet(F.col("src_addr"), F.col("mask")))
     best = (
         candidates.join(networks, ["net", "mask"], "left")

@@ -20,8 +20,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowloom.functions.fields import flow_field
 from flowloom.functions.net import bucket_s
+from flowloom.plans.lineage import as_table
 
 MAX_PORT = 65_535
+TOTALS = ("flows", "pkts", "bytes")
 SHIPPED_RULES = Path(__file__).resolve().parent.parent / "rules" / "detection_rules.txt"
 
 
@@ -168,14 +170,16 @@ def _by_rule(values: list) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("rule_id") + 1)
 
 
-def matched(flows: DataFrame, rules: list[Rule]) -> DataFrame:
+def matched(flows: DataFrame, rules: list[Rule], returned: bool = False) -> DataFrame:
     """A row per flow and rule it matches, with the rule's bin, group key and sort key.
 
     Flows that match nothing, which are nearly all, end here.  Key fields that
-    a rule does not group by are null.
+    a rule does not group by are null.  With ``returned`` the fields that rules
+    return beside keys and totals come along, as ``ret_`` columns.
     """
     keys = list(dict.fromkeys(k for r in rules for k in r.group_by))
     sorts = list(dict.fromkeys(k for r in rules for k in r.sort_by if r.unique))
+    others = list(dict.fromkeys(k for r in rules for k in _beside_keys(r))) if returned else []
     hits = _hits(flows, rules)
     bins = list({r.bin_s for r in rules})
     start = F
@@ -186,13 +190,19 @@ def matched(flows: DataFrame, rules: list[Rule]) -> DataFrame:
         *[F.when(_by_rule([k in r.group_by for r in rules]), flow_field(k)).alias(f"key_{k}") for k in keys],
         *[F.when(_by_rule([r.unique and k in r.sort_by for r in rules]), flow_field(k)).alias(f"sort_{k}")
           for k in sorts],
+        *[F.when(_by_rule([k in _beside_keys(r) for r in rules]), flow_field(k)).alias(f"ret_{k}") for k in others],
         F.col("dpkts").alias("pkts"), F.col("doctets").alias("bytes"),
     )
 
 
-def partial_groups(hits: DataFrame) -> DataFrame:
-    """Sums per rule, bin, key and sort key: these add up over any pieces of the input."""
-    names = [c for c in hits.columns if c not in ("pkts", "bytes", "n")]
+def _beside_keys(rule: Rule) -> list[str]:
+    """Fields a rule returns that are neither its keys nor totals."""
+    return [n for n in rule.returned if n not in rule.group_by and n not in TOTALS]
+
+
+def partial_groups(hits: DataFrame, returned: bool = False) -> DataFrame:
+    """Sums per rule, bin, key and sort key (and returned fields): these add up over any pieces of the input."""
+    names = [c for c in hits.columns if c not in ("pkts", "bytes", "n") and (returned or not c.startswith("ret_"))]
     n = F.sum("n") if "n" in hits.columns else F.count("*")
     return hits.groupBy(*names).agg(n.alias("n"), F.sum("pkts").alias("pkts"), F.sum("bytes").alias("bytes"))
 
@@ -231,24 +241,32 @@ def detect(flows: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     return final_groups(partial_groups(matched(flows, rules)), rules)
 
 
-def returned_rows(flows: DataFrame, rule: Rule) -> DataFrame:
-    """The returned fields of a rule, per bin, for the groups it reports.
+def detect_returned(flows: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+    """What the rules declare to return, for every group they report.
 
-    Fields that are keys or totals come from the report itself; where a rule
-    returns other fields, the flows of the reported groups are looked up.
+    One scan finds the combinations of keys and returned fields and their sums;
+    groups are summed and tested from these, and meet them again, not the flows.
+    A row has the rule, the bin, all key fields, totals and returned fields of
+    any rule; those a rule does not have are null.
     """
-    reported = detect(flows, [rule])
-    if set(rule.returned) <= set(reported.columns):
-        return reported.select("bin_start", *rule.returned)
-    keys = list(rule.group_by)
-    totals = [n for n in rule.returned if n not in keys and n in ("flows", "pkts", "bytes")]
-    fields = dict.fromkeys([*keys, *(n for n in rule.returned if n not in totals)])
-    members = flows.where(rule.matches()).select(
-        bucket_s(F.col("first_us"), rule.bin_s).alias("bin_start"), *[flow_field(n).alias(n) for n in fields])
-    return (
-        members.distinct().join(reported.select("bin_start", *keys, *totals), ["bin_start", *keys])
-        .select("bin_start", *rule.returned).distinct()
-    )
+    rules = load_rules() if rules is None else rules
+    combined = as_table(partial_groups(matched(flows, rules, returned=True), returned=True), "rule-groups")
+    reports = final_groups(partial_groups(combined), rules)
+    others = [c for c in combined.columns if c.startswith("ret_")]
+    keys = [c for c in combined.columns if c.startswith("key_")]
+    found = combined.select(_by_rule([r.name for r in rules]).alias("name"), F.col("bin_start").alias("bin"),
+                            *keys, *others).distinct()
+    same = (F.col("rule") == F.col("name")) & (F.col("bin_start") == F.col("bin"))
+    for key in keys:
+        same &= F.col(key).eqNullSafe(reports[key.removeprefix("key_")])
+    return reports.join(found, same).select(*reports.columns, *others)
+
+
+def returned_rows(flows: DataFrame, rule: Rule) -> DataFrame:
+    """The returned fields of a rule, per bin, for the groups it reports."""
+    rows = detect_returned(flows, [rule])
+    return rows.select("bin_start", *[
+        F.col(f"ret_{n}" if n in _beside_keys(rule) else n).alias(n) for n in rule.returned]).distinct()
 
 
 # Field names of the older rule syntax -> short field names.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 # Fixed value: the first line of a job-history file.
 HISTORY_HEADING = "Avro-Json"
@@ -12,8 +13,13 @@ _HISTORY = f"type string, attemptId string, time_ms long, event map<string, stru
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str, schema: str, header: bool = False) -> DataFrame:
-    """Rows of delimited text; malformed lines are dropped."""
-    return spark.read.csv(path, sep=sep, schema=schema, header=header, mode="DROPMALFORMED")
+    """Rows of delimited text; malformed lines are dropped, whichever columns are used later."""
+    whole = StructType(_parse_datatype_string(schema).fields + [StructField("_malformed", StringType())])
+    rows = spark.read.option("columnPruning", "false").csv(
+        path, sep=sep, schema=whole, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="_malformed")
+    names = [field.name for field in whole.fields[:-1]]
+    # The hash (never below the least long) makes every column needed: Spark reads no file for the mark alone.
+    return rows.where(F.col("_malformed").isNull() & (F.xxhash64(*names) >= F.lit(-2**63))).select(*names)
 
 
 def write_text(df: DataFrame, path: str, sep: str = "|", mode: str = "overwrite") -> None:

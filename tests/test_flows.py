@@ -1,5 +1,7 @@
 """Flow operators, address checks and text jobs on small inputs."""
 
+import random
+
 from flowloom.functions.net import parse_ip
 from flowloom.operators import anomaly, flows, text
 from flowloom.sources.text import read_delimited, read_job_history, write_text
@@ -33,6 +35,18 @@ def test_spoof_takes_the_longest_network(spark):
     assert spoofed(spark, rows, []) == [1, 2, 3, 4, 5, 6]
 
 
+def test_spoof_gives_the_same_rows_either_way(spark):
+    rng = random.Random(2)
+    networks = [("x", rng.randrange(4), rng.randrange(256) << 24 | rng.randrange(4) << 16, rng.choice([8, 14, 16, 24, 32]))
+                for _ in range(300)] + [("x", 1, None, 8), ("x", 1, 5, None), ("x", None, NET("9.0.0.0"), 8)]
+    rows = [dict(src_addr=rng.choice([None, rng.randrange(256) << 24 | rng.randrange(4) << 16]),
+                 src_as=rng.choice([None, 0, 1, 2, 3]), first_us=i) for i in range(400)]
+    rows += [dict(src_addr=NET("10.0.0.1"), src_as=77, first_us=1000 + i) for i in range(300)]  # one busy source
+    got = spoofed(spark, rows, networks)
+    assert got == spoofed(spark, rows, networks, broadcast_rows=0) and 300 < len(got) < 700
+    assert {i for i, r in enumerate(rows) if r["src_addr"] is None or r["src_as"] is None} <= set(got)
+
+
 def test_scan_counts_distinct_ports_above_the_threshold(spark):
     rows = [dict(dst_port=i % 11, first_us=100 - i) for i in range(50)] + [dict(src_addr=5, dst_port=i) for i in range(10)]
     got = [tuple(r) for r in flows.scan(flow_rows(spark, rows)).collect()]
@@ -108,6 +122,8 @@ def test_delimited_text_round_trip(spark, tmp_path):
     assert sorted(read_delimited(spark, str(tmp_path / "out"), "|", "k string, n int").collect()) == sorted(df.collect())
     (tmp_path / "bad").write_text("a|1\nb|x\nc|3\n")
     assert sorted(r.k for r in read_delimited(spark, str(tmp_path / "bad"), "|", "k string, n int").collect()) == ["a", "c"]
+    bad = read_delimited(spark, str(tmp_path / "bad"), "|", "k string, n int")
+    assert bad.count() == len(bad.collect()) == len(bad.select("k").collect()) == len(bad.select("n").collect()) == 2
 
 
 def test_intervals_restart_every_fifteen_seconds(spark):

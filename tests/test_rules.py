@@ -140,3 +140,14 @@ def test_returned_fields(spark):
     assert sorted(tuple(r) for r in rules.returned_rows(df, plain).collect()) == [(0, 8, 3), (0, 9, 1)]
     got = sorted(tuple(r) for r in rules.returned_rows(df, flood).collect())
     assert got == [(0, 8, port, 2, 80) for port in range(3)]
+
+
+def test_all_rules_return_their_fields_and_null_keys_stay(spark):
+    rows = [dict(src_addr=None, src_port=i, first_us=1) for i in range(3)] + [dict(src_addr=9, src_port=5, prot=17)]
+    chosen = rules.load_rules("flood;300;prot=6;sip;sport;unique;flows=3-;sip,sport\nany;300;prot=17;sip,dip;dip;count;null;dip,prot,flows")
+    df = flow_rows(spark, rows)
+    assert {(r.rule, r.sip) for r in rules.detect(df, chosen).collect()} == {("flood", None), ("any", 9)}
+    got = rules.detect_returned(df, chosen).select("rule", "sip", "dip", "flows", "ret_sport", "ret_prot")
+    assert {tuple(r) for r in got.collect()} == {
+        *(("flood", None, None, 3, port, None) for port in range(3)), ("any", 9, 2, 1, None, 17)}
+    assert {tuple(r) for r in rules.returned_rows(df, chosen[0]).collect()} == {(0, None, port) for port in range(3)}
