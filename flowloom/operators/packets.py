@@ -27,7 +27,7 @@ def family(packets: DataFrame) -> Column:
     version = F.col("ip_version")
     return (
         F.when((eth == ETH_IPV4) & (version == 4), "IPv4")
-        .when((eth == ETH_IPV6) | (eth == ETH_IPV4), "IPv6")
+        .when((eth == ETH_IPV6) | ((eth == ETH_IPV4) & (version == 6)), "IPv6")
         .otherwise("non-IP")
     )
 

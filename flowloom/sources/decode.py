@@ -37,7 +37,7 @@ def decode_packets(raw: DataFrame, min_record: int = MIN_RECORD) -> DataFrame:
     is_ip = F.col("eth_type").isin(ETH_IPV4, ETH_IPV6)
     step = step.withColumn("ip_version", F.when(is_ip, F.shiftright(first, 4)).cast("int"))
     v4 = (F.col("eth_type") == ETH_IPV4) & (F.col("ip_version") == 4)
-    v6 = is_ip & ~v4
+    v6 = (F.col("eth_type") == ETH_IPV6) | ((F.col("eth_type") == ETH_IPV4) & (F.col("ip_version") == 6))
     ipv6_len = header("w_eth", ETH_TYPE, IPV6_LEN, 2)
     step = step.withColumns({
         "ihl": F.when(v4, first.bitwiseAND(15) * 4).cast("int"),

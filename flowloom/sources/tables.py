@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from flowloom.functions.net import ip_text
 from flowloom.operators.flows import FAN_OUT, fan_out
+from flowloom.plans.lineage import as_table
 
 _SUMS = "octets BIGINT, pkts BIGINT, flows BIGINT"
 _DAY = ("area", "month", "ds")
@@ -86,14 +89,29 @@ def write_partitions(df: DataFrame, path: str, spread: tuple[str, ...] | None =
        .partitionBy(*partition).parquet(path))
 
 
-def read_partitions(spark: SparkSession, path: str, **partition: str) -> DataFrame:
+def read_partitions(spark: SparkSession, path: str, columns: str | StructType | None = None,
+                    only: list[dict[str, str]] | None = None, **partition: str) -> DataFrame:
     """Rows written by ``write_partitions``, with the given types for the partition columns.
 
     Left to inference a period such as ``0005`` would come back as the number 5.
+    With ``columns``, the other columns' types, nothing is inferred and a path
+    where nothing has been written yet has no rows. ``only`` names partitions by
+    their leading columns: just their folders are listed.
     """
-    found = spark.read.parquet(path)
-    schema = ", ".join(f"`{name}` {partition.get(name, kind)}" for name, kind in found.dtypes)
-    return spark.read.schema(schema).parquet(path)
+    if columns is None:
+        found = spark.read.parquet(path)
+        schema = ", ".join(f"`{name}` {partition.get(name, kind)}" for name, kind in found.dtypes)
+        return spark.read.schema(schema).parquet(path)
+    fields = columns.fields if isinstance(columns, StructType) else _parse_datatype_string(columns).fields
+    parts = [StructField(name, _parse_datatype_string(kind)) for name, kind in partition.items()]
+    schema = StructType([*(f for f in fields if f.name not in partition), *parts])
+    folders = [path] if only is None else [
+        "/".join([path, *(f"{name}={value}" for name, value in part.items())]) for part in only]
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(*folders) if folders else (
+            spark.createDataFrame([], schema))
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
 
 
 def load_partition(df: DataFrame, table: str, mode: str = "append", **partition: str) -> None:
@@ -135,9 +153,17 @@ def daily_flow_rows(flows: DataFrame) -> DataFrame:
 def load_reports(stats: DataFrame, db: str, area: str, ds: str, ts: str) -> None:
     """Fills the eight report tables from one period's statistics.
 
-    The statistics are one scan of the flows; they are read from the loaded
-    ``flowstats`` partition, so the flows are not aggregated again per table.
+    The statistics are written once and read from there for all tables. A period
+    that is loaded again replaces its rows; the day's other periods stay.
     """
+    spark = stats.sparkSession
+    kept = as_table(stats, "period-stats")
     for report in FAN_OUT:
-        rows = fan_out(stats, report).withColumn("ts", F.lit(ts))
-        load_partition(rows, f"{db}.{report}", area=area, month=ds[:7], ds=ds)
+        new = fan_out(kept, report).withColumn("ts", F.lit(ts))
+        table = spark.table(f"{db}.{report}")
+        day = table.where((F.col("area") == area) & (F.col("month") == ds[:7]) & (F.col("ds") == ds))
+        names = [c for c in table.columns if c not in _DAY]
+        # A table can't be read and overwritten at once, so the day goes by way of a file.
+        rows = as_table(day.where(F.col("ts") != ts).select(*names).unionByName(
+            new.select(*[F.col(c).cast(table.schema[c].dataType) for c in names])), "report-day")
+        load_partition(rows, f"{db}.{report}", mode="overwrite", area=area, month=ds[:7], ds=ds)

@@ -13,9 +13,14 @@ from flowloom.functions.net import date_label
 from flowloom.operators import rules as rule_ops
 from flowloom.operators.anomaly import spoofs
 from flowloom.operators.flows import flow_print, flowstats, scan
-from flowloom.sources.tables import read_partitions, write_partitions
+from flowloom.plans.lineage import as_table
+from flowloom.sources.tables import load_reports, read_partitions, write_partitions
 
 PERIOD_S = 300
+SPREAD = 16
+STATS_COLUMNS = "type string, aggr_key string, octets bigint, pkts bigint, flows bigint"
+FLOW_COLUMNS = ("src_addr long, dst_addr long, src_port int, dst_port int, prot int, dpkts long, doctets long, "
+                "tcp_flags int, src_as int, dst_as int, src_mask int, dst_mask int, first_us long")
 PERIOD_TYPES = {"area": "string", "ds": "string", "ts": "string", "batch": "bigint"}
 BIN_TYPES = {"day": "string", "batch": "bigint"}
 
@@ -27,47 +32,72 @@ def with_period(flows: DataFrame, time: str = "first_us", ds_format: str = "yyyy
     return flows.withColumns({"ds": date_label(start, ds_format), "ts": date_label(start, ts_format)})
 
 
-def load_period(root: str, area: str, threshold: int = 10, registry: DataFrame | None = None, **period):
+def _touched(rows: DataFrame, *names: str, **fixed: str) -> list[dict[str, str]]:
+    """The partitions that rows are in: a batch has few, as it is a few minutes of traffic."""
+    return [fixed | row.asDict() for row in rows.select(*names).distinct().collect()]
+
+
+def load_period(root: str, area: str, threshold: int = 10, registry: DataFrame | None = None,
+                reports: str | None = None, **period):
     """Micro-batch writer: printed flows, then their statistics, port scans and, with a registry, spoofs.
 
-    The batch is decoded once, into the table of flows; the rest reads that
-    table back, and of it only the columns it needs.
+    ``reports`` names a database whose eight report tables get the touched periods, as they are now.
+
+    The batch goes into the table of flows, unsorted between tasks, so it is decoded
+    once; the rest reads the touched periods of that table back, and of them only
+    the columns it needs. A batch without flows does nothing.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Sorted by period first, as the partitioned writer wants it: files keep the flow order.
-        printed = flow_print(with_period(batch, **period), ("ds", "ts"))
-        write_partitions(printed, f"{root}/daily_flows", area=area, ds=None, ts=None, batch=str(batch_id))
-        every = read_partitions(batch.sparkSession, f"{root}/daily_flows", **PERIOD_TYPES).where(
-            F.col("area") == area)
-        loaded = every.where(F.col("batch") == batch_id)
-        stats = flowstats(loaded, by=["ds", "ts"])
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
         parts = dict(area=area, ds=None, ts=None, batch=str(batch_id))
-        write_partitions(stats, f"{root}/flowstats", ("type", "aggr_key"), **parts)
+        printed = with_period(batch, **period)
+        write_partitions(printed.repartition("ds", "ts", F.pmod(F.xxhash64("src_addr", "dst_addr"), F.lit(SPREAD))),
+                         f"{root}/daily_flows", **parts)
+        # The folders of this batch are those its rows name.
+        periods = _touched(printed, "ds", "ts", area=area)
+        every = read_partitions(spark, f"{root}/daily_flows", printed.schema, periods, **PERIOD_TYPES)
+        loaded = every.where(F.col("batch") == batch_id)
+        write_partitions(flowstats(loaded, by=["ds", "ts"]), f"{root}/flowstats", ("type", "aggr_key"), **parts)
         # Distinct ports do not add up over batches: a period that came in pieces is
         # looked at again as a whole, and its new result replaces the old one.
-        touched = loaded.select("ds", "ts").distinct()
-        scans = scan(every.join(touched, ["ds", "ts"], "left_semi"), threshold, ("ds", "ts"))
-        write_partitions(scans, f"{root}/scan", ("src_addr", "dst_addr"), area=area, ds=None, ts=None)
+        write_partitions(scan(every, threshold, ("ds", "ts")), f"{root}/scan", ("src_addr", "dst_addr"),
+                         area=area, ds=None, ts=None)
+        if reports is not None:
+            stats = as_table(flowstats(every, by=["ds", "ts"]), "touched-stats")
+            for part in periods:
+                of_period = stats.where((F.col("ds") == part["ds"]) & (F.col("ts") == part["ts"])).drop("ds", "ts")
+                load_reports(of_period, reports, area, part["ds"], part["ts"])
         if registry is not None:
             found = spoofs(loaded, registry, by=("ds", "ts"))
             write_partitions(found, f"{root}/spoofs", ("src_addr", "first_us"), **parts)
     return write
 
 
-def start_monitor(flows: DataFrame, root: str, area: str, trigger: dict | None = None,
-                  threshold: int = 10, registry: DataFrame | None = None, **period):
+def start_monitor(flows: DataFrame, root: str, area: str, trigger: dict | None = None, threshold: int = 10,
+                  registry: DataFrame | None = None, reports: str | None = None, **period):
     """Starts the monitor over a stream of flows; ``trigger`` defaults to every five minutes."""
     return (
-        flows.writeStream.foreachBatch(load_period(root, area, threshold, registry, **period))
+        flows.writeStream.foreachBatch(load_period(root, area, threshold, registry, reports, **period))
         .option("checkpointLocation", f"{root}/_checkpoint")
         .trigger(**(trigger or {"processingTime": "5 minutes"})).start()
     )
 
 
+def monitored_flows(spark: SparkSession, root: str, **period: str) -> DataFrame:
+    """The loaded flows, those of a period (``area``, ``ds``, ``ts``) in printing order."""
+    rows = read_partitions(spark, f"{root}/daily_flows", **PERIOD_TYPES)
+    for name, value in period.items():
+        rows = rows.where(F.col(name) == value)
+    return flow_print(rows, ("ds", "ts"))
+
+
 def monitored_stats(spark: SparkSession, root: str, by: list[str] | None = None) -> DataFrame:
     """Statistics over everything the monitor has loaded."""
     return (
-        read_partitions(spark, f"{root}/flowstats", **PERIOD_TYPES).groupBy(*(by or []), "type", "aggr_key")
+        read_partitions(spark, f"{root}/flowstats", STATS_COLUMNS, **PERIOD_TYPES)
+        .groupBy(*(by or []), "type", "aggr_key")
         .agg(F.sum("octets").alias("octets"), F.sum("pkts").alias("pkts"), F.sum("flows").alias("flows"))
     )
 
@@ -75,22 +105,38 @@ def monitored_stats(spark: SparkSession, root: str, by: list[str] | None = None)
 def detect_batch(root: str, rules: list[rule_ops.Rule], day_format: str = "yyyy-MM-dd"):
     """Micro-batch writer: partial groups of the batch, then reports for the bins it touched.
 
-    Late flows are counted whenever they come: their bin is evaluated again.
+    Late flows are counted whenever they come: their bin is evaluated again, and
+    the newest evaluation of a bin is the one that counts. A batch that matches
+    no rule does nothing.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         day = date_label(F.col("bin_start") * 1_000_000, day_format)
-        partial = rule_ops.partial_groups(rule_ops.matched(batch, rules)).withColumn("day", day)
+        partial = as_table(rule_ops.partial_groups(rule_ops.matched(batch, rules)).withColumn("day", day), "batch-groups")
+        if partial.isEmpty():
+            return
         keys = [c for c in partial.columns if c.startswith(("key_", "sort_"))]
         write_partitions(partial, f"{root}/groups", ("bin_start", "rule_id", *keys), day=None, batch=str(batch_id))
-        groups = read_partitions(spark, f"{root}/groups", **BIN_TYPES)
-        touched = groups.where(F.col("batch") == batch_id).select("day", "bin_start").distinct()
+        groups = read_partitions(spark, f"{root}/groups", partial.schema, _touched(partial, "day"), **BIN_TYPES)
+        touched = partial.select("day", "bin_start").distinct()
         again = groups.join(touched, ["day", "bin_start"], "left_semi").drop("day", "batch")
         reports = rule_ops.final_groups(rule_ops.partial_groups(again), rules)
         write_partitions(reports, f"{root}/reports", batch=str(batch_id))
+        write_partitions(touched.select("bin_start"), f"{root}/evaluated", ("bin_start",), batch=str(batch_id))
     return write
 
 
+def reported(spark: SparkSession, root: str, rules: list[rule_ops.Rule]) -> DataFrame:
+    """The reports that stand: for each bin those of the newest batch that evaluated it."""
+    newest = read_partitions(spark, f"{root}/evaluated", "bin_start bigint", batch="bigint").groupBy(
+        F.col("bin_start").alias("bin")).agg(F.max("batch").alias("newest"))
+    empty = rule_ops.final_groups(rule_ops.partial_groups(rule_ops.matched(
+        spark.createDataFrame([], FLOW_COLUMNS), rules)), rules)
+    reports = read_partitions(spark, f"{root}/reports", empty.schema, batch="bigint")
+    return reports.join(newest, (F.col("bin_start") == F.col("bin")) & (F.col("batch") == F.col("newest"))).select(
+        *empty.columns)
+
+
 def start_detection(flows: DataFrame, root: str, rules: list[rule_ops.Rule] | None = None,
                     trigger: dict | None = None, day_format: str = "yyyy-MM-dd"):
     """Starts rule detection over a stream of flows."""
@@ -102,29 +148,22 @@ def start_detection(flows: DataFrame, root: str, rules: list[rule_ops.Rule] | No
     )
 
 
-def detected(spark: SparkSession, root: str, rules: list[rule_ops.Rule]) -> DataFrame:
-    """Reports over everything seen so far."""
-    groups = read_partitions(spark, f"{root}/groups", **BIN_TYPES).drop("day", "batch")
-    return rule_ops.final_groups(rule_ops.partial_groups(groups), rules)
-
-
-def replay(stream: DataFrame, root: str) -> DataFrame:
-    """Runs an aggregated stream over what is there now and returns its whole result.
+def append_all(make, rows: DataFrame, closing: DataFrame, root: str, files: int = 3) -> DataFrame:
+    """Runs ``make``, a function from a stream of rows to an aggregated stream, over rows that come in
+    ``files`` micro-batches, in append mode; returns what was appended.
 
-    The result is written as Parquet after each micro-batch; the last one counts.
+    ``closing`` has a row whose time is past all windows. It comes last and on its
+    own, moves the watermark on, and so closes every window of the rows.
     """
-    last = {}
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/result/{batch_id}")
-        last["path"] = f"{root}/result/{batch_id}"
-
-    query = (
-        stream.writeStream.outputMode("complete").foreachBatch(write)
-        .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    spark = stream.sparkSession
-    if "path" not in last:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.parquet(last["path"])
+    spark = rows.sparkSession
+    rows.repartition(files).write.parquet(f"{root}/in/rows")
+
+    def run():
+        stream = make(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option(
+            "recursiveFileLookup", "true").parquet(f"{root}/in"))
+        (stream.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start().awaitTermination())
+        return stream.schema
+    run()
+    closing.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema]).coalesce(1).write.parquet(f"{root}/in/closing")
+    return spark.read.schema(run()).parquet(f"{root}/out")

@@ -69,8 +69,9 @@ def test_rate_stream_equals_batch_out_of_order(spark, tmp_path):
     rng = random.Random(6)
     rows = [p(i, rng.randrange(400) * US + i, eth=rng.choice([2048, 0x86DD, 0x0806])) for i in range(200)]
     df = packet_rows(spark, rows)
-    stream = windows.rate_stream(drip(spark, df, tmp_path / "in"))
-    assert rows_of(monitor.replay(stream, str(tmp_path / "out"))) == rows_of(packet_ops.rate(df))
+    closing = packet_rows(spark, [p(999, 10**6 * US)])
+    got = monitor.append_all(windows.rate_stream, df, closing, str(tmp_path / "run"))
+    assert rows_of(got) == rows_of(packet_ops.rate(df))
 
 
 def test_watermark_closes_windows_in_append_mode(spark, tmp_path):
@@ -105,10 +106,35 @@ def test_detection_stream_equals_batch(spark, tmp_path):
     root = str(tmp_path / "out")
     monitor.start_detection(drip(spark, df, tmp_path / "in", 4), root, chosen, NOW).awaitTermination()
     want = rows_of(rules.detect(df, chosen))
-    assert want and rows_of(monitor.detected(spark, root, chosen)) == want
-    # The reports of the last batches, per bin, are the reports of the whole input.
-    reports = spark.read.parquet(f"{root}/reports").drop("batch").distinct()
-    assert set(want) <= set(rows_of(reports))
+    assert want and rows_of(monitor.reported(spark, root, chosen)) == want
+
+
+def test_reports_change_with_late_flows_and_stand_once(spark, tmp_path):
+    few = rules.load_rules("few;300;prot=6;sip;dip;count;flows=1-2;sip\nmany;300;prot=6;sip;dip;count;flows=3-;sip")
+    write, root = monitor.detect_batch(str(tmp_path / "out"), few), str(tmp_path / "out")
+    assert monitor.reported(spark, root, few).collect() == []
+    parts = [flow_rows(spark, [dict(src_addr=a, first_us=t * US) for a, t in rows])
+             for rows in ([(1, 0), (2, 0)], [], [(1, 5), (1, 9), (3, 900)], [(2, 7)])]
+    udp = flow_rows(spark, [dict(prot=17)])
+    for batch_id, part in enumerate([udp, *parts]):
+        write(part, batch_id)
+    write(parts[-1], 4)  # the last batch again
+    every = flow_rows(spark, [dict(src_addr=a, first_us=t * US) for a, t in [
+        (1, 0), (2, 0), (1, 5), (1, 9), (3, 900), (2, 7)]])
+    want = rows_of(rules.detect(every, few))
+    assert len(want) == 3 and rows_of(monitor.reported(spark, root, few)) == want
+
+
+def test_batches_without_flows_do_nothing(spark, tmp_path):
+    root, write = str(tmp_path / "out"), monitor.load_period(str(tmp_path / "out"), "x")
+    write(flow_rows(spark, []), 0)
+    assert monitor.monitored_stats(spark, root).collect() == []
+    df = some_flows(spark, 50)
+    write(df, 1)
+    write(flow_rows(spark, []), 2)
+    assert rows_of(monitor.monitored_stats(spark, root)) == rows_of(flowstats(df))
+    printed = monitor.monitored_flows(spark, root, area="x")
+    assert printed.count() == 50
 
 
 def test_captured_exports_through_the_monitor(spark, tmp_path):

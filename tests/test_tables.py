@@ -49,6 +49,14 @@ def test_reports_are_filled_from_the_statistics(spark, db):
     assert spark.table(f"{db}.asegress").count() == 1
 
 
+def test_reports_of_a_period_may_be_loaded_again(spark, db):
+    stats = flowstats(flow_rows(spark, [dict(), dict(dst_port=443)]))
+    for ts in ("0000", "0005", "0000"):
+        tables.load_reports(stats, db, "y", "2024-01-03", ts)
+    rows = spark.table(f"{db}.portingress").where("area = 'y'").select("ts", "port", "flows").collect()
+    assert sorted(map(tuple, rows)) == [(ts, port, 1) for ts in ("0000", "0005") for port in ("443", "80")]
+
+
 def test_write_partitions_replaces_what_appears(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "n int, k string")
