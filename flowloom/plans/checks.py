@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from flowloom.operators import rules
+from flowloom.operators.flows import FAN_OUT
 from flowloom.plans import queries as q
 from flowloom.plans.views import check_text
 
@@ -94,6 +95,47 @@ _FLOWSTATS = " UNION ALL ".join(
     f"SELECT '{name}' AS type, {key} AS aggr_key, {_STAT_SUMS} FROM flows GROUP BY 2"
     for name, key in _STAT_KEYS.items())
 
+_PERIODS = f"""WITH timed AS (
+      SELECT *, {q.HOUR_US} + ((first_us // 86400000000) % 24) // 2 * 300000000 AS start FROM flows),
+    dated AS (SELECT *, strftime(make_timestamp(start), '%Y-%m-%d') AS ds, strftime(make_timestamp(start), '%H%M') AS ts
+      FROM timed) """ + " UNION ALL ".join(
+    f"SELECT ds, ts, '{name}' AS type, {key} AS aggr_key, {_STAT_SUMS} FROM dated GROUP BY 1, 2, 4"
+    for name, key in _STAT_KEYS.items())
+
+_REPORT_TABLES = " UNION ALL ".join(
+    f"""SELECT '{table}' AS report, '2024-01-01' AS ds, CASE WHEN first_us // 86400000000 % 2 = 0 THEN '0000' ELSE '0005'
+      END AS ts, {_STAT_KEYS[kind] if key else 'CAST(NULL AS VARCHAR)'} AS key, {_STAT_SUMS} FROM flows GROUP BY ALL"""
+    for table, (kind, key) in FAN_OUT.items())
+
+_SPOOF = """WITH nets AS (
+      SELECT DISTINCT prefix >> (32 - mask) AS net, mask, asn FROM mixed WHERE prefix IS NOT NULL AND mask IS NOT NULL),
+    best AS (
+      SELECT src_addr, MAX(mask) AS mask FROM (SELECT DISTINCT src_addr FROM flows)
+      JOIN nets ON src_addr >> (32 - mask) = net GROUP BY 1),
+    known AS (
+      SELECT DISTINCT src_addr, asn FROM best JOIN nets ON best.mask = nets.mask AND src_addr >> (32 - nets.mask) = net)
+    SELECT flows.src_addr, dst_addr, first_us, src_as FROM flows
+    LEFT JOIN known ON flows.src_addr = known.src_addr AND src_as = asn WHERE asn IS NULL"""
+
+_ALL_RETURNED = """WITH a AS (
+      SELECT first_us // 2592000000000 * 2592000 AS bin_start, src_addr AS sip, dst_addr AS dip,
+        CAST(src_port AS BIGINT) AS ret_sport, CAST(dst_port AS BIGINT) AS ret_dport, dpkts, doctets
+      FROM flows WHERE prot = 6 AND tcp_flags & 19 = 2),
+    b AS (
+      SELECT first_us // 300000000 * 300 AS bin_start, src_addr AS sip, dst_addr AS dip,
+        CAST(prot AS BIGINT) AS ret_prot, dpkts, doctets FROM flows WHERE doctets >= 1000),
+    groups_a AS (
+      SELECT bin_start, sip, dip, COUNT(*) AS flows, CAST(SUM(dpkts) AS BIGINT) AS pkts,
+        CAST(SUM(doctets) AS BIGINT) AS bytes FROM a GROUP BY 1, 2, 3 HAVING COUNT(*) >= 2),
+    groups_b AS (
+      SELECT bin_start, dip, COUNT(DISTINCT sip) AS flows, CAST(SUM(dpkts) AS BIGINT) AS pkts,
+        CAST(SUM(doctets) AS BIGINT) AS bytes FROM b GROUP BY 1, 2 HAVING COUNT(DISTINCT sip) >= 2)
+    SELECT DISTINCT 'synflood' AS rule, g.*, ret_sport, ret_dport, NULL AS ret_prot
+    FROM groups_a g JOIN a ON a.bin_start = g.bin_start AND a.sip = g.sip AND a.dip = g.dip
+    UNION ALL
+    SELECT DISTINCT 'big', g.bin_start, NULL, g.dip, flows, pkts, bytes, NULL, NULL, ret_prot
+    FROM groups_b g JOIN b ON b.bin_start = g.bin_start AND b.dip = g.dip"""
+
 _REPORTS = {
     "totalvolume": ("totalVolume", None), "totalprotocol": ("totalProtocol", "protocol"),
     "portegress": ("srcPort", "port"), "portingress": ("dstPort", "port"),
@@ -157,6 +199,11 @@ _FLOW_FIELDS = f"""SELECT src_addr, dst_addr, src_port, dst_port, prot, dpkts, d
     CAST((tcp_flags & 16) // 16 AS INT) AS ack, CAST(tcp_flags & 1 AS INT) AS fin,
     {_net('src_addr', 'src_mask')} AS src_subnet FROM flows"""
 
+# Fields of a record that the flows have no value for are written as zero, and a flow ends when it starts.
+_RECORD_FIELDS = f"""SELECT f.*, first_us AS last_us, 0::BIGINT AS nexthop, 1::BIGINT AS flows,
+    {_net('dst_addr', 'dst_mask')} AS dst_subnet, {', '.join(f'0 AS {n}' for n in ('input', 'output', 'tos', 'pad1', 'pad2'))}
+    FROM ({_FLOW_FIELDS}) f"""
+
 # The rules once more as SQL, written from the parsed rules: one SELECT per rule.
 _RULE_FIELDS = {
     "sip": "src_addr", "dip": "dst_addr", "sport": "src_port", "dport": "dst_port", "prot": "prot",
@@ -222,8 +269,8 @@ def checks() -> dict[str, str]:
               {', '.join(f'CASE WHEN {_V4} THEN {c} END AS {c}' for c in _TUPLE.split(', '))} FROM packets"""),
         "capture_range": _over("packets", f"""
             SELECT * FROM packets WHERE ts_us >= {begin - day} AND ts_us <= {end + day}"""),
-        "netflow_decode": _over("flows", _FLOW_FIELDS),
-        "flowtools_decode": _over("flows", _FLOW_FIELDS),
+        "netflow_decode": _over("flows", _RECORD_FIELDS),
+        "flowtools_decode": _over("flows", _RECORD_FIELDS),
         "flow_print": _over("flows", _FLOW_FIELDS),
         "flow_partitions": _over("flows", """
             SELECT 'backbone' AS area, strftime(make_timestamp(first_us), '%Y-%m') AS month, COUNT(*) AS flows,
@@ -319,6 +366,8 @@ def checks() -> dict[str, str]:
         "spoof": _over("flows", f"""WITH registry AS ({check_text('registry')})
             SELECT src_addr, dst_addr, first_us, src_as FROM flows LEFT JOIN registry ON src_addr = prefix
             WHERE prefix IS NULL OR asn <> src_as"""),
+        "spoof_masks": _over("flows", _SPOOF.replace("FROM mixed", f"FROM ({check_text('mixed_registry')})")),
+        "spoof_large": _over("flows", _SPOOF.replace("FROM mixed", f"FROM ({check_text('mixed_registry')})")),
         "active_ips": _over("flows", f"""
             SELECT DISTINCT addr FROM ({both}) WHERE addr >= {_LOW} AND addr <= {_HIGH}"""),
         "active_ip_count": _over("flows", f"""
@@ -338,6 +387,7 @@ def checks() -> dict[str, str]:
             SELECT DISTINCT bin_start, sip, sport, dip, dport FROM members
             WHERE (bin_start, sip, dip) IN (
               SELECT (bin_start, sip, dip) FROM members GROUP BY bin_start, sip, dip HAVING COUNT(*) >= 2)"""),
+        "detect_all_returned": _over("flows", _ALL_RETURNED),
         "flow_key_list": _over("flows", f"""
             SELECT CAST(prot AS BIGINT) AS prot, CAST((tcp_flags >> 4) & 1 AS BIGINT) AS ack,
               CAST(dst_as AS BIGINT) AS das, {_STAT_SUMS} FROM flows GROUP BY 1, 2, 3"""),
@@ -376,6 +426,11 @@ def checks() -> dict[str, str]:
               ROUND(STDDEV_SAMP(gap_s), 6) AS gap_s_sd, ROUND(STDDEV_POP(gap_s), 6) AS gap_s_sd_mle
             FROM training WHERE label IS NOT NULL AND gap_s IS NOT NULL GROUP BY 1"""),
         "stream_flowstats": _over("flows", _FLOWSTATS),
+        "report_tables": _over("flows", _REPORT_TABLES),
+        "flow_periods": _over("flows", _PERIODS.split(" SELECT ds, ts, '")[0] + """
+            SELECT 'backbone' AS area, ds, ts, COUNT(*) AS flows, CAST(SUM(doctets) AS BIGINT) AS octets,
+              CAST(SUM(dpkts) AS BIGINT) AS pkts FROM dated GROUP BY ds, ts"""),
+        "stream_periods": _over("flows", _PERIODS),
         "stream_rate": _over("packets", _RATE),
         "stream_usage": _over("usage_samples", _USAGE),
         "stream_detect": _detect(q.PATTERN_RULES),

@@ -5,20 +5,21 @@ cut into time chunks: the lag runs inside (flow, chunk), and the gap at the
 start of a chunk comes from a second lag over one summary row per chunk.  The
 gaps are the same for any cut.
 
-A chunk is a minute, which nearly all flows fill with few packets.  Where a
-flow has more than ``hot_rows`` packets in a minute, that minute is cut into as
-many shorter chunks as it holds multiples of ``hot_rows``.  Such minutes are
-counted first, over the key and time columns only and combined before the
-shuffle; at most (all packets / ``hot_rows``) of them can exist, so their list
-is small enough to broadcast, and Spark drops the join where it is empty.
+A chunk is ten seconds, a length in which one flow, at the speed of a link, sends
+no more packets than a task can sort, while a flow that lasts for days has some
+ten thousand chunks a day. So one scan is enough. Where links are faster than
+that, ``hot_rows`` cuts a flow's chunks of more packets than this further; such
+chunks are counted first, in a scan of their own over the key and time columns,
+and at most (all packets / ``hot_rows``) of them exist, so their list is small
+enough to broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CHUNK_US = 60_000_000
-HOT_ROWS = 5_000_000
+CHUNK_US = 10_000_000
+HOT_ROWS = None
 ABSENT = -1
 
 

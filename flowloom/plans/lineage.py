@@ -7,6 +7,9 @@ executor costs only its running tasks.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -16,16 +19,19 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate results, from the session.
 
-    In local mode with nothing set (tests), a folder is made and set; on a
-    cluster an unset folder is an error, because no local path is shared there.
+    In a session of one process with nothing set (tests), a folder is made, set and
+    removed at the end; on a cluster an unset folder is an error, because no local
+    path is shared there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="flowloom-"))
-    return spark.sparkContext.getCheckpointDir()
+    folder = tempfile.mkdtemp(prefix="flowloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

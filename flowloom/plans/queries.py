@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,7 +12,7 @@ from flowloom.functions.net import FIVE_TUPLE, date_label, ip_text
 from flowloom.operators import anomaly, classify, flows, packets, rules, text
 from flowloom.plans.lineage import scratch_path
 from flowloom.plans.views import VIEWS, table, view, view_over
-from flowloom.sources import netflow
+from flowloom.sources import netflow, tables
 from flowloom.sources.decode import decode_packets, encode_frames
 from flowloom.sources.pcap import read_pcap, write_pcap
 from flowloom.sources.tables import read_partitions, write_partitions
@@ -22,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANGE = (1704067260000000 + 86_400_000_000, 1704067380000000 - 86_400_000_000)
 SCAN_PORTS = 5
 CLIENT_NET = "10.0.0.0/26"
+HOUR_US = 1704110400000000
 
 # Rules whose fields and thresholds occur in the given tables.
 PORT_SCAN_RULES = "port_scan;2592000;prot=6;sip;dport;unique;flows=4-;sip"
@@ -34,6 +37,7 @@ same_as;300;sas*das=0;sas,das;dip;unique;bytes=1000-90000;sas
 by_subnet;86400;prot=1;ssubnet;dip,dport;unique;flows=2-;ssubnet
 """
 RETURNING_RULE = "synflood;2592000;prot=6,syn=1,ack=0,fin=0;sip,dip;sport,dport;count;flows=2-;sip,sport,dip,dport"
+RETURNING_RULES = RETURNING_RULE + "\nbig;300;bytes=1000-;dip;sip;unique;flows=2-;dip,prot,flows"
 KEY_LIST = "prot;ack\ndas\n"
 LEGACY_RULES = """
 web;proto=6,dstport=80|445,octets=1000-50000
@@ -85,6 +89,11 @@ def _pcap_roundtrip(spark, sf):
     return decoded.select("ts_us", "eth_type", "ip_len", "proto", "src_addr", "dst_addr", "src_port", "dst_port")
 
 
+def _as_records(df: DataFrame) -> DataFrame:
+    """All fields of decoded records but the times of the export packet, which depend on the grouping."""
+    return df.select(*[c for c in df.columns if c not in ("sys_uptime", "timestamp_us")])
+
+
 def _as_flow_rows(df: DataFrame) -> DataFrame:
     names = ["src_addr", "dst_addr", "src_port", "dst_port", "prot", "dpkts", "doctets", "tcp_flags",
              "src_as", "dst_as", "src_mask", "dst_mask", "first_us", "syn", "ack", "fin"]
@@ -95,11 +104,14 @@ def _netflow(spark, sf):
     """Flows as export packets, one per order and month (an order has few lines), then decoded."""
     rows = view_over(table(spark, sf, "lineitem"), "flows", keep=("l_orderkey",))
     keyed = rows.withColumn("month", F.expr("first_us DIV 2592000000000"))
-    return _as_flow_rows(netflow.netflow_v5(netflow.encode_netflow_v5(keyed, ["l_orderkey", "month"])))
+    return _as_records(netflow.netflow_v5(netflow.encode_netflow_v5(keyed, ["l_orderkey", "month"])))
 
 
 def _flowtools(spark, sf):
-    return _as_flow_rows(netflow.flowtools(netflow.encode_flowtools(view(spark, sf, "flows"))))
+    """Flows as files of records, read back in small splits."""
+    path = scratch_path(spark, "flowtools")
+    netflow.write_flowtools(netflow.encode_flowtools(view(spark, sf, "flows")), path)
+    return _as_records(netflow.read_flowtools(spark, path, split_bytes=1 << 18))
 
 
 def _flow_print(spark, sf):
@@ -116,8 +128,36 @@ def _flow_partitions(spark, sf):
         F.count("*").alias("flows"), F.sum("doctets").alias("octets"), F.sum("dpkts").alias("pkts"))
 
 
-def _spoof(spark, sf):
-    return anomaly.spoofs(view(spark, sf, "flows"), view(spark, sf, "registry"))
+def _spoof(registry: str, **options) -> Query:
+    return lambda spark, sf: anomaly.spoofs(view(spark, sf, "flows"), view(spark, sf, registry), **options)
+
+
+def _flow_periods(spark, sf):
+    """Flows loaded by area, day and period, once and then again for one period, and summed."""
+    path = scratch_path(spark, "daily_flows")
+    rows = monitor.with_period(_busy_hour(spark, sf))
+    for part in (rows, rows.where("ts = '1200'")):
+        write_partitions(part, path, spread=("first_us", "src_addr"), area="backbone", ds=None, ts=None)
+    loaded = read_partitions(spark, path, rows.schema, area="string", ds="string", ts="string")
+    return loaded.groupBy("area", "ds", "ts").agg(
+        F.count("*").alias("flows"), F.sum("doctets").alias("octets"), F.sum("dpkts").alias("pkts"))
+
+
+def _report_tables(spark, sf):
+    """The eight report tables of two periods, the first of which is loaded twice."""
+    db = f"reports_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
+    for report in flows.FAN_OUT:
+        spark.sql(tables.table_ddl(report, db))
+    day = F.expr("first_us DIV 86400000000")
+    timed = view(spark, sf, "flows").withColumn("ts", F.when(F.pmod(day, F.lit(2)) == 0, "0000").otherwise("0005"))
+    stats = flows.flowstats(timed, by=["ts"])
+    for ts in ("0000", "0005", "0000"):
+        tables.load_reports(stats.where(F.col("ts") == ts).drop("ts"), db, "backbone", "2024-01-01", ts)
+    loaded = [spark.table(f"{db}.{report}").select(
+        F.lit(report).alias("report"), "ds", "ts", (F.col(key) if key else F.lit(None).cast("string")).alias("key"),
+        "octets", "pkts", "flows") for report, (_, key) in flows.FAN_OUT.items()]
+    return reduce(DataFrame.unionByName, loaded)
 
 
 def _detect(source) -> Query:
@@ -129,6 +169,10 @@ def _returned(spark, sf):
     return rules.returned_rows(view(spark, sf, "flows"), rule)
 
 
+def _all_returned(spark, sf):
+    return rules.detect_returned(view(spark, sf, "flows"), rules.load_rules(RETURNING_RULES))
+
+
 def _tcp_decoded(spark, sf):
     """TCP summaries of packets that went through frames, with the counters only frames carry."""
     return packets.tcp_summary(decode_packets(encode_frames(view(spark, sf, "packets"))))
@@ -161,39 +205,58 @@ def _success(spark, sf):
     return classify.success_ratio(classify.classify_gmm(view(spark, sf, "packets")))
 
 
-def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A view over a stream of the files of a given table."""
-    source = VIEWS[name][0]
-    schema = table(spark, sf, source).schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", f"{source}.parquet").parquet(sf)
-    return view_over(files, name)
+def _in_pieces(spark: SparkSession, df: DataFrame, name: str, pieces: int = 3) -> DataFrame:
+    """A stream of the rows of ``df``, which come in several micro-batches."""
+    path = scratch_path(spark, name)
+    df.repartition(pieces).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def _stream_flowstats(spark, sf):
+def _busy_hour(spark, sf):
+    """The flows, their days laid over the five-minute periods of an hour."""
+    day = F.expr("first_us DIV 86400000000")
+    return view(spark, sf, "flows").withColumn("first_us", F.lit(HOUR_US) + F.pmod(day, F.lit(24)) * 150_000_000)
+
+
+def _monitored(spark, sf):
     root = scratch_path(spark, "monitor")
-    query = monitor.start_monitor(
-        _stream(spark, sf, "flows"), root, "backbone", {"availableNow": True},
-        ds_format="yyyy", ts_format="'0000'")
-    query.awaitTermination()
-    return monitor.monitored_stats(spark, root)
+    monitor.start_monitor(_in_pieces(spark, _busy_hour(spark, sf), "flow-batches"), root, "backbone",
+                          {"availableNow": True}, threshold=SCAN_PORTS).awaitTermination()
+    return root
+
+
+def _stream_flowstats(spark, sf):
+    return monitor.monitored_stats(spark, _monitored(spark, sf))
+
+
+def _stream_periods(spark, sf):
+    return monitor.monitored_stats(spark, _monitored(spark, sf), ["ds", "ts"])
+
+
+def _appended(spark, sf, name: str, make, time: str, unit: int) -> DataFrame:
+    """An aggregated stream over a view; its last row is a year after all others and closes their windows."""
+    rows = view(spark, sf, name)
+    late = F.max(time) + 366 * 86_400 * unit
+    closing = rows.agg(late.alias("late")).select(*[
+        (F.col("late") if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema])
+    return monitor.append_all(make, rows, closing, scratch_path(spark, name))
 
 
 def _stream_rate(spark, sf):
-    stream = windows.rate_stream(_stream(spark, sf, "packets"))
-    return monitor.replay(stream, scratch_path(spark, "rate"))
+    return _appended(spark, sf, "packets", windows.rate_stream, "ts_us", 1_000_000)
 
 
 def _stream_usage(spark, sf):
-    stream = windows.usage_stream(_stream(spark, sf, "usage_samples"))
-    return monitor.replay(stream, scratch_path(spark, "usage"))
+    # The pieces of the table are not in time order, so windows stay open for as long as it spans.
+    return _appended(spark, sf, "usage_samples", lambda rows: windows.usage_stream(rows, watermark="300 days"), "ts_s", 1)
 
 
 def _stream_detect(spark, sf):
     root = scratch_path(spark, "detect")
     chosen = rules.load_rules(PATTERN_RULES)
-    monitor.start_detection(_stream(spark, sf, "flows"), root, chosen, {"availableNow": True},
-                            day_format="yyyy").awaitTermination()
-    return monitor.detected(spark, root, chosen)
+    monitor.start_detection(_in_pieces(spark, view(spark, sf, "flows"), "flow-batches"), root, chosen,
+                            {"availableNow": True}, day_format="yyyy-MM").awaitTermination()
+    return monitor.reported(spark, root, chosen)
 
 
 QUERIES: dict[str, Query] = {
@@ -204,6 +267,8 @@ QUERIES: dict[str, Query] = {
     "flowtools_decode": _flowtools,
     "flow_print": _flow_print,
     "flow_partitions": _flow_partitions,
+    "flow_periods": _flow_periods,
+    "report_tables": _report_tables,
     "task_durations": _task_durations,
     # filters
     "proto_mix": _proto_mix,
@@ -239,7 +304,9 @@ QUERIES: dict[str, Query] = {
     "flowstats": _over("flows", flows.flowstats),
     **{f"flowstats_{report}": _over("flows", flows.flow_report, report) for report in flows.FAN_OUT},
     "scan": _over("flows", flows.scan, SCAN_PORTS),
-    "spoof": _spoof,
+    "spoof": _spoof("registry"),
+    "spoof_masks": _spoof("mixed_registry"),
+    "spoof_large": _spoof("mixed_registry", broadcast_rows=0),
     "active_ips": _over("flows", flows.active_ips, CLIENT_NET),
     "active_ip_count": _over("flows", flows.active_ip_count),
     "active_subnets": _over("flows", flows.active_subnets),
@@ -249,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "detect_synflood": _detect(SYNFLOOD_RULES),
     "detect_patterns": _detect(PATTERN_RULES),
     "detect_returned": _returned,
+    "detect_all_returned": _all_returned,
     "flow_key_list": lambda spark, sf: flows.aggregate_by(view(spark, sf, "flows"), rules.load_names(KEY_LIST)),
     "url_users_views": _over("http_log", flows.url_users_views),
     "user_urls": _over("http_log", flows.user_urls),
@@ -266,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "fit_gmm": lambda spark, sf: classify.fit_gmm(_training(spark, sf)),
     # streams
     "stream_flowstats": _stream_flowstats,
+    "stream_periods": _stream_periods,
     "stream_rate": _stream_rate,
     "stream_usage": _stream_usage,
     "stream_detect": _stream_detect,

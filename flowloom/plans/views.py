@@ -48,6 +48,12 @@ VIEWS = {
           CAST(CASE WHEN s_suppkey % 5 = 0 THEN 184549376 ELSE 167772160 END + s_suppkey AS BIGINT) AS prefix,
           32 AS mask
         FROM supplier"""),
+    "mixed_registry": ("supplier", """
+        SELECT s_name AS organ, CAST(s_suppkey % 25 AS INT) AS asn,
+          CAST(167772160 + s_suppkey * CASE WHEN s_suppkey % 4 = 0 THEN 64 ELSE 1 END AS BIGINT) AS prefix,
+          CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 50 = 1 THEN 24 WHEN s_suppkey % 100 = 2 THEN 8
+               WHEN s_suppkey % 4 = 0 THEN 28 WHEN s_suppkey % 4 = 1 THEN 30 ELSE 32 END AS mask
+        FROM supplier"""),
     "traceroute": ("orders", """
         SELECT concat_ws('|', 'a','b','c','d', CAST(o_custkey % 20 AS VARCHAR(20)), 'f','g','h','i','j',
           CASE WHEN o_orderkey % 17 = 0 THEN '0.0.0.0' ELSE '10.1.1.1' END, 'l',
@@ -65,7 +71,7 @@ VIEWS = {
     "http_log": ("events", """
         SELECT CAST(167772160 + user_id AS BIGINT) AS src_addr,
           concat('http://h', CAST(event_id % 20 AS VARCHAR(20)), '.example/') AS url, {us:ts} AS ts_us
-        FROM events WHERE event_type IN ('click', 'view')"""),
+        FROM events"""),
     "usage_samples": ("events", """
         SELECT {us:ts} {div} 1000000 AS ts_s, CAST(FLOOR(value) AS BIGINT) AS capacity,
           user_id % 40 AS containers

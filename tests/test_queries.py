@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from flowloom.plans.checks import checks
+from flowloom.plans.queries import QUERIES
 from tools.compare import compare, connect
 
-NAMES = list(entry.queries())
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -21,11 +23,11 @@ def test_query_equals_sql(spark, con, data, name):
 
 
 def test_every_check_has_a_query():
-    assert set(entry.oracle_sql()) <= set(NAMES)
+    assert set(checks()) <= set(NAMES) <= set(entry.queries())
 
 
 def test_only_the_iterative_fits_have_no_sql():
-    assert set(NAMES) - set(entry.oracle_sql()) == {"fit_logit", "fit_gmm"}
+    assert set(NAMES) - set(checks()) == {"fit_logit", "fit_gmm"}
 
 
 def test_flagship_runs(spark):
