@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowloom.llm.common import BLANKS, ascii_lower, fingerprint, read, tidy_shuffles
-from flowloom.plans.lineage import scratch_path
+from flowloom.plans.lineage import as_table, scratch_path
 
 MIN_LENGTH = 40
 MIN_DOCS = 5
@@ -81,18 +81,16 @@ class LineRuns:
         )
         path = f"{self.folder}/level=0/{batch}"
         older = [p for p in self.paths() if p != path]
-        if older:
-            known = self.totals(older).select("h1", "h2").hint("merge")
-            new = own.join(known, ["h1", "h2"], "left_anti").withColumn("is_new", F.lit(True))
-            again = own.join(known, ["h1", "h2"], "left_semi").withColumn("is_new", F.lit(False))
-            own = new.unionByName(again)
+        if older:  # one merge with the runs tells new lines (the anti join) from those met again
+            known = self.totals(older).select("h1", "h2", F.lit(False).alias("is_new")).hint("merge")
+            own = own.join(known, ["h1", "h2"], "left")
         else:
             own = own.withColumn("is_new", F.lit(True))
-        self._write(own, path)
+        self._write(own.withColumn("is_new", F.coalesce("is_new", F.lit(True))), path)
         if path not in self.levels[0]:
             self.levels[0].append(path)
         self.compact(batch)
-        return self.spark.read.parquet(path).where("is_new") if path in self.paths() else own.where("is_new")
+        return self.spark.read.parquet(path).where("is_new")
 
     def compact(self, name: str) -> None:
         """Merge every level that is full into one run of the next."""
@@ -114,16 +112,13 @@ def repeated_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int
     The documents go through the runs in ``batches`` parts by a hash of their id.
     """
     spark = docs.sparkSession
-    staged = scratch_path(spark, "line-hashes")
     part = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
     with tidy_shuffles(spark):
-        line_hashes(docs, min_length).select("doc_id", "h1", "h2", part.alias("batch")) \
-            .write.partitionBy("batch").parquet(staged)
-        hashes = spark.read.schema("doc_id long, h1 long, h2 long, batch int").parquet(staged)
+        hashes = as_table(line_hashes(docs, min_length).select("doc_id", "h1", "h2", part.alias("batch")), "line-hashes")
         runs = LineRuns(spark)
         for batch in range(batches):
             runs.add(f"batch-{batch}", hashes.where(F.col("batch") == batch))
-    return runs.totals().where(F.col("n_docs") >= min_docs).select("h1", "h2", "last_doc")
+        return as_table(runs.totals().where(F.col("n_docs") >= min_docs).select("h1", "h2", "last_doc"), "repeated-lines")
 
 
 def dedup_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = MIN_DOCS,
