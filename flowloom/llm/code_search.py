@@ -14,7 +14,7 @@ code like any. Equal queries are searched once. What is kept between rounds are
 k rows for a query.
 
 Defined cases: rows whose id or vector is null have no code: they are neither
-found nor searched for; a missing or null element is a 0 bit; a query finds
+found nor searched for; a missing or null element is a 0 bit, NaN a 1 bit; a query finds
 itself; ties go by the smaller id; repeated rows of one id with one code are
 one; fewer than k rows give as many ranks; other columns are not used.
 """

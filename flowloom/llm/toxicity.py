@@ -9,8 +9,8 @@ values, fitted by Spark, gives the weights. The model is one number for each of
 Learning uses at most ``sample`` labelled rows, those of smallest id hash; the
 features kept are the ``kept`` that tell most about the label.
 
-Defined cases: null and empty texts have no n-grams but the blank ends, and a
-score like any; labels that are null or belong to no document are not used, of
+Defined cases: null and empty texts have the share of label 1 among the rows
+learned from as their score; labels other than 0 and 1 or of no document are not used, of
 repeated labels for a document each counts; without rows of both labels every
 score is the share of label 1 (0 without labels), pulled in by smoothing; rows
 with a null doc_id are scored, never learned from; other columns pass through,
@@ -32,7 +32,7 @@ from flowloom.plans.lineage import as_table
 SIZES = (3, 4, 5)
 BINS = 1 << 18
 SAMPLE = 20_000
-KEPT = 4096
+KEPT = 1024
 FOLDS = 5
 
 
@@ -77,7 +77,7 @@ def _parts(texts: list) -> list[tuple[int, list[str]]]:
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(text, label) of at most ``sample`` labelled rows outside fold 0."""
-    usable = labels.where("doc_id is not null and label is not null").where(fold(F.col("doc_id")) != 0)
+    usable = labels.where("doc_id is not null and label in (0, 1)").where(fold(F.col("doc_id")) != 0)
     chosen = usable.select("doc_id", F.col("label").cast("int").alias("_label")).orderBy(
         F.xxhash64("doc_id"), "doc_id", "_label").limit(sample)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
@@ -148,18 +148,19 @@ def _sparse(size: int):
 
 
 class Model:
-    """Weights by bin and a bias."""
+    """Weights by bin, a bias, and the log odds of label 1 among the rows learned from."""
 
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights.astype(np.float64), float(bias)
+    def __init__(self, weights: np.ndarray, bias: float, prior: float):
+        self.weights, self.bias, self.prior = weights.astype(np.float64), float(bias), float(prior)
 
     def scores(self, texts: list) -> np.ndarray:
-        out = np.full(len(texts), self.bias)
-        for start, part in _parts(texts):
+        out = np.array([self.bias if text else self.prior for text in texts], np.float64)
+        filled = np.flatnonzero([bool(text) for text in texts])
+        for start, part in _parts([texts[i] for i in filled]):
             owner, bins = _bins(part)
             used = self.weights[bins] != 0
             both = np.unique(owner[used].astype(np.int64) * BINS + bins[used])
-            np.add.at(out, start + both // BINS, self.weights[both % BINS])
+            np.add.at(out, filled[start + both // BINS], self.weights[both % BINS])
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
 
@@ -174,9 +175,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, kept: int = KE
         totals = np.zeros(2)
         for row in rows.groupBy("label").count().collect():
             totals[row.label] = row["count"]
+        prior = np.log((totals[1] + 0.5) / (totals[0] + 0.5)) if totals.sum() else -500.0
         if not totals.all():
-            rate = (totals[1] + 0.5) / (totals.sum() + 1) if totals.sum() else 0.5
-            return Model(np.zeros(BINS), np.log(rate / (1 - rate)) if totals.sum() else -500.0)
+            return Model(np.zeros(BINS), prior, prior)
         found = bin_counts(rows).toPandas()  # at most 2 * BINS rows
         counts = np.zeros((2, BINS))
         counts[found["label"], found["bin"]] = found["n"]
@@ -185,11 +186,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, kept: int = KE
         information = _information(counts, totals)
         chosen = np.sort(np.argsort(-information, kind="stable")[:kept])
         chosen = chosen[information[chosen] > 0]
-        fitted = LogisticRegression(regParam=regularisation, standardization=False, maxIter=60, tol=1e-7).fit(
+        fitted = LogisticRegression(regParam=regularisation, standardization=False, maxIter=100, tol=1e-7).fit(
             _features(rows, chosen, ratio))
     weights = np.zeros(BINS)
     weights[chosen] = np.array(fitted.coefficients.toArray()) * ratio[chosen]
-    return Model(weights, fitted.intercept)
+    return Model(weights, fitted.intercept, prior)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
