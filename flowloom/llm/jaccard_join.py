@@ -10,7 +10,7 @@ Two sets of similarity t share one of their first n - ceil(t n) + 1 shingles, so
    of neighbouring size are linked to the head of their block of ``BLOCK``, and
    heads to the head before: linear in the list, no group meets all others;
 3. those group pairs, and each group's members with its first one, are filtered
-   by size and by a bitmap bound on the overlap and verified on whole sets; the
+   by size and by a bitmap bound on the overlap and verified on whole texts; the
    verified links give components;
 4. what is left are pairs in lists whose members are in different components.
    These are all expanded to members, filtered and verified, and the components
@@ -68,10 +68,10 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _bitmap(values: np.ndarray) -> bytes:
-    """Parity of the number of members in each of BITS bins."""
+def _bitmap(values: np.ndarray) -> np.ndarray:
+    """Parity of the number of members in each of BITS bins, 64 to a number."""
     parity = np.bincount((values % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-    return np.packbits(parity.astype(np.uint8)).tobytes()
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
 def frequent_shingles(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -106,7 +106,7 @@ def frequent_shingles(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def features(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n, sig1, sig2, prefix) of every row: set size, hashes of the set, prefix shingles."""
+    """(doc_id, n, sig1, sig2, bits, prefix) of every row: set size, hashes and bitmap of the set, prefix shingles."""
     spark = docs.sparkSession
     top = (frequent_shingles(docs, size).where(F.col("n") >= FREQUENT)
            .orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).toPandas())
@@ -118,7 +118,7 @@ def features(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     def describe(batches):
         known, ranks = shared.value
         for batch in batches:
-            out = {"n": [], "sig1": [], "sig2": [], "prefix": []}
+            out = {"n": [], "sig1": [], "sig2": [], "bits": [], "prefix": []}
             for _, texts in chunks(batch.column("text").to_pylist()):
                 for members in _sets(texts, table, size):
                     length = prefix_length(len(members), percent) if len(members) else 0
@@ -131,33 +131,17 @@ def features(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
                     out["n"].append(len(members))
                     out["sig1"].append(int(np.bitwise_xor.reduce(mix(members)).view(np.int64)) if length else 0)
                     out["sig2"].append(int(mix(members + np.uint64(length)).sum(dtype=np.uint64).view(np.int64)))
+                    out["bits"].append(_bitmap(members))
                     out["prefix"].append(first.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(out["n"], pa.int32()), pa.array(out["sig1"], pa.int64()),
-                 pa.array(out["sig2"], pa.int64()), pa.array(out["prefix"], pa.list_(pa.int64()))],
-                names=["doc_id", "n", "sig1", "sig2", "prefix"])
+                 pa.array(out["sig2"], pa.int64()), pa.array(out["bits"], pa.list_(pa.int64())),
+                 pa.array(out["prefix"], pa.list_(pa.int64()))],
+                names=["doc_id", "n", "sig1", "sig2", "bits", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        describe, f"doc_id {kind}, n int, sig1 long, sig2 long, prefix array<long>")
-
-
-def whole_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, n, bits, members): sets as arrays, with their bitmaps."""
-    table = word_table(BLANKS)
-
-    def make(batches):
-        for batch in batches:
-            sets = [s for _, texts in chunks(batch.column("text").to_pylist()) for s in _sets(texts, table, size)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()),
-                 pa.array([_bitmap(s) for s in sets], pa.binary()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["doc_id", "n", "bits", "members"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        make, f"doc_id {kind}, n int, bits binary, members array<long>")
+        describe, f"doc_id {kind}, n int, sig1 long, sig2 long, bits array<long>, prefix array<long>")
 
 
 def _size_fits(a: Column, b: Column, percent: int) -> Column:
@@ -169,35 +153,47 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(percent * (a + b) / F.lit(100.0 + percent) - 1e-9)
 
 
-def _differing(a: str, b: str) -> Column:
-    """Number of bins whose parity differs in two bitmaps."""
-    words = range(0, BITS // 8, 8)
+def _near(pairs: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps allow: every bin of differing parity holds a member that
+    is not shared, so the overlap is at most half of what the sizes have beyond these."""
+    def side(name):
+        return described.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"),
+                                F.col("bits").alias(f"bits_{name}"))
+    a, b = F.col("n_a"), F.col("n_b")
+    differing = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+                            lambda total, n: total + n)
+    return (
+        pairs.join(side("a"), "a").join(side("b"), "b").where(_size_fits(a, b, percent))
+        .where(F.floor((a + b - differing) / 2) >= _needed(a, b, percent)).select("a", "b").distinct()
+    )
 
-    def part(name, i):
-        return F.conv(F.hex(F.substring(name, i + 1, 8)), 16, -10).cast("long")
-    total = F.lit(0)
-    for i in words:
-        total = total + F.bit_count(part(a, i).bitwiseXOR(part(b, i)))
-    return total
 
+def verified(pairs: DataFrame, described: DataFrame, docs: DataFrame, size: int = SHINGLE,
+             percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose sets are similar enough: sizes and bitmaps are compared first, then
+    whole texts are brought together."""
+    near = as_table(_near(pairs, described, percent), "near-pairs")
+    wanted = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
+    texts = as_table(docs.join(wanted, "doc_id", "left_semi"), "near-texts")
+    table = word_table(BLANKS)
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough; sizes and bitmaps are compared before sets."""
-    def side(name, *columns):
-        return sets.select(F.col("doc_id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+    def compare(batches):
+        for batch in batches:
+            left, right = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
+            distinct = list(dict.fromkeys([*left, *right]))
+            sets = dict(zip(distinct, (s for _, part in chunks(distinct) for s in _sets(part, table, size))))
+            similar = []
+            for x, y in zip(left, right):
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                similar.append(100 * both >= percent * (len(sets[x]) + len(sets[y]) - both))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(similar, pa.bool_()))
 
-    sizes = F.col("n_a"), F.col("n_b")
-    near = (
-        pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-        .where(_size_fits(*sizes, percent))
-        .where(F.floor((sizes[0] + sizes[1] - _differing("bits_a", "bits_b")) / 2) >= _needed(*sizes, percent))
-        .select("a", "b")
-    )
-    both = F.size(F.array_intersect("members_a", "members_b"))
-    return (
-        near.join(side("a", "n", "members"), "a").join(side("b", "n", "members"), "b")
-        .where(100 * both >= percent * (sizes[0] + sizes[1] - both)).select("a", "b").distinct()
-    )
+    def side(name):
+        return texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"text_{name}"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    together = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
+    return together.mapInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
 def _block_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -255,45 +251,42 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     docs = docs.select("doc_id", "text")
     small_batches(spark)
     with tidy_shuffles(spark):
-        described = as_table(features(docs, size, percent), "shingle-features")
-        signature = ["n", "sig1", "sig2"]
-        classes = as_table(described.where("n > 0").groupBy(*signature).agg(F.min("doc_id").alias("first")), "classes")
-        firsts = described.where("n > 0").join(
+        described = as_table(features(docs, size, percent).withColumns({
+            "p1": F.xxhash64("prefix"), "p2": F.xxhash64(F.lit(1), "prefix")}), "shingle-features")
+        signature, prefix = ["n", "sig1", "sig2"], ["n", "p1", "p2"]
+        filled = described.where("n > 0 and doc_id is not null")
+        classes = as_table(filled.groupBy(*signature).agg(F.min("doc_id").alias("first")), "classes")
+        firsts = filled.select("doc_id", *signature, "p1", "p2").join(
             classes.select(*signature, F.col("first").alias("doc_id")), [*signature, "doc_id"], "left_semi")
-        keyed = as_table(firsts.select(
-            "doc_id", "n", F.xxhash64("prefix").alias("p1"), F.xxhash64(F.lit(1), "prefix").alias("p2"), "prefix"),
-            "prefixes")
-        groups = keyed.groupBy("n", "p1", "p2").agg(F.min("doc_id").alias("gid"), F.count("*").alias("many"))
-        members = as_table(keyed.select("doc_id", "n", "p1", "p2").join(groups, ["n", "p1", "p2"]).select(
-            "gid", "doc_id", "many"), "groups")
-        whole = W.partitionBy("token")
-        entries = keyed.join(members.where("gid = doc_id").select("doc_id").distinct(), "doc_id", "left_semi").select(
+        keyed = as_table(firsts.select("doc_id", *prefix).distinct(), "prefixes")
+        groups = keyed.groupBy(*prefix).agg(F.min("doc_id").alias("gid"))
+        members = as_table(keyed.join(groups, prefix).select("gid", "doc_id"), "groups")
+        entries = filled.select("doc_id", *prefix, "prefix").join(
+            groups.select(*prefix, F.col("gid").alias("doc_id")), [*prefix, "doc_id"], "left_semi").select(
             F.explode("prefix").alias("token"), "n", F.col("doc_id").alias("gid"))
-        lists = as_table(entries.withColumn("many", F.count("*").over(whole)).where("many > 1").drop("many"), "lists")
-        listed = lists.select("gid").distinct()
-        wanted = members.join(listed, "gid", "left_semi").unionByName(members.where("many > 1")) \
-            .select("doc_id").distinct()
-        sets = as_table(whole_sets(docs.join(wanted, "doc_id", "left_semi"), size), "shingle-sets")
+        lists = as_table(entries.withColumn("many", F.count("*").over(W.partitionBy("token"))).where(
+            "many > 1").drop("many").distinct(), "lists")
         first = _block_pairs(lists, percent).unionByName(
             members.where("gid <> doc_id").select(F.col("gid").alias("a"), F.col("doc_id").alias("b")))
-        links = as_table(verified(first, sets, percent), "links-1")
+        links = as_table(verified(first, described, docs, size, percent), "links-1")
         labels = as_table(components(links), "labels-1")
-        more = as_table(verified(_open_pairs(lists, members.select("gid", "doc_id").distinct(), labels, percent),
-                                 sets, percent), "links-2")
+        more = as_table(verified(_open_pairs(lists, members, labels, percent), described, docs, size, percent),
+                        "links-2")
         labels = as_table(components(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
                                      .unionByName(more)), "labels-2")
     by_class = classes.join(labels.withColumnRenamed("id", "first"), "first", "left").select(
         *signature, F.coalesce("component", "first").alias("_component"))
     own = F.when(F.col("n") == 0, F.col("doc_id"))
-    return described.drop("prefix").join(by_class, signature, "left").select(
+    return described.select("doc_id", *signature).join(by_class, signature, "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("_component", own).alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents that are the smallest of their component."""
+    """The documents that are the smallest of their component, and those without doc_id."""
     kept = jaccard_components(docs, size, percent).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(
+        docs.where("doc_id is null"))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
