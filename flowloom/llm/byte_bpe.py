@@ -40,7 +40,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowloom.llm.common import read, small_batches, tidy_shuffles
+from flowloom.llm.common import least_count, read, small_batches, tidy_shuffles
 from flowloom.plans.lineage import as_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -137,19 +137,6 @@ def _encoder(ranks: dict[bytes, int]):
     return lambda word: np.array(whole.encode_ordinary(word), "<u4").tobytes()
 
 
-def _least_count(words: DataFrame, hot: int) -> int:
-    """Smallest count such that at most ``hot`` words have it or more."""
-    step = F.floor(F.log2(F.col("n").cast("double")) * 64)  # counts by 64ths of a power of two
-    sizes = words.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect()
-    total, least = 0, 1 << 62
-    for row in sorted(sizes, key=lambda r: -r.step):
-        total += row.words
-        if total > hot:
-            break
-        least = row.least
-    return least
-
-
 class _Hot:
     """The words that are broadcast, most frequent first, and their ids."""
 
@@ -175,7 +162,7 @@ def hot_words(docs: DataFrame, ranks, pattern: str, hot: int) -> _Hot:
                 [*batch.columns, pa.array(list(map(encoded, batch.column("word").to_pylist())), pa.binary())],
                 names=["word", "n", "ids"])
 
-    often = counts.where(F.col("n") >= _least_count(counts, hot))
+    often = counts.where(F.col("n") >= least_count(counts, hot))
     return _Hot(often.mapInArrow(encode_all, "word string, n long, ids binary").toArrow())
 
 

@@ -55,3 +55,16 @@ def small_batches(spark: SparkSession) -> None:
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
+def least_count(counts: DataFrame, most: int) -> int:
+    """Smallest count ``n`` such that at most ``most`` rows of ``counts`` have it or more."""
+    step = F.floor(F.log2(F.col("n").cast("double")) * 64)  # by 64ths of a power of two: few rows for the driver
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows"), F.min("n").alias("least")).collect()
+    total, least = 0, 1 << 62
+    for row in sorted(sizes, key=lambda r: -r.step):
+        total += row.rows
+        if total > most:
+            break
+        least = row.least
+    return least
