@@ -24,7 +24,8 @@ HEADLINE = [
     "top_n_bytes", "popularity", "adjacency", "tcp_summary", "word_count", "path_adjacency",
     "flowstats", "flowstats_portingress", "scan", "spoof", "active_ip_count", "heavy_users",
     "detect_rules", "detect_patterns", "task_durations", "netflow_decode", "flow_print",
-    "pcap_roundtrip", "stream_flowstats", "stream_rate",
+    "pcap_roundtrip", "stream_flowstats", "stream_rate", "stream_detect", "flowtools_decode", "flow_partitions",
+    "spoof_large", "detect_all_returned", "fit_logit", "fit_gmm",
 ]
 
 
