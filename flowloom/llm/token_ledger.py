@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowloom.llm.common import read, tidy_shuffles
-from flowloom.plans.lineage import scratch_path
+from flowloom.plans.lineage import as_table, scratch_path
 
 GROUP = ["source", "lang", "version"]
 KEY = ["doc_id", "version"]
@@ -130,7 +130,8 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = next(iter(TOKENIZERS))
     low, toxic = labels.where("quality = 0"), labels.where("toxic = 1 and quality <> 0")
     gone = docs.select("doc_id", "source", "lang").join(low, "doc_id", "left_semi")
-    changes = _changes(docs.join(toxic, "doc_id", "left_semi"), "revise", first, LONG_WORDS)
+    # Counted before the join, and written, so that it moves counts and not texts.
+    changes = as_table(_changes(docs, "revise", first, LONG_WORDS), "revised-counts").join(toxic, "doc_id", "left_semi")
     for version in TOKENIZERS:
         changes = changes.unionByName(_changes(gone, "delete", version))
     for _ in range(2):
