@@ -87,7 +87,8 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) ->
                 *query_names, "bound", F.col("t.table").alias("table"), F.col("t.key").alias("base"),
                 F.explode(_masks(radius)).alias("mask"))
             probes = probes.withColumn("key", F.col("base").bitwiseXOR(F.col("mask"))).drop("base", "mask")
-            found = probes.join(index, ["table", "key"]).withColumn("distance", _distance(bits)).where(
+            # Far more probes than the plan expects come from a query, so they must not be broadcast.
+            found = probes.hint("merge").join(index, ["table", "key"]).withColumn("distance", _distance(bits)).where(
                 "distance <= bound").select(*query_names, "id", "distance")
             if best is not None:
                 found = found.unionByName(best.join(active.select(*query_names), query_names, "left_semi"))
