@@ -11,7 +11,8 @@ the documents in several blocks, whose hits are merged by document.
 
 Defined cases: a null or empty text has no words and no hits; an item without
 words hits nothing; equal items all count; an item that occurs twice counts
-once; other columns pass through, columns with the names of results are replaced.
+once; items whose id is null count as one item without an id, which hits words
+and is the last, null, in the list of items; other columns pass through, columns with the names of results are replaced.
 """
 
 from __future__ import annotations
@@ -75,12 +76,17 @@ def _runs(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
+def _in_order(items: set[str | None]) -> list[str | None]:
+    """Ids in order, null last."""
+    return sorted(items, key=lambda item: (item is None, item or ""))
+
+
 class _Scan:
     """Looks up the windows of texts in a block of benchmark windows."""
 
     def __init__(self, rows: list):
         self.by_size: dict[int, np.ndarray] = {}
-        self.phrases: dict[bytes, list[str]] = {}
+        self.phrases: dict[bytes, list[str | None]] = {}
         hashes: dict[int, list[int]] = {}
         for size, value, phrase, item in rows:
             hashes.setdefault(size, []).append(value)
@@ -94,7 +100,7 @@ class _Scan:
         words = split_words(texts, self.table)
         bounds = np.searchsorted(words.text, np.arange(len(texts) + 1))
         cover = np.zeros(len(words.starts) + 1, np.int64)
-        items: dict[int, set[str]] = {}
+        items: dict[int, set[str | None]] = {}
         for size, known in self.by_size.items():
             first, hashes = words.windows(size)
             at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
@@ -116,7 +122,7 @@ class _Scan:
                 clean.append(text[at:words.starts[a] - base])
                 at = words.ends[b - 1] - base
             clean.append(text[at:])
-            yield high - low, list(zip(first.tolist(), past.tolist())), sorted(items[k]), b"".join(clean)
+            yield high - low, list(zip(first.tolist(), past.tolist())), _in_order(items[k]), b"".join(clean)
 
 
 def _scanned(docs: DataFrame, block: DataFrame, clean: bool) -> DataFrame:
@@ -142,6 +148,13 @@ def _scanned(docs: DataFrame, block: DataFrame, clean: bool) -> DataFrame:
     return base.mapInArrow(scan, schema)
 
 
+def _blocks(windows: DataFrame, block_windows: int, block_bytes: int) -> int:
+    """Number of blocks in which windows are broadcast."""
+    size = F.length("phrase") + F.coalesce(F.length("item"), F.lit(0)) + 16
+    count, total = windows.agg(F.count("*"), F.sum(size)).first()
+    return max(1, math.ceil(count / block_windows), math.ceil((total or 0) / block_bytes))
+
+
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                       block_windows: int = BLOCK_WINDOWS, block_bytes: int = BLOCK_BYTES,
                       clean: bool = False) -> DataFrame:
@@ -151,8 +164,7 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     spark = docs.sparkSession
     small_batches(spark)
     windows = benchmark_windows(benchmark, window)
-    count, size = windows.agg(F.count("*"), F.sum(F.length("phrase") + F.length("item") + 16)).first()
-    blocks = max(1, math.ceil(count / block_windows), math.ceil((size or 0) / block_bytes))
+    blocks = _blocks(windows, block_windows, block_bytes)
     if blocks == 1:
         return _scanned(docs, windows, clean)
     if clean:

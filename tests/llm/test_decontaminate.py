@@ -1,6 +1,8 @@
 import re
 
-from flowloom.llm.decontaminate import cut_contaminated, drop_contaminated, mark_contaminated, n_hit
+from flowloom.llm.decontaminate import (
+    _blocks, benchmark_windows, cut_contaminated, drop_contaminated, mark_contaminated, n_hit,
+)
 from tests.llm.helpers import documents, words
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -51,6 +53,24 @@ def test_equals_brute_force_in_one_and_many_blocks(spark):
     assert run(spark, DOCS, items, block_windows=8) == want
 
 
+def test_items_without_an_id_hit_words_and_are_listed_last(spark):
+    docs = [*DOCS, (20, words(500, 12) + " / only three words"), (21, words(500, 10) + " x " + words(100, 12))]
+    items = [*ITEMS, (None, "only three words")]
+    want = [(doc, n, hit, [None if i == "None" else i for i in found]) for doc, n, hit, found in brute_force(docs, items)]
+    assert (20, 15, 15, ["2", None]) in want and (21, 23, 22, ["1", "3", None]) in want
+    items = [(*i, 0) for i in items]
+    assert run(spark, docs, items) == sorted(want, key=repr)
+    assert run(spark, docs, items, block_windows=8) == sorted(want, key=repr)
+
+
+def test_windows_of_items_without_an_id_count_towards_the_bytes_of_a_block(spark):
+    items = spark.createDataFrame([(None, words(500, 19)), (None, "only three words")], "item_id long, text string")
+    windows = benchmark_windows(items)
+    assert windows.count() == 11 and _blocks(windows, 100, 11 * (16 + 49)) == 1
+    assert _blocks(windows, 100, 5 * (16 + 49)) == 3
+    assert _blocks(windows, 4, 1 << 20) == 3
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a b", 0)]) == []
     assert run(spark, [(1, "a b")], []) == [(1, 2, 0, [])]
