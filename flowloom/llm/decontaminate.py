@@ -7,7 +7,8 @@ words inside a hit are marked. Then spans or whole documents can be removed.
 
 The windows are counted first. What is broadcast at once is held to
 ``block_windows`` windows and ``block_bytes`` bytes; a larger benchmark goes over
-the documents in several blocks, whose hits are merged by document.
+the documents in several blocks, whose hits are merged by document; spans are then cut
+out of the texts in one more scan.
 
 Defined cases: a null or empty text has no words and no hits; an item without
 words hits nothing; equal items all count; an item that occurs twice counts
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowloom.llm.common import read, small_batches
-from flowloom.llm.spans import chunks, split_words, word_table
+from flowloom.llm.spans import Words, chunks, split_words, word_table
 
 WINDOW = 10
 BLOCK_WINDOWS = 500_000
@@ -81,6 +82,16 @@ def _in_order(items: set[str | None]) -> list[str | None]:
     return sorted(items, key=lambda item: (item is None, item or ""))
 
 
+def _without(text: bytes, words: Words, k: int, low: int, runs: list[tuple[int, int]]) -> bytes:
+    """Text ``k``, whose first word is ``low``, without the runs of its words."""
+    base, clean, at = words.offsets[k], [], 0
+    for a, b in runs:
+        clean.append(text[at:words.starts[low + a] - base])
+        at = words.ends[low + b - 1] - base
+    clean.append(text[at:])
+    return b"".join(clean)
+
+
 class _Scan:
     """Looks up the windows of texts in a block of benchmark windows."""
 
@@ -117,12 +128,8 @@ class _Scan:
                 yield high - low, [], [], text
                 continue
             first, past = _runs(hit[low:high])
-            base, clean, at = words.offsets[k], [], 0
-            for a, b in zip(first + low, past + low):
-                clean.append(text[at:words.starts[a] - base])
-                at = words.ends[b - 1] - base
-            clean.append(text[at:])
-            yield high - low, list(zip(first.tolist(), past.tolist())), _in_order(items[k]), b"".join(clean)
+            runs = list(zip(first.tolist(), past.tolist()))
+            yield high - low, runs, _in_order(items[k]), _without(text, words, k, low, runs)
 
 
 def _scanned(docs: DataFrame, block: DataFrame, clean: bool) -> DataFrame:
@@ -159,7 +166,7 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
                       block_windows: int = BLOCK_WINDOWS, block_bytes: int = BLOCK_BYTES,
                       clean: bool = False) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans`` (word ranges inside benchmark windows), ``items``
-    (ids as text of the items found) and, if ``clean``, ``clean_text`` (the text without those ranges; one block only).
+    (ids as text of the items found) and, if ``clean``, ``clean_text`` (the text without those ranges).
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -167,8 +174,6 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     blocks = _blocks(windows, block_windows, block_bytes)
     if blocks == 1:
         return _scanned(docs, windows, clean)
-    if clean:
-        raise ValueError("clean_text needs a benchmark of one block; cut hit_spans otherwise")
     parts = None
     for k in range(blocks):
         part = _scanned(docs.select("doc_id", "text"), windows.where(F.pmod(F.xxhash64("phrase", "item"), F.lit(blocks)) == k), False)
@@ -178,9 +183,30 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c not in ADDED.names]).alias("row"),
                        F.col("doc_id").alias("doc"), F.xxhash64("text").alias("hash"))
-    return rows.join(merged, F.col("doc").eqNullSafe(F.col("doc2")) & (F.col("hash") == F.col("hash2"))).select(
+    marked = rows.join(merged, F.col("doc").eqNullSafe(F.col("doc2")) & (F.col("hash") == F.col("hash2"))).select(
         "row.*", "n_words", _joined_spans("spans").alias("hit_spans"), "items",
         F.lit(None).cast("string").alias("clean_text"))
+    return _cut(marked) if clean else marked
+
+
+def _cut(marked: DataFrame) -> DataFrame:
+    """``marked`` with ``clean_text``, the text without its ``hit_spans``, in one scan."""
+    table = word_table(STOPS)
+    base = marked.drop("clean_text")
+
+    def scan(batches):
+        for batch in batches:
+            spans, cleaned = batch.column("hit_spans").to_pylist(), []
+            for start, part in chunks(batch.column("text").to_pylist()):
+                words = split_words(part, table)
+                bounds = np.searchsorted(words.text, np.arange(len(part)))
+                for k, text in enumerate(part):
+                    runs = [(s["first"], s["past"]) for s in spans[start + k]]
+                    cleaned.append(_without(text, words, k, bounds[k], runs).decode("utf-8", "surrogatepass"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cleaned, _ARROW[-1].type)],
+                                             schema=pa.schema([*batch.schema, _ARROW[-1]]))
+
+    return base.mapInArrow(scan, T.StructType([*base.schema.fields, ADDED["clean_text"]]))
 
 
 def _joined_spans(spans: str):

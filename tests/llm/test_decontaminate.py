@@ -82,3 +82,20 @@ def test_documents_or_spans_are_removed(spark):
     assert {r.doc_id for r in drop_contaminated(docs, items).collect()} == {2, 3}
     cut = {r.doc_id: r.text for r in cut_contaminated(docs, items).collect()}
     assert cut == {1: "Before, ; after É.", 2: "clean", 3: "", 4: ""}
+
+
+def test_spans_are_removed_alike_in_one_and_many_blocks(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    extra = [(20, "É, " + words(100, 14) + "; ß " + words(300, 5) + "! only THREE words? Ö" + words(101, 24) + "."),
+             (21, words(90, 60)), (22, "x" * (3 << 20) + " only three words")]
+    docs = documents(spark, DOCS + extra)
+    one = cut_contaminated(docs, items)
+    many = cut_contaminated(docs, items, block_windows=8)
+    assert many.columns == one.columns == docs.columns and many.schema["text"] == one.schema["text"]
+    want = sorted(map(repr, one.collect()))
+    assert sorted(map(repr, many.collect())) == want
+    cut = {r.doc_id: r.text for r in many.collect()}
+    assert cut[20] == "É, ; ß " + words(300, 5) + "! ? Ö" + words(101, 24)[:4] + " ." and cut[4] == ""
+    assert cut[21] == words(90, 10) + "  " + words(125, 25) and cut[22] == "x" * (3 << 20) + " "
+    marked = mark_contaminated(docs, items, block_windows=8).collect()
+    assert all(r.clean_text is None for r in marked) and len(marked) == len(DOCS + extra)
