@@ -234,12 +234,18 @@ def _stream_periods(spark, sf):
 
 
 def _appended(spark, sf, name: str, make, time: str, unit: int) -> DataFrame:
-    """An aggregated stream over a view; its last row is a year after all others and closes their windows."""
+    """An aggregated stream over a view; its last row is a year after all windows and closes them.
+
+    The pieces of the table are not in time order, so the watermark stays behind by the measured span of the rows.
+    """
     rows = view(spark, sf, name)
-    late = F.max(time) + 366 * 86_400 * unit
-    closing = rows.agg(late.alias("late")).select(*[
-        (F.col("late") if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema])
-    return monitor.append_all(make, rows, closing, scratch_path(spark, name))
+    first, last = rows.agg(F.min(time), F.max(time)).first()
+    span = 0 if first is None else (last - first) // unit + 1
+    late = None if last is None else last + (span + 366 * 86_400) * unit
+    closing = spark.range(1).select(*[
+        (F.lit(late) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema])
+    return monitor.append_all(lambda pieces: make(pieces, watermark=f"{span} seconds"), rows, closing,
+                              scratch_path(spark, name))
 
 
 def _stream_rate(spark, sf):
@@ -247,8 +253,7 @@ def _stream_rate(spark, sf):
 
 
 def _stream_usage(spark, sf):
-    # The pieces of the table are not in time order, so windows stay open for as long as it spans.
-    return _appended(spark, sf, "usage_samples", lambda rows: windows.usage_stream(rows, watermark="300 days"), "ts_s", 1)
+    return _appended(spark, sf, "usage_samples", windows.usage_stream, "ts_s", 1)
 
 
 def _stream_detect(spark, sf):

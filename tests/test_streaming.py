@@ -2,9 +2,13 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from flowloom.operators import packets as packet_ops
 from flowloom.operators import rules
-from flowloom.operators.flows import flowstats
+from flowloom.operators.flows import flowstats, usage_avg
+from flowloom.plans.queries import QUERIES
+from flowloom.plans.views import view
 from flowloom.sources.netflow import encode_netflow_v5, netflow_v5
 from flowloom.sources.pcap import read_pcap_stream, write_pcap
 from flowloom.sources.tables import read_partitions
@@ -145,3 +149,15 @@ def test_captured_exports_through_the_monitor(spark, tmp_path):
     root = str(tmp_path / "out")
     monitor.start_monitor(flows, root, "x", NOW).awaitTermination()
     assert rows_of(monitor.monitored_stats(spark, root)) == rows_of(flowstats(df))
+
+
+def test_queries_keep_all_rows_of_events_that_span_years(spark, data, tmp_path):
+    events = spark.read.parquet(f"{data}/events.parquet").limit(400)
+    wide = events.withColumn("ts", F.expr("ts + make_dt_interval((event_id * 37) % 40000)"))
+    wide.write.parquet(str(tmp_path / "wide/events.parquet"))
+    events.limit(0).write.parquet(str(tmp_path / "empty/events.parquet"))
+    for query, name, batch in (("stream_rate", "packets", packet_ops.rate), ("stream_usage", "usage_samples", usage_avg)):
+        got = QUERIES[query](spark, str(tmp_path / "wide"))
+        want = batch(view(spark, str(tmp_path / "wide"), name))
+        assert rows_of(got) == rows_of(want.select(got.columns)) != []
+        assert QUERIES[query](spark, str(tmp_path / "empty")).count() == 0
