@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from flowloom.llm import (
-    bpe_transducer, byte_bpe, code_search, decontaminate, jaccard_join, line_dedup, preferences, secrets, token_ledger, toxicity,
+    bpe_transducer, byte_bpe, code_search, collocations, decontaminate, jaccard_join, line_dedup, preferences, secrets, token_ledger, toxicity,
     url_reputation,
 )
 
@@ -19,6 +19,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_secret_scans": secrets.op9_secret_scans,
     "op10_chat_formatting": preferences.op10_chat_formatting,
+    "op12_collocations": collocations.op12_collocations,
     "op13_bpe_transducer": bpe_transducer.op13_bpe_transducer,
     "pipeline": corpus_pipeline.run,
 }
@@ -30,4 +31,5 @@ SQL = {
     "op7_benchmark_decontamination": decontaminate.OP7_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op10_chat_formatting": preferences.OP10_SQL,
+    "op12_collocations": collocations.OP12_SQL,
 }
