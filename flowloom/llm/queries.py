@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from flowloom.llm import (
-    bpe_transducer, byte_bpe, code_search, collocations, decontaminate, jaccard_join, line_dedup, preferences, secrets, token_ledger, toxicity,
-    url_reputation,
+    bpe_transducer, byte_bpe, code_search, collocations, decontaminate, jaccard_join, line_dedup, preferences, secrets,
+    token_alignment, token_ledger, toxicity, url_reputation,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_secret_scans": secrets.op9_secret_scans,
     "op10_chat_formatting": preferences.op10_chat_formatting,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
     "op12_collocations": collocations.op12_collocations,
     "op13_bpe_transducer": bpe_transducer.op13_bpe_transducer,
     "pipeline": corpus_pipeline.run,
