@@ -136,6 +136,54 @@ _ALL_RETURNED = """WITH a AS (
     SELECT DISTINCT 'big', g.bin_start, NULL, g.dip, flows, pkts, bytes, NULL, NULL, ret_prot
     FROM groups_b g JOIN b ON b.bin_start = g.bin_start AND b.dip = g.dip"""
 
+_PLACES = "PARTITION BY src_addr, dst_addr, src_port, dst_port, proto"
+_DIFFERENCE = "((x - y + 2147483648) % 4294967296 + 4294967296) % 4294967296 - 2147483648"
+
+# Sequence state with one window over whole flows.
+_TCP_QUALITY = f"""WITH stepped AS (
+      SELECT *, (tcp_flags & 16) > 0 AS acks, CASE WHEN (tcp_flags & 16) > 0 THEN tcp_ack END AS ack,
+        tcp_seq AS x, LAG(tcp_seq) OVER ({_PLACES} ORDER BY ts_us) AS y FROM segments),
+    placed AS (
+      SELECT *, SUM(COALESCE({_DIFFERENCE}, 0)) OVER ({_PLACES} ORDER BY ts_us) AS start FROM stepped),
+    data AS (
+      SELECT *, MAX(start + payload_len) OVER ({_PLACES} ORDER BY ts_us ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high,
+        MAX(payload_len) OVER ({_PLACES}, start ORDER BY ts_us ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS longest
+      FROM placed WHERE payload_len > 0),
+    repeated AS (
+      SELECT {_TUPLE}, COUNT(longest) AS rexmt_pkts, COALESCE(SUM(LEAST(payload_len, longest)) FILTER (longest IS NOT NULL), 0) AS rexmt_bytes,
+        COUNT(*) FILTER (longest IS NULL AND start < high) AS out_of_order FROM data GROUP BY ALL),
+    acked AS (
+      SELECT *, COALESCE(payload_len = 0 AND (tcp_flags & 7) = 0
+        AND ack = LAG(ack) OVER ({_PLACES} ORDER BY ts_us)
+        AND "window" = LAG("window") OVER ({_PLACES} ORDER BY ts_us), FALSE) AS again FROM placed WHERE acks),
+    runs AS (
+      SELECT *, SUM(CASE WHEN again THEN 0 ELSE 1 END) OVER ({_PLACES} ORDER BY ts_us) AS run FROM acked),
+    doubles AS (
+      SELECT {_TUPLE}, SUM(n) AS dup_acks, COUNT(*) FILTER (n >= 3) AS dup3ack
+      FROM (SELECT {_TUPLE}, run, COUNT(*) AS n FROM runs WHERE again GROUP BY ALL) GROUP BY {_TUPLE}),
+    answers AS (
+      SELECT d.*, (SELECT MIN(a.ts_us) FROM acked a WHERE a.src_addr = d.dst_addr AND a.dst_addr = d.src_addr
+          AND a.src_port = d.dst_port AND a.dst_port = d.src_port
+          AND a.ack = (d.tcp_seq + d.payload_len) % 4294967296 AND a.ts_us >= d.ts_us) AS answered_us,
+        (SELECT COUNT(*) FROM data e WHERE e.src_addr = d.src_addr AND e.dst_addr = d.dst_addr AND e.src_port = d.src_port
+          AND e.dst_port = d.dst_port AND (e.tcp_seq + e.payload_len) % 4294967296 = (d.tcp_seq + d.payload_len) % 4294967296
+          AND e.ts_us < d.ts_us AND d.ts_us - e.ts_us <= 60000000) AS sent_before,
+        (SELECT MIN(e.ts_us) FROM data e WHERE e.src_addr = d.src_addr AND e.dst_addr = d.dst_addr AND e.src_port = d.src_port
+          AND e.dst_port = d.dst_port AND (e.tcp_seq + e.payload_len) % 4294967296 = (d.tcp_seq + d.payload_len) % 4294967296
+          AND e.ts_us > d.ts_us) AS sent_after
+      FROM data d),
+    trips AS (
+      SELECT {_TUPLE}, COUNT(*) AS rtt_cnt, SUM(answered_us - ts_us) AS tot_rtt, MIN(answered_us - ts_us) AS rtt_min,
+        MAX(answered_us - ts_us) AS rtt_max FROM answers
+      WHERE answered_us - ts_us <= 60000000 AND sent_before = 0 AND (sent_after IS NULL OR sent_after > answered_us)
+      GROUP BY ALL),
+    counts AS (SELECT {_TUPLE}, COUNT(*) AS packets FROM segments GROUP BY ALL)
+    SELECT {_TUPLE}, packets, CAST(COALESCE(rexmt_pkts, 0) AS BIGINT) AS rexmt_pkts,
+      CAST(COALESCE(rexmt_bytes, 0) AS BIGINT) AS rexmt_bytes, CAST(COALESCE(out_of_order, 0) AS BIGINT) AS out_of_order,
+      CAST(COALESCE(dup_acks, 0) AS BIGINT) AS dup_acks, CAST(COALESCE(dup3ack, 0) AS BIGINT) AS dup3ack,
+      CAST(COALESCE(rtt_cnt, 0) AS BIGINT) AS rtt_cnt, CAST(COALESCE(tot_rtt, 0) AS BIGINT) AS tot_rtt, rtt_min, rtt_max
+    FROM counts LEFT JOIN repeated USING ({_TUPLE}) LEFT JOIN doubles USING ({_TUPLE}) LEFT JOIN trips USING ({_TUPLE})"""
+
 _REPORTS = {
     "totalvolume": ("totalVolume", None), "totalprotocol": ("totalProtocol", "protocol"),
     "portegress": ("srcPort", "port"), "portingress": ("dstPort", "port"),
@@ -348,6 +396,16 @@ def checks() -> dict[str, str]:
               0::BIGINT AS syn, 0::BIGINT AS fin, 0::BIGINT AS rst, COUNT(*) AS ack, 0::BIGINT AS pure_ack,
               65535 AS win_min, 65535 AS win_max, 0::BIGINT AS cnt_zerowin, 64 AS ttl_min, 64 AS ttl_max
             FROM packets WHERE {_V4} AND proto = 6 GROUP BY {_TUPLE}"""),
+        "tcp_summary_segments": _over("segments", f"""
+            SELECT {_TUPLE}, COUNT(*) AS packets, COUNT(*) FILTER (payload_len > 0) AS data_packets,
+              CAST(COALESCE(SUM(payload_len) FILTER (payload_len > 0), 0) AS BIGINT) AS data_bytes,
+              MIN(ts_us) AS first_us, MAX(ts_us) AS last_us, MIN(ip_len) AS min_size, MAX(ip_len) AS max_size,
+              CAST(SUM((tcp_flags >> 1) & 1) AS BIGINT) AS syn, CAST(SUM(tcp_flags & 1) AS BIGINT) AS fin,
+              CAST(SUM((tcp_flags >> 2) & 1) AS BIGINT) AS rst, CAST(SUM((tcp_flags >> 4) & 1) AS BIGINT) AS ack,
+              COUNT(*) FILTER (tcp_flags = 16 AND payload_len = 0) AS pure_ack, MIN("window") AS win_min,
+              MAX("window") AS win_max, COUNT(*) FILTER ("window" = 0) AS cnt_zerowin, MIN(ttl) AS ttl_min, MAX(ttl) AS ttl_max
+            FROM segments GROUP BY {_TUPLE}"""),
+        "tcp_quality": _over("segments", _TCP_QUALITY),
         "word_count": """
             SELECT word, COUNT(*) AS n FROM (
               SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS word FROM documents)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowloom.functions.net import FIVE_TUPLE, date_label, ip_text
-from flowloom.operators import anomaly, classify, flows, packets, rules, text
+from flowloom.operators import anomaly, classify, flows, packets, rules, tcp, text
 from flowloom.plans.lineage import scratch_path
 from flowloom.plans.views import VIEWS, table, view, view_over
 from flowloom.sources import netflow, tables
@@ -178,6 +178,11 @@ def _tcp_decoded(spark, sf):
     return packets.tcp_summary(decode_packets(encode_frames(view(spark, sf, "packets"))))
 
 
+def _segments(spark, sf):
+    """TCP packets of connections, as frames that were decoded."""
+    return decode_packets(encode_frames(view(spark, sf, "segments")))
+
+
 def _legacy(spark, sf):
     return rules.legacy_matches(view(spark, sf, "flows"), rules.load_legacy_rules(LEGACY_RULES))
 
@@ -302,6 +307,8 @@ QUERIES: dict[str, Query] = {
     "adjacency": _adjacency,
     "tcp_summary": _over("packets", packets.tcp_summary),
     "tcp_summary_decoded": _tcp_decoded,
+    "tcp_summary_segments": lambda spark, sf: packets.tcp_summary(_segments(spark, sf)),
+    "tcp_quality": lambda spark, sf: tcp.tcp_quality(_segments(spark, sf)),
     # text
     "word_count": lambda spark, sf: text.word_count(table(spark, sf, "documents")),
     "path_adjacency": _over("traceroute", text.path_adjacency),

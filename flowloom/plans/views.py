@@ -28,6 +28,28 @@ VIEWS = {
           CAST(CAST(FLOOR(value * 10) AS BIGINT) % 1461 AS INT) AS payload_len,
           CASE WHEN event_type = 'click' AND event_id % 3 = 0 THEN 'GET /index HTTP/1.1' ELSE 'data' END AS payload
         FROM events"""),
+    # Sixteen TCP connections: three data packets of the client, some sent again or swapped, then an ACK of the
+    # server, which for the second half of 32 packets stays the same; numbers wrap after 40 packets.
+    "segments": ("events", """
+        SELECT event_id AS pkt_id, CAST(1704067200000000 + event_id * 1000 + user_id % 700 AS BIGINT) AS ts_us,
+          2048 AS eth_type, 6 AS proto,
+          CAST(CASE WHEN back THEN 3232235520 + conn % 4 ELSE 167772160 + conn END AS BIGINT) AS src_addr,
+          CAST(CASE WHEN back THEN 167772160 + conn ELSE 3232235520 + conn % 4 END AS BIGINT) AS dst_addr,
+          CAST(CASE WHEN back THEN 443 ELSE 1024 + conn END AS INT) AS src_port,
+          CAST(CASE WHEN back THEN 1024 + conn ELSE 443 END AS INT) AS dst_port,
+          CAST(CASE WHEN back THEN 40 ELSE 1040 END AS INT) AS ip_len,
+          CAST(CASE WHEN back THEN 0 ELSE 1000 END AS INT) AS payload_len, '' AS payload,
+          CAST((CASE WHEN back THEN 77 ELSE 4294927296 + place * 1000 END) % 4294967296 AS BIGINT) AS tcp_seq,
+          CAST((CASE WHEN back THEN 4294927296 + acked * 1000 ELSE 77 END) % 4294967296 AS BIGINT) AS tcp_ack,
+          CAST(CASE WHEN nth = 0 THEN 2 WHEN event_id % 997 = 0 THEN 20 WHEN event_id % 499 = 0 THEN 17
+                    WHEN back THEN 16 ELSE 24 END AS INT) AS tcp_flags,
+          CAST(CASE WHEN event_id % 211 = 0 THEN 0 ELSE 4096 + nth {div} 64 END AS INT) AS "window",
+          CAST(64 - user_id % 9 AS INT) AS ttl
+        FROM (SELECT *, nth % 4 = 3 AS back,
+                CASE WHEN nth % 28 = 5 THEN nth - 1 WHEN nth % 44 = 9 THEN nth + 1 WHEN nth % 44 = 10 THEN nth - 1
+                     ELSE nth END AS place,
+                CASE WHEN nth % 32 >= 19 THEN nth - nth % 32 + 19 ELSE nth END AS acked
+              FROM (SELECT *, event_id % 16 AS conn, event_id {div} 16 AS nth FROM events)) AS numbered"""),
     "flows": ("lineitem", """
         SELECT CAST(167772160 + l_suppkey AS BIGINT) AS src_addr,
           CAST(3232235520 + l_partkey % 50 AS BIGINT) AS dst_addr,
@@ -93,7 +115,7 @@ def _render(text: str, us: str, div: str) -> str:
 def spark_text(name: str) -> str:
     """View text for Spark; independent of the session time zone."""
     return _render(
-        VIEWS[name][1], "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})", "DIV"
+        VIEWS[name][1].replace('"window"', "`window`"), "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})", "DIV"
     )
 
 

@@ -78,13 +78,17 @@ def encode_frames(packets: DataFrame) -> DataFrame:
     """(ts_us, wire_len, frame) rows out of packet columns: Ethernet, then IP and transport headers.
 
     The headers are complete; of the payload only the bytes given are stored, as
-    a capture with a small snapshot length would.
+    a capture with a small snapshot length would. Sequence and ACK number, flags and
+    window of TCP and the time to live are those of the columns, if there are any.
     """
+    def field(name: str, nbytes: int, other: str) -> Column:
+        return F.coalesce(be_hex(F.col(name), nbytes), F.lit(other)) if name in packets.columns else F.lit(other)
     port = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("src_port", "dst_port")}
-    tcp = F.concat(be_hex(port["src_port"], 2), be_hex(port["dst_port"], 2), F.lit("00" * 8),
-                   F.lit("5018"), F.lit("ffff"), F.lit("00" * 4))
+    tcp = F.concat(be_hex(port["src_port"], 2), be_hex(port["dst_port"], 2), field("tcp_seq", 4, "00" * 4),
+                   field("tcp_ack", 4, "00" * 4), F.lit("50"), field("tcp_flags", 1, "18"), field("window", 2, "ffff"),
+                   F.lit("00" * 4))
     short = F.concat(be_hex(port["src_port"], 2), be_hex(port["dst_port"], 2), F.lit("00" * 4))
-    ipv4 = F.concat(F.lit("4500"), be_hex(F.col("ip_len"), 2), F.lit("0000000040"),
+    ipv4 = F.concat(F.lit("4500"), be_hex(F.col("ip_len"), 2), F.lit("00000000"), field("ttl", 1, "40"),
                     be_hex(F.col("proto"), 1), F.lit("0000"),
                     be_hex(F.col("src_addr"), 4), be_hex(F.col("dst_addr"), 4))
     ipv6 = F.concat(F.lit("60000000"), be_hex(F.col("ip_len"), 2), F.lit("0640"), F.lit("00" * 32))
