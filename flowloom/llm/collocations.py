@@ -40,7 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from flowloom.llm.common import read, tidy_shuffles
+from flowloom.llm.common import arrow_batches, pack, read, tidy_shuffles, unpack
 from flowloom.llm.spans import mix, split_words, word_table
 from flowloom.plans.lineage import as_table
 
@@ -52,6 +52,7 @@ SHARD_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 20
 BITS = 1 << 27
 ROWS_AT_ONCE = 100_000
+AT_ONCE = 1 << 17
 BLANKS = " \t"
 MARKS = ".,;:!?\n\x0b\x0c\r"
 UNKNOWN = "und"
@@ -76,7 +77,7 @@ class ShardWords:
         self.lang, self.total, self.bytes = lang, total, 0
         self.waiting: list[bytes] = []
         self.waiting_bytes = self.pieces = self.place = 0
-        self.parts: list[tuple] = []
+        self.parts: tuple[list, ...] = ([], [], [], [], [])
 
     def add(self, text: bytes) -> None:
         self.bytes += len(text)
@@ -99,28 +100,36 @@ class ShardWords:
             return
         words = split_words([b"\n".join(self.waiting) + end], self.table)
         piece = np.cumsum(self.marks[np.frombuffer(words.buffer, np.uint8)], dtype=np.int32)
-        self.parts.append((words.buffer, words.starts.astype(np.int32), words.ends.astype(np.int32), words.hashes,
-                           piece[words.starts] + np.int32(self.pieces)))
+        base = np.int32(self.place)
+        for held, part in zip(self.parts, (words.buffer, words.starts.astype(np.int32) + base, words.ends.astype(np.int32) + base,
+                                           words.hashes, piece[words.starts] + np.int32(self.pieces))):
+            held.append(part)
+        self.place += len(words.buffer)
         self.pieces += int(piece[-1]) if len(piece) else 0
         self.waiting, self.waiting_bytes = [], 0
 
     def close(self) -> None:
         """Turns what was added into arrays."""
         self._split()
-        self.buffer = b"".join(p[0] for p in self.parts)
-        places = np.cumsum([0] + [len(p[0]) for p in self.parts])
-        self.starts = np.concatenate([p[1] + at for p, at in zip(self.parts, places)] or [np.zeros(0, np.int64)])
-        self.ends = np.concatenate([p[2] + at for p, at in zip(self.parts, places)] or [np.zeros(0, np.int64)])
-        self.hashes = np.concatenate([p[3] for p in self.parts] or [np.zeros(0, np.uint64)])
-        self.piece = np.concatenate([p[4] for p in self.parts] or [np.zeros(0, np.int32)])
-        self.parts = []
+
+        def joined(place, kind):
+            out = np.concatenate(self.parts[place] or [np.zeros(0, kind)])
+            self.parts[place].clear()
+            return out
+        self.buffer = b"".join(self.parts[0])
+        self.parts[0].clear()
+        self.starts, self.ends, self.hashes, self.piece = (
+            joined(1, np.int32), joined(2, np.int32), joined(3, np.uint64), joined(4, np.int32))
 
     def runs(self, at: np.ndarray, size: int) -> np.ndarray:
         """Hashes of the runs of ``size`` words that begin at the words ``at``."""
         total = np.full(len(at), self.seed + np.uint64(size), np.uint64)
-        for i in range(size):
-            total += self.hashes[at + i] * _PLACES[i]
-        return mix(total)
+        for start in range(0, len(at), AT_ONCE):
+            part = slice(start, start + AT_ONCE)
+            for i in range(size):
+                total[part] += self.hashes[at[part] + i] * _PLACES[i]
+            total[part] = mix(total[part])
+        return total
 
     def longer(self, kept: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
         """Where runs of ``size`` words begin whose two runs of a word less begin at kept places ``at[kept]``."""
@@ -147,6 +156,7 @@ def over_shards(docs: DataFrame, work: Callable, schema: pa.Schema, kinds: str,
                 words.close()
                 for columns in work(words):
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                del words
 
         for batch in batches:
             for lang, total, text in zip(*[batch.column(c) for c in ("lang", "total", "text")]):
@@ -164,8 +174,11 @@ def over_shards(docs: DataFrame, work: Callable, schema: pa.Schema, kinds: str,
 
 
 def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(BITS - 1)
-    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+    out = np.zeros(len(hashes), bool)
+    for start in range(0, len(hashes), AT_ONCE):
+        place = hashes[start:start + AT_ONCE] & np.uint64(BITS - 1)
+        out[start:start + AT_ONCE] = (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
+    return out
 
 
 def bitmap(hashes: DataFrame) -> np.ndarray:
@@ -179,47 +192,87 @@ def bitmap(hashes: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def tally(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of hashes found ``least`` times: the distinct ones, where each is first, how often; and which are such."""
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1])))
+    n = np.diff(first, append=len(ordered))
+    often = n >= least
+    kept = np.zeros(len(hashes), bool)
+    kept[order] = np.repeat(often, n)
+    first, n = first[often], n[often]
+    return ordered[first], order[first], n, kept
+
+
 def word_counts(docs: DataFrame, shard_bytes: int) -> DataFrame:
     """(lang, h, n) of every word, exact."""
     schema = pa.schema([("lang", pa.string()), ("h", pa.int64()), ("n", pa.int64())])
 
     def work(words):
-        h, n = np.unique(words.runs(np.arange(len(words.hashes)), 1), return_counts=True)
+        h, _, n, _ = tally(words.runs(np.arange(len(words.hashes), dtype=np.int32), 1), 1)
         yield [words.lang] * len(h), h.view(np.int64), n
 
     found = over_shards(docs, work, schema, "lang string, h long, n long", shard_bytes)
     return found.groupBy("lang", "h").agg(F.sum("n").alias("n"))
 
 
-def local_phrases(docs: DataFrame, frequent: np.ndarray, support: int, shard_bytes: int) -> DataFrame:
-    """(lang, h, n, slack) of the phrases that each shard finds frequent, slack being one less than the shard's
-    support; and a row without h for each shard and language."""
-    bits = docs.sparkSession.sparkContext.broadcast(frequent)
-    schema = pa.schema([("lang", pa.string()), ("h", pa.int64()), ("n", pa.int64()), ("slack", pa.int64())])
+def local_phrases(docs: DataFrame, frequent: np.ndarray, support: int, bits: int, shard_bytes: int) -> DataFrame:
+    """(lang, part, slack, found) of the phrases that each shard finds frequent: their sorted hashes and counts, packed
+    by the first ``bits`` bits of the hash (the part); slack is one less than the shard's support. A row without
+    part tells the slack of each shard and language once."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    schema = pa.schema([("lang", pa.string()), ("part", pa.int64()), ("slack", pa.int64()), ("found", pa.binary())])
 
     def work(words):
         least = max(1, -(-support * words.bytes // max(1, words.total)))
-        yield [words.lang], [None], [0], [least - 1]
-        at = np.arange(len(words.hashes))
-        kept = in_bitmap(bits.value, words.runs(at, 1))
+        yield [words.lang], [None], [least - 1], [None]
+        at = np.arange(len(words.hashes), dtype=np.int32)
+        kept = in_bitmap(shared.value, words.runs(at, 1))
         for size in range(2, LONGEST + 1):
             at = words.longer(kept, at, size)
-            hashes, inverse, n = np.unique(words.runs(at, size), return_inverse=True, return_counts=True)
-            often = n >= least
-            kept = often[inverse]
-            hashes, n = hashes[often].view(np.int64), n[often]
-            for i in range(0, len(n), ROWS_AT_ONCE):
-                part = n[i:i + ROWS_AT_ONCE]
-                yield [words.lang] * len(part), hashes[i:i + ROWS_AT_ONCE], part, [least - 1] * len(part)
+            hashes, _, n, kept = tally(words.runs(at, size), least)
+            part = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+            pieces = [slice(a, b) for a, b in zip(edges, edges[1:]) if a < b]
+            yield ([words.lang] * len(pieces), [int(part[p.start]) for p in pieces], [least - 1] * len(pieces),
+                   [pack(np.diff(hashes[p], prepend=np.uint64(0)), n[p].astype("<u4")) for p in pieces])
 
-    return over_shards(docs, work, schema, "lang string, h long, n long, slack long", shard_bytes)
+    return over_shards(docs, work, schema, "lang string, part long, slack long, found binary", shard_bytes)
 
 
 def candidates(local: DataFrame, support: int) -> DataFrame:
     """(h) of the phrases whose reports, and the bounds of shards that don't report them, reach the support."""
-    slack = as_table(local.where("h is null").groupBy("lang").agg(F.sum("slack").alias("all_slack")), "slack")
-    sums = local.where("h is not null").groupBy("lang", "h").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
-    return sums.join(slack, "lang").where(F.col("n") + F.col("all_slack") - F.col("slack") >= support).select("h")
+    slack = as_table(local.where("part is null").groupBy("lang").agg(F.sum("slack").alias("all_slack")), "slack")
+    parts = local.where("part is not null").join(slack, "lang").select("lang", "part", "slack", "all_slack", "found")
+
+    def merged(held):
+        hashes, n, slack = [], [], []
+        for slack_of, found in held:
+            gaps, counts = unpack(found)
+            hashes.append(np.cumsum(gaps, dtype=np.uint64))
+            n.append(counts.astype(np.int64) - slack_of)
+        hashes, n = np.concatenate(hashes), np.concatenate(n)
+        order = np.argsort(hashes, kind="stable")
+        hashes = hashes[order]
+        first = np.flatnonzero(np.concatenate((np.ones(1, bool), hashes[1:] != hashes[:-1])))
+        return hashes[first].view(np.int64), np.add.reduceat(n[order], first)
+
+    def run(batches):
+        current, held, room = None, [], 0
+        for batch in batches:
+            for key in zip(*[batch.column(c).to_pylist() for c in ("lang", "part", "slack", "all_slack", "found")]):
+                if key[:2] != current:
+                    if held:
+                        hashes, n = merged(held)
+                        yield pa.RecordBatch.from_arrays([pa.array(hashes[n + room >= support])], names=["h"])
+                    current, held, room = key[:2], [], key[3]
+                held.append((key[2], key[4]))
+        if held:
+            hashes, n = merged(held)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[n + room >= support])], names=["h"])
+
+    return parts.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(run, "h long")
 
 
 def counted_phrases(docs: DataFrame, wanted: np.ndarray, support: int, shard_bytes: int) -> DataFrame:
@@ -229,13 +282,13 @@ def counted_phrases(docs: DataFrame, wanted: np.ndarray, support: int, shard_byt
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("size", pa.int32()), ("n", pa.int64())])
 
     def work(words):
-        at, kept = np.arange(len(words.hashes)), None
+        at, kept = np.arange(len(words.hashes), dtype=np.int32), None
         for size in range(1, LONGEST + 1):
             if size > 1:
                 at = words.longer(kept, at, size)
             hashes = words.runs(at, size)
             kept = in_bitmap(bits.value, hashes)
-            _, first, n = np.unique(hashes[kept], return_index=True, return_counts=True)
+            _, first, n, _ = tally(hashes[kept], 1)
             places = at[kept][first]
             for i in range(0, len(n), ROWS_AT_ONCE):
                 part = places[i:i + ROWS_AT_ONCE].tolist()
@@ -283,13 +336,16 @@ def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, covere
     """(lang, rank, phrase, a, l, r, n, score): the first ``top`` phrases of each language of ``docs`` (lang, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    with tidy_shuffles(spark):
+    with tidy_shuffles(spark), arrow_batches(spark):
         sizes = as_table(docs.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("total")), "text-sizes")
         docs = docs.join(sizes, "lang").select("lang", "total", "text")
         words = as_table(word_counts(docs, shard_bytes), "words")
         totals = as_table(words.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
         frequent = words.where(F.col("n") >= support).select("h")
-        local = as_table(local_phrases(docs, bitmap(frequent), support, shard_bytes), "local-phrases")
+        # A part holds what about sixteen shards find, however many there are.
+        shards = (sizes.agg(F.sum("total")).first()[0] or 0) // shard_bytes
+        bits = min(20, 4 + max(0, shards // 16).bit_length())
+        local = as_table(local_phrases(docs, bitmap(frequent), support, bits, shard_bytes), "local-phrases")
         wanted = bitmap(candidates(local, support).unionByName(frequent))
         phrases = as_table(counted_phrases(docs, wanted, support, shard_bytes), "phrases")
     inside = covered_phrases(phrases)
