@@ -41,6 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
@@ -52,10 +53,15 @@ VOCABULARY = "byte_bpe_50k.json"
 WINDOW = 1 << 16
 STEP = 4096
 CACHED = 200_000
+WARMED_CHARS = 1 << 21
+SHORT_WORD = 48
 PART_IDS = 1 << 18
 FLUSH_BYTES = 4 << 20
 NO_PAIR = 1 << 62
-# Bytes that stand for themselves in byte-level vocabularies; the others are numbered from 256 on.
+# White space that is rare, in ASCII and beyond; bytes that stand for themselves in byte-level vocabularies, the
+# others being numbered from 256 on.
+RARE_WHITE = "\t\x0b\x0c\r"
+OTHER_WHITE = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Up to here the classes of letters and digits of all Unicode versions agree.
 SETTLED = "\u0530"
@@ -168,6 +174,55 @@ def _merge_long(merges: Merges, parts: list[int]) -> list[int]:
     return [p for p in parts if p >= 0]
 
 
+class BatchMerger:
+    """Merges many short words at once: each step merges one pair of every word, by whole arrays."""
+
+    def __init__(self, merges: Merges):
+        self.byte_ids = np.array(merges.byte_ids, np.int64)
+        keys = np.array(sorted(merges.pairs), np.int64)
+        found = np.array([merges.pairs[k] for k in keys.tolist()], np.int64)
+        self.keys, self.ranks = np.append(keys, NO_PAIR), np.append(found >> 20, 1 << 30)
+        self.results = np.zeros(len(keys) + 1, np.int64)
+        self.results[found >> 20] = found & 0xFFFFF
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray, same: np.ndarray) -> np.ndarray:
+        pairs = left << 20 | right
+        at = np.searchsorted(self.keys, pairs)
+        return np.where(same & (self.keys[at] == pairs), self.ranks[at], 1 << 30)
+
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of each word; as ``merge`` of each."""
+        if not words:
+            return []
+        ids = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        rank = np.append(self._ranks(ids[:-1], ids[1:], word[:-1] == word[1:]), 1 << 30)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(ids):
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            best = np.minimum.reduceat(rank << 32 | np.arange(len(rank)), starts)
+            more = best < 1 << 62
+            if 2 * more.sum() <= len(more):  # words without pairs leave when they are half of all
+                kept = np.repeat(more, np.diff(starts, append=len(ids)))
+                done.append((word[~kept], ids[~kept]))
+                ids, word, rank = ids[kept], word[kept], rank[kept]
+                continue
+            best = best[more]
+            at = best & 0xFFFFFFFF
+            ids[at] = self.results[best >> 32]
+            kept = np.ones(len(ids), bool)
+            kept[at + 1] = False
+            at -= np.arange(len(at))  # one place is dropped after each earlier one
+            ids, word, rank = ids[kept], word[kept], rank[kept]
+            touched = np.concatenate((at, at[at > 0] - 1))
+            after = np.minimum(touched + 1, len(ids) - 1)
+            rank[touched] = self._ranks(ids[touched], ids[after], (word[touched] == word[after]) & (after > touched))
+        word, ids = np.concatenate([w for w, _ in done]), np.concatenate([i for _, i in done])
+        packed = ids[np.argsort(word, kind="stable")].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Transducer:
     """Encodes one pre-token that comes in steps; holds the bytes whose tokens aren't final."""
 
@@ -195,6 +250,20 @@ class Transducer:
         return merge(self.merges, data)
 
 
+class _Pieces(dict):
+    """Packed ids of pieces that follow a blank."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.encoder.encoded(" " + piece)
+        if len(self) < self.encoder.cached:
+            self[piece] = found
+        return found
+
+
 class Encoder:
     """Encodes texts to parts of packed ids."""
 
@@ -203,11 +272,11 @@ class Encoder:
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.cut = regex.compile(r"(?<=\S)(?= )")
         self.white = regex.compile(r"\s+")
-        self.odd_white = regex.compile(r"[\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|  |\n ")
         self.library = ByteLevel(add_prefix_space=False)
         self.special = regex.compile("|".join(map(regex.escape, sorted(merges.special, key=len, reverse=True)))) \
             if merges.special else None
-        self.pieces: dict[str, bytes] = {}
+        self.many = BatchMerger(merges)
+        self.pieces = _Pieces(self)
 
     def words(self, text: str) -> list[str]:
         """Pre-tokens of ``text``."""
@@ -215,26 +284,30 @@ class Encoder:
             return self.pattern.findall(text)
         return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
 
-    def _encoded(self, piece: str) -> bytes:
+    def encoded(self, piece: str) -> bytes:
         ids = [i for word in self.words(piece) for i in merge(self.merges, word.encode())]
         return np.array(ids, "<u4").tobytes()
 
-    def _after_blank(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= self.cached:
-                self.pieces.clear()
-            found = self.pieces[piece] = self._encoded(" " + piece)
-        return found
+    def warm(self, texts: list[str]) -> None:
+        """Encodes the pieces of texts that the cache lacks, all at once."""
+        wanted = set().union(*(text[:WARMED_CHARS].split(" ") for text in texts)).difference(self.pieces, ("",))
+        if len(self.pieces) + len(wanted) > self.cached:
+            self.pieces.clear()
+        pieces = [p for p in wanted if len(p) < SHORT_WORD][:self.cached]
+        words = [[" " + p] if p.isascii() and p.isalpha() else self.words(" " + p) for p in pieces]
+        distinct = list({w for of in words for w in of})
+        ids = dict(zip(distinct, self.many.merge([w.encode() for w in distinct])))
+        self.pieces.update(zip(pieces, (b"".join([ids[w] for w in of]) for of in words)))
 
     def _window(self, text: str) -> bytes:
         """Ids of text that ends where a pre-token ends."""
-        if self.odd_white.search(text):
+        if "  " in text or "\n " in text or any(c in text for c in RARE_WHITE) or not text.isascii() and any(
+                c in text for c in OTHER_WHITE):
             first, *rest = self.cut.split(text)
             rest = [piece[1:] for piece in rest]
         else:
             first, *rest = text.split(" ")
-        return self._encoded(first) + b"".join(map(self._after_blank, rest))
+        return self.encoded(first) + b"".join(map(self.pieces.__getitem__, rest))
 
     def _safe_blank(self, text: str, start: int, end: int) -> int:
         """The last blank after ``start`` that follows something else than white space, or -1."""
@@ -289,7 +362,7 @@ class Encoder:
         return end
 
     def pieces_of(self, text: str):
-        if self.special is None or not self.special.search(text):
+        if self.special is None or not any(token in text for token in self.merges.special):
             yield from self.segment(text)
             return
         start = 0
@@ -351,8 +424,17 @@ def encode(docs: DataFrame, merges: Merges, window: int = WINDOW, part_ids: int
         for batch in batches:
             schema = pa.schema([("doc_id", batch.schema.field("doc_id").type), ("row", pa.int64()), ("part", pa.int32()),
                                 ("last", pa.bool_()), ("ids", pa.binary())])
-            out, size = {c: [] for c in schema.names}, 0
-            for doc_id, row, text in zip(*[batch.column(c) for c in ("doc_id", "row", "text")]):
+            out, size, chars = {c: [] for c in schema.names}, 0, 0
+            texts = batch.column("text")
+            lengths = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+            for i, (doc_id, row, text) in enumerate(zip(*[batch.column(c) for c in ("doc_id", "row", "text")])):
+                if chars <= 0:  # the cache gets what the next texts lack
+                    end = i
+                    while end < len(lengths) and (end == i or chars + lengths[end] <= WARMED_CHARS):
+                        chars += max(1, lengths[end])
+                        end += 1
+                    encoder.warm([t or "" for t in texts.slice(i, end - i).to_pylist()])
+                chars -= max(1, lengths[i])
                 for part, (last, ids) in enumerate(encoder.parts(text.as_py() or "")):
                     for c, v in zip(out, (doc_id.as_py(), row.as_py(), part, last, ids)):
                         out[c].append(v)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -48,6 +50,12 @@ def tidy_shuffles(spark: SparkSession):
     return settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
 
 
+def arrow_batches(spark: SparkSession, rows: int = 512, size: int = 4 << 20):
+    """Inside, jobs send texts to Python in batches of so many rows and bytes at most."""
+    return settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(rows),
+                    spark__sql__execution__arrow__maxBytesPerBatch=str(size))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches for texts: bounded by bytes, so that long texts don't add up in a worker.
 
@@ -68,3 +76,21 @@ def least_count(counts: DataFrame, most: int) -> int:
             break
         least = row.least
     return least
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of unsigned 32- or 64-bit numbers by byte planes, pressed."""
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() for x in arrays]
+    head = np.array([len(arrays), *(v for x in arrays for v in (len(x), x.itemsize))], "<u4").tobytes()
+    return head + zstandard.compress(b"".join(planes), 3)
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    many = int.from_bytes(data[:4], "little")
+    head = np.frombuffer(data, "<u4", 2 * many, 4).reshape(-1, 2).astype(np.int64)
+    planes, out, at = zstandard.decompress(data[4 + 8 * many:]), [], 0
+    for n, size in head.tolist():
+        part = np.frombuffer(planes, np.uint8, n * size, at).reshape(size, n)
+        out.append(np.ascontiguousarray(part.T).view(f"<u{size}").ravel())
+        at += n * size
+    return out

@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from flowloom.llm.bpe_transducer import (
-    VOCABULARY, Encoder, TextState, Transducer, build_merges, decode, digests, encode, in_order, joined, merge,
+    VOCABULARY, BatchMerger, Encoder, TextState, Transducer, build_merges, decode, digests, encode, in_order, joined, merge,
     op13_bpe_transducer, read_merges,
 )
 from flowloom.llm.common import read
@@ -83,6 +83,14 @@ def test_long_merge_equals_short(merges):
         assert whole == slow
 
 
+def test_batches_equal_single_words(merges):
+    rng = random.Random(6)
+    words = [bytes(rng.choices(b"the aniorsd.\xc3\xa9", k=rng.randint(1, 60))) for _ in range(3000)] + [b"a", b" the", b"aaaa"]
+    got = BatchMerger(merges).merge(words)
+    assert [list(memoryview(g).cast("I")) for g in got] == [merge(merges, w) for w in words]
+    assert BatchMerger(merges).merge([]) == []
+
+
 def test_lists_out_of_order_are_refused():
     ids = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"abc": 257}
     with pytest.raises(ValueError):
@@ -112,7 +120,9 @@ def test_encoder_equals_library(merges, library, window, part_ids, cached):
     import numpy as np
 
     encoder = Encoder(merges, window, part_ids, cached)
-    for text in texts():
+    for i, text in enumerate(texts()):
+        if i % 9 == 0:
+            encoder.warm([t or "" for t in texts()[i:i + 5]])
         parts = list(encoder.parts(text or ""))
         assert [last for last, _ in parts] == [False] * (len(parts) - 1) + [True]
         got = np.frombuffer(b"".join(ids for _, ids in parts), "<u4").tolist()
