@@ -36,14 +36,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import sentencepiece
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowloom.llm.bpe_transducer import Encoder, Merges, read_merges
-from flowloom.llm.common import read, tidy_shuffles
+from flowloom.llm.common import pack, read, tidy_shuffles, unpack
 from flowloom.plans.lineage import as_table
 
 SIDE_A = "byte_bpe_50k.json"
@@ -52,7 +52,8 @@ RUN_LINKS = 4_000_000
 CLASSES = 16
 SALT_CHARS = 128_000_000
 TEXT_PART = 1 << 18
-TEXTS_AT_ONCE = 64
+TEXTS_AT_ONCE = 512
+CHARS_AT_ONCE = 1 << 20
 PAIRS_AT_ONCE = 100_000
 BLANK = "▁"
 A_BITS = 32
@@ -102,6 +103,7 @@ class Aligner:
 
     def texts(self, texts: list[str]) -> Iterator[list[tuple] | None]:
         """For each text its parts (a ids, b ids, places in them where groups end), or None without tokens."""
+        self.a.warm(texts)
         parts = [text_parts(text, self.part) if text else [] for text in texts]
         encoded = iter(self.b.encode([p for of in parts for p in of]))
         for of in parts:
@@ -136,24 +138,6 @@ class Aligner:
         return "".join(self.names[codes].tolist())
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of unsigned 32- or 64-bit numbers by byte planes, pressed."""
-    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() for x in arrays]
-    head = np.array([len(arrays), *(v for x in arrays for v in (len(x), x.itemsize))], "<u4").tobytes()
-    return head + zstandard.compress(b"".join(planes), 3)
-
-
-def unpack(data: bytes) -> list[np.ndarray]:
-    many = int.from_bytes(data[:4], "little")
-    head = np.frombuffer(data, "<u4", 2 * many, 4).reshape(-1, 2).astype(np.int64)
-    planes, out, at = zstandard.decompress(data[4 + 8 * many:]), [], 0
-    for n, size in head.tolist():
-        part = np.frombuffer(planes, np.uint8, n * size, at).reshape(size, n)
-        out.append(np.ascontiguousarray(part.T).view(f"<u{size}").ravel())
-        at += n * size
-    return out
-
-
 class Run:
     """Links of documents, up to a run's size."""
 
@@ -228,6 +212,19 @@ def merged(blocks: Iterator[tuple]) -> Iterator[tuple]:
     yield from pop(None)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of so many texts and characters at most, a long text by itself."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and (held + size > CHARS_AT_ONCE or i - start == TEXTS_AT_ONCE):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < len(batch):
+        yield batch.slice(start)
+
+
 def spill(docs: DataFrame, merges: Merges, model: bytes, salts: int, run_links: int = RUN_LINKS,
           part: int = TEXT_PART) -> DataFrame:
     """Rows of documents (row, doc_id, n_a, n_b, n_links, groups_sha256) and of blocks (class, salt, first, payload)."""
@@ -254,8 +251,7 @@ def spill(docs: DataFrame, merges: Merges, model: bytes, salts: int, run_links:
                 ("row", pa.int64()), ("doc_id", batch.schema.field("doc_id").type), ("n_a", pa.int64()), ("n_b", pa.int64()),
                 ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("class", pa.int32()), ("salt", pa.int32()),
                 ("first", pa.int64()), ("payload", pa.binary())])
-            for start in range(0, len(batch), TEXTS_AT_ONCE):
-                piece = batch.slice(start, TEXTS_AT_ONCE)
+            for piece in slices(batch):
                 out = {c: [] for c in ("row", "doc_id", "n_a", "n_b", "n_links", "groups_sha256")}
                 numbers = piece.column("row").to_pylist()
                 for row, doc_id, parts in zip(numbers, piece.column("doc_id").to_pylist(),
@@ -381,9 +377,11 @@ def groups(docs: DataFrame, merges: Merges, model: bytes) -> DataFrame:
     def run(batches):
         aligner = Aligner(*shared.value)
         for batch in batches:
-            spelled = ["".join(aligner.spelled(*p) for p in parts or [])[:-1]
-                       for parts in aligner.texts([t or "" for t in batch.column("text").to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spelled, pa.string())], names=["doc_id", "groups"])
+            for piece in slices(batch):
+                spelled = ["".join(aligner.spelled(*p) for p in parts or [])[:-1]
+                           for parts in aligner.texts([t or "" for t in piece.column("text").to_pylist()])]
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(spelled, pa.string())],
+                                                 names=["doc_id", "groups"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, groups string")

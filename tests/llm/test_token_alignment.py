@@ -9,9 +9,9 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from flowloom.llm.bpe_transducer import read_merges
-from flowloom.llm.common import read
+from flowloom.llm.common import pack, read, unpack
 from flowloom.llm.token_alignment import (
-    SIDE_A, SIDE_B, align, groups, linked_pairs, merged, op11_token_alignment, pack, text_parts, unpack,
+    SIDE_A, SIDE_B, align, groups, linked_pairs, merged, op11_token_alignment, text_parts,
 )
 from tests.conftest import DATA
 from tests.llm.helpers import documents
