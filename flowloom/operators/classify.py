@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import add
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowloom.functions.density import log_if_positive, mixture_pdf, normal_pdf
@@ -137,47 +142,119 @@ def fit_normal(training: DataFrame) -> DataFrame:
 
 def _weighted(training: DataFrame) -> DataFrame:
     """Equal rows as one with a weight, written once: the fits read their input many times."""
-    return cut(training.groupBy("label", "size", "gap_s").agg(F.count("*").cast("double").alias("weight")))
-
+    return cut(training.where(F.col("size").isNotNull() & F.col("gap_s").isNotNull()).groupBy("label", "size", "gap_s").agg(
+        F.count("*").cast("double").alias("weight")))
 
-def _features(rows: DataFrame) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
 
-    return VectorAssembler(inputCols=["size", "gap_s"], outputCol="features").transform(rows)
+LOGIT_TERMS = ("(Intercept)", "size", "gap_s")
+LOGIT_STEPS = 25
+LOGIT_TOLERANCE = 1e-12
 
 
-def fit_logit(training: DataFrame, positive: str = "SMTP") -> DataFrame:
-    """Binomial logit of the class on size and gap: estimate, standard error, p-value per term."""
-    from pyspark.ml.regression import GeneralizedLinearRegression
+def fit_logit(training: DataFrame, positive: str = "SMTP", steps: int = LOGIT_STEPS) -> DataFrame:
+    """Binomial logit of the class on size and gap: estimate, standard error, p-value per term.
 
+    Reweighted least squares by normal equations: a step is one aggregation of nine
+    sums over all rows, and a 3 x 3 system on the driver. It stops when no estimate
+    moves any more; the standard errors come from the inverse of the last matrix. If a
+    system has no solution (classes that a line parts, a term that never varies), what was
+    reached is given, with null errors. Without rows, or with one class, the table is empty.
+    """
+    spark = training.sparkSession
+    schema = "term string, estimate double, std_error double, p_value double"
     rows = _weighted(training).withColumn("target", F.when(F.col("label") == positive, 1.0).otherwise(0.0))
-    model = GeneralizedLinearRegression(
-        family="binomial", link="logit", labelCol="target", weightCol="weight", maxIter=50,
-    ).fit(_features(rows))
-    summary = model.summary
-    terms = ["size", "gap_s", "(Intercept)"]
-    estimates = [*model.coefficients.toArray().tolist(), model.intercept]
-    table = [(t, float(e), float(s), float(p)) for t, e, s, p in
-             zip(terms, estimates, summary.coefficientStandardErrors, summary.pValues)]
-    return training.sparkSession.createDataFrame(
-        table, "term string, estimate double, std_error double, p_value double")
-
-
-def fit_gmm(training: DataFrame, k: int = 2, seed: int = 1) -> DataFrame:
-    """Mixture of ``k`` normals per class: weight, means and standard deviations."""
-    from pyspark.ml.clustering import GaussianMixture
-
-    rows = _features(_weighted(training))
+    if rows.select("target").distinct().count() < 2:
+        return spark.createDataFrame([], schema)
+    x = [F.lit(1.0), F.col("size"), F.col("gap_s")]
+    beta, inverse = np.zeros(3), None
+    for _ in range(steps):
+        eta = reduce(add, [F.lit(float(b)) * c for b, c in zip(beta, x)])
+        mu = 1 / (1 + F.exp(-eta))
+        spread = F.col("weight") * mu * (1 - mu)
+        sums = rows.agg(
+            *[F.sum(spread * x[i] * x[j]).alias(f"a{i}{j}") for i in range(3) for j in range(i, 3)],
+            *[F.sum(F.col("weight") * (F.col("target") - mu) * x[i]).alias(f"g{i}") for i in range(3)]).first()
+        matrix = np.array([[sums[f"a{min(i, j)}{max(i, j)}"] for j in range(3)] for i in range(3)])
+        try:
+            inverse = np.linalg.inv(matrix)
+        except np.linalg.LinAlgError:
+            inverse = None
+            break
+        move = inverse @ np.array([sums[f"g{i}"] for i in range(3)])
+        if not np.isfinite(move).all():
+            inverse = None
+            break
+        beta = beta + move
+        if (abs(move) <= LOGIT_TOLERANCE * (1 + abs(beta))).all():
+            break
     table = []
-    for label in dict.fromkeys(PORT_CLASS.values()):
-        of_class = rows.where(F.col("label") == label)
-        if of_class.isEmpty():
-            continue
-        model = GaussianMixture(k=k, seed=seed, weightCol="weight", maxIter=50).fit(of_class)
-        for weight, component in zip(model.weights, model.gaussians):
-            mean, cov = component.mean.toArray(), component.cov.toArray()
-            table.append((label, float(weight), float(mean[0]), float(cov[0][0] ** 0.5),
-                          float(mean[1]), float(cov[1][1] ** 0.5)))
-    return training.sparkSession.createDataFrame(
-        table, "label string, weight double, size_mean double, size_sd double, "
-               "gap_mean double, gap_sd double")
+    for i, term in enumerate(LOGIT_TERMS):
+        error = float(inverse[i, i]) ** 0.5 if inverse is not None and inverse[i, i] > 0 else None
+        p = math.erfc(abs(beta[i] / error) / math.sqrt(2)) if error else None
+        table.append((term, float(beta[i]), error, p))
+    return spark.createDataFrame(table, schema)
+
+
+GMM_STEPS = 30
+LEAST_VARIANCE = 1e-6
+
+
+def fit_gmm(training: DataFrame, k: int = 2, steps: int = GMM_STEPS) -> DataFrame:
+    """Mixture of ``k`` normals with diagonal covariance per class: weight, means and standard deviations.
+
+    Expectation and maximisation as one weighted aggregation a step over all rows and
+    classes; the driver holds the parameters alone. A row's densities are added by
+    log-sum-exp, variances are taken around the means before and never fall below
+    ``LEAST_VARIANCE`` of the class's own. The components start with the class's mean gap
+    and deviations, their mean sizes spread evenly over two deviations; ``steps`` is the
+    number of steps, so the result depends on nothing else.
+    """
+    spark = training.sparkSession
+    rows = _weighted(training)
+    w = F.col("weight")
+
+    def mean_of(c):
+        return F.sum(w * F.col(c)) / F.sum(w)
+    means = rows.groupBy("label").agg(F.sum(w).alias("n"), *[mean_of(c).alias(f"{c}_mean") for c in ("size", "gap_s")])
+    whole = rows.join(F.broadcast(means), "label").groupBy("label").agg(
+        F.first("n").alias("n"), *[F.first(f"{c}_mean").alias(f"{c}_mean") for c in ("size", "gap_s")],
+        *[(F.sum(w * F.pow(F.col(c) - F.col(f"{c}_mean"), 2)) / F.first("n")).alias(f"{c}_var") for c in ("size", "gap_s")])
+    state, least = {}, {}
+    for row in whole.collect():  # one row per class
+        spread = [2 * i / (k - 1) - 1 if k > 1 else 0.0 for i in range(k)]
+        least[row.label] = [max(v * LEAST_VARIANCE, 1e-300) for v in (row.size_var, row.gap_s_var)]
+        varies = [max(v, low) for v, low in zip((row.size_var, row.gap_s_var), least[row.label])]
+        state[row.label] = [(1 / k, row.size_mean + s * math.sqrt(varies[0]), varies[0], row.gap_s_mean, varies[1]) for s in spread]
+    for _ in range(steps if state else 0):
+        now = spark.createDataFrame(
+            [(label, [list(map(float, c)) for c in of]) for label, of in state.items()], "label string, c array<array<double>>")
+
+        def log_density(i):
+            share, m1, v1, m2, v2 = (F.get(F.get("c", F.lit(i)), F.lit(j)) for j in range(5))
+            return (F.ln(share) - (F.ln(v1) + F.ln(v2)) / 2 - F.pow(F.col("size") - m1, 2) / (2 * v1)
+                    - F.pow(F.col("gap_s") - m2, 2) / (2 * v2))
+        scored = rows.join(F.broadcast(now), "label").withColumn("logs", F.array(*[log_density(i) for i in range(k)]))
+        top = F.array_max("logs")
+        scored = scored.withColumn("shares", F.transform("logs", lambda v: F.exp(v - top)))
+        scored = scored.withColumn("all", F.aggregate("shares", F.lit(0.0), lambda a, b: a + b))
+        parts = []
+        for i in range(k):
+            r = w * F.get("shares", F.lit(i)) / F.col("all")
+            away = [F.col(c) - F.get(F.get("c", F.lit(i)), F.lit(at)) for c, at in (("size", 1), ("gap_s", 3))]
+            parts += [F.sum(r).alias(f"n{i}"), *[F.sum(r * d).alias(f"d{i}{j}") for j, d in enumerate(away)],
+                      *[F.sum(r * d * d).alias(f"q{i}{j}") for j, d in enumerate(away)]]
+        for row in scored.groupBy("label").agg(F.sum(w).alias("n"), *parts).collect():
+            of = []
+            for i, (_, m1, v1, m2, v2) in enumerate(state[row.label]):
+                n = row[f"n{i}"]
+                if n <= 0:  # no row is left to it
+                    of.append((1e-300, m1, v1, m2, v2))
+                    continue
+                move = [row[f"d{i}{j}"] / n for j in range(2)]
+                varies = [max(row[f"q{i}{j}"] / n - move[j] ** 2, least[row.label][j]) for j in range(2)]
+                of.append((n / row.n, m1 + move[0], varies[0], m2 + move[1], varies[1]))
+            state[row.label] = of
+    table = [(label, float(p), float(m1), math.sqrt(v1), float(m2), math.sqrt(v2))
+             for label, of in sorted(state.items()) for p, m1, v1, m2, v2 in of]
+    return spark.createDataFrame(
+        table, "label string, weight double, size_mean double, size_sd double, gap_mean double, gap_sd double")

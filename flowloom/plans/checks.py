@@ -24,6 +24,8 @@ def _over(name: str, body: str) -> str:
     """The text over one view; the view is ``{name}``."""
     view = f"WITH {name} AS ({check_text(name)})"
     body = body.strip()
+    if body.startswith("WITH RECURSIVE "):
+        return f"{view.replace('WITH', 'WITH RECURSIVE', 1)}, {body.removeprefix('WITH RECURSIVE ')}"
     return f"{view}, {body[5:]}" if body.startswith("WITH ") else f"{view} {body}"
 
 
@@ -242,6 +244,70 @@ _GMM = _labels(
 _NORMAL = _labels(_normal_term((628.7194, 385.1892), (2.584803, 56.99175)),
                   _normal_term((222.4691, 282.4612), (2.425682, 20.6584)))
 
+_TRAINING = f"""{_GAPS.format(where=_DATA).strip()},
+    labelled AS (SELECT CASE WHEN 80 IN (src_port, dst_port) THEN 'HTTP' WHEN 25 IN (src_port, dst_port) THEN 'SMTP' END AS label,
+      CAST(ip_len AS DOUBLE) AS size, gap_us / 1000000.0::DOUBLE AS gap_s FROM gaps),
+    training AS (SELECT * FROM labelled WHERE label IS NOT NULL AND gap_s IS NOT NULL)"""
+
+# Reweighted least squares: nine sums a step, the 3 x 3 system by Cramer's rule.
+_DET = "a00 * (a11 * a22 - a12 * a12) - a01 * (a01 * a22 - a12 * a02) + a02 * (a01 * a12 - a11 * a02)"
+_FIT_LOGIT = f"""WITH RECURSIVE {_TRAINING},
+    steps AS (
+      SELECT 0 AS step, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2,
+        NULL::DOUBLE AS v0, NULL::DOUBLE AS v1, NULL::DOUBLE AS v2
+      UNION ALL
+      SELECT step + 1,
+        b0 + ((a11 * a22 - a12 * a12) * g0 + (a02 * a12 - a01 * a22) * g1 + (a01 * a12 - a02 * a11) * g2) / det,
+        b1 + ((a12 * a02 - a01 * a22) * g0 + (a00 * a22 - a02 * a02) * g1 + (a02 * a01 - a00 * a12) * g2) / det,
+        b2 + ((a01 * a12 - a11 * a02) * g0 + (a01 * a02 - a00 * a12) * g1 + (a00 * a11 - a01 * a01) * g2) / det,
+        (a11 * a22 - a12 * a12) / det, (a00 * a22 - a02 * a02) / det, (a00 * a11 - a01 * a01) / det
+      FROM (SELECT *, {_DET} AS det FROM (
+        SELECT step, b0, b1, b2, SUM(s) AS a00, SUM(s * size) AS a01, SUM(s * gap_s) AS a02, SUM(s * size * size) AS a11,
+          SUM(s * size * gap_s) AS a12, SUM(s * gap_s * gap_s) AS a22, SUM(y - mu) AS g0, SUM((y - mu) * size) AS g1,
+          SUM((y - mu) * gap_s) AS g2
+        FROM (SELECT *, mu * (1 - mu) AS s FROM (
+          SELECT step, b0, b1, b2, size, gap_s, CASE WHEN label = 'SMTP' THEN 1 ELSE 0 END AS y,
+            1 / (1 + EXP(-(b0 + b1 * size + b2 * gap_s))) AS mu FROM training, steps WHERE step < 12))
+        GROUP BY ALL))),
+    last AS (SELECT * FROM steps WHERE step = 12),
+    terms AS (
+      SELECT '(Intercept)' AS term, b0 AS b, SQRT(v0) AS e FROM last
+      UNION ALL SELECT 'size', b1, SQRT(v1) FROM last UNION ALL SELECT 'gap_s', b2, SQRT(v2) FROM last),
+    -- The normal distribution's tail by Simpson's rule over 2000 steps.
+    tails AS (
+      SELECT term, 1 - 2 * SUM(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+        * EXP(-POW(LEAST(ABS(b / e), 12) * i / 2000, 2) / 2)) * LEAST(MAX(ABS(b / e)), 12) / 6000 / SQRT(2 * PI()) AS p
+      FROM terms, generate_series(0, 2000) AS g(i) GROUP BY term)
+    SELECT term, ROUND(b, 8) AS estimate, ROUND(e, 8) AS std_error, ABS(ROUND(p, 5)) AS p_value FROM terms JOIN tails USING (term)"""
+
+# Mixture of two normals per class, thirty steps; one row per class and step.
+_FIT_GMM = f"""WITH RECURSIVE {_TRAINING},
+    whole AS (
+      SELECT label, AVG(size) AS m1, AVG(gap_s) AS m2, VAR_POP(size) AS v1, VAR_POP(gap_s) AS v2 FROM training GROUP BY label),
+    em AS (
+      SELECT label, 0 AS step, 0.5::DOUBLE AS pa, m1 - SQRT(v1) AS a1, v1 AS va1, m2 AS a2, v2 AS va2,
+        0.5::DOUBLE AS pb, m1 + SQRT(v1) AS b1, v1 AS vb1, m2 AS b2, v2 AS vb2, v1 * 1e-6::DOUBLE AS l1, v2 * 1e-6::DOUBLE AS l2
+      FROM whole
+      UNION ALL
+      SELECT label, step + 1, na / n, a1 + da1 / na, GREATEST(qa1 / na - POW(da1 / na, 2), l1), a2 + da2 / na,
+        GREATEST(qa2 / na - POW(da2 / na, 2), l2), nb / n, b1 + db1 / nb, GREATEST(qb1 / nb - POW(db1 / nb, 2), l1),
+        b2 + db2 / nb, GREATEST(qb2 / nb - POW(db2 / nb, 2), l2), l1, l2
+      FROM (
+        SELECT label, step, a1, a2, b1, b2, l1, l2, COUNT(*) AS n, SUM(ra) AS na, SUM(1 - ra) AS nb,
+          SUM(ra * (size - a1)) AS da1, SUM(ra * (gap_s - a2)) AS da2, SUM((1 - ra) * (size - b1)) AS db1,
+          SUM((1 - ra) * (gap_s - b2)) AS db2, SUM(ra * POW(size - a1, 2)) AS qa1, SUM(ra * POW(gap_s - a2, 2)) AS qa2,
+          SUM((1 - ra) * POW(size - b1, 2)) AS qb1, SUM((1 - ra) * POW(gap_s - b2, 2)) AS qb2
+        FROM (SELECT *, 1 / (1 + EXP(LEAST(lb - la, 700))) AS ra FROM (
+          SELECT em.*, size, gap_s,
+            LN(pa) - (LN(va1) + LN(va2)) / 2 - POW(size - a1, 2) / (2 * va1) - POW(gap_s - a2, 2) / (2 * va2) AS la,
+            LN(pb) - (LN(vb1) + LN(vb2)) / 2 - POW(size - b1, 2) / (2 * vb1) - POW(gap_s - b2, 2) / (2 * vb2) AS lb
+          FROM training JOIN em USING (label) WHERE step < 30))
+        GROUP BY ALL)),
+    done AS (SELECT * FROM em WHERE step = 30)
+    SELECT label, ROUND(pa, 5) AS weight, ROUND(a1, 3) AS size_mean, ROUND(SQRT(va1), 3) AS size_sd, ROUND(a2, 3) AS gap_mean,
+      ROUND(SQRT(va2), 3) AS gap_sd FROM done
+    UNION ALL SELECT label, ROUND(pb, 5), ROUND(b1, 3), ROUND(SQRT(vb1), 3), ROUND(b2, 3), ROUND(SQRT(vb2), 3) FROM done"""
+
 _FLOW_FIELDS = f"""SELECT src_addr, dst_addr, src_port, dst_port, prot, dpkts, doctets, tcp_flags,
     src_as, dst_as, src_mask, dst_mask, first_us, CAST((tcp_flags & 2) // 2 AS INT) AS syn,
     CAST((tcp_flags & 16) // 16 AS INT) AS ack, CAST(tcp_flags & 1 AS INT) AS fin,
@@ -483,6 +549,8 @@ def checks() -> dict[str, str]:
               ROUND(STDDEV_POP(size), 6) AS size_sd_mle, ROUND(AVG(gap_s), 6) AS gap_s_mean,
               ROUND(STDDEV_SAMP(gap_s), 6) AS gap_s_sd, ROUND(STDDEV_POP(gap_s), 6) AS gap_s_sd_mle
             FROM training WHERE label IS NOT NULL AND gap_s IS NOT NULL GROUP BY 1"""),
+        "fit_logit": _over("packets", _FIT_LOGIT),
+        "fit_gmm": _over("packets", _FIT_GMM),
         "stream_flowstats": _over("flows", _FLOWSTATS),
         "report_tables": _over("flows", _REPORT_TABLES),
         "flow_periods": _over("flows", _PERIODS.split(" SELECT ds, ts, '")[0] + """

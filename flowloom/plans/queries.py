@@ -206,6 +206,17 @@ def _fit_normal(spark, sf):
     return fitted.select("label", "n", *[F.round(c, 6).alias(c) for c in fitted.columns[2:]])
 
 
+def _fit_logit(spark, sf):
+    return classify.fit_logit(_training(spark, sf)).select(
+        "term", F.round("estimate", 8).alias("estimate"), F.round("std_error", 8).alias("std_error"),
+        F.round("p_value", 5).alias("p_value"))
+
+
+def _fit_gmm(spark, sf):
+    fitted = classify.fit_gmm(_training(spark, sf))
+    return fitted.select("label", F.round("weight", 5).alias("weight"), *[F.round(c, 3).alias(c) for c in fitted.columns[2:]])
+
+
 def _success(spark, sf):
     return classify.success_ratio(classify.classify_gmm(view(spark, sf, "packets")))
 
@@ -342,8 +353,8 @@ QUERIES: dict[str, Query] = {
     "classify_normal": _over("packets", classify.classify_normal),
     "success_ratio": _success,
     "fit_normal": _fit_normal,
-    "fit_logit": lambda spark, sf: classify.fit_logit(_training(spark, sf)),
-    "fit_gmm": lambda spark, sf: classify.fit_gmm(_training(spark, sf)),
+    "fit_logit": _fit_logit,
+    "fit_gmm": _fit_gmm,
     # streams
     "stream_flowstats": _stream_flowstats,
     "stream_periods": _stream_periods,
