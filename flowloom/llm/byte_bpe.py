@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import base64
 from collections import Counter
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -134,7 +135,11 @@ def frequent_words(docs: DataFrame, pattern: str) -> DataFrame:
 def _encoder(ranks: dict[bytes, int]):
     """Ids of a word, packed; the word is taken whole."""
     whole = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-    return lambda word: np.array(whole.encode_ordinary(word), "<u4").tobytes()
+
+    def ids(word):
+        found = whole.encode_ordinary(word)
+        return pack(f"<{len(found)}I", *found)
+    return ids
 
 
 class _Hot:
@@ -251,7 +256,7 @@ def _streams(docs: DataFrame, pattern: str, hot) -> DataFrame:
                     out += [OTHER, value & 0xFFFFFFFF, value >> 32]
                 else:
                     out.append(place)
-            return np.array(out, "<u4").tobytes()
+            return pack(f"<{len(out)}I", *out)
 
         def __missing__(self, piece):
             found = self.of(self.cutter.after_blank(piece))
