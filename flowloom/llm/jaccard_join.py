@@ -49,9 +49,9 @@ PERCENT = 80
 BLOCK = 64
 FREQUENT = 4
 MAX_FREQUENT = 1 << 20
-RANGE = 1_000_000
+RANGE = 500_000
 CHARS_A_WORD = 6
-SENT_AT_ONCE = 1_000_000
+SENT_AT_ONCE = 400_000
 BITS = 1024
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def _byte_codes() -> np.ndarray:
