@@ -3,6 +3,13 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next one's ``docs``. All but the last return the
 columns of ``documents``; the last returns the tokens of every kept document.
+
+Only three stages drop documents: toxic ones, all but the first of each group of near
+copies, and those that hold a window of the benchmark. Line dedup shortens texts, even to
+nothing; such documents go on as empty ones, as null and empty texts do: they have no
+shingles, no window and no tokens, so nothing drops them and their row has no
+tokens. Rows without doc_id stay as each stage defines it; tables without rows give
+none; further columns go through whatever their names are.
 """
 
 from __future__ import annotations
