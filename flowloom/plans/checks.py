@@ -383,6 +383,10 @@ def checks() -> dict[str, str]:
               {', '.join(f'CASE WHEN {_V4} THEN {c} END AS {c}' for c in _TUPLE.split(', '))} FROM packets"""),
         "capture_range": _over("packets", f"""
             SELECT * FROM packets WHERE ts_us >= {begin - day} AND ts_us <= {end + day}"""),
+        "capture_range_files": _over("packets", f"""
+            SELECT ts_us, eth_type, CASE WHEN {_V4} OR {_V6} THEN ip_len END AS ip_len,
+              {', '.join(f'CASE WHEN {_V4} THEN {c} END AS {c}' for c in _TUPLE.split(', '))}
+            FROM packets WHERE ts_us >= {begin - day} AND ts_us <= {end + day}"""),
         "netflow_decode": _over("flows", _RECORD_FIELDS),
         "flowtools_decode": _over("flows", _RECORD_FIELDS),
         "flow_print": _over("flows", _FLOW_FIELDS),

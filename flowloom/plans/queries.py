@@ -12,7 +12,7 @@ from flowloom.functions.net import FIVE_TUPLE, date_label, ip_text
 from flowloom.operators import anomaly, classify, flows, packets, rules, tcp, text
 from flowloom.plans.lineage import scratch_path
 from flowloom.plans.views import VIEWS, table, view, view_over
-from flowloom.sources import netflow, tables
+from flowloom.sources import capture_index, netflow, tables
 from flowloom.sources.decode import decode_packets, encode_frames
 from flowloom.sources.pcap import read_pcap, write_pcap
 from flowloom.sources.tables import read_partitions, write_partitions
@@ -89,6 +89,15 @@ def _pcap_roundtrip(spark, sf):
     return decoded.select("ts_us", "eth_type", "ip_len", "proto", "src_addr", "dst_addr", "src_port", "dst_port")
 
 
+def _range_of_captures(spark, sf):
+    """A range of times out of rolled capture files, by their time index."""
+    path = scratch_path(spark, "capture")
+    write_pcap(encode_frames(view(spark, sf, "packets")), path, roll_s=10)
+    index = capture_index.build_index(spark, path, zone_bytes=1 << 16)
+    decoded = decode_packets(capture_index.read_range(spark, path, *RANGE, index))
+    return decoded.select("ts_us", "eth_type", "ip_len", "proto", "src_addr", "dst_addr", "src_port", "dst_port")
+
+
 def _as_records(df: DataFrame) -> DataFrame:
     """All fields of decoded records but the times of the export packet, which depend on the grouping."""
     return df.select(*[c for c in df.columns if c not in ("sys_uptime", "timestamp_us")])
@@ -284,6 +293,7 @@ QUERIES: dict[str, Query] = {
     # sources and sinks
     "pcap_roundtrip": _pcap_roundtrip,
     "capture_range": _over("packets", packets.capture_range, *RANGE),
+    "capture_range_files": _range_of_captures,
     "netflow_decode": _netflow,
     "flowtools_decode": _flowtools,
     "flow_print": _flow_print,

@@ -136,11 +136,12 @@ class FlowtoolsReader(DataSourceReader):
         self.path, self.split_bytes = path, max(FLOWTOOLS_BYTES, split_bytes // FLOWTOOLS_BYTES * FLOWTOOLS_BYTES)
 
     def partitions(self):
-        return plan_ranges(self.path, list_files(self.path), self.split_bytes) or [Segments(self.path, ())]
+        ranges = [(path, 0, size, size, True) for path, size in list_files(self.path)]
+        return plan_ranges(self.path, ranges, self.split_bytes) or [Segments(self.path, ())]
 
     def read(self, partition):
         fs = file_system(partition.root)[0]
-        for path, start, end, _ in partition.ranges:
+        for path, start, end, *_ in partition.ranges:
             with fs.open_input_file(path) as stream:
                 for at in range(start, end, BLOCK):
                     data = np.frombuffer(stream.read_at(min(BLOCK, end - at), at), np.uint8)

@@ -46,10 +46,11 @@ BLOCK = 8 << 20
 
 @dataclass
 class Segments(InputPartition):
-    """Byte ranges (path, start, end, file size) of the file system of ``root``, read by one task."""
+    """Byte ranges (path, start, end, file size, whether a record is known to start there) of the file system of
+    ``root``, read by one task."""
 
     root: str
-    ranges: tuple[tuple[str, int, int, int], ...]
+    ranges: tuple[tuple[str, int, int, int, bool], ...]
 
 
 def file_system(path: str):
@@ -75,16 +76,17 @@ def list_files(path: str):
     )
 
 
-def plan_ranges(root: str, files, split_bytes: int) -> list[Segments]:
-    """Byte ranges of at most ``split_bytes``, small ones packed together."""
+def plan_ranges(root: str, ranges, split_bytes: int) -> list[Segments]:
+    """Tasks of about ``split_bytes`` over ranges (path, start, end, file size, known); long ranges are cut, and only
+    a range's first piece starts at a known record."""
     tasks, current, filled = [], [], 0
-    for path, size in files:
-        for start in range(0, size, split_bytes):
-            end = min(start + split_bytes, size)
+    for path, first, last, size, known in ranges:
+        for start in range(first, last, split_bytes):
+            end = min(start + split_bytes, last)
             if current and filled + end - start > split_bytes:
                 tasks.append(Segments(root, tuple(current)))
                 current, filled = [], 0
-            current.append((path, start, end, size))
+            current.append((path, start, end, size, known and start == first))
             filled += end - start
     if current:
         tasks.append(Segments(root, tuple(current)))
@@ -147,10 +149,11 @@ class Framing:
                 return boundary  # walked from the first record, so it is exact
         return self.next_plausible(start)  # a long damaged stretch
 
-    def batches(self, start: int, end: int):
-        """(block offset, block bytes, record starts) of all records that start in the range."""
+    def batches(self, start: int, end: int, known: bool = False):
+        """(block offset, block bytes, record starts) of all records that start in the range, which a record
+        is ``known`` to begin or not."""
         unpack = struct.unpack_from
-        position = self.synchronise(start)
+        position = start if known else self.synchronise(start)
         block = max(BLOCK, self.max_packet + RECORD_HEADER)
         while position < min(end, self.size):
             data = self.stream.read_at(min(block, self.size - position), position)
@@ -249,10 +252,10 @@ def to_records(batch: pa.RecordBatch) -> bytes:
 def read_ranges(root: str, ranges, header: bool, max_packet: int, wanted: Wanted = Wanted()):
     """Arrow batches of the packets in some byte ranges."""
     fs = file_system(root)[0]
-    for path, start, end, size in ranges:
+    for path, start, end, size, known in ranges:
         with fs.open_input_file(path) as stream:
             framing = Framing(stream, size, header, max_packet)
-            for offset, data, starts in framing.batches(start, end):
+            for offset, data, starts in framing.batches(start, end, known):
                 yield to_batch(path, offset, data, starts, wanted)
 
 
@@ -268,6 +271,8 @@ class _Options:
         def number(name):
             return None if options.get(name) is None else int(options[name])
         self.wanted = Wanted(number("beginUs"), number("endUs"), number("frameBytes"))
+        self.index = options.get("index")
+        self.unindexed = str(options.get("unindexed", "false")).lower() == "true"
 
 
 class PcapReader(DataSourceReader):
@@ -290,8 +295,14 @@ class PcapReader(DataSourceReader):
             end_us=min((v for v in high if v is not None), default=None))
 
     def partitions(self):
-        path = self.options.path
-        return plan_ranges(path, list_files(path), self.options.split_bytes) or [Segments(path, ())]
+        o = self.options
+        files = list_files(o.path)
+        ranges = [(path, 0, size, size, False) for path, size in files]
+        if o.index:
+            from flowloom.sources.capture_index import chosen_ranges
+
+            ranges = chosen_ranges(o.index, files, None if o.unindexed else o.wanted)
+        return plan_ranges(o.path, ranges, o.split_bytes) or [Segments(o.path, ())]
 
     def read(self, partition):
         o = self.options
@@ -414,26 +425,29 @@ def capture_span(spark: SparkSession, path: str, header: bool = True) -> tuple[i
 
 def read_pcap(spark: SparkSession, path: str, header: bool = True, split_bytes: int | None = None,
               begin_us: int | None = None, end_us: int | None = None, auto_range: bool = False,
-              max_packet: int = MAX_PACKET, frame_bytes: int | None = None) -> DataFrame:
+              max_packet: int = MAX_PACKET, frame_bytes: int | None = None, index: str | None = None) -> DataFrame:
     """Packets of a capture file or directory: time, lengths, frame, and place in the file.
 
     ``begin_us`` and ``end_us`` restrict the capture time, with one day of slack;
     ``auto_range`` takes the span of the files themselves, without slack. The
     reader applies them, and any other comparison of ``ts_us``, before it copies
     frames. ``frame_bytes`` keeps that many bytes of each frame, which is enough
-    for headers. Records longer than the file's snapshot length and than
+    for headers. ``index`` names a time index (``capture_index``): files and parts of files
+    that it tells to be out of the range are not opened. Records longer than the file's snapshot length and than
     ``max_packet`` count as damage; ``capture_coverage`` tells of damage.
     """
     register(spark)
     if auto_range:
         begin, end = capture_span(spark, path, header)
-        packets = read_pcap(spark, path, header, split_bytes, max_packet=max_packet, frame_bytes=frame_bytes)
+        packets = read_pcap(spark, path, header, split_bytes, max_packet=max_packet, frame_bytes=frame_bytes, index=index)
         return packets.where(F.col("ts_us").between(begin, end))
     reader = spark.read.format("pcap").option("header", str(header).lower()).option("maxPacket", max_packet)
     if split_bytes:
         reader = reader.option("splitBytes", split_bytes)
     if frame_bytes is not None:
         reader = reader.option("frameBytes", frame_bytes)
+    if index is not None:
+        reader = reader.option("index", index)
     day = 86_400_000_000
     packets = reader.load(path)
     if begin_us is not None:
@@ -474,7 +488,7 @@ def read_pcap_stream(spark: SparkSession, path: str, header: bool = True, split_
         for batch in batches:
             for row in batch.to_pylist():
                 relative = file_system(row["path"])[1]
-                ranges = [(relative, row["start"], min(row["start"] + split_bytes, row["length"]), row["length"])]
+                ranges = [(relative, row["start"], min(row["start"] + split_bytes, row["length"]), row["length"], False)]
                 yield from read_ranges(row["path"], ranges, header, max_packet)
 
     files = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).load(path).select("path", "length")
