@@ -170,12 +170,13 @@ def _by_rule(values: list) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("rule_id") + 1)
 
 
-def matched(flows: DataFrame, rules: list[Rule], returned: bool = False) -> DataFrame:
+def matched(flows: DataFrame, rules: list[Rule], returned: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """A row per flow and rule it matches, with the rule's bin, group key and sort key.
 
     Flows that match nothing, which are nearly all, end here.  Key fields that
     a rule does not group by are null.  With ``returned`` the fields that rules
-    return beside keys and totals come along, as ``ret_`` columns.
+    return beside keys and totals come along, as ``ret_`` columns, and so do the
+    columns to ``keep``.
     """
     keys = list(dict.fromkeys(k for r in rules for k in r.group_by))
     sorts = list(dict.fromkeys(k for r in rules for k in r.sort_by if r.unique))
@@ -191,10 +192,15 @@ def matched(flows: DataFrame, rules: list[Rule], returned: bool = False) -> Data
         *[F.when(_by_rule([r.unique and k in r.sort_by for r in rules]), flow_field(k)).alias(f"sort_{k}")
           for k in sorts],
         *[F.when(_by_rule([k in _beside_keys(r) for r in rules]), flow_field(k)).alias(f"ret_{k}") for k in others],
-        F.col("dpkts").alias("pkts"), F.col("doctets").alias("bytes"),
+        F.col("dpkts").alias("pkts"), F.col("doctets").alias("bytes"), *keep,
     )
 
 
+def matching(flows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The flows that a rule matches, once for each such rule."""
+    return _hits(flows, rules).select(*flows.columns)
+
+
 def _beside_keys(rule: Rule) -> list[str]:
     """Fields a rule returns that are neither its keys nor totals."""
     return [n for n in rule.returned if n not in rule.group_by and n not in TOTALS]
@@ -207,14 +213,14 @@ def partial_groups(hits: DataFrame, returned: bool = False) -> DataFrame:
     return hits.groupBy(*names).agg(n.alias("n"), F.sum("pkts").alias("pkts"), F.sum("bytes").alias("bytes"))
 
 
-def final_groups(groups: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Groups that their rule's detector reports.
+def final_groups(groups: DataFrame, rules: list[Rule], by: tuple[str, ...] = ()) -> DataFrame:
+    """Groups that their rule's detector reports; ``by`` names columns that groups are told apart by too.
 
     In the detector ``flows`` is the number of flows, or of distinct sort keys
     for a ``unique`` rule; ``pkts`` and ``bytes`` are sums.
     """
     keys = [c for c in groups.columns if c.startswith("key_")]
-    totals = groups.groupBy("rule_id", "bin_start", *keys).agg(
+    totals = groups.groupBy(*by, "rule_id", "bin_start", *keys).agg(
         F.sum("n").alias("n"), F.count("*").alias("sorts"),
         F.sum("pkts").cast("bigint").alias("pkts"), F.sum("bytes").cast("bigint").alias("bytes"))
     counted = totals.withColumn(
@@ -275,7 +281,10 @@ LEGACY_GROUPS = {6: "TCP", 17: "UDP", 1: "ICMP"}
 
 
 def load_legacy_rules(source: str | Path) -> dict[str, dict[str, Rule]]:
-    """Rules ``name;proto=6,dstport=a|b,octets=x-y``, as protocol -> name -> rule."""
+    """Rules ``name;proto=6,dstport=a|b,octets=x-y``, as protocol -> name -> rule.
+
+    Rules that name none of the three protocols, or none at all, are in the group ``OTHER``, with a warning.
+    """
     groups: dict[str, dict[str, Rule]] = {name: {} for name in LEGACY_GROUPS.values()}
     for line in _lines(source):
         name, _, patterns = line.strip().partition(";")
@@ -284,8 +293,9 @@ def load_legacy_rules(source: str | Path) -> dict[str, dict[str, Rule]]:
             key, _, value = text.partition("=")
             renamed.append(Pattern.parse(f"{LEGACY_FIELDS[key.strip()]}={value}"))
         proto = next((p.ranges[0][0] for p in renamed if p.left == ("prot",)), None)
-        if proto in LEGACY_GROUPS:
-            groups[LEGACY_GROUPS[proto]][name] = Rule(name, 300, tuple(renamed), ())
+        if proto not in LEGACY_GROUPS:
+            warnings.warn(f"rule {name!r} is for none of the protocols {', '.join(LEGACY_GROUPS.values())}", stacklevel=2)
+        groups.setdefault(LEGACY_GROUPS.get(proto, "OTHER"), {})[name] = Rule(name, 300, tuple(renamed), ())
     return groups
 
 

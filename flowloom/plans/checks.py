@@ -564,4 +564,5 @@ def checks() -> dict[str, str]:
         "stream_rate": _over("packets", _RATE),
         "stream_usage": _over("usage_samples", _USAGE),
         "stream_detect": _detect(q.PATTERN_RULES),
+        "stream_detect_state": _detect(q.PATTERN_RULES),
     }

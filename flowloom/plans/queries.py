@@ -17,7 +17,7 @@ from flowloom.sources.decode import decode_packets, encode_frames
 from flowloom.sources.pcap import read_pcap, write_pcap
 from flowloom.sources.tables import read_partitions, write_partitions
 from flowloom.sources.text import job_history
-from flowloom.streaming import monitor, windows
+from flowloom.streaming import detection, monitor, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -259,18 +259,14 @@ def _stream_periods(spark, sf):
 
 
 def _appended(spark, sf, name: str, make, time: str, unit: int) -> DataFrame:
-    """An aggregated stream over a view; its last row is a year after all windows and closes them.
-
-    The pieces of the table are not in time order, so the watermark stays behind by the measured span of the rows.
-    """
+    """An aggregated stream over a view, in pieces that follow each other in time; its last row is a year
+    after all windows and closes them."""
     rows = view(spark, sf, name)
-    first, last = rows.agg(F.min(time), F.max(time)).first()
-    span = 0 if first is None else (last - first) // unit + 1
-    late = None if last is None else last + (span + 366 * 86_400) * unit
+    last = rows.agg(F.max(time)).first()[0]
+    late = None if last is None else last + 366 * 86_400 * unit
     closing = spark.range(1).select(*[
         (F.lit(late) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema])
-    return monitor.append_all(lambda pieces: make(pieces, watermark=f"{span} seconds"), rows, closing,
-                              scratch_path(spark, name))
+    return monitor.append_all(make, rows, closing, scratch_path(spark, name), time=time)
 
 
 def _stream_rate(spark, sf):
@@ -281,6 +277,16 @@ def _stream_usage(spark, sf):
     return _appended(spark, sf, "usage_samples", windows.usage_stream, "ts_s", 1)
 
 
+def _stream_detect_state(spark, sf):
+    """Detection in event time over the flows, a copy of a matching one a year later closing all bins."""
+    chosen, flows_ = rules.load_rules(PATTERN_RULES), view(spark, sf, "flows")
+    found = rules.matching(flows_, chosen).limit(1)
+    later = (flows_.agg(F.max("first_us")).first()[0] or 0) + 366 * 86_400_000_000
+    return monitor.append_all(lambda pieces: detection.detect_stream(pieces, chosen), flows_,
+                              found.withColumn("first_us", F.lit(later)), scratch_path(spark, "detect-state"),
+                              time="first_us", conf=detection.POLICY)
+
+
 def _stream_detect(spark, sf):
     root = scratch_path(spark, "detect")
     chosen = rules.load_rules(PATTERN_RULES)
@@ -371,4 +377,5 @@ QUERIES: dict[str, Query] = {
     "stream_rate": _stream_rate,
     "stream_usage": _stream_usage,
     "stream_detect": _stream_detect,
+    "stream_detect_state": _stream_detect_state,
 }

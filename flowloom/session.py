@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """SQL settings inside, as they were before afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("flowloom")

@@ -14,6 +14,7 @@ from flowloom.operators import rules as rule_ops
 from flowloom.operators.anomaly import spoofs
 from flowloom.operators.flows import flow_print, flowstats, scan
 from flowloom.plans.lineage import as_table
+from flowloom.session import settings
 from flowloom.sources.tables import load_reports, read_partitions, write_partitions
 
 PERIOD_S = 300
@@ -148,22 +149,41 @@ def start_detection(flows: DataFrame, root: str, rules: list[rule_ops.Rule] | No
     )
 
 
-def append_all(make, rows: DataFrame, closing: DataFrame, root: str, files: int = 3) -> DataFrame:
+def append_all(make, rows: DataFrame, closing: DataFrame, root: str, files: int = 3, time: str | None = None,
+               progress: list | None = None, conf: dict[str, str] | None = None) -> DataFrame:
     """Runs ``make``, a function from a stream of rows to an aggregated stream, over rows that come in
-    ``files`` micro-batches, in append mode; returns what was appended.
+    ``files`` pieces, in append mode; returns what was appended.
 
-    ``closing`` has a row whose time is past all windows. It comes last and on its
-    own, moves the watermark on, and so closes every window of the rows.
+    With ``time``, a column of numbers, the pieces follow each other in time, each is one
+    micro-batch, and what its watermark closes is released before the next; else the pieces
+    hold rows of any time. ``closing`` has a row whose time is past all windows: it comes last,
+    moves the watermark on, and so closes every window of the rows. ``progress`` gets the
+    reports of all batches; ``conf`` are settings of the query.
     """
     spark = rows.sparkSession
-    rows.repartition(files).write.parquet(f"{root}/in/rows")
-
-    def run():
-        stream = make(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option(
-            "recursiveFileLookup", "true").parquet(f"{root}/in"))
-        (stream.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
-         .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start().awaitTermination())
+    closing = closing.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema])
+
+    def run(files_a_batch=None):
+        reader = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true")
+        stream = make((reader.option("maxFilesPerTrigger", files_a_batch) if files_a_batch else reader).parquet(f"{root}/in"))
+        with settings(spark, conf or {}):
+            query = (stream.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+                     .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
+        query.awaitTermination()
+        if progress is not None:
+            progress.extend(query.recentProgress)
         return stream.schema
-    run()
-    closing.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema]).coalesce(1).write.parquet(f"{root}/in/closing")
-    return spark.read.schema(run()).parquet(f"{root}/out")
+    if time is None:
+        rows.repartition(files).write.parquet(f"{root}/in/rows")
+        run(1)
+        closing.coalesce(1).write.parquet(f"{root}/in/closing")
+        return spark.read.schema(run(1)).parquet(f"{root}/out")
+    first, last = rows.agg(F.min(time), F.max(time)).first()
+    piece = F.lit(0)
+    if first is not None and last > first:
+        piece = F.coalesce(F.least(F.floor((F.col(time) - first) * files / (last - first)), F.lit(files - 1)), F.lit(0))
+    for i in range(files):
+        part = rows.where(piece == i)
+        (part.unionByName(closing) if i == files - 1 else part).write.parquet(f"{root}/in/piece-{i}")
+        schema = run()
+    return spark.read.schema(schema).parquet(f"{root}/out")

@@ -12,7 +12,7 @@ from flowloom.plans.views import view
 from flowloom.sources.netflow import encode_netflow_v5, netflow_v5
 from flowloom.sources.pcap import read_pcap_stream, write_pcap
 from flowloom.sources.tables import read_partitions
-from flowloom.streaming import monitor, windows
+from flowloom.streaming import detection, monitor, windows
 from tests.conftest import flow_rows
 from tests.test_packets import p
 from tests.conftest import packet_rows
@@ -161,3 +161,47 @@ def test_queries_keep_all_rows_of_events_that_span_years(spark, data, tmp_path):
         want = batch(view(spark, str(tmp_path / "wide"), name))
         assert rows_of(got) == rows_of(want.select(got.columns)) != []
         assert QUERIES[query](spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_detection_in_state_equals_batch(spark, tmp_path):
+    chosen = rules.load_rules(
+        "scan;300;prot=6;sip,dip;dport;unique;flows=3-;sip\nmany;600;prot=6;sip;dip;count;pkts=5-;sip\nnone;60;prot=99;sip;dip;count;null;sip")
+    rng = random.Random(12)
+    df = flow_rows(spark, [dict(src_addr=rng.randrange(3), dst_port=rng.randrange(6), prot=rng.choice([6, 6, 17]),
+                                first_us=rng.randrange(7200) * US) for _ in range(400)])
+    closing = flow_rows(spark, [dict(first_us=10**6 * US)])
+    progress = []
+    got = monitor.append_all(lambda s: detection.detect_stream(s, chosen, "1 minute"), df, closing, str(tmp_path / "run"),
+                             files=6, time="first_us", progress=progress, conf=detection.POLICY)
+    want = rules.detect(df, chosen)
+    assert rows_of(got.select(want.columns)) == rows_of(want) != []
+    assert detection.late_rows(progress) == 0
+    partial = rules.partial_groups(rules.matched(df, chosen)).count()
+    assert 0 < detection.most_state(progress) < partial / 2  # closed bins are released
+
+
+def test_flows_after_their_bin_are_dropped_and_counted(spark, tmp_path):
+    chosen = rules.load_rules("many;300;prot=6;sip;dip;count;null;sip")
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    progress = []
+    for times in ([0, 10, 4000], [20, 3900], [10**5]):
+        flow_rows(spark, [dict(first_us=t * US) for t in times]).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(flow_rows(spark, []).schema).parquet(source)
+        query = detection.start_event_time_detection(stream, root, chosen, "10 minutes", NOW)
+        query.awaitTermination()
+        progress += query.recentProgress
+    got = sorted((r.bin_start, r.flows) for r in spark.read.parquet(f"{root}/out").collect())
+    assert got == [(0, 2), (3900, 2)]
+    assert detection.late_rows(progress) == 1
+    assert spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") == "min"
+
+
+def test_windows_in_time_order_release_their_state(spark, tmp_path):
+    samples = spark.range(4000).selectExpr("id * 7 AS ts_s", "id % 50 AS capacity", "id % 9 AS containers")
+    closing = spark.createDataFrame([(10**9, 0, 0)], "ts_s long, capacity long, containers long")
+    progress = []
+    got = monitor.append_all(windows.usage_stream, samples, closing, str(tmp_path / "run"), files=8, time="ts_s",
+                             progress=progress)
+    assert rows_of(got.where("bucket < 100000")) == rows_of(usage_avg(samples))
+    assert detection.late_rows(progress) == 0
+    assert detection.most_state(progress) < usage_avg(samples).count() / 4
