@@ -171,10 +171,13 @@ def usage_avg(samples: DataFrame, interval: int = 15) -> DataFrame:
 
 
 def upload_stats(uploads: DataFrame) -> DataFrame:
-    """Uploads per site: files, megabytes, mean duration and mean speed."""
+    """Uploads per site: files, megabytes, mean duration and mean speed; with ``start_s`` and ``end_s`` also when
+    the first began and the last ended."""
+    times = [F.min("start_s").alias("first_start_s"), F.max("end_s").alias("last_end_s")] if {
+        "start_s", "end_s"} <= set(uploads.columns) else []
     return (
         uploads.groupBy("site")
         .agg(F.count("*").alias("files"), F.sum("size_mb").alias("size_mb"),
-             F.sum("duration_s").alias("duration_s"), F.avg("duration_s").alias("avg_duration_s"))
+             F.sum("duration_s").alias("duration_s"), F.avg("duration_s").alias("avg_duration_s"), *times)
         .withColumn("mb_per_s", F.col("size_mb") / F.col("duration_s"))
     )

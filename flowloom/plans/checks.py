@@ -526,6 +526,7 @@ def checks() -> dict[str, str]:
         "upload_stats": _over("uploads", """
             SELECT site, COUNT(*) AS files, CAST(SUM(size_mb) AS BIGINT) AS size_mb,
               CAST(SUM(duration_s) AS BIGINT) AS duration_s, AVG(duration_s) AS avg_duration_s,
+              MIN(start_s) AS first_start_s, MAX(end_s) AS last_end_s,
               SUM(size_mb) / SUM(duration_s)::DOUBLE AS mb_per_s FROM uploads GROUP BY 1"""),
         "packet_gaps": _over("packets", f"""WITH {_GAPS.format(where=_V4).strip()}
             SELECT {_TUPLE}, ts_us, ip_len, pkt_id, gap_us, seq FROM gaps"""),
@@ -557,6 +558,11 @@ def checks() -> dict[str, str]:
         "fit_gmm": _over("packets", _FIT_GMM),
         "stream_flowstats": _over("flows", _FLOWSTATS),
         "report_tables": _over("flows", _REPORT_TABLES),
+        "period_join": _over("flows", """WITH halves AS (
+              SELECT src_addr, CAST(SUM(doctets) FILTER (first_us // 86400000000 % 2 = 0) AS BIGINT) AS before,
+                CAST(SUM(doctets) FILTER (first_us // 86400000000 % 2 = 1) AS BIGINT) AS after FROM flows GROUP BY 1)
+            SELECT * FROM halves"""),
+        "text_roundtrip": _over("flows", _FLOW_FIELDS),
         "flow_periods": _over("flows", _PERIODS.split(" SELECT ds, ts, '")[0] + """
             SELECT 'backbone' AS area, ds, ts, COUNT(*) AS flows, CAST(SUM(doctets) AS BIGINT) AS octets,
               CAST(SUM(dpkts) AS BIGINT) AS pkts FROM dated GROUP BY ds, ts"""),

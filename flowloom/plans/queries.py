@@ -16,7 +16,7 @@ from flowloom.sources import capture_index, netflow, tables
 from flowloom.sources.decode import decode_packets, encode_frames
 from flowloom.sources.pcap import read_pcap, write_pcap
 from flowloom.sources.tables import read_partitions, write_partitions
-from flowloom.sources.text import job_history
+from flowloom.sources.text import job_history, read_delimited, write_text
 from flowloom.streaming import detection, monitor, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,12 +152,16 @@ def _flow_periods(spark, sf):
         F.count("*").alias("flows"), F.sum("doctets").alias("octets"), F.sum("dpkts").alias("pkts"))
 
 
-def _report_tables(spark, sf):
-    """The eight report tables of two periods, the first of which is loaded twice."""
-    db = f"reports_{uuid.uuid4().hex[:12]}"
+def _new_database(spark, name: str) -> str:
+    db = f"{name}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
-    for report in flows.FAN_OUT:
-        spark.sql(tables.table_ddl(report, db))
+    return db
+
+
+def _report_tables(spark, sf):
+    """The eight reports of two periods, the first of which is loaded twice."""
+    db = _new_database(spark, "reports")
+    tables.create_report_views(spark, db)
     day = F.expr("first_us DIV 86400000000")
     timed = view(spark, sf, "flows").withColumn("ts", F.when(F.pmod(day, F.lit(2)) == 0, "0000").otherwise("0005"))
     stats = flows.flowstats(timed, by=["ts"])
@@ -169,6 +173,25 @@ def _report_tables(spark, sf):
     return reduce(DataFrame.unionByName, loaded)
 
 
+def _period_join(spark, sf):
+    """Octets of every source in two periods, each a bucketed table of flows."""
+    db, rows = _new_database(spark, "periods"), view(spark, sf, "flows")
+    sides = []
+    for name, odd in (("before", 0), ("after", 1)):
+        of_period = rows.where(F.pmod(F.expr("first_us DIV 86400000000"), F.lit(2)) == odd)
+        tables.write_bucketed(of_period.select("src_addr", "doctets"), f"{db}.{name}", ["src_addr"], 8)
+        sides.append(spark.table(f"{db}.{name}").groupBy("src_addr").agg(F.sum("doctets").alias(name)))
+    return tables.join_bucketed(*sides, ["src_addr"])
+
+
+def _text_roundtrip(spark, sf):
+    """Printed flows as delimited text files, scanned again."""
+    path = scratch_path(spark, "flow-text")
+    printed = _flow_print(spark, sf)
+    write_text(printed, path, "|")
+    return read_delimited(spark, path, "|", ", ".join(f"{name} {kind}" for name, kind in printed.dtypes))
+
+
 def _detect(source) -> Query:
     return lambda spark, sf: rules.detect(view(spark, sf, "flows"), rules.load_rules(source))
 
@@ -306,6 +329,8 @@ QUERIES: dict[str, Query] = {
     "flow_partitions": _flow_partitions,
     "flow_periods": _flow_periods,
     "report_tables": _report_tables,
+    "period_join": _period_join,
+    "text_roundtrip": _text_roundtrip,
     "task_durations": _task_durations,
     # filters
     "proto_mix": _proto_mix,

@@ -102,7 +102,9 @@ VIEWS = {
         SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'PUBLIC CLOUD' ELSE 'LOCAL DATA CENTER' END AS site,
           concat('dump_', CAST(o_orderkey AS VARCHAR(20)), '.pcap') AS file,
           CAST(FLOOR(o_totalprice / 1000) AS BIGINT) AS size_mb,
-          CAST(1 + o_custkey % 90 AS BIGINT) AS duration_s
+          CAST(1 + o_custkey % 90 AS BIGINT) AS duration_s,
+          CAST({us:o_orderdate} {div} 1000000 AS BIGINT) AS start_s,
+          CAST({us:o_orderdate} {div} 1000000 + 1 + o_custkey % 90 AS BIGINT) AS end_s
         FROM orders"""),
 }
 

@@ -9,11 +9,14 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 from flowloom.functions.net import ip_text
 from flowloom.operators.flows import FAN_OUT, fan_out
 from flowloom.plans.lineage import as_table
+from flowloom.session import settings
 
 _SUMS = "octets BIGINT, pkts BIGINT, flows BIGINT"
 _DAY = ("area", "month", "ds")
 _LOAD = ("area", "ds", "ts")
 BUCKETS = 32
+REPORT_ROWS = "report_rows"
+REPORT_PARTS = ("area", "month", "ds", "ts", "type")
 
 # Columns, partition columns, and bucket and sort columns of each table.
 TABLES = {
@@ -150,13 +153,58 @@ def daily_flow_rows(flows: DataFrame) -> DataFrame:
     return rows.select(*[column.split()[0] for column in TABLES["daily_flows"][0].split(", ")])
 
 
+def create_report_views(spark: SparkSession, db: str = "default") -> None:
+    """One table for the rows of all reports, partitioned by period and type, and a view for each report over it.
+
+    The views have the columns of the report tables; they read the folders of their type only.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{REPORT_ROWS} (aggr_key STRING, {_SUMS}, "
+              f"{', '.join(f'{p} STRING' for p in REPORT_PARTS)}) USING parquet PARTITIONED BY ({', '.join(REPORT_PARTS)})")
+    for report, (stat_type, key) in FAN_OUT.items():
+        named = f"aggr_key AS {key}, " if key else ""
+        spark.sql(f"CREATE OR REPLACE VIEW {db}.{report} AS SELECT ts, {named}octets, pkts, flows, area, month, ds "
+                  f"FROM {db}.{REPORT_ROWS} WHERE type = '{stat_type}'")
+
+
+def load_report_rows(stats: DataFrame, db: str, area: str, ds: str | None = None, ts: str | None = None) -> None:
+    """Fills the rows of all reports for the periods of ``stats``, in one write.
+
+    Periods are those given, or those of the columns ``ds`` and ``ts``. The partitions (period
+    and type) that have rows are replaced, so a load may be repeated, no other period is
+    read or written, and several periods of a day may be loaded at once.
+    """
+    day = F.col("ds") if ds is None else F.lit(ds)
+    rows = stats.select("aggr_key", *[F.col(c).cast("bigint") for c in ("octets", "pkts", "flows")], F.lit(area).alias("area"),
+                        F.substring(day, 1, 7).alias("month"), day.alias("ds"),
+                        (F.col("ts") if ts is None else F.lit(ts)).alias("ts"), "type")
+    with settings(stats.sparkSession, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        rows.repartition("ds", "ts", "type").write.insertInto(f"{db}.{REPORT_ROWS}", overwrite=True)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int = BUCKETS) -> None:
+    """Writes a table whose rows lie in sorted buckets of their keys, one file each.
+
+    Two tables of as many buckets of the same keys join, and group by them, without a shuffle.
+    """
+    (df.repartition(buckets, *keys).sortWithinPartitions(*keys).write.mode("overwrite").format("parquet")
+       .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+
+
+def join_bucketed(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join of two bucketed tables' rows on their bucket keys: buckets are merged where they lie."""
+    return left.hint("merge").join(right.hint("merge"), keys, "full_outer")
+
+
 def load_reports(stats: DataFrame, db: str, area: str, ds: str, ts: str) -> None:
-    """Fills the eight report tables from one period's statistics.
+    """Fills eight report tables from one period's statistics, or the one table behind report views.
 
-    The statistics are written once and read from there for all tables. A period
+    Of separate tables each period rewrites the day; prefer views (``create_report_views``). The statistics are written once and read from there for all tables. A period
     that is loaded again replaces its rows; the day's other periods stay.
     """
     spark = stats.sparkSession
+    if spark.catalog.tableExists(f"{db}.{REPORT_ROWS}"):
+        return load_report_rows(stats, db, area, ds, ts)
     kept = as_table(stats, "period-stats")
     for report in FAN_OUT:
         new = fan_out(kept, report).withColumn("ts", F.lit(ts))

@@ -15,7 +15,7 @@ from flowloom.operators.anomaly import spoofs
 from flowloom.operators.flows import flow_print, flowstats, scan
 from flowloom.plans.lineage import as_table
 from flowloom.session import settings
-from flowloom.sources.tables import load_reports, read_partitions, write_partitions
+from flowloom.sources.tables import REPORT_ROWS, load_report_rows, load_reports, read_partitions, write_partitions
 
 PERIOD_S = 300
 SPREAD = 16
@@ -42,7 +42,8 @@ def load_period(root: str, area: str, threshold: int = 10, registry: DataFrame |
                 reports: str | None = None, **period):
     """Micro-batch writer: printed flows, then their statistics, port scans and, with a registry, spoofs.
 
-    ``reports`` names a database whose eight report tables get the touched periods, as they are now.
+    ``reports`` names a database whose report views (or eight report tables) get the touched periods, as they
+    are now; views get all of them in one write.
 
     The batch goes into the table of flows, unsorted between tasks, so it is decoded
     once; the rest reads the touched periods of that table back, and of them only
@@ -67,6 +68,9 @@ def load_period(root: str, area: str, threshold: int = 10, registry: DataFrame |
                          area=area, ds=None, ts=None)
         if reports is not None:
             stats = as_table(flowstats(every, by=["ds", "ts"]), "touched-stats")
+            if spark.catalog.tableExists(f"{reports}.{REPORT_ROWS}"):
+                load_report_rows(stats, reports, area)
+                periods = []
             for part in periods:
                 of_period = stats.where((F.col("ds") == part["ds"]) & (F.col("ts") == part["ts"])).drop("ds", "ts")
                 load_reports(of_period, reports, area, part["ds"], part["ts"])

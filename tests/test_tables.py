@@ -1,5 +1,7 @@
 """Table definitions, partition loads, and the folder for intermediate results."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,3 +74,43 @@ def test_intermediate_results_stay_in_the_shared_folder(spark):
     assert cut(df).count() == 5 and folder in spark.sparkContext.getCheckpointDir()
     assert folder in as_table(df, "x").inputFiles()[0]
     assert fits(df, 5) and not fits(df, 4)
+
+
+@pytest.fixture()
+def views(spark, tmp_path):
+    db = f"views_{tmp_path.name.replace('-', '_')}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_path / 'db'}'")
+    tables.create_report_views(spark, db)
+    tables.create_report_views(spark, db)  # again, without harm
+    yield db
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_periods_of_a_day_may_be_loaded_at_once(spark, views):
+    stats = {f"{i:04d}": flowstats(flow_rows(spark, [dict(dst_port=i)] * (i + 1))).persist() for i in range(6)}
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda ts: tables.load_reports(stats[ts], views, "x", "2024-01-03", ts), stats))
+    tables.load_reports(stats["0002"], views, "x", "2024-01-03", "0002")
+    got = spark.table(f"{views}.portingress").select("area", "month", "ds", "ts", "port", "flows").collect()
+    assert sorted(map(tuple, got)) == [("x", "2024-01", "2024-01-03", f"{i:04d}", str(i), i + 1) for i in range(6)]
+    assert spark.table(f"{views}.totalvolume").columns == ["ts", "octets", "pkts", "flows", "area", "month", "ds"]
+    plan = spark.table(f"{views}.portingress").where("ts = '0003'")._jdf.queryExecution().executedPlan().toString()
+    assert "type" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_all_periods_of_a_batch_are_one_write(spark, views):
+    rows = flow_rows(spark, [dict(), dict(dst_port=443), dict(dst_port=443, first_us=300_000_000)])
+    rows = rows.withColumn("ds", F.lit("2024-01-04")).withColumn("ts", F.when(F.col("first_us") == 0, "0000").otherwise("0005"))
+    tables.load_report_rows(flowstats(rows, by=["ds", "ts"]), views, "x")
+    got = spark.table(f"{views}.portingress").select("ts", "port", "flows").collect()
+    assert sorted(map(tuple, got)) == [("0000", "443", 1), ("0000", "80", 1), ("0005", "443", 1)]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, views):
+    for name, n in (("before", 200), ("after", 300)):
+        tables.write_bucketed(spark.range(n).selectExpr("id % 50 AS src_addr", "id AS octets"), f"{views}.{name}", ["src_addr"], 8)
+    sides = [spark.table(f"{views}.{name}").groupBy("src_addr").agg(F.sum("octets").alias(name)) for name in ("before", "after")]
+    joined = tables.join_bucketed(*sides, ["src_addr"])
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    want = [(i, sum(range(i, 200, 50)), sum(range(i, 300, 50))) for i in range(50)]
+    assert sorted(map(tuple, joined.collect())) == want
