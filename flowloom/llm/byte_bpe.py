@@ -49,7 +49,7 @@ HOT = 1 << 18
 BLOCK_CHARS = 4_000_000
 COUNTED_AT_ONCE = 300_000
 PACKED_AT_ONCE = 200_000
-CACHED = 300_000
+CACHED = 150_000
 SEEN = 3
 OTHER = 0xFFFFFFFF
 # White space of the pattern that is rare, in ASCII and beyond; marks that end words, none of which
@@ -142,21 +142,25 @@ def _encoder(ranks: dict[bytes, int]):
     return ids
 
 
-class _Hot:
-    """The words that are broadcast, most frequent first, and their ids."""
+class _HotIds:
+    """The ids of the words that are broadcast, most frequent first."""
 
-    def __init__(self, table: pa.Table):
-        table = table.sort_by([("n", "descending"), ("word", "ascending")])
-        self.words = table.column("word").to_pylist()
-        ids = table.column("ids").to_pylist()
+    def __init__(self, ids: list[bytes]):
         self.sizes = np.array([len(i) // 4 for i in ids], np.int64)
         self.ids = np.frombuffer(b"".join(ids), "<u4")
 
+
+class _HotWords:
+    """The words themselves, for tasks that look for them."""
+
+    def __init__(self, words: list[str]):
+        self.words = words
+
     def places(self) -> dict[str, int]:
         return {w: i for i, w in enumerate(self.words)}
 
 
-def hot_words(docs: DataFrame, ranks, pattern: str, hot: int) -> _Hot:
+def hot_words(docs: DataFrame, ranks, pattern: str, hot: int) -> tuple[_HotWords, _HotIds]:
     """At most ``hot`` of the most frequent words, each encoded once."""
     counts = as_table(frequent_words(docs, pattern), "word-counts")
 
@@ -168,7 +172,9 @@ def hot_words(docs: DataFrame, ranks, pattern: str, hot: int) -> _Hot:
                 names=["word", "n", "ids"])
 
     often = counts.where(F.col("n") >= least_count(counts, hot))
-    return _Hot(often.mapInArrow(encode_all, "word string, n long, ids binary").toArrow())
+    table = often.mapInArrow(encode_all, "word string, n long, ids binary").toArrow()
+    table = table.sort_by([("n", "descending"), ("word", "ascending")])
+    return _HotWords(table.column("word").to_pylist()), _HotIds(table.column("ids").to_pylist())
 
 
 def _other_words(docs: DataFrame, pattern: str, hot) -> DataFrame:
@@ -302,7 +308,7 @@ class _Block:
         return self.order[at]
 
 
-def _put_together(payload: bytes, hot: _Hot, hot_starts: np.ndarray, own: _Block) -> np.ndarray:
+def _put_together(payload: bytes, hot: _HotIds, hot_starts: np.ndarray, own: _Block) -> np.ndarray:
     """Ids of a document from its stream."""
     planes = np.frombuffer(zstandard.decompress(payload), np.uint8).reshape(4, -1)
     codes = np.ascontiguousarray(planes.T).view("<u4").ravel()
@@ -335,7 +341,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
     small_batches(spark)
     with tidy_shuffles(spark):
         table = spark.sparkContext.broadcast(ranks)
-        shared = spark.sparkContext.broadcast(hot_words(docs, table, pattern, hot))
+        shared, shared_ids = map(spark.sparkContext.broadcast, hot_words(docs, table, pattern, hot))
         chars = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
         blocked = _blocked(docs, max(1, -(-chars // block_chars)))
         packed = as_table(_encoded_others(_other_words(blocked, pattern, shared), table), "block-words")
@@ -344,7 +350,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
         streams.select("block", F.lit(1).alias("part"), "doc_id", "payload"))
 
     def put_together(batches):
-        known = shared.value
+        known = shared_ids.value
         starts = np.cumsum(known.sizes) - known.sizes
         block, parts, own = None, [], None
         for batch in batches:
