@@ -450,6 +450,13 @@ def checks() -> dict[str, str]:
         "packet_total": _over("packets", "SELECT COUNT(*) AS n FROM packets"),
         "popularity": _over("packets", f"""
             SELECT dst_addr, COUNT(DISTINCT src_addr) AS n FROM packets WHERE {_V4} GROUP BY 1"""),
+        "distinct_sketches": _over("packets", f"""WITH later AS (
+              SELECT * FROM packets WHERE {_V4} AND ts_us // 60000000 > (SELECT MIN(ts_us) // 60000000 FROM packets WHERE {_V4}))
+            SELECT CAST(SUM(ip_len) AS BIGINT) AS bytes, COUNT(*) AS packets, COUNT(DISTINCT src_addr) AS sources,
+              COUNT(DISTINCT dst_addr) AS destinations, (SELECT COUNT(DISTINCT addr) FROM (
+                SELECT src_addr AS addr FROM later UNION ALL SELECT dst_addr FROM later)) AS addresses,
+              COUNT(DISTINCT ({_TUPLE})) AS flows, TRUE AS sources_close, TRUE AS destinations_close,
+              TRUE AS addresses_close, TRUE AS flows_close FROM later"""),
         "adjacency": _over("packets", f"""WITH pairs AS (
               SELECT DISTINCT src_addr, dst_addr FROM packets WHERE {_V4})
             SELECT src_addr, {_net('dst_addr', '16')} AS dst_block,
@@ -567,6 +574,16 @@ def checks() -> dict[str, str]:
             SELECT 'backbone' AS area, ds, ts, COUNT(*) AS flows, CAST(SUM(doctets) AS BIGINT) AS octets,
               CAST(SUM(dpkts) AS BIGINT) AS pkts FROM dated GROUP BY ds, ts"""),
         "stream_periods": _over("flows", _PERIODS),
+        "stream_captures": _over("flows", _FLOWSTATS),
+        "monitor_findings": _over("flows", _PERIODS.split(" SELECT ds, ts, '")[0] + f""",
+            registry AS ({check_text('registry')})
+            SELECT 'scan' AS kind, ds, ts, src_addr, dst_addr, COUNT(DISTINCT dst_port) AS n FROM dated
+              GROUP BY ds, ts, src_addr, dst_addr HAVING COUNT(DISTINCT dst_port) > {q.SCAN_PORTS}
+            UNION ALL
+            SELECT 'spoof', ds, ts, src_addr, dst_addr, COUNT(*) FROM dated LEFT JOIN registry ON src_addr = prefix
+              WHERE prefix IS NULL OR asn <> src_as GROUP BY ds, ts, src_addr, dst_addr
+            UNION ALL
+            SELECT 'volume', ds, ts, NULL, NULL, CAST(SUM(doctets) AS BIGINT) FROM dated GROUP BY ds, ts"""),
         "stream_rate": _over("packets", _RATE),
         "stream_usage": _over("usage_samples", _USAGE),
         "stream_detect": _detect(q.PATTERN_RULES),

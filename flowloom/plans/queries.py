@@ -9,12 +9,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowloom.functions.net import FIVE_TUPLE, date_label, ip_text
-from flowloom.operators import anomaly, classify, flows, packets, rules, tcp, text
-from flowloom.plans.lineage import scratch_path
+from flowloom.operators import anomaly, classify, flows, packets, rules, sketches, tcp, text
+from flowloom.plans.lineage import as_table, scratch_path
 from flowloom.plans.views import VIEWS, table, view, view_over
 from flowloom.sources import capture_index, netflow, tables
 from flowloom.sources.decode import decode_packets, encode_frames
-from flowloom.sources.pcap import read_pcap, write_pcap
+from flowloom.sources.pcap import read_pcap, read_pcap_stream, write_pcap
 from flowloom.sources.tables import read_partitions, write_partitions
 from flowloom.sources.text import job_history, read_delimited, write_text
 from flowloom.streaming import detection, monitor, windows
@@ -273,10 +273,59 @@ def _monitored(spark, sf):
     return root
 
 
+def _monitor_findings(spark, sf):
+    """Port scans, spoofs and volumes by period, from the tables that the monitor wrote."""
+    root, db = scratch_path(spark, "monitor"), _new_database(spark, "monitored")
+    tables.create_report_views(spark, db)
+    monitor.start_monitor(_in_pieces(spark, _busy_hour(spark, sf), "flow-batches"), root, "backbone",
+                          {"availableNow": True}, threshold=SCAN_PORTS, registry=view(spark, sf, "registry"),
+                          reports=db).awaitTermination()
+    scans, spoofed = (read_partitions(spark, f"{root}/{name}", columns, **monitor.PERIOD_TYPES) for name, columns in (
+        ("scan", "src_addr long, dst_addr long, cnt long"), ("spoofs", "src_addr long, dst_addr long")))
+    nobody = F.lit(None).cast("bigint")
+    return scans.select(F.lit("scan").alias("kind"), "ds", "ts", "src_addr", "dst_addr", F.col("cnt").alias("n")).unionByName(
+        spoofed.groupBy(F.lit("spoof").alias("kind"), "ds", "ts", "src_addr", "dst_addr").agg(F.count("*").alias("n"))
+    ).unionByName(spark.table(f"{db}.totalvolume").select(
+        F.lit("volume").alias("kind"), "ds", "ts", nobody.alias("src_addr"), nobody.alias("dst_addr"), F.col("octets").alias("n")))
+
+
+def _distinct_sketches(spark, sf):
+    """Distinct counts over all periods but the first, from sketches written per period, beside the exact ones."""
+    rows, path = view(spark, sf, "packets"), scratch_path(spark, "sketches")
+    sketches.period_sketches(rows).write.parquet(path)
+    periods = spark.read.parquet(path)
+    begin = (periods.agg(F.min("bucket")).first()[0] or 0) + 60
+    estimated = sketches.over_range(periods, begin)
+    later = packets.ipv4(rows).where(F.col("ts_us") >= begin * 1_000_000)
+    sides = later.select(F.explode(F.array("src_addr", "dst_addr")).alias("addr")).agg(F.count_distinct("addr").alias("x_addresses"))
+    exact = later.agg(F.count_distinct("src_addr").alias("x_sources"), F.count_distinct("dst_addr").alias("x_destinations"),
+                      F.count_distinct(*FIVE_TUPLE).alias("x_flows"))
+    parts = estimated.unionByName(exact, allowMissingColumns=True).unionByName(sides, allowMissingColumns=True)
+    both = parts.agg(*[F.max(c).alias(c) for c in parts.columns])
+    return both.select("bytes", "packets", *[F.col(f"x_{c}").alias(c) for c in sketches.SKETCHES], *[
+        (F.abs(F.col(c) - F.col(f"x_{c}")) <= 0.02 * F.col(f"x_{c}")).alias(f"{c}_close") for c in sketches.SKETCHES])
+
+
 def _stream_flowstats(spark, sf):
     return monitor.monitored_stats(spark, _monitored(spark, sf))
 
 
+def _stream_captures(spark, sf):
+    """Flows as export packets in capture files, which a stream frames, decodes and hands to the monitor; then the
+    first batch comes again."""
+    path, root = scratch_path(spark, "exports"), scratch_path(spark, "monitor")
+    keyed = view_over(table(spark, sf, "lineitem"), "flows", keep=("l_orderkey",)).withColumn(
+        "month", F.expr("first_us DIV 2592000000000"))
+    write_pcap(netflow.encode_netflow_v5(keyed, ["l_orderkey", "month"]), path, roll_s=86_400 * 365)
+    captured = netflow.netflow_v5(read_pcap_stream(spark, path))
+    monitor.start_monitor(captured, root, "backbone", {"availableNow": True}, threshold=SCAN_PORTS,
+                          ds_format="yyyy", ts_format="MM", period_s=86_400).awaitTermination()
+    loaded = read_partitions(spark, f"{root}/daily_flows", **monitor.PERIOD_TYPES).where("batch = 0")
+    again = as_table(loaded.drop("area", "ds", "ts", "batch"), "first-batch")
+    monitor.load_period(root, "backbone", SCAN_PORTS, ds_format="yyyy", ts_format="MM", period_s=86_400)(again, 0)
+    return monitor.monitored_stats(spark, root)
+
+
 def _stream_periods(spark, sf):
     return monitor.monitored_stats(spark, _monitored(spark, sf), ["ds", "ts"])
 
@@ -356,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "packets_per_src": _over("packets", packets.packets_per_source),
     "packet_total": _over("packets", packets.packet_total),
     "popularity": _over("packets", packets.popularity),
+    "distinct_sketches": _distinct_sketches,
     "adjacency": _adjacency,
     "tcp_summary": _over("packets", packets.tcp_summary),
     "tcp_summary_decoded": _tcp_decoded,
@@ -399,6 +449,8 @@ QUERIES: dict[str, Query] = {
     # streams
     "stream_flowstats": _stream_flowstats,
     "stream_periods": _stream_periods,
+    "stream_captures": _stream_captures,
+    "monitor_findings": _monitor_findings,
     "stream_rate": _stream_rate,
     "stream_usage": _stream_usage,
     "stream_detect": _stream_detect,
