@@ -33,11 +33,13 @@ shard's words. Inside a shard, phrases are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from flowloom.llm.common import arrow_batches, pack, read, tidy_shuffles, unpack
@@ -51,7 +53,6 @@ TOP = 2000
 SHARD_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 20
 BITS = 1 << 27
-ROWS_AT_ONCE = 100_000
 AT_ONCE = 1 << 17
 BLANKS = " \t"
 MARKS = ".,;:!?\n\x0b\x0c\r"
@@ -205,6 +206,15 @@ def tally(hashes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return ordered[first], order[first], n, kept
 
 
+def by_part(hashes: np.ndarray, bits: int):
+    """(part, slice) of sorted hashes, by their first ``bits`` bits."""
+    part = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for a, b in zip(edges, edges[1:]):
+        if a < b:
+            yield int(part[a]), slice(a, b)
+
+
 def word_counts(docs: DataFrame, shard_bytes: int) -> DataFrame:
     """(lang, h, n) of every word, exact."""
     schema = pa.schema([("lang", pa.string()), ("h", pa.int64()), ("n", pa.int64())])
@@ -232,11 +242,9 @@ def local_phrases(docs: DataFrame, frequent: np.ndarray, support: int, bits: int
         for size in range(2, LONGEST + 1):
             at = words.longer(kept, at, size)
             hashes, _, n, kept = tally(words.runs(at, size), least)
-            part = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
-            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
-            pieces = [slice(a, b) for a, b in zip(edges, edges[1:]) if a < b]
-            yield ([words.lang] * len(pieces), [int(part[p.start]) for p in pieces], [least - 1] * len(pieces),
-                   [pack(np.diff(hashes[p], prepend=np.uint64(0)), n[p].astype("<u4")) for p in pieces])
+            for part, piece in by_part(hashes, bits):
+                found = pack(np.diff(hashes[piece], prepend=np.uint64(0)), n[piece].astype("<u4"))
+                yield [words.lang], [part], [least - 1], [found]
 
     return over_shards(docs, work, schema, "lang string, part long, slack long, found binary", shard_bytes)
 
@@ -275,11 +283,11 @@ def candidates(local: DataFrame, support: int) -> DataFrame:
     return parts.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(run, "h long")
 
 
-def counted_phrases(docs: DataFrame, wanted: np.ndarray, support: int, shard_bytes: int) -> DataFrame:
+def counted_phrases(docs: DataFrame, wanted: np.ndarray, support: int, bits: int, shard_bytes: int) -> DataFrame:
     """(lang, phrase, size, a) of the phrases and words that occur ``support`` times, exact; all those whose bits
-    are in ``wanted`` are counted over all documents."""
-    bits = docs.sparkSession.sparkContext.broadcast(wanted)
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("size", pa.int32()), ("n", pa.int64())])
+    are in ``wanted`` are counted over all documents. Shards send them by part, and a part adds them up by their words."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    schema = pa.schema([("lang", pa.string()), ("part", pa.int64()), ("phrases", pa.binary()), ("n", pa.binary())])
 
     def work(words):
         at, kept = np.arange(len(words.hashes), dtype=np.int32), None
@@ -287,17 +295,36 @@ def counted_phrases(docs: DataFrame, wanted: np.ndarray, support: int, shard_byt
             if size > 1:
                 at = words.longer(kept, at, size)
             hashes = words.runs(at, size)
-            kept = in_bitmap(bits.value, hashes)
-            _, first, n, _ = tally(hashes[kept], 1)
+            kept = in_bitmap(shared.value, hashes)
+            hashes, first, n, _ = tally(hashes[kept], 1)
             places = at[kept][first]
-            for i in range(0, len(n), ROWS_AT_ONCE):
-                part = places[i:i + ROWS_AT_ONCE].tolist()
-                yield ([words.lang] * len(part), [words.phrase(p, size) for p in part], [size] * len(part),
-                       n[i:i + ROWS_AT_ONCE])
+            for part, piece in by_part(hashes, bits):
+                phrases = b"\n".join([words.phrase(p, size) for p in places[piece].tolist()])
+                yield [words.lang], [part], [zstandard.compress(phrases, 3)], [pack(n[piece].astype("<u4"))]
+
+    def rows(lang, sums):
+        often = [(phrase.decode("utf-8", "replace"), a) for phrase, a in sums.items() if a >= support]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(often), pa.string()), pa.array([p for p, _ in often], pa.string()),
+             pa.array([p.count(" ") + 1 for p, _ in often], pa.int32()), pa.array([a for _, a in often], pa.int64())],
+            names=["lang", "phrase", "size", "a"])
+
+    def add_up(batches):
+        current, sums = None, Counter()
+        for batch in batches:
+            for lang, part, phrases, n in zip(*[batch.column(c).to_pylist() for c in schema.names]):
+                if (lang, part) != current:
+                    if current:
+                        yield rows(current[0], sums)
+                    current, sums = (lang, part), Counter()
+                for phrase, count in zip(zstandard.decompress(phrases).split(b"\n"), unpack(n)[0].tolist()):
+                    sums[phrase] += count
+        if current:
+            yield rows(current[0], sums)
 
-    found = over_shards(docs, work, schema, "lang string, phrase binary, size int, n long", shard_bytes)
-    return found.groupBy("lang", "phrase").agg(F.first("size").alias("size"), F.sum("n").alias("a")).where(
-        F.col("a") >= support).withColumn("phrase", F.col("phrase").cast("string"))
+    found = over_shards(docs, work, schema, "lang string, part long, phrases binary, n binary", shard_bytes)
+    return found.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(
+        add_up, "lang string, phrase string, size int, a long")
 
 
 def _part(start: Column | int, length: Column) -> Column:
@@ -347,7 +374,7 @@ def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, covere
         bits = min(20, 4 + max(0, shards // 16).bit_length())
         local = as_table(local_phrases(docs, bitmap(frequent), support, bits, shard_bytes), "local-phrases")
         wanted = bitmap(candidates(local, support).unionByName(frequent))
-        phrases = as_table(counted_phrases(docs, wanted, support, shard_bytes), "phrases")
+        phrases = as_table(counted_phrases(docs, wanted, support, bits, shard_bytes), "phrases")
     inside = covered_phrases(phrases)
     kept = scored(phrases, totals).join(inside, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (100 * F.col("longer") < covered * F.col("a")))
