@@ -283,7 +283,7 @@ LEGACY_GROUPS = {6: "TCP", 17: "UDP", 1: "ICMP"}
 def load_legacy_rules(source: str | Path) -> dict[str, dict[str, Rule]]:
     """Rules ``name;proto=6,dstport=a|b,octets=x-y``, as protocol -> name -> rule.
 
-    Rules that name none of the three protocols, or none at all, are in the group ``OTHER``, with a warning.
+    Rules that name none of the three protocols, or none at all, belong to no group; a warning tells their names.
     """
     groups: dict[str, dict[str, Rule]] = {name: {} for name in LEGACY_GROUPS.values()}
     for line in _lines(source):
@@ -293,9 +293,10 @@ def load_legacy_rules(source: str | Path) -> dict[str, dict[str, Rule]]:
             key, _, value = text.partition("=")
             renamed.append(Pattern.parse(f"{LEGACY_FIELDS[key.strip()]}={value}"))
         proto = next((p.ranges[0][0] for p in renamed if p.left == ("prot",)), None)
-        if proto not in LEGACY_GROUPS:
-            warnings.warn(f"rule {name!r} is for none of the protocols {', '.join(LEGACY_GROUPS.values())}", stacklevel=2)
-        groups.setdefault(LEGACY_GROUPS.get(proto, "OTHER"), {})[name] = Rule(name, 300, tuple(renamed), ())
+        if proto in LEGACY_GROUPS:
+            groups[LEGACY_GROUPS[proto]][name] = Rule(name, 300, tuple(renamed), ())
+        else:
+            warnings.warn(f"rule {name!r} is for none of {', '.join(LEGACY_GROUPS.values())} and is left out", stacklevel=2)
     return groups
 
 

@@ -151,3 +151,9 @@ def test_all_rules_return_their_fields_and_null_keys_stay(spark):
     assert {tuple(r) for r in got.collect()} == {
         *(("flood", None, None, 3, port, None) for port in range(3)), ("any", 9, 2, 1, None, 17)}
     assert {tuple(r) for r in rules.returned_rows(df, chosen[0]).collect()} == {(0, None, port) for port in range(3)}
+
+
+def test_legacy_rules_of_other_protocols_are_told():
+    with pytest.warns(UserWarning, match="'gre'.*left out"):
+        groups = rules.load_legacy_rules("gre;proto=47,pkts=1\nweb;proto=6,dstport=80")
+    assert [list(r) for r in groups.values()] == [["web"], [], []]
