@@ -56,6 +56,14 @@ def arrow_batches(spark: SparkSession, rows: int = 512, size: int = 4 << 20):
                     spark__sql__execution__arrow__maxBytesPerBatch=str(size))
 
 
+def filtered(docs: DataFrame, added, keep) -> DataFrame:
+    """The rows of ``docs`` that ``keep``, a function of a DataFrame, keeps, as they are: columns with names that it
+    adds itself (``added``) are set aside under others meanwhile."""
+    mark = "_" * (1 + max(map(len, docs.columns)))
+    aside = {c: f"{mark}{c}" for c in docs.columns if c in added}
+    return keep(docs.withColumnsRenamed(aside)).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches for texts: bounded by bytes, so that long texts don't add up in a worker.
 

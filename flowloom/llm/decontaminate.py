@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from flowloom.llm.common import read, small_batches
+from flowloom.llm.common import filtered, read, small_batches
 from flowloom.llm.spans import Words, chunks, split_words, word_table
 
 WINDOW = 10
@@ -225,9 +225,8 @@ def n_hit(spans: str = "hit_spans"):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without any benchmark window."""
-    marked = mark_contaminated(docs, benchmark, **options)
-    return marked.where(F.size("items") == 0).select(*docs.columns)
+    """The documents without any benchmark window, with all their columns."""
+    return filtered(docs, ADDED.names, lambda rows: mark_contaminated(rows, benchmark, **options).where(F.size("items") == 0))
 
 
 def cut_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

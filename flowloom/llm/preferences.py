@@ -52,7 +52,7 @@ def _trained(turns: Column) -> Column:
 def neighbour_pairs(turns: DataFrame) -> DataFrame:
     """(conv_id, pair_id, side): conversations 2k and 2k+1 are the chosen and the rejected one of pair k."""
     ids = turns.select("conv_id").where("conv_id is not null").distinct()
-    return ids.select("conv_id", F.floor(F.col("conv_id") / 2).alias("pair_id"),
+    return ids.select("conv_id", F.shiftright("conv_id", 1).cast("bigint").alias("pair_id"),
                       F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected").alias("side"))
 
 

@@ -25,7 +25,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from flowloom.llm.common import read, small_batches, tidy_shuffles
+from flowloom.llm.common import filtered, read, small_batches, tidy_shuffles
 from flowloom.llm.spans import CHUNK_BYTES, mix
 from flowloom.plans.lineage import as_table
 
@@ -213,8 +213,9 @@ def toxic_labels(labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
-    """The documents whose score is below ``limit``; ``labels`` has doc_id and label."""
-    return score(docs, fit(docs, labels)).where(F.col("score") < limit).select(*docs.columns)
+    """The documents whose score is below ``limit``, with all their columns; ``labels`` has doc_id and label."""
+    model = fit(docs, labels)
+    return filtered(docs, ("score",), lambda rows: score(rows, model).where(F.col("score") < limit))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

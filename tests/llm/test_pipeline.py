@@ -7,7 +7,7 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
-from flowloom.llm import byte_bpe, toxicity
+from flowloom.llm import byte_bpe, decontaminate, toxicity
 from flowloom.llm.common import read
 from tests.llm import test_decontaminate, test_jaccard_join, test_line_dedup, test_toxicity
 from tests.llm.helpers import words
@@ -71,6 +71,16 @@ def test_stages_keep_the_columns_of_documents(spark, tmp_path):
         assert out.columns == docs.columns, name
 
 
+def test_filters_give_back_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "some words here", 0.25, "own", 7), (2, words(0, 12), 0.5, "too", 8)],
+                                 "doc_id long, text string, score double, items string, n_words int")
+    labels = spark.createDataFrame([], "doc_id long, label int")
+    benchmark = spark.createDataFrame([(1, words(0, 12))], "item_id long, text string")
+    assert [tuple(r) for r in toxicity.drop_toxic(docs, labels).orderBy("doc_id").collect()] == [
+        (1, "some words here", 0.25, "own", 7), (2, words(0, 12), 0.5, "too", 8)]
+    assert [tuple(r) for r in decontaminate.drop_contaminated(docs, benchmark).collect()] == [(1, "some words here", 0.25, "own", 7)]
+
+
 def test_empty_tables_and_extra_columns(spark, tmp_path):
     corpus(spark, str(tmp_path / "full"))
     for name, columns in (("documents", "doc_id long, text string, lang string, source string, n_chars long, score double, kept string"),

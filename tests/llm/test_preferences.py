@@ -41,6 +41,12 @@ def test_edges(spark):
     assert got[4].n_prompt_turns == 1 and got[4].chosen == got[4].rejected == ""
 
 
+def test_pairs_of_large_and_negative_ids(spark):
+    ids = [9007199254740994, 9007199254740995, -2, -1, 2**63 - 2, 2**63 - 1]
+    pairs = neighbour_pairs(turns(spark, [(i, 0, "user", "a") for i in ids])).collect()
+    assert {r.conv_id: (r.pair_id, r.side) for r in pairs} == {i: (i // 2, "rejected" if i % 2 else "chosen") for i in ids}
+
+
 def test_empty_table(spark):
     assert run(spark, []) == {}
 
