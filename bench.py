@@ -26,6 +26,7 @@ HEADLINE = [
     "detect_rules", "detect_patterns", "task_durations", "netflow_decode", "flow_print",
     "pcap_roundtrip", "stream_flowstats", "stream_rate", "stream_detect", "flowtools_decode", "flow_partitions",
     "spoof_large", "detect_all_returned", "fit_logit", "fit_gmm",
+    "tcp_quality", "capture_range_files", "distinct_sketches", "period_join", "report_tables",
 ]
 
 
