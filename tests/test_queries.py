@@ -26,8 +26,8 @@ def test_every_check_has_a_query():
     assert set(checks()) <= set(NAMES) <= set(entry.queries())
 
 
-def test_only_the_iterative_fits_have_no_sql():
-    assert set(NAMES) - set(checks()) == {"fit_logit", "fit_gmm"}
+def test_every_query_has_sql():
+    assert set(NAMES) == set(checks())
 
 
 def test_flagship_runs(spark):
