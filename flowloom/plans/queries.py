@@ -25,6 +25,7 @@ RANGE = (1704067260000000 + 86_400_000_000, 1704067380000000 - 86_400_000_000)
 SCAN_PORTS = 5
 CLIENT_NET = "10.0.0.0/26"
 HOUR_US = 1704110400000000
+ROWS_A_FILE = 500_000
 
 # Rules whose fields and thresholds occur in the given tables.
 PORT_SCAN_RULES = "port_scan;2592000;prot=6;sip;dport;unique;flows=4-;sip"
@@ -253,11 +254,13 @@ def _success(spark, sf):
     return classify.success_ratio(classify.classify_gmm(view(spark, sf, "packets")))
 
 
-def _in_pieces(spark: SparkSession, df: DataFrame, name: str, pieces: int = 3) -> DataFrame:
-    """A stream of the rows of ``df``, which come in several micro-batches."""
+def _in_pieces(spark: SparkSession, df: DataFrame, name: str, pieces: int = 3, rows_a_file: int = ROWS_A_FILE) -> DataFrame:
+    """A stream of the rows of ``df``, which come in several micro-batches. Each is of as many files as its rows need,
+    so that more rows are written and read by more tasks."""
     path = scratch_path(spark, name)
-    df.repartition(pieces).write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    files = max(1, -(-df.count() // (pieces * rows_a_file)))
+    df.repartition(pieces * files).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _busy_hour(spark, sf):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from flowloom.operators import packets as packet_ops
 from flowloom.operators import rules
 from flowloom.operators.flows import flowstats, usage_avg
-from flowloom.plans.queries import QUERIES
+from flowloom.plans.queries import QUERIES, _in_pieces
 from flowloom.plans.views import view
 from flowloom.sources.netflow import encode_netflow_v5, netflow_v5
 from flowloom.sources.pcap import read_pcap_stream, write_pcap
@@ -69,6 +69,16 @@ def test_monitor_finds_scans_and_spoofs_per_period(spark, tmp_path):
     assert sorted((r.src_addr, r.ts) for r in spoofed) == [(8, f"00{m:02d}") for m in (0, 5, 10, 15)]
 
 
+def test_batches_have_more_files_as_they_have_more_rows(spark):
+    df = some_flows(spark)
+    for rows_a_file, files in ((25, 4), (10**6, 1)):
+        stream, seen = _in_pieces(spark, df, "pieces", rows_a_file=rows_a_file), []
+        stream.writeStream.foreachBatch(lambda batch, _: seen.append(
+            (batch.select(F.input_file_name()).distinct().count(), batch.count()))).trigger(
+            **NOW).start().awaitTermination()
+        assert [n for n, _ in seen] == [files] * 3 and sum(n for _, n in seen) == df.count()
+
+
 def test_rate_stream_equals_batch_out_of_order(spark, tmp_path):
     rng = random.Random(6)
     rows = [p(i, rng.randrange(400) * US + i, eth=rng.choice([2048, 0x86DD, 0x0806])) for i in range(200)]
