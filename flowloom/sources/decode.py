@@ -50,6 +50,8 @@ def decode_packets(raw: DataFrame, min_record: int = MIN_RECORD) -> DataFrame:
     })
     transport = F.lit(IP) + F.col("ihl")
     step = step.withColumns({"w_port": word(F.col("head"), transport), "w_tcp": word(F.col("head"), transport + 8)})
+    # Rows of one each: a filter on a field is taken down to here and no further, where it would repeat all of the above.
+    step = step.select(F.inline(F.array(F.struct(*[c for c in step.columns if c != "head"]))))
 
     def segment(name: str, base: int, at: int, nbytes: int) -> Column:
         return F.when(F.col("held") >= transport + at + nbytes, field_of(F.col(name), at - base, nbytes))
@@ -71,7 +73,7 @@ def decode_packets(raw: DataFrame, min_record: int = MIN_RECORD) -> DataFrame:
     })
     payload = F.substr("frame", transport + hlen + 1, F.greatest(F.col("payload_len"), F.lit(0)))
     return step.withColumn("payload", payload).drop(
-        "head", "held", "frame", "w_eth", "w_ttl", "w_addr", "w_port", "w_tcp")
+        "held", "frame", "w_eth", "w_ttl", "w_addr", "w_port", "w_tcp")
 
 
 def encode_frames(packets: DataFrame) -> DataFrame:

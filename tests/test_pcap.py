@@ -230,3 +230,10 @@ def test_addresses(spark):
     rows = df.select("t", ip_number(F.col("t")).alias("n")).withColumn("back", ip_text(F.col("n"))).collect()
     assert [r.back for r in rows] == ["10.1.2.255", "192.168.0.1", None, None, None]
     assert rows[0].n == parse_ip("10.1.2.255")
+
+
+def test_filters_do_not_repeat_the_decoding(spark):
+    raw = spark.createDataFrame([(0, 60, bytes(60))], "ts_us long, wire_len int, frame binary")
+    chosen = decode_packets(raw).where("eth_type = 2048 and proto = 6 and tcp_seq is not null and dst_port = 80")
+    plan = chosen._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("conv(") == 5  # the five words
