@@ -136,7 +136,10 @@ def _features(rows: DataFrame, chosen: np.ndarray, ratio: np.ndarray) -> DataFra
                 [batch.column("label"), pa.array(out, pa.list_(pa.int32())),
                  pa.array([values[o] for o in out], pa.list_(pa.float64()))], names=["label", "indices", "values"])
 
-    sparse = rows.select("text", "label").mapInArrow(make, "label int, indices array<int>, values array<double>")
+    # Written first, as vectors are made by Python again: in one stage a task would keep two workers, and the fit's passes
+    # would make the features anew.
+    sparse = as_table(rows.select("text", "label").mapInArrow(
+        make, "label int, indices array<int>, values array<double>"), "training-features")
     vector = F.udf(_sparse(len(chosen)), VectorUDT())
     return sparse.select(F.col("label").cast("double").alias("label"), vector("indices", "values").alias("features"))
 

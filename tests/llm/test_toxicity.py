@@ -1,9 +1,10 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
-from flowloom.llm.toxicity import drop_toxic, fit, fold, op3_toxicity, score, training_rows
+from flowloom.llm.toxicity import _features, drop_toxic, fit, fold, op3_toxicity, score, training_rows
 from tests.llm.helpers import documents
 
 
@@ -68,3 +69,9 @@ def test_whole_query(spark, data):
     assert len(rows) == spark.read.parquet(f"{data}/documents.parquet").count()
     assert all(r.predicted == int(r.score >= 0.5) for r in rows)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+
+
+def test_a_task_of_the_fit_has_one_worker(spark):
+    rows = spark.createDataFrame([("zzyxfoul", 1), (None, 0)], "text string, label int")
+    plan = _features(rows, np.arange(1024), np.ones(1 << 18))._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "MapInArrow" not in plan
