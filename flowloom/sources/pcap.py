@@ -42,6 +42,7 @@ FILE_PREFIX = "nf-v05."
 SCHEMA = "ts_us long, cap_len int, wire_len int, frame binary, file string, pkt_id long"
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 BLOCK = 8 << 20
+MANY_TASKS, TASK_BYTES = 256, 128 << 20
 
 
 @dataclass
@@ -77,13 +78,15 @@ def list_files(path: str):
 
 
 def plan_ranges(root: str, ranges, split_bytes: int) -> list[Segments]:
-    """Tasks of about ``split_bytes`` over ranges (path, start, end, file size, known); long ranges are cut, and only
-    a range's first piece starts at a known record."""
-    tasks, current, filled = [], [], 0
+    """Tasks over ranges (path, start, end, file size, known); ranges longer than ``split_bytes`` are cut, and only
+    a range's first piece starts at a known record. A task has about ``split_bytes``; where that makes more than
+    ``MANY_TASKS``, a task takes several pieces, up to ``TASK_BYTES``."""
+    tasks, current, filled, ranges = [], [], 0, list(ranges)
+    full = max(split_bytes, min(TASK_BYTES, sum(last - first for _, first, last, *_ in ranges) // MANY_TASKS))
     for path, first, last, size, known in ranges:
         for start in range(first, last, split_bytes):
             end = min(start + split_bytes, last)
-            if current and filled + end - start > split_bytes:
+            if current and filled + end - start > full:
                 tasks.append(Segments(root, tuple(current)))
                 current, filled = [], 0
             current.append((path, start, end, size, known and start == first))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from flowloom.functions.net import ip_number, ip_text, parse_ip
 from flowloom.sources import pcap
 from flowloom.sources.decode import decode_packets, encode_frames
-from flowloom.sources.pcap import FILE_HEADER, read_pcap, read_pcap_stream, write_pcap
+from flowloom.sources.pcap import (
+    FILE_HEADER, MANY_TASKS, TASK_BYTES, plan_ranges, read_pcap, read_pcap_stream, write_pcap,
+)
 from tests.conftest import packet_rows
 
 T0 = 1_704_067_200
@@ -237,3 +239,13 @@ def test_filters_do_not_repeat_the_decoding(spark):
     chosen = decode_packets(raw).where("eth_type = 2048 and proto = 6 and tcp_seq is not null and dst_port = 80")
     plan = chosen._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("conv(") == 5  # the five words
+
+
+def test_tasks_grow_in_size_before_they_grow_in_number():
+    for size in (1 << 20, 1 << 30, 1 << 36):
+        tasks = plan_ranges("r", [("f", 0, size, size, True)], 1 << 18)
+        pieces = [r for t in tasks for r in t.ranges]
+        assert [r[1] for r in pieces] == list(range(0, size, 1 << 18)) and pieces[-1][2] == size
+        assert all(r[2] - r[1] <= 1 << 18 for r in pieces) and [r[4] for r in pieces[:2]] == [True, False]
+        assert len(tasks) <= max(MANY_TASKS, size // TASK_BYTES) + 1
+        assert max(sum(r[2] - r[1] for r in t.ranges) for t in tasks) <= TASK_BYTES
