@@ -38,6 +38,12 @@ def _touched(rows: DataFrame, *names: str, **fixed: str) -> list[dict[str, str]]
     return [fixed | row.asDict() for row in rows.select(*names).distinct().collect()]
 
 
+def _added_up(sums: DataFrame, by: list[str]) -> DataFrame:
+    """Statistics out of those of several batches."""
+    return sums.groupBy(*by, "type", "aggr_key").agg(
+        F.sum("octets").alias("octets"), F.sum("pkts").alias("pkts"), F.sum("flows").alias("flows"))
+
+
 def load_period(root: str, area: str, threshold: int = 10, registry: DataFrame | None = None,
                 reports: str | None = None, **period):
     """Micro-batch writer: printed flows, then their statistics, port scans and, with a registry, spoofs.
@@ -67,7 +73,9 @@ def load_period(root: str, area: str, threshold: int = 10, registry: DataFrame |
         write_partitions(scan(every, threshold, ("ds", "ts")), f"{root}/scan", ("src_addr", "dst_addr"),
                          area=area, ds=None, ts=None)
         if reports is not None:
-            stats = as_table(flowstats(every, by=["ds", "ts"]), "touched-stats")
+            # Sums of all batches of the touched periods: the flows themselves need not be read again.
+            sums = read_partitions(spark, f"{root}/flowstats", STATS_COLUMNS, periods, **PERIOD_TYPES)
+            stats = as_table(_added_up(sums, ["ds", "ts"]), "touched-stats")
             if spark.catalog.tableExists(f"{reports}.{REPORT_ROWS}"):
                 load_report_rows(stats, reports, area)
                 periods = []
@@ -100,11 +108,7 @@ def monitored_flows(spark: SparkSession, root: str, **period: str) -> DataFrame:
 
 def monitored_stats(spark: SparkSession, root: str, by: list[str] | None = None) -> DataFrame:
     """Statistics over everything the monitor has loaded."""
-    return (
-        read_partitions(spark, f"{root}/flowstats", STATS_COLUMNS, **PERIOD_TYPES)
-        .groupBy(*(by or []), "type", "aggr_key")
-        .agg(F.sum("octets").alias("octets"), F.sum("pkts").alias("pkts"), F.sum("flows").alias("flows"))
-    )
+    return _added_up(read_partitions(spark, f"{root}/flowstats", STATS_COLUMNS, **PERIOD_TYPES), by or [])
 
 
 def detect_batch(root: str, rules: list[rule_ops.Rule], day_format: str = "yyyy-MM-dd"):

@@ -11,7 +11,7 @@ from flowloom.plans.queries import QUERIES, _in_pieces
 from flowloom.plans.views import view
 from flowloom.sources.netflow import encode_netflow_v5, netflow_v5
 from flowloom.sources.pcap import read_pcap_stream, write_pcap
-from flowloom.sources.tables import read_partitions
+from flowloom.sources.tables import create_report_views, read_partitions
 from flowloom.streaming import detection, monitor, windows
 from tests.conftest import flow_rows
 from tests.test_packets import p
@@ -54,6 +54,18 @@ def test_monitor_equals_batch_and_survives_a_rerun(spark, tmp_path):
     assert spark.read.parquet(f"{root}/daily_flows").count() == df.count()
 
 
+def test_reports_come_from_the_sums_of_all_batches(spark, tmp_path, monkeypatch):
+    df, db, calls = some_flows(spark), "reports_of_sums", []
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_path / 'db'}'")
+    create_report_views(spark, db)
+    monkeypatch.setattr(monitor, "flowstats", lambda *args, **kwargs: calls.append(1) or flowstats(*args, **kwargs))
+    monitor.start_monitor(drip(spark, df, tmp_path / "in"), str(tmp_path / "out"), "x", NOW, reports=db).awaitTermination()
+    got = spark.table(f"{db}.portingress").select("ts", "port", "octets", "pkts", "flows")
+    want = flowstats(monitor.with_period(df), by=["ts"]).where("type = 'dstPort'").withColumnRenamed("aggr_key", "port")
+    assert rows_of(got) == rows_of(want.select(got.columns)) != []
+    assert len(calls) == 3  # once a batch, over its own flows
+
+
 def test_monitor_finds_scans_and_spoofs_per_period(spark, tmp_path):
     scan = [dict(src_addr=7, dst_port=i, first_us=10 * US) for i in range(4)]
     spread = [dict(src_addr=8, dst_port=i, first_us=i * 300 * US) for i in range(4)]
