@@ -325,7 +325,9 @@ def _stream_captures(spark, sf):
     path, root = scratch_path(spark, "exports"), scratch_path(spark, "monitor")
     keyed = view_over(table(spark, sf, "lineitem"), "flows", keep=("l_orderkey",)).withColumn(
         "month", F.expr("first_us DIV 2592000000000"))
-    write_pcap(netflow.encode_netflow_v5(keyed, ["l_orderkey", "month"]), path, roll_s=86_400 * 365)
+    # Written first: to put them in order of time Spark samples them, which would encode all of them once more.
+    exports = as_table(netflow.encode_netflow_v5(keyed, ["l_orderkey", "month"]), "export-packets")
+    write_pcap(exports, path, roll_s=86_400 * 365)
     captured = netflow.netflow_v5(read_pcap_stream(spark, path))
     monitor.start_monitor(captured, root, "backbone", {"availableNow": True}, threshold=SCAN_PORTS,
                           ds_format="yyyy", ts_format="MM", period_s=86_400).awaitTermination()

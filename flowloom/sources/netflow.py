@@ -197,10 +197,10 @@ def write_flowtools(records: DataFrame, path: str) -> None:
             fs.move(row.name, f"{base}/part-{row.name.rsplit('_', 1)[1]}")
 
 
-def _record_hex(values: dict[str, Column]) -> Column:
-    """Hex text of a flow record, eight bytes at a time; fields without a value are zero."""
+def _record_hex(values: dict[str, Column], begin: int = 0, end: int = RECORD_BYTES) -> Column:
+    """Hex text of a flow record, or of some bytes of it, eight bytes at a time; fields without a value are zero."""
     words = []
-    for start in range(0, RECORD_BYTES, 8):
+    for start in range(begin, end, 8):
         word_value = F.lit(0).cast("bigint")
         for name, (at, length) in RECORD.items():
             if start <= at < start + 8 and name in values:
@@ -229,19 +229,22 @@ def encode_netflow_v5(flows: DataFrame, group: list[str], port: int = 5001) -> D
     """
     end = "last_us" if "last_us" in flows.columns else "first_us"
     place = F.row_number().over(Window.partitionBy(*group).orderBy("first_us")) - 1
-    numbered = flows.withColumn("packet_no", F.floor(place / RECORDS_PER_PACKET))
+    # All of a record but its times, which depend on its packet, is encoded flow by flow, as what is done to the
+    # elements of a list is not compiled.
+    fields, times = {n: F.col(n) for n in RECORD if n in flows.columns}, RECORD["first"][0]
+    numbered = flows.withColumns({
+        "packet_no": F.floor(place / RECORDS_PER_PACKET), "head": _record_hex(fields, 0, times),
+        "tail": _record_hex(fields, times + 8, RECORD_BYTES)})
     spans = numbered.groupBy(*group, "packet_no").agg(
         F.max(end).alias("latest"), F.min("first_us").alias("earliest"),
-        F.collect_list(F.struct(*[c for c in flows.columns if c not in group])).alias("rows"))
+        F.collect_list(F.struct("head", F.col("first_us").alias("first"), F.col(end).alias("last"), "tail")).alias("rows"))
     export_s = F.floor(F.col("latest") / 1_000_000) + 1
     packet = spans.withColumn("export_us", export_s * 1_000_000).withColumn(
         "uptime", F.floor((F.col("export_us") - F.col("earliest")) / 1000) + 1)
 
     def one(row: Column) -> Column:
-        def ticks(column: str) -> Column:
-            return F.col("uptime") - F.floor((F.col("export_us") - row[column]) / 1000)
-        values = {n: F.col(n) if n in group else row[n] for n in RECORD if n in flows.columns}
-        return _record_hex(values | {"first": ticks("first_us"), "last": ticks(end)})
+        ticks = {c: F.col("uptime") - F.floor((F.col("export_us") - row[c]) / 1000) for c in ("first", "last")}
+        return F.concat(row["head"], _record_hex(ticks, times, times + 8), row["tail"])
 
     body = F.array_join(F.transform("rows", one), "")
     size = F.size("rows") * RECORD_BYTES + EXPORT_HEADER

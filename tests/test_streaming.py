@@ -2,11 +2,13 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from flowloom.operators import packets as packet_ops
 from flowloom.operators import rules
 from flowloom.operators.flows import flowstats, usage_avg
+from flowloom.plans import queries
 from flowloom.plans.queries import QUERIES, _in_pieces
 from flowloom.plans.views import view
 from flowloom.sources.netflow import encode_netflow_v5, netflow_v5
@@ -227,3 +229,12 @@ def test_windows_in_time_order_release_their_state(spark, tmp_path):
     assert rows_of(got.where("bucket < 100000")) == rows_of(usage_avg(samples))
     assert detection.late_rows(progress) == 0
     assert detection.most_state(progress) < usage_avg(samples).count() / 4
+
+
+def test_exports_are_encoded_before_they_are_sampled(spark, data, monkeypatch):
+    def seen(packets, *args, **kwargs):
+        raise LookupError(packets._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(queries, "write_pcap", seen)
+    with pytest.raises(LookupError) as found:
+        QUERIES["stream_captures"](spark, data)
+    assert "Relation" in str(found.value) and "Window" not in str(found.value)
