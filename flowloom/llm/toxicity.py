@@ -7,7 +7,8 @@ values, fitted by Spark, gives the weights. The model is one number for each of
 2**18 bins (1 MB), so scoring is one scan of all documents and whole texts.
 
 Learning uses at most ``sample`` labelled rows, those of smallest id hash; the
-features kept are the ``kept`` that tell most about the label.
+features kept are the ``kept`` that tell most about the label, ties by bin. Spark
+counts and ranks the bins; the driver gets the counts of the kept ones and two sums.
 
 Defined cases: null and empty texts have the share of label 1 among the rows
 learned from as their score; labels other than 0 and 1 or of no document are not used, of
@@ -85,7 +86,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 
 
 def bin_counts(rows: DataFrame) -> DataFrame:
-    """(bin, label, n): number of documents that have a bin."""
+    """(bin, n0, n1): number of documents of label 0 and of label 1 that have a bin."""
 
     def count(batches):
         sums = np.zeros((2, BINS), np.int64)
@@ -95,25 +96,31 @@ def bin_counts(rows: DataFrame) -> DataFrame:
                 owner, bins = _bins(part)
                 both = np.unique(owner.astype(np.int64) * BINS + bins)
                 np.add.at(sums, (labels[start + both // BINS], both % BINS), 1)
-        label, place = np.nonzero(sums)
+        place = np.flatnonzero(sums.any(0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(place.astype(np.int32)), pa.array(label.astype(np.int32)), pa.array(sums[label, place])],
-            names=["bin", "label", "n"])
+            [pa.array(place.astype(np.int32)), pa.array(sums[0, place]), pa.array(sums[1, place])],
+            names=["bin", "n0", "n1"])
 
-    return rows.mapInArrow(count, "bin int, label int, n long").groupBy("bin", "label").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(count, "bin int, n0 long, n1 long").groupBy("bin").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def _information(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """Mutual information of having a bin with the label, for counts (2, bins)."""
-    every = totals.sum()
-    information = np.zeros(counts.shape[1])
-    have = counts.sum(0)
-    for label in (0, 1):
-        for n, margin in ((counts[label], have), (totals[label] - counts[label], every - have)):
-            with np.errstate(divide="ignore", invalid="ignore"):
-                part = n / every * np.log(n * every / (margin * totals[label]))
-            information += np.where(n > 0, part, 0)
-    return information
+def _information(totals: np.ndarray) -> Column:
+    """Mutual information of having a bin with the label, from its n0 and n1; totals: rows of each label, neither 0."""
+    every = float(totals.sum())
+    have = (F.col("n0") + F.col("n1")).cast("double")
+    parts = []
+    for name, total in zip(("n0", "n1"), map(float, totals)):
+        with_bin = F.col(name).cast("double")
+        for n, margin in ((with_bin, have), (total - with_bin, every - have)):
+            parts.append(F.when(n > 0, n / every * F.log(n * every / (margin * total))).otherwise(0.0))
+    return parts[0] + parts[1] + parts[2] + parts[3]
+
+
+def telling_bins(counts: DataFrame, totals: np.ndarray, kept: int) -> DataFrame:
+    """The at most ``kept`` rows of (bin, n0, n1) that tell most about the label, ties by bin."""
+    return counts.withColumn("information", _information(totals)).where("information > 0").orderBy(
+        F.desc("information"), "bin").limit(kept).select("bin", "n0", "n1")
 
 
 def _features(rows: DataFrame, chosen: np.ndarray, ratio: np.ndarray) -> DataFrame:
@@ -181,14 +188,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, kept: int = KE
         prior = np.log((totals[1] + 0.5) / (totals[0] + 0.5)) if totals.sum() else -500.0
         if not totals.all():
             return Model(np.zeros(BINS), prior, prior)
-        found = bin_counts(rows).toPandas()  # at most 2 * BINS rows
-        counts = np.zeros((2, BINS))
-        counts[found["label"], found["bin"]] = found["n"]
-        smooth = counts + 1
-        ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
-        information = _information(counts, totals)
-        chosen = np.sort(np.argsort(-information, kind="stable")[:kept])
-        chosen = chosen[information[chosen] > 0]
+        counts = as_table(bin_counts(rows), "training-counts")  # at most BINS rows
+        sums = counts.agg(F.sum("n0"), F.sum("n1")).first()
+        found = np.array(sorted(telling_bins(counts, totals, kept).collect()), np.int64).reshape(-1, 3)
+        chosen = found[:, 0]
+        rate = [np.log((found[:, 1 + label] + 1.0) / ((sums[label] or 0) + BINS)) for label in (0, 1)]
+        ratio = np.zeros(BINS)
+        ratio[chosen] = rate[1] - rate[0]
         fitted = LogisticRegression(regParam=regularisation, standardization=False, maxIter=100, tol=1e-7).fit(
             _features(rows, chosen, ratio))
     weights = np.zeros(BINS)

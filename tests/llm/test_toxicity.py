@@ -1,10 +1,13 @@
+import math
 import random
 import zlib
 
 import numpy as np
 import pytest
 
-from flowloom.llm.toxicity import _features, drop_toxic, fit, fold, op3_toxicity, score, training_rows
+from flowloom.llm.toxicity import (
+    _bins, _features, bin_counts, drop_toxic, fit, fold, op3_toxicity, score, telling_bins, training_rows,
+)
 from tests.llm.helpers import documents
 
 
@@ -75,3 +78,31 @@ def test_a_task_of_the_fit_has_one_worker(spark):
     rows = spark.createDataFrame([("zzyxfoul", 1), (None, 0)], "text string, label int")
     plan = _features(rows, np.arange(1024), np.ones(1 << 18))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" in plan and "MapInArrow" not in plan
+
+
+def test_the_fit_brings_the_kept_bins_alone_to_the_driver(spark, monkeypatch):
+    rows, labels = corpus(60)
+    docs, table = frames(spark, rows, [(*x, None) for x in labels])
+    seen, kind = [], type(docs)
+    for name in ("collect", "toPandas"):
+        monkeypatch.setattr(kind, name, lambda self, f=getattr(kind, name): (seen.append(len(out := f(self))), out)[1])
+    model = fit(docs, table, kept=16)
+    assert 0 < np.count_nonzero(model.weights) <= 16 and max(seen) <= 16
+
+
+def test_kept_bins_are_those_that_tell_most(spark):
+    texts = [("zzyxfoul day", 1), ("zzyxfoul", 1), ("a fine day", 0), ("a fine night", 0), ("", 0), (None, 1), ("night", 0)]
+    rows = spark.createDataFrame(texts, "text string, label int")
+    has = [(set(_bins([text or ""])[1].tolist()), label) for text, label in texts]
+    found = {r.bin: (r.n0, r.n1) for r in bin_counts(rows).collect()}
+    assert found == {b: tuple(sum(b in bins and label == want for bins, label in has) for want in (0, 1))
+                     for b in set().union(*(bins for bins, _ in has))}
+
+    def tells(n0, n1):
+        cells = [(n, total, side) for n, total in ((n0, 4), (n1, 3)) for side, n in ((n0 + n1, n), (7 - n0 - n1, total - n))]
+        return sum(n / 7 * math.log(n * 7 / (side * total)) for n, total, side in cells if n)
+
+    best = sorted((-round(tells(*n), 12), b) for b, n in found.items())
+    for kept in (1, 5, 20):
+        got = [(-round(tells(r.n0, r.n1), 12), r.bin) for r in telling_bins(bin_counts(rows), np.array([4, 3]), kept).collect()]
+        assert got == best[:kept]
