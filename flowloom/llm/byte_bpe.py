@@ -16,7 +16,7 @@ distinct word of the corpus is encoded once:
 Blocks take documents by a hash, about ``BLOCK_CHARS`` characters each, so that
 a block's words fit in memory; a longer text is one block's load by itself.
 Decoding joins ids with the token-byte table, which has as many rows as the
-vocabulary and is broadcast.
+vocabulary and is broadcast; it can follow in the worker that puts ids together.
 
 Cutting a text before a blank that follows other than white space parts no
 match of the pattern; so words are found once for each distinct piece between
@@ -49,6 +49,7 @@ HOT = 1 << 18
 BLOCK_CHARS = 4_000_000
 COUNTED_AT_ONCE = 300_000
 PACKED_AT_ONCE = 200_000
+SENT_AT_ONCE = 4 << 20
 CACHED = 150_000
 SEEN = 3
 OTHER = 0xFFFFFFFF
@@ -333,8 +334,12 @@ def _put_together(payload: bytes, hot: _HotIds, hot_starts: np.ndarray, own: _Bl
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN,
-           hot: int = HOT, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, ids) of every row of ``docs`` (doc_id, text); ids are little-endian unsigned 32-bit integers."""
+           hot: int = HOT, block_chars: int = BLOCK_CHARS, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids) of every row of ``docs`` (doc_id, text); ids are little-endian unsigned 32-bit integers.
+
+    With ``decoded``, ``decode`` of the ids follows in the same worker: as a step of its own it would keep a second
+    one for every task.
+    """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -349,12 +354,23 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
     both = packed.select("block", F.lit(0).alias("part"), F.lit(None).cast(kind).alias("doc_id"), "payload").unionByName(
         streams.select("block", F.lit(1).alias("part"), "doc_id", "payload"))
 
+    names = ["doc_id", "ids", "decoded"] if decoded else ["doc_id", "ids"]
+    tokens = spark.sparkContext.broadcast(TokenBytes(ranks)) if decoded else None
+
     def put_together(batches):
         known = shared_ids.value
         starts = np.cumsum(known.sizes) - known.sizes
         block, parts, own = None, [], None
+        ids, out, total, id_type = [], [], 0, None
+
+        def columns():
+            whole = [pa.array(ids, id_type), pa.array(out, pa.binary())]
+            if decoded:
+                whole.append(pa.array([tokens.value.join(i) for i in out], pa.binary()))
+            return pa.RecordBatch.from_arrays(whole, names=names)
+
         for batch in batches:
-            ids, out = [], []
+            id_type = batch.schema.field("doc_id").type
             for at, part, doc_id, payload in zip(*[batch.column(c).to_pylist() for c in batch.schema.names]):
                 if at != block:
                     block, parts, own = at, [], None
@@ -365,11 +381,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
                     own, parts = _Block(parts), []
                 ids.append(doc_id)
                 out.append(_put_together(payload, known, starts, own).astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field("doc_id").type), pa.array(out, pa.binary())], names=["doc_id", "ids"])
+                total += len(out[-1])
+                if total > SENT_AT_ONCE:
+                    yield columns()
+                    ids, out, total = [], [], 0
+            if ids:
+                yield columns()
+                ids, out, total = [], [], 0
 
     return both.repartition("block").sortWithinPartitions("block", "part").mapInArrow(
-        put_together, f"doc_id {kind}, ids binary")
+        put_together, f"doc_id {kind}, ids binary" + ", decoded binary" * decoded)
 
 
 def id_arrays(encoded: DataFrame) -> DataFrame:
@@ -409,10 +430,10 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
     Null ids are none; an id that the table doesn't have is an error.
     """
-    shared = encoded.sparkSession.sparkContext.broadcast(ranks)
+    shared = encoded.sparkSession.sparkContext.broadcast(TokenBytes(ranks))
 
     def run(batches):
-        table = TokenBytes(shared.value)
+        table = shared.value
         for batch in batches:
             decoded = [table.join(ids or b"") for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())],
@@ -432,5 +453,4 @@ def digests(decoded: DataFrame) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     ranks = read_ranks(path or public_tokenizers.path(VOCABULARY))
-    encoded = encode(read(spark, sf_dir, "documents"), ranks)
-    return digests(decode(encoded, ranks))
+    return digests(encode(read(spark, sf_dir, "documents"), ranks, decoded=True))

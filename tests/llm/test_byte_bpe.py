@@ -6,7 +6,8 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from flowloom.llm.byte_bpe import VOCABULARY, Cutter, decode, digests, encode, id_arrays, read_ranks
+from flowloom.llm import byte_bpe
+from flowloom.llm.byte_bpe import VOCABULARY, Cutter, decode, digests, encode, id_arrays, op5_byte_bpe, read_ranks
 from tests.llm.helpers import documents
 
 
@@ -57,3 +58,13 @@ def test_empty_table(spark, ranks):
 def test_ids_as_arrays(spark, ranks, library):
     rows = id_arrays(encode(documents(spark, [(1, "some words"), (2, None)]), ranks)).collect()
     assert {r.doc_id: r.ids for r in rows} == {1: library.encode_ordinary("some words"), 2: []}
+
+
+def test_decoded_in_the_same_worker(spark, ranks, data, monkeypatch):
+    plan = op5_byte_bpe(spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert plan.partition("Exchange")[0].count("MapInArrow") == 1  # a worker for each, in every task
+    monkeypatch.setattr(byte_bpe, "SENT_AT_ONCE", 10)  # several batches to a block
+    docs = documents(spark, [*enumerate(texts()), (None, "no id"), (0, "again")])
+    both = [sorted(map(tuple, rows.collect()), key=repr) for rows in (
+        encode(docs, ranks, block_chars=3000, decoded=True), decode(encode(docs, ranks, block_chars=3000), ranks))]
+    assert both[0] == both[1] and len(both[0]) == len(texts()) + 2
